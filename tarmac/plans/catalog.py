@@ -12,6 +12,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -447,5 +448,109 @@ def response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sresp.run_response_stream(spark, msgs.unionByName(junk))
 
 
+# ----- forest training and scoring (rows-only checks) ------------------------------------
+
+# Small forest settings for the registered queries; the reference settings are the
+# defaults of ``models.train``.
+SMALL_FOREST = {"num_trees": 5, "max_depth": 5, "max_bins": 1024}
+
+
+def _trained(spark: SparkSession, sf_dir: str, run_name: str = "registered") -> models.TrainedModel:
+    return models.train(inputs.flights(spark, sf_dir), run_name=run_name, **SMALL_FOREST)
+
+
+@query("forest_train")
+def forest_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit the full chain (seeded) and report its metric record plus forest size."""
+    m = _trained(spark, sf_dir)
+    return models.metric_record(spark, m).withColumn("total_nodes", F.lit(m.forest.totalNumNodes))
+
+
+@query("forest_score")
+def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every flight with a fitted forest: class, prediction, top probability."""
+    m = _trained(spark, sf_dir)
+    frame, *_ = models.featurize(inputs.flights(spark, sf_dir), indexers=m.indexers)
+    pred = models.score(m.forest, frame)
+    top = F.array_max(vector_to_array(F.col("probability")))
+    return pred.select("FlightNum", ft.LABEL_COL, models.PREDICTION_COL, top.alias("top_probability"))
+
+
+def _saved(spark: SparkSession, sf_dir: str):
+    m = _trained(spark, sf_dir)
+    base = work_dir(spark, "artifacts")
+    root = os.path.join(base, "models")
+    models.save(m, root)
+    return m, base, root
+
+
+@query("artifact_roundtrip")
+def artifact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save every artifact, load them back, and score the flights with both copies."""
+    m, _, root = _saved(spark, sf_dir)
+    idx, va = models.load_preprocessing(root)
+    if [list(x) for x in idx.labelsArray] != [list(x) for x in m.indexers.labelsArray]:
+        raise AssertionError("reloaded label dictionaries differ")
+    loaded = models.load_forest(root, m.version)
+    frame = va.transform(ft.encode(ft.training_frame(inputs.flights(spark, sf_dir)), idx))
+    fitted = m.forest.transform(frame).select("FlightNum", ft.FEATURES_COL, F.col("Prediction").alias("p_fitted"))
+    both = loaded.transform(fitted).select("FlightNum", "p_fitted", F.col("Prediction").alias("p_loaded"))
+    return both
+
+
+@query("artifact_listing")
+def artifact_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List saved artifacts (no file bodies read) and derive model ids from the keys."""
+    _, base, _ = _saved(spark, sf_dir)
+    keys = src_files.object_keys(src_files.list_objects(spark, base), base)
+    return keys.select("key", F.unix_millis(F.col("last_modified").cast("timestamp")).alias("last_modified_ms"),
+                       artifact_id_col("key").alias("model_id"))
+
+
+@query("score_union")
+def score_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two models over the same requests (batch scope), results stacked."""
+    m = _trained(spark, sf_dir)
+    _, _, base_forest = baseline_forest(spark, sf_dir)
+    reqs = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
+    feats = models.serving_features(reqs, m.indexers, m.assembler)
+    out = scoring.score_models(feats, {m.version: m.forest, inputs.baseline_version_text(): base_forest})
+    return out.select("UUID", "model_id", models.PREDICTION_COL)
+
+
+def _stream_scored(spark: SparkSession, sf_dir: str, resume: bool = False) -> DataFrame:
+    from tarmac.streaming import scorer
+    m, _, root = _saved(spark, sf_dir)
+    reqs = inputs.requests(spark, sf_dir, model_id=m.version)
+    out, base = scorer.run_file_scoring(spark, reqs, root)
+    first = spark.read.text(out).count()
+    if resume:
+        out, _ = scorer.run_file_scoring(spark, reqs, root, base=base)
+        again = spark.read.text(out).count()
+        if again != first:
+            raise AssertionError(f"restart changed the output: {first} -> {again}")
+    return scoring.response_rows(scoring.parse_responses(spark.read.text(out)))
+
+
+@query("stream_score")
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as a file stream, scored per micro-batch by cached models, responses stored."""
+    return _stream_scored(spark, sf_dir)
+
+
+@query("stream_resume")
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scoring stream restarted from its checkpoint adds no responses."""
+    return _stream_scored(spark, sf_dir, resume=True)
+
+
+@query("request_stamp")
+def request_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests stamped live: random UUID and the current time as ISO text."""
+    r = scoring.build_requests(inputs.forms(spark, sf_dir), inputs.distance_dimension(spark, sf_dir))
+    return r.select("UUID", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("Timestamp"),
+                    F.replace("UUID", F.lit("-"), F.lit("")).alias("version_id"))
+
+
 QUERY_NAMES = sorted(QUERIES)
 __all__ = ["QUERIES", "QUERY_NAMES", "baseline_forest", "os"]
