@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.features import (FEATURES_COL, LABEL_COL, assembler, delay_bucketizer, encode,
                                        fit_indexers, with_route)
-from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA
+from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES
 
 # Reference training settings.
 NUM_TREES = 20
@@ -78,21 +78,32 @@ def evaluator_accuracy(predictions: DataFrame, label: str = LABEL_COL, predictio
 def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
           max_bins: int = MAX_BINS, max_memory_mb: int = MAX_MEMORY_MB, seed: int = DEFAULT_SEED,
           run_name: str = "RandomForest", version: str | None = None,
-          checkpoint_input: bool = True) -> TrainedModel:
+          checkpoint_input: bool = True, partitions: int | None = None,
+          estimator: RandomForestClassifier | None = None) -> TrainedModel:
     """Fit the full chain and evaluate on the training rows.
 
-    The featurized input is checkpointed (reliable, in the shared checkpoint
-    folder) so the forest's many passes read it from there rather than
-    recomputing the joins, and a lost executor does not replay the lineage.
+    ``estimator`` replaces the forest built from the settings (same columns).
+
+    The labelled rows (route and class added, only the nine source columns kept)
+    are spread evenly over ``partitions`` (default: the cluster's parallelism)
+    and stored as parquet in the shared checkpoint folder.  The indexer fit, the
+    forest's many passes and the evaluation all read those balanced stored rows,
+    so the upstream joins run once, and a lost executor re-reads the checkpoint
+    instead of replaying them.
     """
     t0 = time.time()
-    frame, bucketizer, indexers, va = featurize(flights)
-    frame = frame.select(LABEL_COL, FEATURES_COL)
+    bucketizer = delay_bucketizer()
+    base = bucketizer.transform(with_route(flights)).filter(F.col(LABEL_COL).isNotNull()) \
+        .select(LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
     if checkpoint_input:
-        from tarmac.session import checkpoint_root
-        checkpoint_root(frame.sparkSession)
-        frame = frame.checkpoint(eager=True)
-    model = forest(num_trees, max_depth, max_bins, max_memory_mb, seed).fit(frame)
+        from tarmac.sources.tables import stored
+        spark = base.sparkSession
+        base = stored(base.repartition(partitions or spark.sparkContext.defaultParallelism), "train-input")
+    indexers = fit_indexers(base)
+    va = assembler("error")
+    frame = va.transform(encode(base, indexers)).select(LABEL_COL, FEATURES_COL)
+    est = estimator or forest(num_trees, max_depth, max_bins, max_memory_mb, seed)
+    model = est.fit(frame)
     acc = accuracy(model.transform(frame))
     return TrainedModel(version=version or uuid.uuid4().hex, bucketizer=bucketizer, indexers=indexers,
                         assembler=va, forest=model, accuracy=acc, num_trees=num_trees, max_depth=max_depth,

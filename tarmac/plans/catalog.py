@@ -378,12 +378,13 @@ def score_scope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def baseline_forest(spark: SparkSession, sf_dir: str):
     """A one-leaf forest (depth 0, one tree, no bootstrap): it predicts the training
     majority class, so its scores can be checked in SQL.  Same chain as ``train``."""
-    frame, _, idx, va = models.featurize(inputs.flights(spark, sf_dir))
     rf = RandomForestClassifier(featuresCol=ft.FEATURES_COL, labelCol=ft.LABEL_COL,
                                 predictionCol=models.PREDICTION_COL, numTrees=1, maxDepth=0,
                                 bootstrap=False, featureSubsetStrategy="all", maxBins=models.MAX_BINS,
                                 seed=models.DEFAULT_SEED)
-    return idx, va, rf.fit(frame.select(ft.LABEL_COL, ft.FEATURES_COL))
+    m = models.train(inputs.flights(spark, sf_dir), estimator=rf, run_name="baseline",
+                     version=inputs.baseline_version_text())
+    return m.indexers, m.assembler, m.forest
 
 
 def _baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:

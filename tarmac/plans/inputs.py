@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import keyed, scoring
 from tarmac.sources import events as ev
 from tarmac.sources.flights import LINE_KEYS, flight_view
+from tarmac.sources.tables import stored
 
 # Id of the majority-class forest used where predictions are checked
 # against SQL, and the id requested for a model that does not exist.
@@ -28,8 +29,12 @@ def flights(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> DataFr
 
 
 def distance_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One Distance per route; the last record in line-key order wins."""
-    return keyed.distance_dimension(flights(spark, sf_dir, with_keys=True), LINE_KEYS)
+    """One Distance per route; the last record in line-key order wins.
+
+    Stored once (as the dimension load does), so lookups and their size check
+    read the stored routes instead of recomputing the flight joins.
+    """
+    return stored(keyed.distance_dimension(flights(spark, sf_dir, with_keys=True), LINE_KEYS))
 
 
 def forms(spark: SparkSession, sf_dir: str, model_id: str | None = None) -> DataFrame:
@@ -54,7 +59,7 @@ def requests(spark: SparkSession, sf_dir: str, model_id: str | None = None) -> D
 def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models that exist: ids of well-formed stored model objects."""
     from tarmac.operators.registry import artifact_times
-    return artifact_times(ev.artifacts(spark, sf_dir)).select("model_id")
+    return stored(artifact_times(ev.artifacts(spark, sf_dir)).select("model_id"))
 
 
 def trigger_batch(ts: str = "Timestamp") -> Column:

@@ -39,16 +39,19 @@ def flight_view(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> Da
     ``with_keys`` keeps the four line-item key columns, which together identify a
     row and give the load order used by last-wins loads.
 
-    Plan: nation is broadcast into supplier and customer (map side); the two
-    large equi-joins (orders, and the supplier/customer sides) are left to the
-    planner, which broadcasts a side under ``autoBroadcastJoinThreshold`` and
-    otherwise shuffles, with AQE splitting skewed keys.
+    Plan: nation is broadcast into supplier and customer (map side).  Orders
+    meet customers first, so the custkey shuffle moves order rows, not line
+    rows; line items then join that on orderkey and suppliers on suppkey, which
+    is two shuffles of line-item width when no side fits a broadcast.  The
+    planner broadcasts any side under ``autoBroadcastJoinThreshold`` (AQE also
+    does so at runtime from measured sizes) and AQE splits skewed keys.
     """
     li = table(spark, sf_dir, "lineitem").select(
         *LINE_KEYS, "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    rows = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(customer_nations(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    od = o.join(customer_nations(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")) \
+        .select("o_orderkey", "o_orderdate", "Dest")
+    rows = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(supplier_nations(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")))
     odate = F.to_date("o_orderdate")
     cols = [

@@ -25,7 +25,23 @@ def dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows; else leave it to a shuffle join.
 
-    The check reads at most ``max_rows + 1`` rows, so it is cheap whichever way it goes.
+    Meant for stored sides (a dimension table, a checkpoint): the check reads at
+    most ``max_rows + 1`` rows of it.  Derived sides should be stored first
+    (see ``stored``) so the check does not recompute them.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the plan once (an
+    un-persisted RDD checkpoint runs it twice: once to count, once to write) and
+    stores columns, so later readers prune and push filters.  A lost executor
+    re-reads the files instead of replaying the upstream joins.
+    """
+    from tarmac.session import work_dir
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

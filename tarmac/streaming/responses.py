@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import scoring
 from tarmac.schemas import STORED_RESPONSE_SCHEMA
 from tarmac.session import work_dir
+from tarmac.sources.tables import stored
 from tarmac.streaming.requests import file_source, write_message_files
 
 STORE_BUCKETS = 64
@@ -26,9 +27,9 @@ def upsert_batch(store: str, keys: Sequence[str] = ("uuid",), order: Sequence[st
     """foreachBatch function: keyed last-wins upsert into a parquet store partitioned by key bucket.
 
     Only the buckets the batch touches are read, merged and overwritten (dynamic
-    partition overwrite).  The merge is checkpointed before the overwrite so the
-    write never reads the files it replaces; a retried batch recomputes the same
-    result, so replays are idempotent.
+    partition overwrite).  The merge is stored in the checkpoint folder before
+    the overwrite so the write never reads the files it replaces; a retried batch
+    recomputes the same result, so replays are idempotent.
     """
     keys = list(keys)
 
@@ -44,7 +45,7 @@ def upsert_batch(store: str, keys: Sequence[str] = ("uuid",), order: Sequence[st
             merged = scoring.upsert(old, rows, keys, order)
         else:
             merged = scoring.upsert(None, rows, keys, order)
-        merged = merged.checkpoint(eager=True)
+        merged = stored(merged, "upsert-merge")
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("__bucket").parquet(store))
 
