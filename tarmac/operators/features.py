@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import DELAY_SPLITS, delay_class, route
 from tarmac.schemas import CATEGORICAL_FEATURES, VECTOR_SLOTS
+from tarmac.operators.keyed import ordinal
 from tarmac.sources.tables import sized_broadcast
 
 LABEL_COL = "ArrDelayBucket"
@@ -48,12 +49,13 @@ def encode(df: DataFrame, model: StringIndexerModel, drop_source: bool = False)
 def label_index(df: DataFrame, col: str) -> DataFrame:
     """Label dictionary of one column as a table: (label, count, index).
 
-    Counting is a partial aggregation; the ordering window then runs on the
-    count table, whose size is the number of distinct labels, not rows.
+    Counting is a partial aggregation; positions in (count desc, label) order
+    come from a range-partitioned sort with per-partition offsets, so no single
+    task ever holds the whole dictionary.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("label")).agg(F.count("*").alias("count"))
-    w = Window.orderBy(F.col("count").desc(), F.col("label").asc())
-    return counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
+    out = ordinal(counts, [F.col("count").desc(), F.col("label").asc()], "index")
+    return out.withColumn("index", F.col("index").cast("double"))
 
 
 def label_tables(model: StringIndexerModel, spark=None) -> DataFrame:

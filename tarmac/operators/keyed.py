@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.sources.tables import sized_broadcast
+from tarmac.sources.tables import sized_broadcast, stored
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -53,3 +53,26 @@ def enrich_distance(requests: DataFrame, dimension: DataFrame, broadcast_limit:
     dim = sized_broadcast(dim, broadcast_limit)
     cond = (F.col("Origin") == F.col("__o")) & (F.col("Dest") == F.col("__d"))
     return base.join(dim, cond, "left").drop("__o", "__d")
+
+
+def ordinal(df: DataFrame, order: Sequence[Column], name: str = "ordinal", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in a total order, computed without a single-task window.
+
+    Rows are range-partitioned and sorted by ``order``; each partition numbers its
+    own rows, and a per-partition count table (one row per partition, so its size
+    is bounded by the partition count) gives every partition its starting offset.
+    ``order`` must be a total order (ties would make positions arbitrary).  The
+    numbered rows are stored once, so the counts and the join see the same
+    partition ids even if a stage is recomputed.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+    local = stored(ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(*order))),
+                   "ordinal")
+    sizes = local.groupBy("__pid").agg(F.count("*").alias("__n"))
+    offsets = sizes.withColumn(
+        "__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
+    offsets = F.broadcast(offsets.select("__pid", F.coalesce("__off", F.lit(0)).alias("__off")))
+    out = local.join(offsets, "__pid").withColumn(name, F.col("__off") + F.col("__rn") - 1)
+    return out.drop("__pid", "__rn", "__off")

@@ -383,7 +383,7 @@ def baseline_forest(spark: SparkSession, sf_dir: str):
                                 bootstrap=False, featureSubsetStrategy="all", maxBins=models.MAX_BINS,
                                 seed=models.DEFAULT_SEED)
     m = models.train(inputs.flights(spark, sf_dir), estimator=rf, run_name="baseline",
-                     version=inputs.baseline_version_text())
+                     version=inputs.baseline_version_text(), fit_bins=True)
     return m.indexers, m.assembler, m.forest
 
 

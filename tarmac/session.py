@@ -25,6 +25,22 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (~100 TB input, ~1000 executors).  Shuffle partitions
+# start high and AQE coalesces them toward the advisory size, so a 100 TB shuffle
+# lands near 256 MB per task instead of spilling; skewed partitions are split.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if not k.startswith("spark.ui.showConsole")},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "tarmac",
                   shuffle_partitions: int = 8, driver_memory: str = "16g",
                   extra: dict | None = None) -> SparkSession:
