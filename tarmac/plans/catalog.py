@@ -28,6 +28,7 @@ from tarmac.sinks import tables as sink
 from tarmac.sources import events as ev
 from tarmac.sources import files as src_files
 from tarmac.sources.flights import LINE_KEYS, read_flights_json, write_flights_json
+from tarmac.sources.tables import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -287,10 +288,12 @@ def unregistered_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = registry.with_registry(registry.run_catalog(ev.runs(spark, sf_dir)), ev.registry(spark, sf_dir))
     un = registry.unregistered_models(ev.artifacts(spark, sf_dir), cat)
-    out = registry.model_list(_catalog_flat(cat).join(
-        cat.select("tracker_run_id", "stage", "version", "registered_name"), "tracker_run_id"), un)
-    return out.select("run_id", "tracker_run_id", "run_name", "status", "start_time", "accuracy", "verified",
-                      "stage", "version", "registered_name")
+    flat = cat.select("run_id", "tracker_run_id", "run_name", "status", "start_time",
+                      F.col("metrics")["accuracy"].alias("accuracy"), "verified", "stage", "version",
+                      "registered_name")
+    return registry.model_list(flat, un).select(
+        "run_id", "tracker_run_id", "run_name", "status", "start_time", "accuracy", "verified",
+        "stage", "version", "registered_name")
 
 
 @query("model_gate")
@@ -317,7 +320,7 @@ def run_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("active_models")
 def active_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active set from the activation log, written one id per line and read back."""
-    act = registry.active_set(ev.activations(spark, sf_dir))
+    act = stored(registry.active_set(ev.activations(spark, sf_dir)), "active-set")
     path = work_dir(spark, "active")
     sink.write_active_file(act, path)
     ids = src_files.read_active_file(spark, path)
