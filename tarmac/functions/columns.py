@@ -56,11 +56,13 @@ def date_features(date_col) -> dict[str, Column]:
 def parse_model_ids(text="model_ids") -> Column:
     """Requested model ids from the list text.
 
-    Strip one leading ``[`` and one trailing ``]``, split on commas, trim, drop
-    double quotes, keep non-empty items.  Accepts ``["a", "b"]`` and ``[a,b]``.
+    Strip one leading ``[`` and one trailing ``]``, split on commas, trim (every
+    character up to U+0020, as JVM ``String.trim`` does), drop double quotes,
+    keep non-empty items.  Accepts ``["a", "b"]`` and ``[a,b]``.
     """
     s = F.regexp_replace(F.regexp_replace(_c(text), r"^\[", ""), r"\]$", "")
-    items = F.transform(F.split(s, ","), lambda x: F.replace(F.trim(x), F.lit('"'), F.lit("")))
+    trim = lambda x: F.regexp_replace(x, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    items = F.transform(F.split(s, ","), lambda x: F.replace(trim(x), F.lit('"'), F.lit("")))
     return F.filter(items, lambda x: F.length(x) > 0)
 
 
