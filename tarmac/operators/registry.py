@@ -122,3 +122,18 @@ def purge(catalog: DataFrame, active: DataFrame, deletions: DataFrame):
     cat = catalog.join(d, F.col("run_id") == F.col("__del"), "left_anti")
     act = active.join(d, F.col("model_id") == F.col("__del"), "left_anti")
     return cat, act
+
+
+def run_record(spark, model, start_ms: int, run_id: str, gate_tag: bool = True,
+               threshold: float = MIN_ACCURACY) -> DataFrame:
+    """One run row (RUN_SCHEMA) for a fitted model: params, accuracy metric, the model
+    version tag and, on the scheduled path (``gate_tag``), the verified tag."""
+    from tarmac.schemas import RUN_SCHEMA
+    tags = [("model_version", model.version)]
+    if gate_tag:
+        tags.append(("verified", str(model.accuracy >= threshold).lower()))
+    row = (run_id, model.run_name, FINISHED, start_ms, ACTIVE_STAGE,
+           [("num_trees", str(model.num_trees)), ("max_depth", str(model.max_depth)),
+            ("training_duration_seconds", str(model.duration_seconds))],
+           [("accuracy", float(model.accuracy))], tags)
+    return spark.createDataFrame([row], RUN_SCHEMA)

@@ -465,9 +465,18 @@ def _trained(spark: SparkSession, sf_dir: str, run_name: str = "registered") ->
 
 @query("forest_train")
 def forest_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit the full chain (seeded) and report its metric record plus forest size."""
+    """Fit the full chain (seeded), write its metric record, log the run with the
+    quality gate, and read it back through the run catalog."""
+    import time
+    start_ms = int(time.time() * 1000)
     m = _trained(spark, sf_dir)
-    return models.metric_record(spark, m).withColumn("total_nodes", F.lit(m.forest.totalNumNodes))
+    base = work_dir(spark, "runs")
+    sink.append_json(models.metric_record(spark, m), os.path.join(base, "metrics"))
+    rec = src_files.read_metric_records(spark, os.path.join(base, "metrics"))
+    sink.append_runs(registry.run_record(spark, m, start_ms, run_id=m.version[::-1]), os.path.join(base, "runs"))
+    cat = registry.run_catalog(spark.read.parquet(os.path.join(base, "runs"))).filter(F.col("run_id") == m.version)
+    return rec.join(cat.select(F.col("run_id").alias("model_version"), "verified", "status"), "model_version") \
+        .withColumn("total_nodes", F.lit(m.forest.totalNumNodes))
 
 
 @query("forest_score")

@@ -42,9 +42,12 @@ def write_active_file(active: DataFrame, path: str) -> None:
         .write.mode("overwrite").text(path)
 
 
-def append_runs(runs: DataFrame, name: str, path: str | None = None) -> None:
-    """Append run records to the runs table."""
+def append_runs(runs: DataFrame, path: str | None = None, name: str | None = None) -> None:
+    """Append run records to the runs table (a catalog table when ``name`` is given, else files)."""
     w = runs.write.mode("append").format("parquet")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
+    if name:
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(name)
+    else:
+        w.save(path)

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators import models, scoring
@@ -29,11 +30,16 @@ def test_forest_seeded_repeatable_and_roundtrip(spark):
     assert both.filter(F.col("p0") != F.col("Prediction")).count() == 0
 
 
-def test_stream_equals_batch_and_restart_adds_nothing(spark):
-    fl = inputs.flights(spark, SMOKE)
-    m = models.train(fl, **SMALL)
+@pytest.fixture(scope="module")
+def saved_model(spark):
+    m = models.train(inputs.flights(spark, SMOKE), **SMALL)
     root = os.path.join(work_dir(spark, "test-stream"), "models")
     models.save(m, root)
+    return m, root
+
+
+def test_stream_equals_batch_and_restart_adds_nothing(spark, saved_model):
+    m, root = saved_model
     reqs = inputs.requests(spark, SMOKE, model_id=m.version)
     out, base = scorer.run_file_scoring(spark, reqs, root, files=3)
     streamed = scoring.response_rows(scoring.parse_responses(spark.read.text(out)))
@@ -57,3 +63,24 @@ def test_response_stream_upsert_keeps_one_row_per_uuid(spark):
     store = responses.run_response_stream(spark, msgs, files=1)
     got = {r.uuid: r.prediction for r in store.collect()}
     assert got == {"u1": 2, "u2": 0}
+
+
+def test_row_scope_stream_scores_only_requested(spark, saved_model):
+    m, root = saved_model
+    reqs = inputs.requests(spark, SMOKE, model_id=m.version)
+    out, _ = scorer.run_file_scoring(spark, reqs, root, files=2, scope="row")
+    got = {r.uuid for r in scoring.response_rows(scoring.parse_responses(spark.read.text(out))).collect()}
+    valid = scoring.valid_requests(scoring.with_route(reqs))
+    want = {r.UUID for r in scoring.pair_rows(valid, spark.createDataFrame([(m.version,)], "model_id string")).collect()}
+    assert got == want and len(got) > 0
+
+
+def test_run_record_paths(spark, saved_model):
+    from tarmac.operators import registry
+    m, _ = saved_model
+    dag = registry.run_record(spark, m, 1000, "r-dag", gate_tag=True)
+    web = registry.run_record(spark, m, 2000, "r-web", gate_tag=False)
+    cat = {r.tracker_run_id: r for r in registry.run_catalog(dag.unionByName(web)).collect()}
+    assert cat["r-dag"].run_id == m.version == cat["r-web"].run_id
+    assert cat["r-dag"].verified == (m.accuracy >= 0.60)
+    assert cat["r-web"].verified is False
