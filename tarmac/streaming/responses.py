@@ -24,7 +24,9 @@ def stored_rows(raw: DataFrame) -> DataFrame:
 
 def upsert_batch(store: str, keys: Sequence[str] = ("uuid",), order: Sequence[str] = ("__batch", "model_id"),
                  buckets: int = STORE_BUCKETS):
-    """foreachBatch function: keyed last-wins upsert into a parquet store partitioned by key bucket.
+    """foreachBatch function: keyed last-wins upsert into a parquet store partitioned by key bucket
+    (copy-on-write).  Each batch rewrites whole buckets, so size ``buckets`` so that a
+    bucket stays small (store size / bucket count); for large stores prefer ``log_batch``.
 
     Only the buckets the batch touches are read, merged and overwritten (dynamic
     partition overwrite).  The merge is stored in the checkpoint folder before
@@ -60,20 +62,86 @@ def _has_data(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def read_store(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(store).select(*STORED_RESPONSE_SCHEMA.fieldNames())
+def log_batch(store: str):
+    """foreachBatch function for merge-on-read: the batch's rows go to their own log folder.
+
+    Each trigger writes only its own rows (``log/batch=<id>``, replaced on replay,
+    so a retried batch is idempotent); the cost of a write is the batch, not the
+    store.  Readers resolve the last write per key (``read_store``), and
+    ``compact`` folds the log into a snapshot from time to time.
+    """
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(store, "log", f"batch={batch_id}"))
+
+    return fn
+
+
+def _snapshots(spark: SparkSession, store: str) -> list[int]:
+    """Batch ids covered by finished snapshots, from the store's manifest (one row per snapshot)."""
+    if not _has_json(spark, os.path.join(store, "manifest")):
+        return []
+    rows = spark.read.schema("upto long").json(os.path.join(store, "manifest")).collect()
+    return sorted(r.upto for r in rows if r.upto is not None)
+
+
+def _has_json(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("upto long").json(path).limit(1).count()
+        return True
+    except Exception:  # noqa: BLE001 - no manifest yet
+        return False
+
+
+def read_store(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",),
+               order: Sequence[str] = ("batch", "model_id")) -> DataFrame:
+    """Stored rows, one per key: the last write over the latest snapshot and newer log batches.
+
+    A bucketed copy-on-write store (``upsert_batch``) is read as it is.
+    """
+    fields = STORED_RESPONSE_SCHEMA.fieldNames()
+    if _has_data(spark, os.path.join(store, "log")) or _snapshots(spark, store):
+        snaps = _snapshots(spark, store)
+        parts = []
+        upto = -1
+        if snaps:
+            upto = snaps[-1]
+            parts.append(spark.read.parquet(os.path.join(store, "snapshot", f"upto={upto}"))
+                         .withColumn("batch", F.lit(upto).cast("long")))
+        if _has_data(spark, os.path.join(store, "log")):
+            log = spark.read.parquet(os.path.join(store, "log")).filter(F.col("batch") > upto)
+            parts.append(log.select(*fields, F.col("batch").cast("long").alias("batch")))
+        allrows = parts[0]
+        for p in parts[1:]:
+            allrows = allrows.unionByName(p)
+        return scoring.upsert(None, allrows, keys, order).select(*fields)
+    return spark.read.parquet(store).select(*fields)
+
+
+def compact(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",)) -> int:
+    """Fold the log into a new snapshot (last write per key); returns the covered batch id."""
+    log = spark.read.parquet(os.path.join(store, "log"))
+    upto = log.agg(F.max("batch")).first()[0]
+    snap = read_store(spark, store, keys)
+    snap.write.mode("overwrite").parquet(os.path.join(store, "snapshot", f"upto={upto}"))
+    # The manifest row is written only after the snapshot is complete.
+    spark.createDataFrame([(int(upto),)], "upto long").write.mode("append").json(os.path.join(store, "manifest"))
+    return int(upto)
 
 
 def run_response_stream(spark: SparkSession, msgs: DataFrame, files: int = 4,
-                        keys: Sequence[str] = ("uuid",)) -> DataFrame:
-    """Consume response messages (files, one per trigger), upsert them by key, return the store."""
+                        keys: Sequence[str] = ("uuid",), mode: str = "merge_on_read") -> DataFrame:
+    """Consume response messages (files, one per trigger), store them by key, return the
+    resolved store.  ``mode`` is ``merge_on_read`` (append per batch, resolve on read) or
+    ``copy_on_write`` (rewrite the touched key buckets per batch)."""
     from tarmac.session import checkpoint_root
     checkpoint_root(spark)
     base = work_dir(spark, "response-stream")
     src, store, ckpt = (os.path.join(base, p) for p in ("in", "store", "ckpt"))
     write_message_files(msgs, src, files)
+    fn = log_batch(store) if mode == "merge_on_read" else upsert_batch(store, keys)
     q = (stored_rows(file_source(spark, src, max_files=1, glob="*.txt"))
-         .writeStream.foreachBatch(upsert_batch(store, keys)).option("checkpointLocation", ckpt)
+         .writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
-    return read_store(spark, store)
+    return read_store(spark, store, keys)

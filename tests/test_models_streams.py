@@ -60,9 +60,26 @@ def test_response_stream_upsert_keeps_one_row_per_uuid(spark):
     msgs = spark.createDataFrame(
         [('{"UUID":"u1","model_id":"m1","Prediction":1.0}',), ('{"UUID":"u1","model_id":"m2","Prediction":2.0}',),
          ('{"UUID":"u2","model_id":"m1"}',), ("garbage",)], "value string")
-    store = responses.run_response_stream(spark, msgs, files=1)
-    got = {r.uuid: r.prediction for r in store.collect()}
-    assert got == {"u1": 2, "u2": 0}
+    for mode in ("merge_on_read", "copy_on_write"):
+        store = responses.run_response_stream(spark, msgs, files=1, mode=mode)
+        got = {r.uuid: r.prediction for r in store.collect()}
+        assert got == {"u1": 2, "u2": 0}, mode
+
+
+def test_merge_on_read_compaction(spark, tmp_dir):
+    import os
+    store = os.path.join(tmp_dir, "store")
+    rows = lambda items: responses.stored_rows(spark.createDataFrame([(m,) for m in items], "value string"))
+    fn = responses.log_batch(store)
+    fn(rows(['{"UUID":"a","model_id":"m1","Prediction":1.0}', '{"UUID":"b","model_id":"m1"}']), 0)
+    fn(rows(['{"UUID":"a","model_id":"m0","Prediction":3.0}']), 1)
+    assert {r.uuid: r.prediction for r in responses.read_store(spark, store).collect()} == {"a": 3, "b": 0}
+    assert responses.compact(spark, store) == 1
+    assert responses._snapshots(spark, store) == [1]
+    fn(rows(['{"UUID":"b","model_id":"m9","Prediction":2.0}']), 2)
+    fn(rows(['{"UUID":"b","model_id":"m9","Prediction":2.0}']), 2)          # replayed batch
+    got = responses.read_store(spark, store).collect()
+    assert {r.uuid: r.prediction for r in got} == {"a": 3, "b": 2} and len(got) == 2
 
 
 def test_row_scope_stream_scores_only_requested(spark, saved_model):
