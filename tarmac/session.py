@@ -41,14 +41,18 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "tarmac",
+def build_session(master: str | None = "local[*]", app: str = "tarmac",
                   shuffle_partitions: int = 8, driver_memory: str = "16g",
-                  extra: dict | None = None) -> SparkSession:
-    """Session for local runs and tests; cluster jobs use the provided session."""
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", driver_memory))
-    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Session for local runs and tests (``cluster=True``: the cluster settings above,
+    master and memory left to spark-submit)."""
+    b = SparkSession.builder.appName(app)
+    if cluster:
+        conf = {**CLUSTER_CONF, **(extra or {})}
+    else:
+        b = b.master(master).config("spark.driver.memory", driver_memory)
+        conf = {**DEFAULT_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions), **(extra or {})}
+    for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -66,6 +66,17 @@ def batch_scorer(cache: ModelCache, indexers, va, out_dir: str, scope: str = "ba
     return fn
 
 
+def wait_for_preprocessing(model_root: str, attempts: int = 30, wait_seconds: float = 10.0):
+    """Load the label indexers and the assembler, retrying while they are not written yet.
+
+    Bounded: after ``attempts`` failures it raises instead of waiting forever.
+    """
+    got = models.load_with_retry(lambda: models.load_preprocessing(model_root), attempts, wait_seconds)
+    if got is None:
+        raise RuntimeError(f"preprocessing artifacts not found under {model_root}")
+    return got
+
+
 def start(requests: DataFrame, fn, checkpoint: str, trigger: str | None = TRIGGER, available_now: bool = False):
     """Start the scoring query (valid rows only reach the scorer)."""
     w = scoring.valid_requests(requests).writeStream.foreachBatch(fn) \
@@ -86,7 +97,7 @@ def run_file_scoring(spark: SparkSession, requests: DataFrame, model_root: str,
     src, out, ckpt = (os.path.join(base, p) for p in ("in", "out", "ckpt"))
     if fresh:
         write_message_files(scoring.to_json_value(requests), src, files)
-    idx, va = models.load_preprocessing(model_root)
+    idx, va = wait_for_preprocessing(model_root, attempts=attempts, wait_seconds=0.5)
     cache = ModelCache(lambda mid: models.load_forest(model_root, mid), attempts=attempts, wait_seconds=0.5)
     stream = parsed_requests(file_source(spark, src, max_files=1, glob="*.txt"))
     q = start(stream, batch_scorer(cache, idx, va, out, scope), ckpt, available_now=True)
