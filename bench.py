@@ -42,6 +42,26 @@ def forest_fit_and_score(spark, sf_dir: str, **settings) -> float:
     return time.time() - t0
 
 
+def stream_throughput(spark, sf_dir: str, model_dir: str) -> tuple[float, int]:
+    """Requests of ``sf_dir`` through the file-fed scoring stream (parse, encode, score,
+    respond), with a small forest fitted on ``model_dir``; returns (seconds, responses)."""
+    from tarmac.operators import models, scoring
+    from tarmac.plans import inputs
+    from tarmac.session import work_dir
+    from tarmac.streaming import scorer
+    from tarmac.streaming.requests import write_message_files
+    m = models.train(inputs.flights(spark, model_dir), num_trees=5, max_depth=5, max_bins=1024)
+    root = os.path.join(work_dir(spark, "bench-models"), "models")
+    models.save(m, root)
+    base = work_dir(spark, "bench-stream")
+    write_message_files(scoring.to_json_value(inputs.requests(spark, sf_dir, model_id=m.version)),
+                        os.path.join(base, "in"), 8)
+    t0 = time.time()
+    out, _ = scorer.run_file_scoring(spark, None, root, base=base)
+    secs = time.time() - t0
+    return secs, spark.read.text(out).count()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -65,9 +85,15 @@ def main() -> None:
         times[f"forest_small_fit_score@sf{tag}"] = round(
             forest_fit_and_score(spark, ref_dir, num_trees=5, max_depth=5, max_bins=1024), 3)
         times[f"forest_reference_fit_score@sf{tag}"] = round(forest_fit_and_score(spark, ref_dir), 3)
+    extra = {}
+    if ref_dir and os.path.isdir(ref_dir) and not os.environ.get("BENCH_SKIP_STREAM"):
+        secs, rows = stream_throughput(spark, sf_dir, ref_dir)
+        times["stream_score_requests"] = round(secs, 3)
+        extra["stream_responses"] = rows
+        extra["stream_responses_per_sec"] = round(rows / secs, 1) if secs else None
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-           "queries": times, "sf": float(m.group(1)) if m else None, "cpus": int(cpus)}
+           "queries": times, "sf": float(m.group(1)) if m else None, "cpus": int(cpus), **extra}
     print(json.dumps(out))
 
 

@@ -526,7 +526,8 @@ def score_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _trained(spark, sf_dir)
     _, _, base_forest = baseline_forest(spark, sf_dir)
     reqs = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
-    feats = models.serving_features(reqs, m.indexers, m.assembler)
+    # Stored once: each model's transform then reads the vectors instead of redoing the joins.
+    feats = stored(models.serving_features(reqs, m.indexers, m.assembler), "score-union-input")
     out = scoring.score_models(feats, {m.version: m.forest, inputs.baseline_version_text(): base_forest})
     return out.select("UUID", "model_id", models.PREDICTION_COL)
 
