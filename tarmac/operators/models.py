@@ -177,4 +177,4 @@ def load_with_retry(loader, attempts: int = 10, wait_seconds: float = 5.0):
 
 __all__ = ["TrainedModel", "forest", "featurize", "accuracy", "evaluator_accuracy", "train",
            "serving_features", "score", "metric_record", "save", "load_forest", "load_preprocessing",
-           "load_with_retry", "artifact_paths", "CATEGORICAL_FEATURES"]
+           "load_with_retry", "artifact_paths"]

@@ -567,4 +567,4 @@ def request_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERY_NAMES = sorted(QUERIES)
-__all__ = ["QUERIES", "QUERY_NAMES", "baseline_forest", "os"]
+__all__ = ["QUERIES", "QUERY_NAMES", "baseline_forest"]

@@ -101,3 +101,16 @@ def test_run_record_paths(spark, saved_model):
     assert cat["r-dag"].run_id == m.version == cat["r-web"].run_id
     assert cat["r-dag"].verified == (m.accuracy >= 0.60)
     assert cat["r-web"].verified is False
+
+
+def test_serving_null_numeric_scores_with_nan_slot(spark, saved_model):
+    m, _ = saved_model
+    req = spark.createDataFrame(
+        [("u1", "NATION_1", "NATION_2", "A", "7", None, None, 3.0, 10, 20)],
+        "UUID string, Origin string, Dest string, Carrier string, FlightNum string, Distance double, "
+        "DayOfWeek int, DepDelay double, DayOfMonth int, DayOfYear int")
+    feats = models.serving_features(req, m.indexers, m.assembler)
+    out = m.forest.transform(feats).select("Prediction", "Features_vec").first()
+    assert out.Prediction in (0.0, 1.0, 2.0, 3.0)
+    import math
+    assert math.isnan(out.Features_vec[1]) and math.isnan(out.Features_vec[3])
