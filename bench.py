@@ -75,17 +75,21 @@ def main() -> None:
     run_noop(QUERIES["route_delay_profile"](spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")))
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.time()
-        run_noop(QUERIES[name](spark, sf_dir))
-        times[name] = round(time.time() - t0, 3)
+        try:
+            run_noop(QUERIES[name](spark, sf_dir))
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            errors[name] = str(e)[:300]
     if ref_dir and os.path.isdir(ref_dir):
         m = re.search(r"sf([0-9.]+)", ref_dir)
         tag = m.group(1) if m else "?"
         times[f"forest_small_fit_score@sf{tag}"] = round(
             forest_fit_and_score(spark, ref_dir, num_trees=5, max_depth=5, max_bins=1024), 3)
         times[f"forest_reference_fit_score@sf{tag}"] = round(forest_fit_and_score(spark, ref_dir), 3)
-    extra = {}
+    extra = {"errors": errors} if errors else {}
     if ref_dir and os.path.isdir(ref_dir) and not os.environ.get("BENCH_SKIP_STREAM"):
         secs, rows = stream_throughput(spark, sf_dir, ref_dir)
         times["stream_score_requests"] = round(secs, 3)
