@@ -17,14 +17,20 @@ from tarmac.operators.features import (FEATURES_COL, LABEL_COL, assembler, delay
                                        fit_indexers, with_route)
 from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES
 
-# Reference training settings.
+# Reference training settings and artifact names.
 NUM_TREES = 20
 MAX_DEPTH = 10
 MAX_BINS = 4657
 MAX_MEMORY_MB = 1024
 PREDICTION_COL = "Prediction"
-DEFAULT_SEED = 42
 MODEL_DIR_PREFIX = "spark_random_forest_classifier.flight_delays."
+BUCKETIZER_DIR = "arrival_bucketizer.bin"
+INDEXERS_DIR = "string_indexer_model.bin"
+ASSEMBLER_DIR = "numeric_vector_assembler.bin"
+METRICS_PREFIX = "accuracy."
+
+# Our choice: the forest seed is always set (PySpark's default depends on the process).
+DEFAULT_SEED = 42
 
 
 @dataclass
@@ -134,11 +140,11 @@ def metric_record(spark: SparkSession, m: TrainedModel) -> DataFrame:
 
 def artifact_paths(root: str, version: str) -> dict[str, str]:
     return {
-        "bucketizer": os.path.join(root, "arrival_bucketizer.bin"),
-        "indexers": os.path.join(root, "string_indexer_model.bin"),
-        "assembler": os.path.join(root, "numeric_vector_assembler.bin"),
+        "bucketizer": os.path.join(root, BUCKETIZER_DIR),
+        "indexers": os.path.join(root, INDEXERS_DIR),
+        "assembler": os.path.join(root, ASSEMBLER_DIR),
         "forest": os.path.join(root, f"{MODEL_DIR_PREFIX}{version}.bin"),
-        "metrics": os.path.join(root, f"accuracy.{version}.json"),
+        "metrics": os.path.join(root, f"{METRICS_PREFIX}{version}.json"),
     }
 
 
