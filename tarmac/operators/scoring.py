@@ -96,8 +96,9 @@ def pair_rows(requests: DataFrame, models: DataFrame, broadcast_limit: int = 100
 
 
 def pair_batch(requests: DataFrame, models: DataFrame, batch: str, broadcast_limit: int = 100_000) -> DataFrame:
-    """Batch scope: every request in a micro-batch pairs with every available model
-    requested by any row of that batch.
+    """Batch scope: every valid request in a micro-batch pairs with every available
+    model requested by any row of that batch -- invalid rows included, since the
+    ids are gathered from the whole batch before rows are filtered.
 
     The requested (batch, model) set is reduced first (a distinct over the
     exploded ids), so the pairing join is rows x models-requested-in-their-batch.
@@ -106,7 +107,7 @@ def pair_batch(requests: DataFrame, models: DataFrame, batch: str, broadcast_lim
     wanted = (requested_ids(requests.select(F.col(batch).alias("__b"), "model_ids"))
               .select("__b", "model_id").distinct()
               .join(m, F.col("model_id") == F.col("__mid")).drop("__mid"))
-    return requests.join(wanted, F.col(batch) == F.col("__b")).drop("__b")
+    return valid_requests(requests).join(wanted, F.col(batch) == F.col("__b")).drop("__b")
 
 
 def score_models(batch: DataFrame, models: Mapping[str, object], scope: str = "batch") -> DataFrame | None:

@@ -373,8 +373,7 @@ def score_scope_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("score_scope_batch")
 def score_scope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch scope with micro-batches cut by a 2-second processing trigger on request time."""
-    r = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
-    r = r.withColumn("batch_id", inputs.trigger_batch())
+    r = scoring.with_route(inputs.requests(spark, sf_dir)).withColumn("batch_id", inputs.trigger_batch())
     return scoring.pair_batch(r, inputs.model_table(spark, sf_dir), "batch_id").select("UUID", "model_id", "batch_id")
 
 
@@ -393,10 +392,11 @@ def baseline_forest(spark: SparkSession, sf_dir: str):
 def _baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx, va, forest = baseline_forest(spark, sf_dir)
     version = inputs.baseline_version_text()
-    reqs = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir, model_id=version)))
-    wanted = scoring.requested_models(reqs).filter(F.col("model_id") == version)
+    reqs = scoring.with_route(inputs.requests(spark, sf_dir, model_id=version))
+    wanted = scoring.requested_models(reqs).filter(F.col("model_id") == version)   # from every row
     loaded = {version: forest} if wanted.limit(1).count() else {}
-    return scoring.score_models(models.serving_features(reqs, idx, va), loaded, scope="batch")
+    feats = models.serving_features(scoring.valid_requests(reqs), idx, va)
+    return scoring.score_models(feats, loaded, scope="batch")
 
 
 @query("response_json")

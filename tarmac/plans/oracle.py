@@ -214,7 +214,7 @@ RESPONSE_JSON = json_obj(
 # Baseline-scored responses: requests pointed at the majority forest; every valid row gets
 # its prediction when any valid row asked for it (batch scope).
 SCORED = f"""scored AS (SELECT v.*, '{BASELINE_ID}' AS model_id, (SELECT p FROM maj) AS Prediction FROM valid v
-  WHERE EXISTS (SELECT 1 FROM valid w, unnest({ids_of('w.model_ids')}) AS t(mid) WHERE t.mid = '{BASELINE_ID}'))"""
+  WHERE EXISTS (SELECT 1 FROM requests w, unnest({ids_of('w.model_ids')}) AS t(mid) WHERE t.mid = '{BASELINE_ID}'))"""
 
 STORED_FROM_SCORED = f"""SELECT UUID AS uuid, CAST(Prediction AS INTEGER) AS prediction, model_id, Origin AS origin,
     Dest AS dest, DepDelay AS dep_delay, Carrier AS carrier, strftime(FlightDate, '%Y-%m-%d') AS flight_date,
@@ -326,9 +326,10 @@ FROM runs WHERE coalesce(lifecycle_stage, 'active') <> 'deleted'"""
     q["score_scope_row"] = _with(req_base(), VALID, ARTS, TIMES, MODELS) + pairs
     q["score_scope_batch"] = _with(req_base(), VALID, ARTS, TIMES, MODELS,
                                    "vb AS (SELECT *, (epoch_us(Timestamp) // 1000) // 2000 AS batch_id FROM valid)",
-                                   f"""wanted AS (SELECT DISTINCT vb.batch_id, t.model_id FROM vb,
-  unnest({ids_of('vb.model_ids')}) AS t(model_id)
-  WHERE vb.model_ids IS NOT NULL AND t.model_id IN (SELECT model_id FROM models))""") + \
+                                   "rb AS (SELECT *, (epoch_us(Timestamp) // 1000) // 2000 AS batch_id FROM requests)",
+                                   f"""wanted AS (SELECT DISTINCT rb.batch_id, t.model_id FROM rb,
+  unnest({ids_of('rb.model_ids')}) AS t(model_id)
+  WHERE rb.model_ids IS NOT NULL AND t.model_id IN (SELECT model_id FROM models))""") + \
         "SELECT vb.UUID, w.model_id, vb.batch_id FROM vb JOIN wanted w ON vb.batch_id = w.batch_id"
     scored = _with(req_base(BASELINE_ID), VALID, TF, MAJORITY, SCORED)
     q["response_json"] = scored + f"SELECT {RESPONSE_JSON} AS value FROM scored"

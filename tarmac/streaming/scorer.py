@@ -51,12 +51,13 @@ def batch_scorer(cache: ModelCache, indexers, va, out_dir: str, scope: str = "ba
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            # Ids come from every row of the batch; only valid rows are then scored.
             ids = [r["model_id"] for r in scoring.requested_models(batch).collect()]
             loaded = {m: cache.get(m) for m in sorted(ids)}
             loaded = {m: f for m, f in loaded.items() if f is not None}
             if not loaded:
                 return
-            feats = models.serving_features(batch, indexers, va)
+            feats = models.serving_features(scoring.valid_requests(batch), indexers, va)
             scored = scoring.score_models(feats, loaded, scope)
             msgs = scoring.response_json(scored)
             msgs.write.mode("overwrite").text(os.path.join(out_dir, f"batch={batch_id}"))
@@ -78,8 +79,8 @@ def wait_for_preprocessing(model_root: str, attempts: int = 30, wait_seconds: fl
 
 
 def start(requests: DataFrame, fn, checkpoint: str, trigger: str | None = TRIGGER, available_now: bool = False):
-    """Start the scoring query (valid rows only reach the scorer)."""
-    w = scoring.valid_requests(requests).writeStream.foreachBatch(fn) \
+    """Start the scoring query; the batch function sees every parsed request."""
+    w = requests.writeStream.foreachBatch(fn) \
         .option("checkpointLocation", checkpoint).outputMode("update")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()

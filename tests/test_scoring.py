@@ -31,15 +31,20 @@ def test_parse_requests_edge_cases(spark):
 
 
 def test_requested_ids_and_pairing(spark):
-    req = spark.createDataFrame([("u1", '["m1", "m2"]', 0), ("u2", "[m2]", 0), ("u3", "[]", 1), ("u4", None, 1),
-                                 ("u5", '["m1", "m1"]', 1)], "UUID string, model_ids string, b long")
-    models = spark.createDataFrame([("m1",), ("m2",)], "model_id string")
-    assert {r.model_id for r in scoring.requested_models(req).collect()} == {"m1", "m2"}
-    rows = {(r.UUID, r.model_id) for r in scoring.pair_rows(req, models).collect()}
+    cols = "UUID string, model_ids string, b long, Origin string, Dest string, Carrier string, Route string, " \
+           "FlightNum string"
+    v = ("A", "B", "C", "A-B", "1")
+    req = spark.createDataFrame([("u1", '["m1", "m2"]', 0, *v), ("u2", "[m2]", 0, *v), ("u3", "[]", 1, *v),
+                                 ("u4", None, 1, *v), ("u5", '["m1", "m1"]', 1, *v),
+                                 ("u6", '["m3"]', 2, None, "B", "C", None, "1"), ("u7", "[]", 2, *v)], cols)
+    models = spark.createDataFrame([("m1",), ("m2",), ("m3",)], "model_id string")
+    assert {r.model_id for r in scoring.requested_models(req).collect()} == {"m1", "m2", "m3"}
+    rows = {(r.UUID, r.model_id) for r in scoring.pair_rows(scoring.valid_requests(req), models).collect()}
     assert rows == {("u1", "m1"), ("u1", "m2"), ("u2", "m2"), ("u5", "m1")}
     batch = {(r.UUID, r.model_id) for r in scoring.pair_batch(req, models, "b").collect()}
+    # u6 is invalid (no Origin) and is not scored, but the model it asked for scores u7.
     assert batch == {("u1", "m1"), ("u1", "m2"), ("u2", "m1"), ("u2", "m2"),
-                     ("u3", "m1"), ("u4", "m1"), ("u5", "m1")}
+                     ("u3", "m1"), ("u4", "m1"), ("u5", "m1"), ("u7", "m3")}
 
 
 def test_response_rows_defaults_and_upsert(spark):
