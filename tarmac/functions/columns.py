@@ -44,8 +44,9 @@ def delay_class(delay="ArrDelay") -> Column:
 
 
 def date_features(date_col) -> dict[str, Column]:
-    """Day of year / month / week (Monday = 0) of a date or ISO date text."""
-    d = F.to_date(_c(date_col))
+    """Day of year / month / week (Monday = 0) of a date or ISO date text; text that is
+    not a date gives nulls (no error, ANSI mode or not)."""
+    d = F.try_to_date(_c(date_col).cast("string"))
     return {
         "DayOfYear": F.dayofyear(d).cast("int"),
         "DayOfMonth": F.dayofmonth(d).cast("int"),

@@ -38,7 +38,7 @@ def build_requests(forms: DataFrame, distances: DataFrame, uuid_col: Column | No
         "Dest": F.col("Dest"),
         "DepDelay": F.col("DepDelay").cast("double"),
         "Timestamp": (ts_col if ts_col is not None else F.current_timestamp()).cast("timestamp"),
-        "FlightDate": F.to_date("FlightDate"),
+        "FlightDate": F.try_to_date(F.col("FlightDate").cast("string")),
         "Carrier": default_text("Carrier"),
         "UUID": (uuid_col if uuid_col is not None else F.expr("uuid()")).cast("string"),
         "Distance": F.col("Distance").cast("double"),

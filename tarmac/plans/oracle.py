@@ -42,7 +42,7 @@ DIST = """dist AS (SELECT Origin, Dest, Distance FROM flights
                              ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1)"""
 
 EV = """ev AS (SELECT event_id, ts, user_id, event_type, value, props,
-  CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
+  TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
 
 
 def _m(x: str) -> str:

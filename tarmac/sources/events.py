@@ -34,7 +34,7 @@ ARTIFACT_PREFIX = "models/spark_random_forest_classifier.flight_delays."
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("long")
+    return F.get_json_object("props", "$.k").try_cast("long")
 
 
 def model_of(x: Column) -> Column:
