@@ -114,3 +114,23 @@ def test_serving_null_numeric_scores_with_nan_slot(spark, saved_model):
     assert out.Prediction in (0.0, 1.0, 2.0, 3.0)
     import math
     assert math.isnan(out.Features_vec[1]) and math.isnan(out.Features_vec[3])
+
+
+def test_train_and_serve_jobs(spark):
+    from tarmac.plans import jobs
+    from tarmac.sources.flights import write_flights_json
+    from tarmac.streaming.requests import write_message_files
+    base = work_dir(spark, "test-jobs")
+    write_flights_json(inputs.flights(spark, SMOKE), os.path.join(base, "flights"), compression="bzip2")
+    m = jobs.train_job(spark, os.path.join(base, "flights"), os.path.join(base, "models"), num_trees=3,
+                       max_depth=3, run_name="job", table="flight_delays_job",
+                       table_path=os.path.join(base, "table"))
+    runs = spark.read.parquet(os.path.join(base, "models", "runs"))
+    assert runs.count() == 1 and runs.first().run_name == "job"
+    reqs = inputs.requests(spark, SMOKE, model_id=m.version)
+    write_message_files(scoring.to_json_value(reqs), os.path.join(base, "in"), 2)
+    q = jobs.serve_job(spark, os.path.join(base, "models"), os.path.join(base, "out"), os.path.join(base, "ckpt"),
+                       requests_path=os.path.join(base, "in"), available_now=True, load_attempts=1)
+    q.awaitTermination()
+    assert spark.read.text(os.path.join(base, "out")).count() == scoring.valid_requests(
+        scoring.with_route(reqs)).count()
