@@ -65,9 +65,11 @@ def ordinal(df: DataFrame, order: Sequence[Column], name: str = "ordinal", parti
     numbered rows are stored once, so the counts and the join see the same
     partition ids even if a stage is recomputed.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+    # Without an explicit count AQE sizes the range partitions from the data (coalescing
+    # keeps them in range order), so a small dictionary does not fan out to every
+    # shuffle partition of the cluster.
+    ranged = (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)) \
+        .withColumn("__pid", F.spark_partition_id())
     local = stored(ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(*order))),
                    "ordinal")
     sizes = local.groupBy("__pid").agg(F.count("*").alias("__n"))

@@ -78,3 +78,10 @@ def test_run_by_version_newest(spark):
         [("r4", None, "FINISHED", 5000, "active", [], [], [{"key": "model_version", "value": "m2"}])], RUN_SCHEMA))
     got = {r.model_version: r.run_id for r in registry.run_by_version(runs).collect()}
     assert got == {"m2": "r4"}
+
+
+def test_ordinal_is_the_position_in_a_total_order(spark):
+    df = spark.range(0, 50000).select(((F.col("id") * 7919) % 50021).alias("v"))
+    out = keyed.ordinal(df, [F.col("v").desc()], "pos")
+    got = [r.pos for r in out.orderBy(F.col("v").desc()).select("pos").collect()]
+    assert got == list(range(50000))
