@@ -8,6 +8,7 @@ numbers and dates as ISO text so both engines agree on representation.
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
@@ -34,8 +35,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
+    """Register ``fn`` under ``name``.  The registered callable pins the session time zone
+    to UTC first: the driver tables hold zone-less timestamps, and epoch values, ISO
+    dates and JSON time stamps are all stated in UTC."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         return fn
     return deco
 
