@@ -69,6 +69,15 @@ def latest_model(artifacts: DataFrame) -> DataFrame:
                  F.max("last_modified").alias("last_modified"))
 
 
+def latest_version(runs: DataFrame) -> DataFrame:
+    """Version of the newest live run that carries one (replaces a last-trained pointer file;
+    ties on start time: larger version)."""
+    r = with_maps(live_runs(runs)).select("start_time", F.col("tags")["model_version"].alias("model_version"))
+    r = r.filter(F.col("model_version").isNotNull())
+    return r.agg(F.max_by("model_version", F.struct("start_time", "model_version")).alias("model_version"),
+                 F.max("start_time").alias("start_time"))
+
+
 def unregistered_models(artifacts: DataFrame, catalog: DataFrame) -> DataFrame:
     """Stored models with no live run, newest first, shaped like catalog entries."""
     known = catalog.select(F.col("run_id").alias("model_id")).distinct()

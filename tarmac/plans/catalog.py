@@ -315,6 +315,11 @@ def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("model_id", _epoch_us("last_modified"))
 
 
+@query("latest_version")
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.latest_version(ev.runs(spark, sf_dir))
+
+
 @query("artifact_latest")
 def artifact_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.artifact_times(ev.artifacts(spark, sf_dir)).select("model_id", _epoch_us("last_modified"))

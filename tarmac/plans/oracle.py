@@ -303,6 +303,9 @@ SELECT run_id, NULL, run_name, status, start_time, NULL, NULL, stage, NULL, NULL
     q["model_gate"] = _with(EV, RUNS) + "SELECT run_id, accuracy, verified_text AS verified FROM runs"
     q["latest_model"] = _with(EV, ARTS, TIMES) + """SELECT model_id, epoch_us(last_modified) AS last_modified
 FROM times ORDER BY last_modified DESC, model_id DESC LIMIT 1"""
+    q["latest_version"] = _with(EV, RUNS) + """SELECT model_version, start_time FROM runs
+WHERE coalesce(lifecycle_stage, 'active') <> 'deleted' AND model_version IS NOT NULL
+ORDER BY start_time DESC, model_version DESC LIMIT 1"""
     q["artifact_latest"] = _with(EV, ARTS, TIMES) + "SELECT model_id, epoch_us(last_modified) AS last_modified FROM times"
     q["run_by_version"] = _with(EV, RUNS) + """SELECT model_version, run_id, start_time FROM runs
 WHERE coalesce(lifecycle_stage, 'active') <> 'deleted' AND model_version IS NOT NULL
