@@ -2,8 +2,10 @@
 
     python -m tarmac.plans.jobs train --input <flights json> --root <artifact folder>
         [--num-trees 20] [--max-depth 10] [--run-name RandomForest] [--table flight_delays]
-    python -m tarmac.plans.jobs serve --root <artifact folder> --out <response folder>
-        (--kafka host:port --topic request | --requests <folder of JSON lines>)
+    python -m tarmac.plans.jobs serve --root <artifact folder> --checkpoint <folder>
+        (--kafka host:port --topic request [--response-topic response] | --requests <folder>) [--out <folder>]
+    python -m tarmac.plans.jobs store --store <folder> --checkpoint <folder>
+        (--kafka host:port --topic response | --responses <folder of JSON lines>)
 """
 
 from __future__ import annotations
@@ -38,20 +40,37 @@ def train_job(spark: SparkSession, input_path: str, root: str, num_trees: int =
     return m
 
 
-def serve_job(spark: SparkSession, root: str, out: str, checkpoint: str, kafka: str | None = None,
+def serve_job(spark: SparkSession, root: str, out: str | None, checkpoint: str, kafka: str | None = None,
               topic: str = "request", requests_path: str | None = None, scope: str = "batch",
-              available_now: bool = False, load_attempts: int = 10, load_wait_seconds: float = 5.0):
+              available_now: bool = False, load_attempts: int = 10, load_wait_seconds: float = 5.0,
+              response_topic: str | None = None):
     """Start the scoring stream: requests from Kafka (or a folder of JSON lines), responses
-    written per micro-batch under ``out``.  A model that fails ``load_attempts`` loads
-    (``load_wait_seconds`` apart) is skipped for that batch.  Returns the running query."""
+    per micro-batch to ``response_topic`` on the same brokers, or under ``out``.  A model
+    that fails ``load_attempts`` loads (``load_wait_seconds`` apart) is skipped for that
+    batch.  Returns the running query."""
     raw = sreq.kafka_source(spark, kafka, topic) if kafka else sreq.file_source(spark, requests_path, max_files=1)
     idx, va = scorer.wait_for_preprocessing(root)
     cache = scorer.ModelCache(lambda mid: models.load_forest(root, mid), attempts=load_attempts,
                               wait_seconds=load_wait_seconds)
-    return scorer.start(sreq.parsed_requests(raw), scorer.batch_scorer(cache, idx, va, out, scope), checkpoint,
+    sink = scorer.kafka_publisher(kafka, response_topic) if (kafka and response_topic) else out
+    return scorer.start(sreq.parsed_requests(raw), scorer.batch_scorer(cache, idx, va, sink, scope), checkpoint,
                         available_now=available_now)
 
 
+def response_store_job(spark: SparkSession, store: str, checkpoint: str, kafka: str | None = None,
+                       topic: str = "response", responses_path: str | None = None,
+                       mode: str = "merge_on_read", available_now: bool = False):
+    """Consume response messages (Kafka topic, or a folder of JSON lines), keep those that
+    are JSON objects with a UUID, and store them by uuid (last write wins)."""
+    from tarmac.streaming import responses as sresp
+    raw = sreq.kafka_source(spark, kafka, topic) if kafka else sreq.file_source(spark, responses_path, max_files=1)
+    fn = sresp.log_batch(store) if mode == "merge_on_read" else sresp.upsert_batch(store)
+    w = sresp.stored_rows(raw).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
+        .outputMode("update")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=sreq.TRIGGER)
+    return w.start()
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="tarmac")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -64,19 +83,29 @@ def main(argv=None) -> None:
     t.add_argument("--table", default="flight_delays")
     s = sub.add_parser("serve")
     s.add_argument("--root", required=True)
-    s.add_argument("--out", required=True)
+    s.add_argument("--out")
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--kafka")
     s.add_argument("--topic", default="request")
     s.add_argument("--requests")
     s.add_argument("--scope", default="batch", choices=["batch", "row"])
+    s.add_argument("--response-topic")
+    r = sub.add_parser("store")
+    r.add_argument("--store", required=True)
+    r.add_argument("--checkpoint", required=True)
+    r.add_argument("--kafka")
+    r.add_argument("--topic", default="response")
+    r.add_argument("--responses")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tarmac-{a.cmd}").getOrCreate()
     if a.cmd == "train":
         m = train_job(spark, a.input, a.root, a.num_trees, a.max_depth, a.run_name, a.table)
         print(f"MODEL_VERSION={m.version} accuracy={m.accuracy:.4f}")
+    elif a.cmd == "serve":
+        serve_job(spark, a.root, a.out, a.checkpoint, a.kafka, a.topic, a.requests, a.scope,
+                  response_topic=a.response_topic).awaitTermination()
     else:
-        serve_job(spark, a.root, a.out, a.checkpoint, a.kafka, a.topic, a.requests, a.scope).awaitTermination()
+        response_store_job(spark, a.store, a.checkpoint, a.kafka, a.topic, a.responses).awaitTermination()
 
 
 if __name__ == "__main__":

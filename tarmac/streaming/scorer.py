@@ -45,8 +45,26 @@ class ModelCache:
         return model_id in self._models
 
 
-def batch_scorer(cache: ModelCache, indexers, va, out_dir: str, scope: str = "batch"):
-    """The foreachBatch function writing response messages to ``out_dir/batch=<id>``."""
+def file_publisher(out_dir: str):
+    """Response messages of a batch to ``out_dir/batch=<id>`` (replaced on replay)."""
+    def publish(msgs: DataFrame, batch_id: int) -> None:
+        msgs.write.mode("overwrite").text(os.path.join(out_dir, f"batch={batch_id}"))
+    return publish
+
+
+def kafka_publisher(servers: str, topic: str):
+    """Response messages of a batch to a Kafka topic (at-least-once: a replayed batch is
+    written again, and the keyed response store absorbs the repeat)."""
+    from tarmac.sinks import kafka
+
+    def publish(msgs: DataFrame, batch_id: int) -> None:
+        kafka.publish(msgs, servers, topic)
+    return publish
+
+
+def batch_scorer(cache: ModelCache, indexers, va, out, scope: str = "batch"):
+    """The foreachBatch function; ``out`` is a folder (file publisher) or a publisher function."""
+    publish = out if callable(out) else file_publisher(out)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -59,8 +77,7 @@ def batch_scorer(cache: ModelCache, indexers, va, out_dir: str, scope: str = "ba
                 return
             feats = models.serving_features(scoring.valid_requests(batch), indexers, va)
             scored = scoring.score_models(feats, loaded, scope)
-            msgs = scoring.response_json(scored)
-            msgs.write.mode("overwrite").text(os.path.join(out_dir, f"batch={batch_id}"))
+            publish(scoring.response_json(scored), batch_id)
         finally:
             batch.unpersist()
 

@@ -134,3 +134,17 @@ def test_train_and_serve_jobs(spark):
     q.awaitTermination()
     assert spark.read.text(os.path.join(base, "out")).count() == scoring.valid_requests(
         scoring.with_route(reqs)).count()
+
+
+def test_response_store_job_from_scored_files(spark, saved_model):
+    from tarmac.plans import jobs
+    m, root = saved_model
+    reqs = inputs.requests(spark, SMOKE, model_id=m.version)
+    out, _ = scorer.run_file_scoring(spark, reqs, root, files=2)
+    base = work_dir(spark, "test-store-job")
+    q = jobs.response_store_job(spark, os.path.join(base, "store"), os.path.join(base, "ckpt"),
+                                responses_path=out + "/*", available_now=True)
+    q.awaitTermination()
+    stored = responses.read_store(spark, os.path.join(base, "store"))
+    assert stored.count() == spark.read.text(out).count()
+    assert stored.filter(F.col("model_id") != m.version).count() == 0
