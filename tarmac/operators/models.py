@@ -85,8 +85,9 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
           max_bins: int = MAX_BINS, max_memory_mb: int = MAX_MEMORY_MB, seed: int = DEFAULT_SEED,
           run_name: str = "RandomForest", version: str | None = None,
           checkpoint_input: bool = True, partitions: int | None = None,
-          estimator: RandomForestClassifier | None = None, fit_bins: bool = False) -> TrainedModel:
-    """Fit the full chain and evaluate on the training rows.
+          estimator: RandomForestClassifier | None = None, fit_bins: bool = False,
+          holdout: float = 0.0) -> TrainedModel:
+    """Fit the full chain and evaluate it (on the training rows, as the original does).
 
     ``estimator`` replaces the forest built from the settings (same columns).
     ``fit_bins`` sets maxBins to the smallest value the categories allow (largest
@@ -98,7 +99,15 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     forest's many passes and the evaluation all read those balanced stored rows,
     so the upstream joins run once, and a lost executor re-reads the checkpoint
     instead of replaying them.
+
+    ``holdout`` (0 < h < 1) is our option: a seeded split of the stored rows keeps
+    that share out of the forest fit and measures accuracy on it instead.  The
+    split is taken per partition of the stored files, so it repeats and needs no
+    shuffle; the label dictionaries are still fitted on all rows (unseen labels
+    would map to ``numLabels`` otherwise).
     """
+    if holdout and not 0.0 < holdout < 1.0:
+        raise ValueError(f"holdout must be in (0, 1): {holdout}")
     t0 = time.time()
     bucketizer = delay_bucketizer()
     base = bucketizer.transform(with_route(flights)).filter(F.col(LABEL_COL).isNotNull()) \
@@ -110,14 +119,18 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     indexers = fit_indexers(base)
     va = assembler("error")
     frame = va.transform(encode(base, indexers)).select(LABEL_COL, FEATURES_COL)
+    fit_rows, eval_rows = frame, frame
+    if holdout:
+        fit_rows, eval_rows = frame.randomSplit([1.0 - holdout, holdout], seed=seed)
     est = estimator or forest(num_trees, max_depth, max_bins, max_memory_mb, seed)
     if fit_bins:
         est = est.copy().setMaxBins(max(32, max(len(x) for x in indexers.labelsArray) + 1))
-    model = est.fit(frame)
-    acc = accuracy(model.transform(frame))
+    model = est.fit(fit_rows)
+    acc = accuracy(model.transform(eval_rows))
     return TrainedModel(version=version or uuid.uuid4().hex, bucketizer=bucketizer, indexers=indexers,
                         assembler=va, forest=model, accuracy=acc, num_trees=num_trees, max_depth=max_depth,
-                        duration_seconds=int(time.time() - t0), run_name=run_name)
+                        duration_seconds=int(time.time() - t0), run_name=run_name,
+                        extra={"evaluated_on": "holdout" if holdout else "training", "holdout": holdout})
 
 
 def serving_features(requests: DataFrame, indexers: StringIndexerModel, va: VectorAssembler) -> DataFrame:

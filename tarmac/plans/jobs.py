@@ -26,7 +26,8 @@ from tarmac.streaming import scorer
 
 def train_job(spark: SparkSession, input_path: str, root: str, num_trees: int = models.NUM_TREES,
               max_depth: int = models.MAX_DEPTH, run_name: str = "RandomForest",
-              table: str | None = "flight_delays", table_path: str | None = None) -> models.TrainedModel:
+              table: str | None = "flight_delays", table_path: str | None = None,
+              holdout: float = 0.0) -> models.TrainedModel:
     """Read flights (declared schema), land them as a table, fit and evaluate the chain,
     save every artifact, write the metric record and log the run with the quality gate."""
     start_ms = int(time.time() * 1000)
@@ -34,7 +35,7 @@ def train_job(spark: SparkSession, input_path: str, root: str, num_trees: int =
     if table:
         sink.create_or_replace(flights, table, table_path)
         flights = src.read_table(spark, table)
-    m = models.train(flights, num_trees=num_trees, max_depth=max_depth, run_name=run_name)
+    m = models.train(flights, num_trees=num_trees, max_depth=max_depth, run_name=run_name, holdout=holdout)
     models.save(m, root)
     sink.append_runs(registry.run_record(spark, m, start_ms, run_id=m.version), os.path.join(root, "runs"))
     return m
@@ -81,6 +82,8 @@ def main(argv=None) -> None:
     t.add_argument("--max-depth", type=int, default=models.MAX_DEPTH)
     t.add_argument("--run-name", default="RandomForest")
     t.add_argument("--table", default="flight_delays")
+    t.add_argument("--holdout", type=float, default=0.0,
+                   help="share of rows kept out of the fit and used for accuracy (default: evaluate on training rows)")
     s = sub.add_parser("serve")
     s.add_argument("--root", required=True)
     s.add_argument("--out")
@@ -99,7 +102,7 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tarmac-{a.cmd}").getOrCreate()
     if a.cmd == "train":
-        m = train_job(spark, a.input, a.root, a.num_trees, a.max_depth, a.run_name, a.table)
+        m = train_job(spark, a.input, a.root, a.num_trees, a.max_depth, a.run_name, a.table, holdout=a.holdout)
         print(f"MODEL_VERSION={m.version} accuracy={m.accuracy:.4f}")
     elif a.cmd == "serve":
         serve_job(spark, a.root, a.out, a.checkpoint, a.kafka, a.topic, a.requests, a.scope,

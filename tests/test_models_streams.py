@@ -30,6 +30,17 @@ def test_forest_seeded_repeatable_and_roundtrip(spark):
     assert both.filter(F.col("p0") != F.col("Prediction")).count() == 0
 
 
+def test_holdout_evaluation_repeats_and_is_marked(spark):
+    fl = inputs.flights(spark, SMOKE)
+    a = models.train(fl, holdout=0.25, **SMALL)
+    b = models.train(fl, holdout=0.25, **SMALL)
+    assert a.extra["evaluated_on"] == "holdout" and 0.0 <= a.accuracy <= 1.0
+    assert a.accuracy == b.accuracy and a.forest.totalNumNodes == b.forest.totalNumNodes
+    assert models.train(fl, **SMALL).extra["evaluated_on"] == "training"
+    with pytest.raises(ValueError):
+        models.train(fl, holdout=1.0, **SMALL)
+
+
 @pytest.fixture(scope="module")
 def saved_model(spark):
     m = models.train(inputs.flights(spark, SMOKE), **SMALL)
