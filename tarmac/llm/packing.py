@@ -30,7 +30,7 @@ from tarmac.llm.common import arrays, stored, table
 
 CAPACITY = 2048
 END_ID = 0
-SALT_ROWS = 50_000                # pieces a salt holds on average
+SALT_ROWS = 2_000                # pieces a salt holds on average
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 # Letters whose classes both tokenizer libraries are tested to agree on; other texts go to the slower one.

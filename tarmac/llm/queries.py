@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from tarmac.llm.language import op9_language_id
 from tarmac.llm.packing import op1_best_fit_packing
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing}
+QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op9_language_id": op9_language_id,
+}
 
 ORACLE_SQL: dict[str, str] = {}
