@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from tarmac.llm.language import op9_language_id
 from tarmac.llm.packing import op1_best_fit_packing
+from tarmac.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op9_language_id": op9_language_id,
 }
 
