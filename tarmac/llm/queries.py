@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tarmac.llm.decontaminate import op2_decontamination
 from tarmac.llm.html import op5_html_extraction
 from tarmac.llm.language import op9_language_id
 from tarmac.llm.packing import op1_best_fit_packing
@@ -9,6 +10,7 @@ from tarmac.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op5_html_extraction": op5_html_extraction,
     "op9_language_id": op9_language_id,
