@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tarmac.llm.decontaminate import op2_decontamination
 from tarmac.llm.html import op5_html_extraction
+from tarmac.llm.jaccard import op8_ngram_jaccard
 from tarmac.llm.language import op9_language_id
 from tarmac.llm.packing import op1_best_fit_packing
 from tarmac.llm.toxicity import op3_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op5_html_extraction": op5_html_extraction,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
 }
 
