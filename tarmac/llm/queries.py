@@ -7,6 +7,7 @@ from tarmac.llm.html import op5_html_extraction
 from tarmac.llm.jaccard import op8_ngram_jaccard
 from tarmac.llm.language import op9_language_id
 from tarmac.llm.packing import op1_best_fit_packing
+from tarmac.llm.repeats import op10_suffix_dedup
 from tarmac.llm.toxicity import op3_toxicity
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_html_extraction": op5_html_extraction,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
