@@ -6,15 +6,19 @@ from tarmac.llm.decontaminate import op2_decontamination
 from tarmac.llm.html import op5_html_extraction
 from tarmac.llm.jaccard import op8_ngram_jaccard
 from tarmac.llm.language import op9_language_id
+from tarmac.llm.neighbours import op7_hilbert_neighbours
 from tarmac.llm.packing import op1_best_fit_packing
 from tarmac.llm.repeats import op10_suffix_dedup
+from tarmac.llm.sentence_spans import op4_sentence_spans
 from tarmac.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op4_sentence_spans": op4_sentence_spans,
     "op5_html_extraction": op5_html_extraction,
+    "op7_hilbert_neighbours": op7_hilbert_neighbours,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
