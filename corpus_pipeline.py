@@ -1,26 +1,52 @@
 """Corpus pipeline: documents to packed sequences, each stage one operator of ``tarmac.llm``.
 
 Each stage gets what the one before it kept, is written as Parquet to the shared work folder
-and read back.  Packing is the last stage and returns pieces; the others return the columns of
-``documents``.
+and read back.  All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tarmac.llm import decontaminate, jaccard, language, packing, repeats
 from tarmac.llm.common import stored, table
-from tarmac.llm.packing import pack_documents
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the classifier, fitted on these documents, does not reject."""
+    return language.accepted(docs, language.fit(docs, F.lit(True)))
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest doc_id, of each group of near duplicates."""
+    return jaccard.deduplicated(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of 200-byte strings; n_chars follows, emptied documents go."""
+    return repeats.deduplicated(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ``benchmark``."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the remaining texts with their sequence and offset."""
-    return pack_documents(docs)
+    return packing.pack_documents(docs)
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard", ngram_jaccard),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
 
-# Tokenisation, trained models and suffix arrays have no SQL form; the tests compare with plain Python.
+# Trained models, tokenisation and suffix order have no SQL form; the tests compare with plain Python.
 ORACLE_SQL = None
 
 

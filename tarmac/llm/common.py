@@ -82,6 +82,38 @@ def blobs(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, type=pa.binary())
 
 
+SIEVE_BITS = 26
+
+
+def sieve_of(keys: DataFrame, name: str) -> np.ndarray:
+    """Bitmap of 2**SIEVE_BITS bits over hashed long keys (8 MB at any size): passes all keys and few others.
+
+    It only spares shuffling rows that a later join drops; as it fills up, more of them pass.
+    """
+    high = F.shiftrightunsigned(name, 64 - SIEVE_BITS)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{name}`, {64 - SIEVE_BITS}) & 63 as int))")
+    rows = keys.groupBy(F.shiftright(high, 6).alias("w")).agg(F.bit_or(bit).alias("v")).toPandas()
+    out = np.zeros(1 << (SIEVE_BITS - 6), U)
+    out[rows["w"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64).view(U)
+    return out
+
+
+def in_sieve(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    high = keys.astype(np.int64).view(U) >> U(64 - SIEVE_BITS)
+    return (sieve[(high >> U(6)).astype(np.int64)] >> (high & U(63)) & U(1)).astype(bool)
+
+
+def sifted(df: DataFrame, sieve: np.ndarray, name: str) -> DataFrame:
+    """``df`` without most rows whose hashed key is not in the sieve."""
+    shared = df.sparkSession.sparkContext.broadcast(sieve)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_sieve(shared.value, batch.column(name).to_numpy())))
+
+    return df.mapInArrow(run, df.schema)
+
+
 # ---- hashing -------------------------------------------------------------------------------
 
 LOWER = np.arange(256, dtype=np.uint8)

@@ -85,7 +85,7 @@ def sieve_place(v: np.ndarray) -> np.ndarray:
 @dataclass
 class Probes:
     """Probes of a block of items with the postings of their q-grams."""
-    item: np.ndarray            # item id of each probe
+    item: np.ndarray            # item of each probe, by its place in the block
     text: list[np.ndarray]
     edits: np.ndarray           # allowed edits
     least: np.ndarray           # least shared q-grams
@@ -95,11 +95,12 @@ class Probes:
     place: np.ndarray
     sieve: np.ndarray
     short: list[tuple[int, bytes]]
+    id_of: list[int | None]     # item ids by place
 
     @staticmethod
     def of(items: list[tuple[int, str]], rate: float = RATE) -> Probes:
         ids, texts, short = [], [], []
-        for item, text in items:
+        for item, (_, text) in enumerate(items):
             b = normal_text(text or "")
             if len(b) < Q:
                 short += [(item, b)] if b else []
@@ -120,7 +121,7 @@ class Probes:
         sieve = np.zeros(1 << SIEVE_BITS, bool)
         sieve[sieve_place(distinct)] = True
         return Probes(np.array(ids, np.int64), texts, edits, size - Q + 1 - Q * edits, distinct,
-                      np.append(first, len(gram)), probe[order], place[order], sieve, short)
+                      np.append(first, len(gram)), probe[order], place[order], sieve, short, [i for i, _ in items])
 
 
 def align(probe: np.ndarray, region: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -231,37 +232,55 @@ def merged(rows: list[tuple[int, int, int, int, int, int]]) -> list[tuple[int, i
     return [tuple(x) for x in out]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row for each leaked region: doc_id, item_id, start, end (bytes of the text), edits, length."""
+def probe_blocks(benchmark: DataFrame, rate: float, block_bytes: int) -> Iterator[Probes]:
+    """The benchmark's probes, in blocks of about ``block_bytes`` text."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
         .where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total) // block_bytes + 1
-    spark = docs.sparkSession
+    for k in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()   # about block_bytes
+        yield Probes.of(sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] is not None, x)), rate)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """A row for each leaked region: doc_id, item_id, start, end (bytes of the text), edits, length."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
                         ("edits", pa.int32()), ("length", pa.int32())])
 
-    def one(k: int) -> DataFrame:
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()  # about block_bytes
-        shared = spark.sparkContext.broadcast(Probes.of(sorted((r.item_id, r.text) for r in rows if r.item_id is not None), rate))
+    def one(probes: Probes) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(probes)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            p = shared.value
             for batch in batches:
                 ids, out = batch.column("doc_id").to_pylist(), []
                 for a, _, buf, offs in text_slices(batch.column("text")):
-                    out += [(ids[a + d], *rest) for d, *rest in merged(leaks(buf, offs, shared.value))]
+                    out += [(ids[a + d], p.id_of[i], *rest) for d, i, *rest in merged(leaks(buf, offs, p))]
                 yield arrays(list(zip(*out, strict=True)) or [[]] * len(schema), schema)
 
         return source.mapInArrow(search, LEAKS)
 
-    return reduce(DataFrame.unionByName, [one(k) for k in range(blocks)])
+    return reduce(DataFrame.unionByName, map(one, probe_blocks(benchmark, rate, block_bytes)))
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows whose text leaks an item: one filter a block of the benchmark, nothing is shuffled."""
+    def clean(probes: Probes):
+        shared = docs.sparkSession.sparkContext.broadcast(probes)
 
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ok = np.ones(batch.num_rows, bool)
+                for a, _, buf, offs in text_slices(batch.column("text")):
+                    ok[[a + row[0] for row in leaks(buf, offs, shared.value)]] = False
+                yield batch.filter(pa.array(ok))
+        return keep
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """``docs`` without the rows whose doc_id leaks an item (rows without an id stay)."""
-    leaked = find_leaks(docs, benchmark, rate).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    for probes in probe_blocks(benchmark, rate, block_bytes):
+        docs = docs.mapInArrow(clean(probes), docs.schema)
+    return docs
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -204,6 +204,22 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
         score, schema + ", lang_pred string, score double, accepted boolean")
 
 
+def accepted(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected, unchanged.  Without a model nothing is rejected but ``und``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            ok = np.zeros(batch.num_rows, bool)
+            for a, b, buf, offs in text_slices(batch.column("text")):
+                sure = m.predict(buf, offs)[1] >= m.threshold if m else np.ones(b - a, bool)
+                ok[a:b] = [sure[i] and has_letter(buf[offs[i]:offs[i + 1]]) for i in range(b - a)]
+            yield batch.filter(pa.array(ok))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     away = held_out(F.col("doc_id"), 4, 2)

@@ -6,6 +6,7 @@ from tarmac.llm.decontaminate import op2_decontamination
 from tarmac.llm.html import op5_html_extraction
 from tarmac.llm.jaccard import op8_ngram_jaccard
 from tarmac.llm.language import op9_language_id
+from tarmac.llm.maxent import op6_maxent_scoring
 from tarmac.llm.neighbours import op7_hilbert_neighbours
 from tarmac.llm.packing import op1_best_fit_packing
 from tarmac.llm.repeats import op10_suffix_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_sentence_spans": op4_sentence_spans,
     "op5_html_extraction": op5_html_extraction,
+    "op6_maxent_scoring": op6_maxent_scoring,
     "op7_hilbert_neighbours": op7_hilbert_neighbours,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
