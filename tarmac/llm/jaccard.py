@@ -12,9 +12,9 @@ tile; within it only sizes within the factor t of each other pair up.
 * Small tiles (``SMALL`` members at most) give all their pairs, with the number of tiles a pair
   shares.  That count bounds the overlap from above, so most pairs go before any set is read.
 * Large tiles are cut into overlapping size bands.  In each, members pair with a few pivots;
-  once the links found so far have joined most of the tile, only pairs of members that are still
-  in different groups are compared, all of them, so no link between groups is lost and a large
-  group of near copies costs rows in proportion to its members.
+  once the links found so far have joined most of the tile, the bitmaps of all members that are
+  still in different groups are compared, block by block, so no link between groups is lost and a
+  large group of near copies costs rows in proportion to its members.
 
 Verification: pairs meet at their first class (hot ones salted).  Parity bitmaps as wide as the
 sets bound the overlap from above, since differing bits are differing elements; sets that pass are
@@ -34,18 +34,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import U, arrays, blobs, mix, shingle_hashes, stored, table, text_slices, word_hashes
+from tarmac.llm.common import (
+    U, arrays, blobs, in_sieve, mix, shingle_hashes, sieve_of, stored, table, text_slices, word_hashes,
+)
 from tarmac.llm.components import components
 
 K = 5
 PERCENT = 80
 SMALL = 32                  # members of a tile that gives all its pairs
 PIVOTS = 8
+BLOCK = 1_024               # members of a block of a large tile
 SALT_ROWS = 5_000           # pairs of one class that a task compares
 COUNT_CHUNK = 4_000_000     # shingles a task counts at a time
 COMMON_MAX = 300_000        # most common shingles that the order knows (16 bytes each)
-SIEVE_BITS = 26
+SPREAD = 4                  # bits of a signature for each element, at least
 
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SETS = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("common", pa.bool_())])
 
 
@@ -205,49 +209,113 @@ def may_overlap(pairs: DataFrame, large: DataFrame, percent: int) -> DataFrame:
         .where(bound * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b", "c")
 
 
+def band_of(size: str, percent: int):
+    return F.floor(F.log(F.col(size).cast("double")) / float(np.log(100 / percent)))
+
+
 def banded(large: DataFrame, percent: int) -> DataFrame:
     """Rows of large tiles once for each size band they belong to: similar sizes share a band."""
-    band = F.floor(F.log(F.col("na").cast("double")) / float(np.log(100 / percent)))
+    band = band_of("na", percent)
     return large.select("key", F.col("a").alias("cls"), F.col("na").alias("n"),
                         F.explode(F.array(band, band + 1)).alias("band"))
 
 
-def pivot_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Every member of a banded tile with the tile's pivot; tiles vary among PIVOTS orders of the classes."""
-    order = F.xxhash64("cls", F.pmod("key", F.lit(PIVOTS)))
-    pivot = members.groupBy("key", "band").agg(F.min(F.struct(order.alias("o"), F.col("cls"), F.col("n"))).alias("p")) \
-        .select("key", "band", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn"))
-    return members.join(pivot, ["key", "band"]).where((F.col("cls") != F.col("pivot")) & fits(F.col("n"), F.col("pn"), percent)) \
+def grouped(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with the group they are in so far."""
+    return members.join(labels, F.col("cls") == F.col("node"), "left") \
+        .select("key", "band", "cls", "n", F.coalesce("component", "cls").alias("group"))
+
+
+def pivot_pairs(members: DataFrame, orders: int, percent: int) -> DataFrame:
+    """Every member of a banded tile with the tile's pivot, if they are in different groups.
+
+    Tiles vary among ``orders`` orders of the classes, so a class meets up to that many pivots.
+    """
+    order = F.xxhash64("cls", F.lit(orders), F.pmod("key", F.lit(orders)))
+    pivot = members.groupBy("key", "band").agg(F.min(F.struct(order.alias("o"), F.col("cls"), F.col("n"), F.col("group"))).alias("p")) \
+        .select("key", "band", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.group").alias("pg"))
+    return members.join(pivot, ["key", "band"]).where((F.col("group") != F.col("pg")) & fits(F.col("n"), F.col("pn"), percent)) \
         .select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a banded tile's members that are not in one group yet."""
-    named = members.join(labels, F.col("cls") == F.col("node"), "left") \
-        .select("key", "band", "cls", "n", F.coalesce("component", "cls").alias("group"))
-    mixed = named.groupBy("key", "band").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 <> g1")
-    named = named.join(mixed.select("key", "band"), ["key", "band"])
-    other = named.select("key", "band", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"))
-    return named.join(other, ["key", "band"]) \
-        .where((F.col("cls") < F.col("b")) & (F.col("group") != F.col("gb")) & fits(F.col("n"), F.col("nb"), percent)) \
-        .select(F.col("cls").alias("a"), "b").distinct()
+def cross_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a banded tile's members that are not in one group yet and that their bitmaps don't rule out.
+
+    A tile is cut into blocks of about BLOCK members by a hash, and each two blocks meet in one place,
+    where only bitmaps are compared; so a tile of any size is compared whole, in bounded pieces.
+    """
+    named = grouped(members, labels)
+    mixed = named.groupBy("key", "band").agg(F.min("group").alias("g0"), F.max("group").alias("g1"),
+                                             (F.floor(F.count("*") / BLOCK) + 1).alias("blocks")) \
+        .where("g0 <> g1").select("key", "band", "blocks")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = named.join(mixed, ["key", "band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks"))) \
+        .select("*", other.alias("other")).join(sets.select("cls", "sig"), "cls") \
+        .select("key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                (F.col("block") <= F.col("other")).alias("low"), band_of("n", percent).alias("own"), "cls", "n", "group", "sig")
+    place = ["key", "band", "lo", "hi"]
+
+    def compare(part: list[np.ndarray], sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        low, cls, n, group, lo, hi, own, band = part
+        width = min(map(len, sigs))
+        bits = np.stack([folded(x, width) for x in sigs]).view(U)
+        left = np.flatnonzero(low)
+        right = left if lo[0] == hi[0] else np.flatnonzero(~low)
+        out = [], []
+        for i in left:
+            at = right[(group[right] != group[i]) & fits(n[right], n[i], percent)
+                       & (np.maximum(own[right], own[i]) == band[0])]         # a pair that shares two bands counts in one
+            diff = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            total = n[at] + n[i]
+            at = at[(100 + percent) * (total - diff) >= 2 * percent * total]
+            out[0].append(np.minimum(cls[at], cls[i]))
+            out[1].append(np.maximum(cls[at], cls[i]))
+        return tuple(np.concatenate(x or [np.empty(0, np.int64)]) for x in out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table_ = pa.Table.from_batches([batch])
+            held = table_ if held is None else pa.concat_tables([held, table_])
+            ids = np.stack([held.column(c).to_numpy() for c in place], 1)
+            starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1))) if len(ids) else []
+            yield from done(held, starts)
+            held = held.slice(starts[-1]) if len(starts) else held
+        if held is not None and held.num_rows:
+            yield from done(held, [0, held.num_rows])
+
+    def done(rows_: pa.Table, starts) -> Iterator[pa.RecordBatch]:
+        """The pairs of all tiles but the last, which may go on."""
+        found: set[tuple[int, int]] = set()
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            part = rows_.slice(s, e - s)
+            cols = [part.column(c).to_numpy() for c in ("low", "cls", "n", "group", "lo", "hi", "own", "band")]
+            a, b = compare(cols, part.column("sig").to_pylist())
+            found.update(zip(a.tolist(), b.tolist(), strict=True))
+        pairs = sorted(found)
+        yield arrays([[x for x, _ in pairs], [y for _, y in pairs]], PAIR)
+
+    return rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a long, b long").distinct()
 
 
 # ---- verification --------------------------------------------------------------------------
 
 def signature(s: np.ndarray) -> bytes:
     """Parity bitmap: bit i tells whether an odd number of elements have i as their low bits."""
-    width = max(64, 1 << max(len(s) - 1, 1).bit_length())
+    width = max(64, SPREAD << max(len(s) - 1, 1).bit_length())
     odd = np.bincount((s & U(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(x: bytes, size: int) -> np.ndarray:
+    """A signature at a narrower width: the parities of the bits that fall together."""
+    return np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, size), axis=0)
+
+
 def differing(x: bytes, y: bytes) -> int:
     """Differing bits at the narrower width: no more than there are differing elements."""
-    if len(x) != len(y):
-        small = min(len(x), len(y))
-        x, y = (bytes(np.bitwise_xor.reduce(np.frombuffer(v, np.uint8).reshape(-1, small), axis=0)) if len(v) > small else v
-                for v in (x, y))
+    size = min(len(x), len(y))
+    x, y = (v if len(v) == size else folded(v, size).tobytes() for v in (x, y))
     return (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count()
 
 
@@ -261,20 +329,10 @@ def similar(x: np.ndarray, sig_x: bytes, y: np.ndarray, sig_y: bytes, percent: i
     return (100 + percent) * int((large[at] == small).sum()) >= need
 
 
-def sieve_of(classes: DataFrame) -> np.ndarray:
-    """Bitmap of 2**SIEVE_BITS bits over the classes' hashes (8 MB at any size)."""
-    place = F.shiftrightunsigned("cls", 64 - SIEVE_BITS)
-    bits = classes.groupBy(F.shiftright(place, 6).alias("w")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(cls, {64 - SIEVE_BITS}) & 63 as int))")).alias("v")).toPandas()
-    out = np.zeros(1 << (SIEVE_BITS - 6), U)
-    out[bits["w"].to_numpy(np.int64)] = bits["v"].to_numpy(np.int64).view(U)
-    return out
-
-
 def read_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """Stored (cls, sig, arr) of the given classes, read from the texts once more."""
     schema = pa.schema([("cls", pa.int64()), ("sig", pa.binary()), ("arr", pa.binary())])
-    shared = docs.sparkSession.sparkContext.broadcast(sieve_of(classes))
+    shared = docs.sparkSession.sparkContext.broadcast(sieve_of(classes, "cls"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = shared.value
@@ -285,8 +343,7 @@ def read_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
                 c = class_key(s) if len(s) else None
                 if c is None or c in seen:
                     continue
-                place = (c & (1 << 64) - 1) >> 64 - SIEVE_BITS
-                if int(sieve[place >> 6]) >> (place & 63) & 1:
+                if in_sieve(sieve, np.array([c]))[0]:
                     seen[c] = signature(s), s.tobytes()
                     size += len(s)
                     if size > 1 << 20:
@@ -323,7 +380,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 elif head is not None and head[0] == a and similar(head[2], head[1], arr, sig, percent):
                     out[0].append(a)
                     out[1].append(b)
-            yield arrays(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            yield arrays(out, PAIR)
 
     return heads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()) \
         .mapInArrow(run, "a long, b long")
@@ -342,18 +399,26 @@ def class_groups(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> Data
     large = met.where("key is not null")
     small = stored(may_overlap(met.where("key is null"), large, percent), "pairs")
     members = banded(large, percent)
-    first = stored(best_partners(small).unionByName(pivot_pairs(members, percent)).distinct(), "first")
+    alone = members.withColumn("group", F.col("cls"))
+    first = stored(best_partners(small).unionByName(pivot_pairs(alone, PIVOTS, percent)).distinct(), "first")
     wanted = small.select(F.col("a").alias("cls")).union(small.select("b")).union(large.select("a")).distinct()
     arrays_of = read_sets(docs, wanted, k)
-    links = stored(verified(first, arrays_of, percent), "links")
-    labels = components(links)
+    labels = components(verified(first, arrays_of, percent))
     near = labels.select(F.col("node").alias("a"), F.col("component").alias("ga"))
     far = labels.select(F.col("node").alias("b"), F.col("component").alias("gb"))
     rest = small.select("a", "b").join(near, "a", "left").join(far, "b", "left") \
         .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
-    second = stored(rest.unionByName(cross_pairs(members, labels, percent)).distinct()
-                    .join(first, ["a", "b"], "left_anti"), "second")
-    return components(links.unionByName(verified(second, arrays_of, percent)))
+    again = pivot_pairs(grouped(members, labels), 4 * PIVOTS, percent)
+    second = stored(rest.unionByName(again).distinct().join(first, ["a", "b"], "left_anti"), "second")
+    labels = components(joined_by(labels).unionByName(verified(second, arrays_of, percent)))
+    third = stored(cross_pairs(members, labels, arrays_of, percent).join(first, ["a", "b"], "left_anti")
+                   .join(second, ["a", "b"], "left_anti"), "third")
+    return components(joined_by(labels).unionByName(verified(third, arrays_of, percent)))
+
+
+def joined_by(labels: DataFrame) -> DataFrame:
+    """The groups found so far, as links to their smallest class."""
+    return labels.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
 
 
 def groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
