@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import decontaminate, jaccard, language, packing, repeats
-from tarmac.llm.common import stored, table
+from tarmac.llm.common import bounded_batches, stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier, fitted on these documents, does not reject."""
+    bounded_batches(spark)
     return language.accepted(docs, language.fit(docs, F.lit(True)))
 
 

@@ -20,7 +20,15 @@ SLICE_BYTES = 1 << 20
 U = np.uint64
 
 
+BATCH_ROWS = 2_048          # of an Arrow batch: texts can be long, and a task holds a batch or two
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -92,9 +100,9 @@ def sieve_of(keys: DataFrame, name: str) -> np.ndarray:
     """
     high = F.shiftrightunsigned(name, 64 - SIEVE_BITS)
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{name}`, {64 - SIEVE_BITS}) & 63 as int))")
-    rows = keys.groupBy(F.shiftright(high, 6).alias("w")).agg(F.bit_or(bit).alias("v")).toPandas()
+    rows = keys.groupBy(F.shiftright(high, 6).alias("w")).agg(F.bit_or(bit).alias("v")).toArrow()
     out = np.zeros(1 << (SIEVE_BITS - 6), U)
-    out[rows["w"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64).view(U)
+    out[rows["w"].to_numpy().astype(np.int64)] = rows["v"].to_numpy().astype(np.int64).view(U)
     return out
 
 

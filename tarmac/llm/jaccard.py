@@ -104,8 +104,8 @@ def sets_and_counts(docs: DataFrame, k: int) -> DataFrame:
 def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that most documents share, sorted, and each one's rank by document count (1: the fewest)."""
     rows = sets.where("common").groupBy("cls").agg(F.sum("n").alias("n")).where("n >= 4") \
-        .orderBy(F.desc("n"), "cls").limit(COMMON_MAX).toPandas()
-    v, n = rows["cls"].to_numpy(np.int64).view(U), rows["n"].to_numpy(np.int64)
+        .orderBy(F.desc("n"), "cls").limit(COMMON_MAX).toArrow()
+    v, n = rows["cls"].to_numpy().astype(np.int64).view(U), rows["n"].to_numpy().astype(np.int64)
     order = np.argsort(v)
     rank = np.empty(len(v), np.int64)
     rank[np.lexsort((v, n))] = np.arange(1, len(v) + 1)
