@@ -44,7 +44,8 @@ CLUSTERS = 21
 COPY, COPY2, END_CLASS = 0, 1, 2
 CLASSES = 3 + TOP + CLUSTERS
 BUCKETS = 1 << 14
-STEP = 16_384               # tokens of a gradient step
+FEW = 8                     # rows that are added side by side
+STEP = 32_768               # tokens of a gradient step
 RATE = 0.25
 ROUNDS = 3
 SMALL = 8_000_000
@@ -103,10 +104,25 @@ class Classes:
         c1, c2, c3 = (before(cls, first, k, CLASSES) for k in (1, 2, 3))
         history = ((c1 * (CLASSES + 1) + c2) * (CLASSES + 1) + c3).astype(U)
         raw = (p1 + U(1), p2 * U(3) + U(2), p1 * U(5) + mix(p2), history * U(7) + U(4))
-        feats = np.stack([(mix(x) >> U(64 - 14)).astype(np.int32) for x in raw], 1)
+        feats = np.stack([(mix(x) >> U(64 - 14)).astype(np.uint16) for x in raw], 1)
         return cls, own, feats
 
 
+def row_sums(bucket: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different buckets and the sum of the rows of ``z`` that fall in each."""
+    order = np.argsort(bucket, kind="stable")
+    at = bucket[order]
+    heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    size = np.diff(np.append(heads, len(at)))
+    out = z[order[heads]]
+    for j in range(1, FEW):
+        more = np.flatnonzero(size > j)
+        out[more] += z[order[heads[more] + j]]
+    for i in np.flatnonzero(size > FEW):
+        out[i] = z[order[heads[i]:heads[i] + size[i]]].sum(axis=0)
+    return at[heads].astype(np.int64), out
+
+
 @dataclass
 class Weights:
     w: np.ndarray               # BUCKETS x CLASSES
@@ -142,11 +158,7 @@ class Weights:
         z /= z.sum(axis=1, keepdims=True)
         z[np.arange(len(z)), cls] -= 1
         for k in range(feats.shape[1]):
-            order = np.argsort(feats[:, k], kind="stable")
-            at = feats[order, k]
-            heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            rows = at[heads]
-            g = np.add.reduceat(z[order], heads, axis=0)
+            rows, g = row_sums(feats[:, k], z)
             self.grown[rows] += (g * g).sum(axis=1) / 4
             self.w[rows] -= RATE * g / np.sqrt(self.grown[rows])[:, None]
 
@@ -275,8 +287,8 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     counts = summed.where("word is not null").select("word", "ending", "n")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     pairs = np.zeros((ENDINGS, ENDINGS), np.int64)
-    beside = summed.where("word is null").select("ending", "beside", "n").toPandas()           # ENDINGS ** 2 rows at most
-    pairs[beside["ending"].to_numpy(int), beside["beside"].to_numpy(int)] = beside["n"].to_numpy(np.int64)
+    beside = summed.where("word is null").select("ending", "beside", "n").toArrow()           # ENDINGS ** 2 rows at most
+    pairs[beside["ending"].to_numpy().astype(int), beside["beside"].to_numpy().astype(int)] = beside["n"].to_numpy()
     end = int(END.view(np.int64))
     best = counts.where(F.col("word") != end).orderBy(F.desc("n"), "word").limit(TOP).collect()
     top = np.array([r.word for r in best], np.int64).view(U)
@@ -288,11 +300,11 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
         log_size[r.c] = np.log10(r.n + ADD * (r.v + 1))
         share[r.c] += r.n
     classes.log_size = log_size
-    by_count = counts.groupBy("n").count().orderBy(F.desc("n")).limit(TABLE).toPandas()
-    kept = np.cumsum(by_count["count"].to_numpy(np.int64)) <= TABLE
-    least = int(by_count["n"].to_numpy(np.int64)[kept].min()) if kept.any() else total.n + 1
-    frequent = counts.where(F.col("n") >= least).select("word", "n").toPandas()                 # TABLE rows at most
-    words, n = frequent["word"].to_numpy(np.int64).view(U), frequent["n"].to_numpy(np.int64)
+    by_count = counts.groupBy("n").count().orderBy(F.desc("n")).limit(TABLE).toArrow()
+    kept = np.cumsum(by_count["count"].to_numpy()) <= TABLE
+    least = int(by_count["n"].to_numpy()[kept].min()) if kept.any() else total.n + 1
+    frequent = counts.where(F.col("n") >= least).select("word", "n").toArrow()                 # TABLE rows at most
+    words, n = frequent["word"].to_numpy().astype(np.int64).view(U), frequent["n"].to_numpy()
     order = np.argsort(words)
     weights = Weights.zero(share / share.sum())
     for r in range(ROUNDS):
