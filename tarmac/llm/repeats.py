@@ -41,9 +41,9 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import U, arrays, mix, prefix_hash, sieve_of, sifted, span_hash, stored, table, text_slices, utf8
 
 SIZE = 200
-GRAM = 32
+GRAM = 96
 HOT = 4_096                 # different strings of one minimizer that a task orders by itself
-FLUSH_BYTES = 2 << 20       # string bytes ordered at a time
+FLUSH_BYTES = 2 << 20       # string bytes held at a time
 PIECE = 8 << 20             # longer texts are cut into pieces that overlap by a window
 POS_BITS = 24
 
@@ -139,7 +139,7 @@ STRINGS_SQL = "h long, f1 long, f2 long, doc_id long, u long, pos long, n int, c
 
 
 def strings(keyed: DataFrame, places: DataFrame, size: int) -> DataFrame:
-    """The string of each run; within a batch equal ones have their bytes once, at the first place, with ``copies``."""
+    """The string of each run; equal ones that a task holds together have their bytes once, at the first place, with ``copies``."""
     lists = places.groupBy("u").agg(F.collect_set(F.struct("h", "pos", "n")).alias("runs"))
     texts = sifted(keyed.select("u", "doc_id", "text"), sieve_of(lists, "u"), "u")
     rows = texts.dropDuplicates(["u"]).join(lists, "u")
@@ -151,7 +151,11 @@ def strings(keyed: DataFrame, places: DataFrame, size: int) -> DataFrame:
             order = sorted(range(batch.num_rows), key=lambda i: (docs[i] is not None, docs[i] or 0, us[i]))
             first: dict[bytes, int] = {}
             out: list[list] = [[] for _ in STRINGS]
+            held = 0
             for i in order:
+                if held > FLUSH_BYTES:
+                    yield arrays(out, STRINGS)
+                    first, out, held = {}, [[] for _ in STRINGS], 0
                 text = data[offs[i]:offs[i + 1]].tobytes()
                 for run in sorted(batch.column("runs")[i].as_py(), key=lambda r: r["pos"]):
                     s = text[run["pos"]:run["pos"] + run["n"] + size - 1]
@@ -159,6 +163,7 @@ def strings(keyed: DataFrame, places: DataFrame, size: int) -> DataFrame:
                     at = first.get(key)
                     if at is None:
                         first[key] = len(out[0])
+                        held += len(s)
                     else:
                         out[7][at] += 1
                     f1, f2 = (int.from_bytes(key[k:k + 8], "little", signed=True) for k in (0, 8))
