@@ -7,8 +7,8 @@ at least SENTENCES sentences and WORDS words is a span, hashed by its lower-case
 
 Spans are joined globally by hash.  The first occurrence (smallest doc_id, null ids first, then a
 hash of the row, then place) stays; every sentence covered by any other occurrence is removed.  An occurrence
-that is not even the first of its batch is removed at once, so a span that a third of all
-documents share sends one row a batch to the place where occurrences meet.
+that is not even the first of its slice of rows is removed at once, so a span that a third of all
+documents share sends one row a slice to the place where occurrences meet.
 
 Edge cases: null or empty texts and texts with too few sentences or words have no span and stay;
 repeated rows are copies; an empty table gives an empty result; other columns are ignored.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (
-    LOWER, SLICE_BYTES, U, arrays, in_sieve, mix, powers, prefix_hash, sieve_of, span_hash, stored, table, text_slices,
+    LOWER, U, arrays, in_sieve, mix, powers, prefix_hash, sieve_of, span_hash, stored, table, text_slices,
     utf8, word_spans,
 )
 
@@ -87,14 +87,14 @@ def cut_up(buf: np.ndarray, offs: np.ndarray):
 
 
 def span_rows(keyed: DataFrame) -> DataFrame:
-    """Occurrences of spans: the first of each span in a batch under its hash, the others as removed (``local``)."""
+    """Occurrences of spans: the first of each span in a slice under its hash, the others as removed (``local``)."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u = batch.column("u").to_numpy()
             docs = np.array([-(1 << 63) if d is None else d for d in batch.column("doc_id").to_pylist()], np.int64)
             order = np.lexsort((u, docs))
             held: list[tuple] = []
-            for a, _, buf, offs in text_slices(batch.column("text").take(pa.array(order)), 8 * SLICE_BYTES):
+            for a, _, buf, offs in text_slices(batch.column("text").take(pa.array(order))):
                 words, heads, edge, _ = cut_up(buf, offs)
                 h, s, e = spans(words, heads, edge)
                 if not len(h):
