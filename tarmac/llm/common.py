@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from tarmac.session import work_dir
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 U = np.uint64
 
 
-BATCH_ROWS = 2_048          # of an Arrow batch: texts can be long, and a task holds a batch or two
+BATCH_ROWS = 1_024          # of an Arrow batch: texts can be long, and a task holds a batch or two
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -45,7 +45,7 @@ SMALL = 32                  # members of a tile that gives all its pairs
 PIVOTS = 8
 BLOCK = 1_024               # members of a block of a large tile
 SALT_ROWS = 5_000           # pairs of one class that a task compares
-COUNT_CHUNK = 4_000_000     # shingles a task counts at a time
+COUNT_CHUNK = 1_500_000     # shingles a task counts at a time
 COMMON_MAX = 300_000        # most common shingles that the order knows (16 bytes each)
 SPREAD = 4                  # bits of a signature for each element, at least
 

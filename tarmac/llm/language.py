@@ -32,7 +32,7 @@ from tarmac.llm.common import LOWER, arrays, held_out, table, text_slices, utf8
 BUCKET_BITS = 16
 DIM = 16
 ORDERS = (2, 3, 4)
-SAMPLE_PER_LANG = 1_500
+SAMPLE_PER_LANG = 1_000
 EPOCHS = 4
 RATE = 0.5
 HOLD = 5                    # every HOLD-th sampled row calibrates

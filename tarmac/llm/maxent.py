@@ -51,7 +51,7 @@ ROUNDS = 3
 SMALL = 8_000_000
 TABLE = 1_000_000
 ADD = 0.1
-COUNT_TOKENS = 8_000_000    # tokens a task counts at a time
+COUNT_TOKENS = 4_000_000    # tokens a task counts at a time
 
 END = U(0x51ED270B3A5F8D27)
 BEGIN = U(0xC3A5C85C97CB3127)
