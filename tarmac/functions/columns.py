@@ -61,7 +61,7 @@ def parse_model_ids(text="model_ids") -> Column:
     character up to U+0020, as JVM ``String.trim`` does), drop double quotes,
     keep non-empty items.  Accepts ``["a", "b"]`` and ``[a,b]``.
     """
-    s = F.regexp_replace(F.regexp_replace(_c(text), r"^\[", ""), r"\]$", "")
+    s = F.regexp_replace(F.regexp_replace(_c(text), r"^\[", ""), r"\]\z", "")
     trim = lambda x: F.regexp_replace(x, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     items = F.transform(F.split(s, ","), lambda x: F.replace(trim(x), F.lit('"'), F.lit("")))
     return F.filter(items, lambda x: F.length(x) > 0)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tarmac.functions.columns import DELAY_SPLITS, delay_class, route
 from tarmac.schemas import CATEGORICAL_FEATURES, VECTOR_SLOTS
 from tarmac.operators.keyed import ordinal
-from tarmac.sources.tables import sized_broadcast
 
 LABEL_COL = "ArrDelayBucket"
 FEATURES_COL = "Features_vec"
@@ -68,14 +67,14 @@ def label_tables(model: StringIndexerModel, spark=None) -> DataFrame:
 
 
 def encode_by_join(df: DataFrame, labels: DataFrame, col: str, num_labels: int,
-                   out: str | None = None, broadcast_limit: int = 1_000_000) -> DataFrame:
+                   out: str | None = None) -> DataFrame:
     """Join form of ``keep`` encoding: known labels get their index, all else ``num_labels``.
 
-    The label table is broadcast only after its row count is checked.
+    A plain join: the planner picks it by the label table's measured size.
     """
     out = out or col + "_index"
     lab = labels.select(F.col("label").alias("__label"), F.col("index").alias("__index"))
-    joined = df.join(sized_broadcast(lab, broadcast_limit), F.col(col) == F.col("__label"), "left")
+    joined = df.join(lab, F.col(col) == F.col("__label"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__index"), F.lit(float(num_labels)))).drop("__label", "__index")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.sources.tables import sized_broadcast, stored
+from tarmac.sources.tables import stored
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -28,29 +28,20 @@ def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return agg.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
-def latest_by(df: DataFrame, value: str, ts: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``value`` of the newest row (per key when ``keys`` is given); ties by the larger value."""
-    ordering = F.struct(F.col(ts), F.col(value))
-    return df.groupBy(*keys).agg(F.max_by(F.col(value), ordering).alias(value),
-                                 F.max(ts).alias(ts))
-
-
 def distance_dimension(records: DataFrame, order: Sequence[str]) -> DataFrame:
     """Origin/Dest/Distance dimension, one row per route, later records overwriting earlier ones."""
     return last_wins(records.select("Origin", "Dest", "Distance", *order), ["Origin", "Dest"], order) \
         .select("Origin", "Dest", "Distance")
 
 
-def enrich_distance(requests: DataFrame, dimension: DataFrame, broadcast_limit: int = 5_000_000) -> DataFrame:
+def enrich_distance(requests: DataFrame, dimension: DataFrame) -> DataFrame:
     """Attach Distance by (Origin, Dest); null when the route is unknown.
 
-    The dimension has one row per route, so it is bounded by the number of
-    airport pairs; it is broadcast after that bound is checked, else joined
-    by shuffle.  Works unchanged with a streaming ``requests`` frame.
+    A plain join: the planner broadcasts the dimension (one row per route) when its
+    measured size allows.  Works unchanged with a streaming ``requests`` frame.
     """
     base = requests.drop("Distance") if "Distance" in requests.columns else requests
     dim = dimension.select(F.col("Origin").alias("__o"), F.col("Dest").alias("__d"), "Distance")
-    dim = sized_broadcast(dim, broadcast_limit)
     cond = (F.col("Origin") == F.col("__o")) & (F.col("Dest") == F.col("__d"))
     return base.join(dim, cond, "left").drop("__o", "__d")
 

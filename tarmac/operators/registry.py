@@ -49,9 +49,14 @@ def run_catalog(runs: DataFrame) -> DataFrame:
 
 
 def with_registry(catalog: DataFrame, registry: DataFrame) -> DataFrame:
-    """Attach registry name / version / stage by tracker run id; unregistered runs keep stage 'None'."""
-    reg = registry.select(F.col("run_id").alias("__rid"), F.col("name").alias("registered_name"),
-                          "version", F.col("stage").alias("__stage"))
+    """Attach registry name / version / stage by tracker run id; unregistered runs keep stage 'None'.
+
+    A run registered more than once keeps its last entry (by name, then version).
+    """
+    last = registry.groupBy(F.col("run_id").alias("__rid")) \
+        .agg(F.max_by(F.struct("name", "version", "stage"), F.struct("name", "version")).alias("__r"))
+    reg = last.select("__rid", F.col("__r.name").alias("registered_name"), F.col("__r.version").alias("version"),
+                      F.col("__r.stage").alias("__stage"))
     j = catalog.join(reg, F.col("tracker_run_id") == F.col("__rid"), "left")
     return j.withColumn("stage", F.coalesce(F.col("__stage"), F.lit(NO_STAGE))).drop("__rid", "__stage")
 
@@ -126,9 +131,13 @@ def active_set(activations: DataFrame) -> DataFrame:
 
 
 def purge(catalog: DataFrame, active: DataFrame, deletions: DataFrame):
-    """Remove deleted model ids from the catalog and from the active set (anti-joins)."""
+    """Remove deleted model ids: of each its newest run (ties: larger tracker id) from the catalog,
+    so an older run of the same version shows again, and the id from the active set."""
     d = deletions.select(F.col("model_id").alias("__del")).distinct()
-    cat = catalog.join(d, F.col("run_id") == F.col("__del"), "left_anti")
+    newest = catalog.groupBy(F.col("run_id").alias("__id")) \
+        .agg(F.max_by("tracker_run_id", F.struct("start_time", "tracker_run_id")).alias("__newest")) \
+        .join(d, F.col("__id") == F.col("__del"), "left_semi").select("__newest")
+    cat = catalog.join(newest, F.col("tracker_run_id") == F.col("__newest"), "left_anti")
     act = active.join(d, F.col("model_id") == F.col("__del"), "left_anti")
     return cat, act
 

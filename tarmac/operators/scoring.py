@@ -14,20 +14,19 @@ from tarmac.functions.columns import date_features, default_text, parse_model_id
 from tarmac.operators.keyed import enrich_distance, last_wins
 from tarmac.schemas import (REQUEST_SCHEMA, REQUIRED_REQUEST_FIELDS, RESPONSE_FIELDS, RESPONSE_SCHEMA,
                             STORED_RESPONSE_SCHEMA)
-from tarmac.sources.tables import sized_broadcast
 
 
 # ----- requests ------------------------------------------------------------
 
-def build_requests(forms: DataFrame, distances: DataFrame, uuid_col: Column | None = None,
+def build_requests(forms: DataFrame, distances: DataFrame | None, uuid_col: Column | None = None,
                    ts_col: Column | None = None) -> DataFrame:
     """Prediction forms to request records (REQUEST_SCHEMA order).
 
-    Distance by route lookup, day features from FlightDate, a timestamp and a
+    Distance by route lookup (null without a dimension, for callers that don't use it), day features from FlightDate, a timestamp and a
     UUID (given columns, or ``current_timestamp()`` / ``uuid()``), DepDelay as
     double, FlightNum and Carrier defaulted to "".
     """
-    df = enrich_distance(forms, distances)
+    df = forms.withColumn("Distance", F.lit(None).cast("double")) if distances is None else enrich_distance(forms, distances)
     days = date_features(F.col("FlightDate"))
     cols = {
         "Origin": F.col("Origin"),
@@ -85,17 +84,17 @@ def requested_models(df: DataFrame) -> DataFrame:
 
 # ----- pairing a batch of requests with models --------------------------------
 
-def pair_rows(requests: DataFrame, models: DataFrame, broadcast_limit: int = 100_000) -> DataFrame:
+def pair_rows(requests: DataFrame, models: DataFrame) -> DataFrame:
     """Per-row scope: each request pairs with the available models it asked for.
 
-    Explode, then equi-join to the model table (size-checked broadcast).
+    Explode, then equi-join to the model table (the planner picks the join by measured size).
     Output grows with the number of requested (request, model) pairs only.
     """
-    m = sized_broadcast(models.select(F.col("model_id").alias("__mid")).distinct(), broadcast_limit)
+    m = models.select(F.col("model_id").alias("__mid")).distinct()
     return requested_ids(requests).join(m, F.col("model_id") == F.col("__mid")).drop("__mid")
 
 
-def pair_batch(requests: DataFrame, models: DataFrame, batch: str, broadcast_limit: int = 100_000) -> DataFrame:
+def pair_batch(requests: DataFrame, models: DataFrame, batch: str) -> DataFrame:
     """Batch scope: every valid request in a micro-batch pairs with every available
     model requested by any row of that batch -- invalid rows included, since the
     ids are gathered from the whole batch before rows are filtered.
@@ -103,7 +102,7 @@ def pair_batch(requests: DataFrame, models: DataFrame, batch: str, broadcast_lim
     The requested (batch, model) set is reduced first (a distinct over the
     exploded ids), so the pairing join is rows x models-requested-in-their-batch.
     """
-    m = sized_broadcast(models.select(F.col("model_id").alias("__mid")).distinct(), broadcast_limit)
+    m = models.select(F.col("model_id").alias("__mid")).distinct()
     wanted = (requested_ids(requests.select(F.col(batch).alias("__b"), "model_ids"))
               .select("__b", "model_id").distinct()
               .join(m, F.col("model_id") == F.col("__mid")).drop("__mid"))

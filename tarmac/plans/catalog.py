@@ -124,7 +124,7 @@ def delay_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("date_features")
 def date_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = inputs.requests(spark, sf_dir)
+    r = inputs.requests(spark, sf_dir, distance=False)
     return r.select("UUID", _date_text("FlightDate"), "DayOfYear", "DayOfMonth", "DayOfWeek")
 
 
@@ -137,7 +137,7 @@ def model_ids_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("request_defaults")
 def request_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.requests(spark, sf_dir).select("UUID", "FlightNum", "Carrier")
+    return inputs.requests(spark, sf_dir, distance=False).select("UUID", "FlightNum", "Carrier")
 
 
 @query("request_json")
@@ -158,13 +158,13 @@ def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("valid_requests")
 def valid_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
+    r = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir, distance=False)))
     return r.select("UUID", "Route", "Carrier", "FlightNum")
 
 
 @query("requested_models")
 def requested_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.requested_models(inputs.requests(spark, sf_dir))
+    return scoring.requested_models(inputs.requests(spark, sf_dir, distance=False))
 
 
 @query("artifact_id")
@@ -216,7 +216,7 @@ def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_encode_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flight-fitted dictionaries applied to requests; unseen, null and "" map to numLabels."""
     _, idx = _fitted(spark, sf_dir)
-    r = scoring.with_route(inputs.requests(spark, sf_dir))
+    r = scoring.with_route(inputs.requests(spark, sf_dir, distance=False))
     out = ft.encode(r, idx.copy().setHandleInvalid("keep"))
     return out.select("UUID", "Carrier", "Origin", "Dest", "Route",
                       "Carrier_index", "Origin_index", "Dest_index", "Route_index")
@@ -379,14 +379,14 @@ def metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("score_scope_row")
 def score_scope_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
+    r = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir, distance=False)))
     return scoring.pair_rows(r, inputs.model_table(spark, sf_dir)).select("UUID", "model_id")
 
 
 @query("score_scope_batch")
 def score_scope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch scope with micro-batches cut by a 2-second processing trigger on request time."""
-    r = scoring.with_route(inputs.requests(spark, sf_dir)).withColumn("batch_id", inputs.trigger_batch())
+    r = scoring.with_route(inputs.requests(spark, sf_dir, distance=False)).withColumn("batch_id", inputs.trigger_batch())
     return scoring.pair_batch(r, inputs.model_table(spark, sf_dir), "batch_id").select("UUID", "model_id", "batch_id")
 
 
@@ -574,7 +574,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("request_stamp")
 def request_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests stamped live: random UUID and the current time as ISO text."""
-    r = scoring.build_requests(inputs.forms(spark, sf_dir), inputs.distance_dimension(spark, sf_dir))
+    r = scoring.build_requests(inputs.forms(spark, sf_dir), None)
     return r.select("UUID", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("Timestamp"),
                     F.replace("UUID", F.lit("-"), F.lit("")).alias("version_id"))
 

@@ -50,9 +50,12 @@ def forms(spark: SparkSession, sf_dir: str, model_id: str | None = None) -> Data
     return f.withColumn("model_ids", ids)
 
 
-def requests(spark: SparkSession, sf_dir: str, model_id: str | None = None) -> DataFrame:
-    """Request records as the web tier publishes them; UUID = event id, Timestamp = event time."""
-    return scoring.build_requests(forms(spark, sf_dir, model_id), distance_dimension(spark, sf_dir),
+def requests(spark: SparkSession, sf_dir: str, model_id: str | None = None, distance: bool = True) -> DataFrame:
+    """Request records as the web tier publishes them; UUID = event id, Timestamp = event time.
+
+    Without ``distance`` the flights are not read and Distance is null, for queries that don't use it.
+    """
+    return scoring.build_requests(forms(spark, sf_dir, model_id), distance_dimension(spark, sf_dir) if distance else None,
                                   uuid_col=F.col("event_id"), ts_col=F.col("ts"))
 
 

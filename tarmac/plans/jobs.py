@@ -44,12 +44,16 @@ def train_job(spark: SparkSession, input_path: str, root: str, num_trees: int =
 def serve_job(spark: SparkSession, root: str, out: str | None, checkpoint: str, kafka: str | None = None,
               topic: str = "request", requests_path: str | None = None, scope: str = "batch",
               available_now: bool = False, load_attempts: int = 10, load_wait_seconds: float = 5.0,
-              response_topic: str | None = None):
+              response_topic: str | None = None, max_offsets: int | None = sreq.MAX_OFFSETS_PER_TRIGGER,
+              max_files: int = 1):
     """Start the scoring stream: requests from Kafka (or a folder of JSON lines), responses
     per micro-batch to ``response_topic`` on the same brokers, or under ``out``.  A model
     that fails ``load_attempts`` loads (``load_wait_seconds`` apart) is skipped for that
     batch.  Returns the running query."""
-    raw = sreq.kafka_source(spark, kafka, topic) if kafka else sreq.file_source(spark, requests_path, max_files=1)
+    if not (out or (kafka and response_topic)):
+        raise ValueError("serve needs --out, or --kafka with --response-topic")
+    raw = sreq.kafka_source(spark, kafka, topic, max_offsets=max_offsets) if kafka \
+        else sreq.file_source(spark, requests_path, max_files=max_files)
     idx, va = scorer.wait_for_preprocessing(root)
     cache = scorer.ModelCache(lambda mid: models.load_forest(root, mid), attempts=load_attempts,
                               wait_seconds=load_wait_seconds)
@@ -60,11 +64,12 @@ def serve_job(spark: SparkSession, root: str, out: str | None, checkpoint: str,
 
 def response_store_job(spark: SparkSession, store: str, checkpoint: str, kafka: str | None = None,
                        topic: str = "response", responses_path: str | None = None,
-                       mode: str = "merge_on_read", available_now: bool = False):
+                       mode: str = "merge_on_read", available_now: bool = False, max_files: int = 1):
     """Consume response messages (Kafka topic, or a folder of JSON lines), keep those that
     are JSON objects with a UUID, and store them by uuid (last write wins)."""
     from tarmac.streaming import responses as sresp
-    raw = sreq.kafka_source(spark, kafka, topic) if kafka else sreq.file_source(spark, responses_path, max_files=1)
+    raw = sreq.kafka_source(spark, kafka, topic, max_offsets=None) if kafka \
+        else sreq.file_source(spark, responses_path, max_files=max_files)
     fn = sresp.log_batch(store) if mode == "merge_on_read" else sresp.upsert_batch(store)
     w = sresp.stored_rows(raw).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
         .outputMode("update")
@@ -93,22 +98,25 @@ def main(argv=None) -> None:
     s.add_argument("--requests")
     s.add_argument("--scope", default="batch", choices=["batch", "row"])
     s.add_argument("--response-topic")
+    s.add_argument("--max-offsets", type=int, default=sreq.MAX_OFFSETS_PER_TRIGGER)
+    s.add_argument("--max-files", type=int, default=1)
     r = sub.add_parser("store")
     r.add_argument("--store", required=True)
     r.add_argument("--checkpoint", required=True)
     r.add_argument("--kafka")
     r.add_argument("--topic", default="response")
     r.add_argument("--responses")
+    r.add_argument("--max-files", type=int, default=1)
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName(f"tarmac-{a.cmd}").getOrCreate()
+    spark = SparkSession.builder.appName(f"tarmac-{a.cmd}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.cmd == "train":
         m = train_job(spark, a.input, a.root, a.num_trees, a.max_depth, a.run_name, a.table, holdout=a.holdout)
         print(f"MODEL_VERSION={m.version} accuracy={m.accuracy:.4f}")
     elif a.cmd == "serve":
         serve_job(spark, a.root, a.out, a.checkpoint, a.kafka, a.topic, a.requests, a.scope,
-                  response_topic=a.response_topic).awaitTermination()
+                  response_topic=a.response_topic, max_offsets=a.max_offsets, max_files=a.max_files).awaitTermination()
     else:
-        response_store_job(spark, a.store, a.checkpoint, a.kafka, a.topic, a.responses).awaitTermination()
+        response_store_job(spark, a.store, a.checkpoint, a.kafka, a.topic, a.responses, max_files=a.max_files).awaitTermination()
 
 
 if __name__ == "__main__":

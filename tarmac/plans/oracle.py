@@ -314,7 +314,9 @@ QUALIFY row_number() OVER (PARTITION BY model_version ORDER BY start_time DESC,
     q["purge_models"] = _with(EV, RUNS, CATALOG, ACTIVE,
                               "dels AS (SELECT DISTINCT md5('model-' || CAST(user_id AS VARCHAR)) AS model_id "
                               "FROM ev WHERE event_type = 'error')") + """
-SELECT 'run' AS kind, run_id AS id FROM catalog c WHERE NOT EXISTS (SELECT 1 FROM dels d WHERE d.model_id = c.run_id)
+SELECT 'run' AS kind, run_id AS id
+FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY start_time DESC, tracker_run_id DESC) AS nth FROM catalog) c
+WHERE nth > 1 OR NOT EXISTS (SELECT 1 FROM dels d WHERE d.model_id = c.run_id)
 UNION ALL
 SELECT 'active', model_id FROM active a WHERE NOT EXISTS (SELECT 1 FROM dels d WHERE d.model_id = a.model_id)"""
     q["kv_map"] = _with(EV, RUNS) + """SELECT run_id, 'model_version' AS key, model_version AS value FROM runs

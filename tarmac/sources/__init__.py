@@ -10,4 +10,4 @@ from tarmac.sources.files import (  # noqa: F401
     read_table,
 )
 from tarmac.sources.flights import flight_view, read_flights_json, write_flights_json  # noqa: F401
-from tarmac.sources.tables import dim, sized_broadcast, table  # noqa: F401
+from tarmac.sources.tables import dim, table  # noqa: F401

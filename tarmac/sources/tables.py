@@ -22,17 +22,6 @@ def dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return F.broadcast(table(spark, sf_dir, name))
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; else leave it to a shuffle join.
-
-    Meant for stored sides (a dimension table, a checkpoint): the check reads at
-    most ``max_rows + 1`` rows of it.  Derived sides should be stored first
-    (see ``stored``) so the check does not recompute them.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 

@@ -42,7 +42,7 @@ def upsert_batch(store: str, keys: Sequence[str] = ("uuid",), order: Sequence[st
         touched = [r["__bucket"] for r in rows.select("__bucket").distinct().collect()]
         if not touched:
             return
-        if _has_data(spark, store):
+        if _has_entries(spark, store, "__bucket="):
             old = spark.read.parquet(store).filter(F.col("__bucket").isin(touched))
             merged = scoring.upsert(old, rows, keys, order)
         else:
@@ -54,12 +54,12 @@ def upsert_batch(store: str, keys: Sequence[str] = ("uuid",), order: Sequence[st
     return fn
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(1).count()
-        return True
-    except Exception:  # noqa: BLE001 - no store yet
-        return False
+def _has_entries(spark: SparkSession, path: str, prefix: str) -> bool:
+    """Whether the folder exists and holds entries with this prefix.  Any other failure is an error of the
+    batch: a store that cannot be read must not be taken for an empty one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(at)) and any(x.getPath().getName().startswith(prefix) for x in fs.listStatus(at))
 
 
 def log_batch(store: str):
@@ -79,20 +79,12 @@ def log_batch(store: str):
 
 def _snapshots(spark: SparkSession, store: str) -> list[int]:
     """Batch ids covered by finished snapshots, from the store's manifest (one row per snapshot)."""
-    if not _has_json(spark, os.path.join(store, "manifest")):
+    if not _has_entries(spark, os.path.join(store, "manifest"), "part-"):
         return []
     rows = spark.read.schema("upto long").json(os.path.join(store, "manifest")).collect()
     return sorted(r.upto for r in rows if r.upto is not None)
 
 
-def _has_json(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("upto long").json(path).limit(1).count()
-        return True
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return False
-
-
 def read_store(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",),
                order: Sequence[str] = ("batch", "model_id")) -> DataFrame:
     """Stored rows, one per key: the last write over the latest snapshot and newer log batches.
@@ -100,7 +92,7 @@ def read_store(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",),
     A bucketed copy-on-write store (``upsert_batch``) is read as it is.
     """
     fields = STORED_RESPONSE_SCHEMA.fieldNames()
-    if _has_data(spark, os.path.join(store, "log")) or _snapshots(spark, store):
+    if _has_entries(spark, os.path.join(store, "log"), "batch=") or _snapshots(spark, store):
         snaps = _snapshots(spark, store)
         parts = []
         upto = -1
@@ -108,7 +100,7 @@ def read_store(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",),
             upto = snaps[-1]
             parts.append(spark.read.parquet(os.path.join(store, "snapshot", f"upto={upto}"))
                          .withColumn("batch", F.lit(upto).cast("long")))
-        if _has_data(spark, os.path.join(store, "log")):
+        if _has_entries(spark, os.path.join(store, "log"), "batch="):
             log = spark.read.parquet(os.path.join(store, "log")).filter(F.col("batch") > upto)
             parts.append(log.select(*fields, F.col("batch").cast("long").alias("batch")))
         allrows = parts[0]

@@ -85,3 +85,18 @@ def test_ordinal_is_the_position_in_a_total_order(spark):
     out = keyed.ordinal(df, [F.col("v").desc()], "pos")
     got = [r.pos for r in out.orderBy(F.col("v").desc()).select("pos").collect()]
     assert got == list(range(50000))
+
+
+def test_run_registered_twice_keeps_last_entry(spark):
+    reg = spark.createDataFrame([("r2", "flight_delays", "1", "Staging"), ("r2", "flight_delays", "2", "Production")],
+                                REGISTRY_SCHEMA)
+    got = [(r.run_id, r.version, r.stage) for r in registry.with_registry(registry.run_catalog(_runs(spark)), reg).collect()]
+    assert sorted(got, key=str) == [("m2", "2", "Production"), ("r3", None, "None")]
+
+
+def test_purge_removes_newest_run_only(spark):
+    runs = _runs(spark).unionByName(spark.createDataFrame(
+        [("r4", None, "FINISHED", 5000, "active", [], [], [{"key": "model_version", "value": "m2"}])], RUN_SCHEMA))
+    none = spark.createDataFrame([], "model_id string, activated_at timestamp")
+    left, _ = registry.purge(registry.run_catalog(runs), none, spark.createDataFrame([("m2",)], "model_id string"))
+    assert {(r.run_id, r.tracker_run_id) for r in left.collect()} == {("m2", "r2"), ("r3", "r3")}
