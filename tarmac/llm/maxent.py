@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (
-    LOWER, U, arrays, held_out, mix, prefix_hash, span_hash, stored, table, text_slices, word_spans,
+    LOWER, SLICE_BYTES, U, arrays, held_out, mix, prefix_hash, span_hash, stored, table, text_slices, word_spans,
 )
 
 ENDINGS = 512
@@ -178,7 +178,7 @@ def count_rows(docs: DataFrame) -> DataFrame:
             return arrays([w.view(np.int64), e[at], pa.nulls(len(w), pa.int32()), n], COUNTS)
 
         for batch in batches:
-            for _, _, buf, offs in text_slices(batch.column("text")):
+            for _, _, buf, offs in text_slices(batch.column("text"), 4 * SLICE_BYTES):
                 word, ending, first = tokens(buf, offs)
                 held.append((word, ending))
                 size += len(word)
@@ -236,7 +236,7 @@ def train_round(docs: DataFrame, classes: Classes, weights: Weights) -> Weights:
         mine = Weights(given.w.copy(), given.bias, given.grown.copy())
         seen = 0
         for batch in batches:
-            for _, _, buf, offs in text_slices(batch.column("text")):
+            for _, _, buf, offs in text_slices(batch.column("text"), 4 * SLICE_BYTES):
                 cls, _, feats = cl.events(*tokens(buf, offs))
                 for a in range(0, len(cls), STEP):
                     mine.step(cls[a:a + STEP], feats[a:a + STEP])
@@ -328,7 +328,7 @@ def score_rows(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         log_n = np.log10(m.counts + ADD)
         for batch in batches:
-            for a, b, buf, offs in text_slices(batch.column("text")):
+            for a, b, buf, offs in text_slices(batch.column("text"), 4 * SLICE_BYTES):
                 word, ending, first = tokens(buf, offs)
                 cls, own, feats = m.classes.events(word, ending, first)
                 if len(m.words):
