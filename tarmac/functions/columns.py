@@ -1,6 +1,5 @@
-"""Scalar column expressions.
-
-Everything here stays inside whole-stage codegen: no Python UDFs.
+"""Scalar column expressions, all evaluated in the JVM: no Python UDFs.  Array lambdas (``transform``,
+``filter``) run outside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -67,11 +66,14 @@ def parse_model_ids(text="model_ids") -> Column:
     return F.filter(items, lambda x: F.length(x) > 0)
 
 
-def artifact_id(key="key") -> Column:
-    """Model id of an object key ``<prefix>/<name>.<...>.<id>.bin/...``; null otherwise."""
+def artifact_id(key="key", prefix: str = "") -> Column:
+    """Model id of an object key ``<folder>/<name>.<...>.<id>.bin/...``; null otherwise, and for
+    keys outside ``prefix``."""
     parts = F.split(_c(key), "/")
     dparts = F.split(F.try_element_at(parts, F.lit(2)), r"\.")
     ok = (F.size(parts) >= 2) & (F.size(dparts) >= 3) & (F.try_element_at(dparts, F.lit(-1)) == ARTIFACT_SUFFIX)
+    if prefix:
+        ok = ok & F.startswith(_c(key), F.lit(prefix))
     return F.when(ok, F.try_element_at(dparts, F.lit(-2)))
 
 
@@ -94,9 +96,14 @@ def to_bool_text(b) -> Column:
     return F.lower(_c(b).cast("string"))
 
 
-def display_id(tags_map, run_id="run_id") -> Column:
-    """Model version tag if present, else the run id."""
-    return F.coalesce(F.try_element_at(_c(tags_map), F.lit("model_version")), _c(run_id))
+def kv_get(entries, key: str) -> Column:
+    """Value of the last entry of ``key`` in a key-value list; null without one.  Builds no map."""
+    return F.try_element_at(F.filter(_c(entries), lambda x: x["key"] == F.lit(key)), F.lit(-1))["value"]
+
+
+def display_id(tags="tags", run_id="run_id") -> Column:
+    """Model version tag (of the tag list) if present, else the run id."""
+    return F.coalesce(kv_get(tags, "model_version"), _c(run_id))
 
 
 def short_name(name, fallback_id) -> Column:

@@ -50,7 +50,7 @@ def ordinal(df: DataFrame, order: Sequence[Column], name: str = "ordinal", parti
     """0-based position of every row in a total order, computed without a single-task window.
 
     Rows are range-partitioned and sorted by ``order``; each partition numbers its
-    own rows, and a per-partition count table (one row per partition, so its size
+    own rows (the low bits of the row id that Spark gives in partition order), and a per-partition count table (one row per partition, so its size
     is bounded by the partition count) gives every partition its starting offset.
     ``order`` must be a total order (ties would make positions arbitrary).  The
     numbered rows are stored once, so the counts and the join see the same
@@ -60,12 +60,12 @@ def ordinal(df: DataFrame, order: Sequence[Column], name: str = "ordinal", parti
     # keeps them in range order), so a small dictionary does not fan out to every
     # shuffle partition of the cluster.
     ranged = (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)) \
-        .withColumn("__pid", F.spark_partition_id())
-    local = stored(ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(*order))),
-                   "ordinal")
+        .sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    local = stored(ranged.withColumns({"__pid": F.shiftright("__id", 33),
+                                       "__rn": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__id"), "ordinal")
     sizes = local.groupBy("__pid").agg(F.count("*").alias("__n"))
     offsets = sizes.withColumn(
         "__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
     offsets = F.broadcast(offsets.select("__pid", F.coalesce("__off", F.lit(0)).alias("__off")))
-    out = local.join(offsets, "__pid").withColumn(name, F.col("__off") + F.col("__rn") - 1)
+    out = local.join(offsets, "__pid").withColumn(name, F.col("__off") + F.col("__rn"))
     return out.drop("__pid", "__rn", "__off")

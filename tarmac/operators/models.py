@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import os
 import time
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Bucketizer, StringIndexerModel, VectorAssembler
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.features import (FEATURES_COL, LABEL_COL, assembler, delay_bucketizer, encode,
                                        fit_indexers, with_route)
-from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES
+from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES, VECTOR_SLOTS
 
 # Reference training settings and artifact names.
 NUM_TREES = 20
@@ -24,15 +28,18 @@ MAX_BINS = 4657
 MAX_MEMORY_MB = 1024
 PREDICTION_COL = "Prediction"
 MODEL_DIR_PREFIX = "spark_random_forest_classifier.flight_delays."
-BUCKETIZER_DIR = "arrival_bucketizer.bin"
-INDEXERS_DIR = "string_indexer_model.bin"
-ASSEMBLER_DIR = "numeric_vector_assembler.bin"
+BUCKETIZER_PREFIX = "arrival_bucketizer."
+INDEXERS_PREFIX = "string_indexer_model."
+ASSEMBLER_PREFIX = "numeric_vector_assembler."
 METRICS_PREFIX = "accuracy."
 
 # Our choice: the forest seed is always set (PySpark's default depends on the process).
 DEFAULT_SEED = 42
 # Our choice: levels between checkpoints of the cached node ids.
 CHECKPOINT_INTERVAL = 10
+# Our choice: rows of a training partition.  Small inputs still get up to SPREAD partitions; large
+# ones get partitions of ROWS_PER_PARTITION rows (fixed-width rows, about 0.5 GB).
+SPREAD, SPREAD_ROWS, ROWS_PER_PARTITION = 64, 8_192, 4_000_000
 
 
 @dataclass
@@ -91,29 +98,37 @@ def evaluator_accuracy(predictions: DataFrame, label: str = LABEL_COL, predictio
                                              metricName="accuracy").evaluate(predictions)
 
 
+def training_partitions(rows: int) -> int:
+    """Partitions of a training input: a function of its row count only, never of the cluster."""
+    return max(1, min(math.ceil(rows / SPREAD_ROWS), SPREAD), math.ceil(rows / ROWS_PER_PARTITION))
+
+
 def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
           max_bins: int = MAX_BINS, max_memory_mb: int = MAX_MEMORY_MB, seed: int = DEFAULT_SEED,
           run_name: str = "RandomForest", version: str | None = None,
           checkpoint_input: bool = True, partitions: int | None = None,
           estimator: RandomForestClassifier | None = None, fit_bins: bool = False,
-          holdout: float = 0.0) -> TrainedModel:
+          holdout: float = 0.0, fit_slots=None) -> TrainedModel:
     """Fit the full chain and evaluate it (on the training rows, as the original does).
 
     ``estimator`` replaces the forest built from the settings (same columns).
     ``fit_bins`` sets maxBins to the smallest value the categories allow (largest
     dictionary + 1, at least 32); fewer bins make split finding cheaper.
 
-    The labelled rows (route and class added, only the nine source columns kept)
-    are spread evenly over ``partitions`` (default: the cluster's parallelism)
-    and stored as parquet in the shared checkpoint folder.  The indexer fit, the
-    forest's many passes and the evaluation all read those balanced stored rows,
-    so the upstream joins run once, and a lost executor re-reads the checkpoint
-    instead of replaying them.
+    The labelled rows (route and class added, only the nine source columns and a hash
+    of the whole flight record kept) are stored as parquet in the shared checkpoint folder,
+    so the upstream joins run once, and a lost executor re-reads the files instead of
+    replaying them.  For the forest they are dealt by that hash over ``partitions``
+    (default: by the number of rows) and sorted within them: bagging and split candidates
+    are drawn by partition and position, so the trees depend on the rows and the seed
+    only, not on the cores, the file layout or the order in which a shuffle arrives.
+
+    ``fit_slots``: the vector slots the forest may split on (the others are constant in
+    the fit); scoring always takes the whole vector.
 
     ``holdout`` (0 < h < 1) is our option: a seeded split of the stored rows keeps
     that share out of the forest fit and measures accuracy on it instead.  The
-    split is taken per partition of the stored files, so it repeats and needs no
-    shuffle; the label dictionaries are still fitted on all rows (unseen labels
+    split is taken per dealt partition, so it repeats; the label dictionaries are still fitted on all rows (unseen labels
     would map to ``numLabels`` otherwise).
     """
     if holdout and not 0.0 < holdout < 1.0:
@@ -121,17 +136,22 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     t0 = time.time()
     bucketizer = delay_bucketizer()
     base = bucketizer.transform(with_route(flights)).filter(F.col(LABEL_COL).isNotNull()) \
-        .select(LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
+        .select(LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, F.xxhash64(*flights.columns).alias("__spread"))
     if checkpoint_input:
         from tarmac.sources.tables import stored
-        spark = base.sparkSession
-        base = stored(base.repartition(partitions or spark.sparkContext.defaultParallelism), "train-input")
+        base = stored(base, "train-input")
     indexers = fit_indexers(base)
     va = assembler("error")
-    frame = va.transform(encode(base, indexers)).select(LABEL_COL, FEATURES_COL)
-    fit_rows, eval_rows = frame, frame
+    dealt = base.repartition(partitions or training_partitions(base.count()), "__spread") \
+        .sortWithinPartitions("__spread", LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
+    frame = va.transform(encode(dealt, indexers)).select(LABEL_COL, FEATURES_COL)
+    fit_rows = eval_rows = frame
+    if fit_slots:
+        held = {s: F.lit(0.0) for s in VECTOR_SLOTS if s not in fit_slots}
+        fit_rows = va.transform(encode(dealt, indexers).withColumns(held)).select(LABEL_COL, FEATURES_COL)
     if holdout:
-        fit_rows, eval_rows = frame.randomSplit([1.0 - holdout, holdout], seed=seed)
+        fit_rows, eval_rows = (fit_rows.randomSplit([1.0 - holdout, holdout], seed=seed)[0],
+                               frame.randomSplit([1.0 - holdout, holdout], seed=seed)[1])
     est = estimator or forest(num_trees, max_depth, max_bins, max_memory_mb, seed)
     from tarmac.session import checkpoint_root
     checkpoint_root(frame.sparkSession)   # node-id checkpoints go to the shared folder
@@ -165,16 +185,21 @@ def metric_record(spark: SparkSession, m: TrainedModel) -> DataFrame:
 
 def artifact_paths(root: str, version: str) -> dict[str, str]:
     return {
-        "bucketizer": os.path.join(root, BUCKETIZER_DIR),
-        "indexers": os.path.join(root, INDEXERS_DIR),
-        "assembler": os.path.join(root, ASSEMBLER_DIR),
+        "bucketizer": os.path.join(root, f"{BUCKETIZER_PREFIX}{version}.bin"),
+        "indexers": os.path.join(root, f"{INDEXERS_PREFIX}{version}.bin"),
+        "assembler": os.path.join(root, f"{ASSEMBLER_PREFIX}{version}.bin"),
         "forest": os.path.join(root, f"{MODEL_DIR_PREFIX}{version}.bin"),
         "metrics": os.path.join(root, f"{METRICS_PREFIX}{version}.json"),
     }
 
 
 def save(m: TrainedModel, root: str) -> dict[str, str]:
-    """Write every fitted artifact (overwrite) plus the metric record."""
+    """Write every fitted artifact (overwrite) plus the metric record.
+
+    The label dictionaries belong to the forest fitted on them, so every artifact is stored by
+    version: a later fit leaves earlier models as they were.  The forest is written after the
+    artifacts it needs, since its folder is what lists a version.
+    """
     p = artifact_paths(root, m.version)
     m.bucketizer.write().overwrite().save(p["bucketizer"])
     m.indexers.write().overwrite().save(p["indexers"])
@@ -188,24 +213,54 @@ def load_forest(root: str, version: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(artifact_paths(root, version)["forest"])
 
 
-def load_preprocessing(root: str):
-    p = artifact_paths(root, "")
+def load_preprocessing(root: str, version: str):
+    p = artifact_paths(root, version)
     idx = StringIndexerModel.load(p["indexers"]).setHandleInvalid("keep")
     va = VectorAssembler.load(p["assembler"])
     return idx, va
 
 
+@dataclass(frozen=True)
+class ServingModel:
+    """A stored version ready to score; ``dictionaries`` tells versions with equal label dictionaries."""
+    indexers: StringIndexerModel
+    assembler: VectorAssembler
+    forest: RandomForestClassificationModel
+    dictionaries: str
+
+
+def load_serving(root: str, version: str) -> ServingModel:
+    idx, va = load_preprocessing(root, version)
+    labels = repr([list(x) for x in idx.labelsArray])
+    return ServingModel(idx, va, load_forest(root, version), hashlib.md5(labels.encode()).hexdigest())
+
+
+def stored_versions(spark: SparkSession, root: str) -> list[str]:
+    """Versions with a stored forest: one listing of ``root``, empty if there is no such folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(n[len(MODEL_DIR_PREFIX):-len(".bin")] for n in names
+                  if n.startswith(MODEL_DIR_PREFIX) and n.endswith(".bin"))
+
+
+class LoadError(RuntimeError):
+    """An artifact could not be read in the allowed attempts."""
+
+
 def load_with_retry(loader, attempts: int = 10, wait_seconds: float = 5.0):
-    """Load an artifact, retrying; None after the last failed attempt (caller skips it)."""
+    """Load an artifact, retrying while Spark cannot read it (it may still be being written);
+    ``LoadError`` after the last attempt.  Other errors are not retried."""
     for i in range(attempts):
         try:
             return loader()
-        except Exception:  # noqa: BLE001 - any load failure is retried
-            if i + 1 < attempts:
-                time.sleep(wait_seconds)
-    return None
+        except (PySparkException, Py4JError, OSError) as e:
+            if i + 1 >= attempts:
+                raise LoadError(str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__) from e
+            time.sleep(wait_seconds)
+    raise LoadError("no attempt allowed")
 
 
 __all__ = ["TrainedModel", "forest", "featurize", "accuracy", "evaluator_accuracy", "train",
            "serving_features", "score", "metric_record", "save", "load_forest", "load_preprocessing",
-           "load_with_retry", "artifact_paths"]
+           "load_serving", "stored_versions", "load_with_retry", "artifact_paths"]

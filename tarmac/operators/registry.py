@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.columns import artifact_id, display_id, kv_last_wins, short_name, to_bool_text
+from tarmac.functions.columns import artifact_id, display_id, kv_get, kv_last_wins, short_name, to_bool_text
+from tarmac.operators.keyed import ordinal
 
 # Fixed values.
 MIN_ACCURACY = 0.60
@@ -17,6 +18,7 @@ ACTIVE_STAGE = "active"
 DELETED_STAGE = "deleted"
 NO_STAGE = "None"
 FINISHED = "FINISHED"
+MODEL_KEY_PREFIX = "models/spark_random_forest_classifier.flight_delays."
 
 
 def live_runs(runs: DataFrame) -> DataFrame:
@@ -24,26 +26,19 @@ def live_runs(runs: DataFrame) -> DataFrame:
     return runs.filter(F.coalesce(F.col("lifecycle_stage"), F.lit(ACTIVE_STAGE)) != DELETED_STAGE)
 
 
-def with_maps(runs: DataFrame) -> DataFrame:
-    """params / metrics / tags lists to maps, a repeated key keeping its last value."""
-    return runs.withColumns({"params": kv_last_wins("params"), "metrics": kv_last_wins("metrics"),
-                             "tags": kv_last_wins("tags")})
-
-
 def run_catalog(runs: DataFrame) -> DataFrame:
     """Live runs as model entries, newest first.
 
     run_id is the model version tag when present (that is the id scoring uses),
     else the tracker's run id; run_name defaults to the first 8 characters of it.
     """
-    r = with_maps(live_runs(runs))
-    disp = display_id(F.col("tags"), F.col("run_id"))
-    out = r.select(
+    disp = display_id("tags", "run_id")
+    out = live_runs(runs).select(
         disp.alias("model_id"),
         F.col("run_id").alias("tracker_run_id"),
         short_name(F.col("run_name"), disp).alias("run_name"),
-        "status", "start_time", "params", "metrics",
-        (F.coalesce(F.col("tags")["verified"], F.lit("false")) == F.lit("true")).alias("verified"),
+        "status", "start_time", kv_last_wins("params").alias("params"), kv_last_wins("metrics").alias("metrics"),
+        (F.coalesce(kv_get("tags", "verified"), F.lit("false")) == F.lit("true")).alias("verified"),
     )
     return out.withColumnRenamed("model_id", "run_id").orderBy(F.col("start_time").desc())
 
@@ -51,10 +46,12 @@ def run_catalog(runs: DataFrame) -> DataFrame:
 def with_registry(catalog: DataFrame, registry: DataFrame) -> DataFrame:
     """Attach registry name / version / stage by tracker run id; unregistered runs keep stage 'None'.
 
-    A run registered more than once keeps its last entry (by name, then version).
+    A run registered more than once keeps its last entry (by name, then version
+    number).
     """
     last = registry.groupBy(F.col("run_id").alias("__rid")) \
-        .agg(F.max_by(F.struct("name", "version", "stage"), F.struct("name", "version")).alias("__r"))
+        .agg(F.max_by(F.struct("name", "version", "stage"), F.struct("name", F.col("version").try_cast("long"), "version"))
+             .alias("__r"))
     reg = last.select("__rid", F.col("__r.name").alias("registered_name"), F.col("__r.version").alias("version"),
                       F.col("__r.stage").alias("__stage"))
     j = catalog.join(reg, F.col("tracker_run_id") == F.col("__rid"), "left")
@@ -62,8 +59,9 @@ def with_registry(catalog: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def artifact_times(artifacts: DataFrame) -> DataFrame:
-    """Latest modification time per model id among well-formed model keys."""
-    ids = artifacts.select(artifact_id("key").alias("model_id"), "last_modified").filter(F.col("model_id").isNotNull())
+    """Latest modification time per model id among well-formed keys under the forests' prefix
+    (other artifacts and folders hold keys that look alike)."""
+    ids = artifacts.select(artifact_id("key", MODEL_KEY_PREFIX).alias("model_id"), "last_modified").filter(F.col("model_id").isNotNull())
     return ids.groupBy("model_id").agg(F.max("last_modified").alias("last_modified"))
 
 
@@ -77,7 +75,7 @@ def latest_model(artifacts: DataFrame) -> DataFrame:
 def latest_version(runs: DataFrame) -> DataFrame:
     """Version of the newest live run that carries one (replaces a last-trained pointer file;
     ties on start time: larger version)."""
-    r = with_maps(live_runs(runs)).select("start_time", F.col("tags")["model_version"].alias("model_version"))
+    r = live_runs(runs).select("start_time", kv_get("tags", "model_version").alias("model_version"))
     r = r.filter(F.col("model_version").isNotNull())
     return r.agg(F.max_by("model_version", F.struct("start_time", "model_version")).alias("model_version"),
                  F.max("start_time").alias("start_time"))
@@ -97,20 +95,24 @@ def unregistered_models(artifacts: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def model_list(catalog_with_registry: DataFrame, unregistered: DataFrame) -> DataFrame:
-    """Catalog entries followed by unregistered models; absent columns are null."""
-    return catalog_with_registry.unionByName(unregistered, allowMissingColumns=True)
+    """Catalog entries, then unregistered models, each newest first (ties by id); absent columns are null.
+    ``position`` (from 0) is the place in that order."""
+    both = catalog_with_registry.withColumn("__part", F.lit(0)) \
+        .unionByName(unregistered.withColumn("__part", F.lit(1)), allowMissingColumns=True)
+    order = [F.col("__part").asc(), F.col("start_time").desc(), F.col("run_id").asc(), F.col("tracker_run_id").asc()]
+    return ordinal(both, order, "position").drop("__part").orderBy("position")
 
 
 def gate(runs: DataFrame, threshold: float = MIN_ACCURACY) -> DataFrame:
     """Quality gate: accuracy >= threshold gives verified 'true'."""
-    acc = kv_last_wins("metrics")["accuracy"]
+    acc = kv_get("metrics", "accuracy")
     return runs.select("run_id", acc.alias("accuracy"),
                        to_bool_text(acc >= F.lit(threshold)).alias("verified"))
 
 
 def run_by_version(runs: DataFrame) -> DataFrame:
     """Newest live run per model version tag (ties: larger run id)."""
-    r = with_maps(live_runs(runs)).select("run_id", "start_time", F.col("tags")["model_version"].alias("model_version"))
+    r = live_runs(runs).select("run_id", "start_time", kv_get("tags", "model_version").alias("model_version"))
     r = r.filter(F.col("model_version").isNotNull())
     return r.groupBy("model_version").agg(F.max_by("run_id", F.struct("start_time", "run_id")).alias("run_id"),
                                           F.max("start_time").alias("start_time"))

@@ -109,15 +109,19 @@ def pair_batch(requests: DataFrame, models: DataFrame, batch: str) -> DataFrame:
     return valid_requests(requests).join(wanted, F.col(batch) == F.col("__b")).drop("__b")
 
 
-def score_models(batch: DataFrame, models: Mapping[str, object], scope: str = "batch") -> DataFrame | None:
+def score_models(batch: DataFrame, models: Mapping[str, object], scope: str = "row") -> DataFrame:
     """Run each loaded model over the batch and stack the results with a ``model_id`` column.
 
-    ``batch`` scope scores every row with every model (reference behaviour);
-    ``row`` scope scores a row only with the models it asked for.  Models are
+    ``row`` scope scores a row only with the models it asked for; ``batch`` scope scores every
+    row with every model, so n rows naming n models give n x n responses (kept because the
+    original works so; opt in knowing that growth).  Without models the result is empty.  Models are
     separate transformers, so this is one transform per model and a union --
     no cross join.
     """
     out = None
+    if not models:
+        return batch.filter(F.lit(False)).withColumns({"Prediction": F.lit(None).cast("double"),
+                                                       "model_id": F.lit(None).cast("string")})
     for mid, model in models.items():
         rows = batch
         if scope == "row":

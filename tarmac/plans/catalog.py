@@ -17,13 +17,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.columns import (artifact_id as artifact_id_col, clean_run_id, kv_last_wins,
+from tarmac.functions.columns import (artifact_id as artifact_id_col, clean_run_id, kv_get, kv_last_wins,
                                       ms_to_seconds, parse_model_ids)
 from tarmac.operators import airports as ap
 from tarmac.operators import features as ft
 from tarmac.operators import keyed, models, registry, scoring
 from tarmac.plans import inputs
-from tarmac.schemas import METRIC_SCHEMA, REQUEST_SCHEMA
+from tarmac.schemas import METRIC_SCHEMA, REQUEST_SCHEMA, RESPONSE_FIELDS
 from tarmac.session import work_dir
 from tarmac.sinks import tables as sink
 from tarmac.sources import events as ev
@@ -95,9 +95,9 @@ def flight_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distance_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance dimension reloaded (overwrite) from the flight records; last record per route wins."""
     path = work_dir(spark, "distances")
-    n = sink.reload_dimension(inputs.distance_dimension(spark, sf_dir), path)
+    n, routes = sink.reload_distances(inputs.flights(spark, sf_dir, with_keys=True), LINE_KEYS, path)
     out = src_files.read_distances_json(spark, path)
-    return out.withColumn("loaded_rows", F.lit(n).cast("long"))
+    return out.withColumns({"loaded_rows": F.lit(n).cast("long"), "routes": F.lit(routes).cast("long")})
 
 
 @query("preview")
@@ -148,8 +148,11 @@ def request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("request_parse")
 def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request messages parsed back with the declared schema and flattened, Route added."""
-    msgs = scoring.to_json_value(inputs.requests(spark, sf_dir))
+    """Request messages parsed back with the declared schema and flattened, Route added; messages
+    that are not JSON give empty rows."""
+    junk = ev.events(spark, sf_dir).filter(F.col("event_type") == "error") \
+        .select(F.concat(F.lit("not json "), F.col("event_id").cast("string")).alias("value"))
+    msgs = scoring.to_json_value(inputs.requests(spark, sf_dir)).unionByName(junk)
     p = scoring.with_route(scoring.parse_requests(msgs))
     return p.select("UUID", "Origin", "Dest", "Carrier", "FlightNum", "DepDelay", "Distance",
                     "DayOfWeek", "DayOfYear", "DayOfMonth", F.unix_millis("Timestamp").alias("ts_ms"),
@@ -170,7 +173,7 @@ def requested_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("artifact_id")
 def artifact_id_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = ev.artifacts(spark, sf_dir)
-    return a.select("key", artifact_id_col("key").alias("model_id"))
+    return a.select("key", artifact_id_col("key", registry.MODEL_KEY_PREFIX).alias("model_id"))
 
 
 @query("run_id_clean")
@@ -300,7 +303,7 @@ def model_list(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("metrics")["accuracy"].alias("accuracy"), "verified", "stage", "version",
                       "registered_name")
     return registry.model_list(flat, un).select(
-        "run_id", "tracker_run_id", "run_name", "status", "start_time", "accuracy", "verified",
+        "position", "run_id", "tracker_run_id", "run_name", "status", "start_time", "accuracy", "verified",
         "stage", "version", "registered_name")
 
 
@@ -362,13 +365,13 @@ def kv_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("metric_record")
 def metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric records of live runs written as JSON and read back by schema."""
-    r = registry.with_maps(registry.live_runs(ev.runs(spark, sf_dir)))
+    r = registry.live_runs(ev.runs(spark, sf_dir))
     rec = r.select(
-        F.col("metrics")["accuracy"].alias("accuracy"),
-        F.coalesce(F.col("tags")["model_version"], F.col("run_id")).alias("model_version"),
-        F.col("params")["num_trees"].cast("int").alias("num_trees"),
-        F.col("params")["max_depth"].cast("int").alias("max_depth"),
-        F.col("params")["training_duration_seconds"].cast("long").alias("training_duration_seconds"),
+        kv_get("metrics", "accuracy").alias("accuracy"),
+        F.coalesce(kv_get("tags", "model_version"), F.col("run_id")).alias("model_version"),
+        kv_get("params", "num_trees").cast("int").alias("num_trees"),
+        kv_get("params", "max_depth").cast("int").alias("max_depth"),
+        kv_get("params", "training_duration_seconds").cast("long").alias("training_duration_seconds"),
         F.col("run_name"))
     path = work_dir(spark, "metrics")
     sink.append_json(rec.select(*METRIC_SCHEMA.fieldNames()), path)
@@ -390,36 +393,34 @@ def score_scope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.pair_batch(r, inputs.model_table(spark, sf_dir), "batch_id").select("UUID", "model_id", "batch_id")
 
 
-def baseline_forest(spark: SparkSession, sf_dir: str):
-    """A one-leaf forest (depth 0, one tree, no bootstrap): it predicts the training
-    majority class, so its scores can be checked in SQL.  Same chain as ``train``."""
+def day_tree(spark: SparkSession, sf_dir: str) -> models.TrainedModel:
+    """One unbagged tree that may split on DayOfMonth only and is deep enough to part all its values:
+    a row is given the commonest class of the flights of its day of the month (the smaller of equal
+    ones), which SQL can find.  Same chain as ``train``; scoring reads the whole vector."""
     rf = RandomForestClassifier(featuresCol=ft.FEATURES_COL, labelCol=ft.LABEL_COL,
-                                predictionCol=models.PREDICTION_COL, numTrees=1, maxDepth=0,
+                                predictionCol=models.PREDICTION_COL, numTrees=1, maxDepth=30,
                                 bootstrap=False, featureSubsetStrategy="all", maxBins=models.MAX_BINS,
                                 seed=models.DEFAULT_SEED)
-    m = models.train(inputs.flights(spark, sf_dir), estimator=rf, run_name="baseline",
-                     version=inputs.baseline_version_text(), fit_bins=True)
-    return m.indexers, m.assembler, m.forest
+    return models.train(inputs.flights(spark, sf_dir), estimator=rf, run_name=inputs.DAY_TREE, num_trees=1,
+                        max_depth=30, version=inputs.version_of(inputs.DAY_TREE), fit_bins=True,
+                        fit_slots=("DayOfMonth",))
 
 
-def _baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx, va, forest = baseline_forest(spark, sf_dir)
-    version = inputs.baseline_version_text()
-    reqs = scoring.with_route(inputs.requests(spark, sf_dir, model_id=version))
-    wanted = scoring.requested_models(reqs).filter(F.col("model_id") == version)   # from every row
-    loaded = {version: forest} if wanted.limit(1).count() else {}
-    feats = models.serving_features(scoring.valid_requests(reqs), idx, va)
-    return scoring.score_models(feats, loaded, scope="batch")
+def _tree_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = day_tree(spark, sf_dir)
+    reqs = scoring.with_route(inputs.requests(spark, sf_dir, model_id=m.version))
+    feats = models.serving_features(scoring.valid_requests(reqs), m.indexers, m.assembler)
+    return scoring.score_models(feats, {m.version: m.forest})
 
 
 @query("response_json")
 def response_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.response_json(_baseline_scored(spark, sf_dir))
+    return scoring.response_json(_tree_scored(spark, sf_dir))
 
 
 @query("response_rows")
 def response_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = scoring.response_json(_baseline_scored(spark, sf_dir))
+    msgs = scoring.response_json(_tree_scored(spark, sf_dir))
     return scoring.response_rows(scoring.parse_responses(msgs))
 
 
@@ -428,18 +429,18 @@ def response_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row pairs as unscored responses stored by uuid; the greater model id is written last."""
     r = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
     pairs = scoring.pair_rows(r, inputs.model_table(spark, sf_dir))
-    rows = scoring.response_rows(scoring.parse_responses(scoring.to_json_value(pairs.select(
-        *[c for c in ["UUID", "model_id", "Origin", "Dest", "Carrier", "FlightDate", "FlightNum", "DepDelay",
-                      "Distance", "Route", "DayOfYear", "DayOfMonth", "DayOfWeek"]]))))
+    empty = {"FlightDate": F.col("FlightDate").cast("string"), "Prediction": F.lit(None).cast("double"),
+             "Timestamp": F.lit(None).cast("string")}
+    rows = scoring.response_rows(pairs.withColumns(empty).select(*RESPONSE_FIELDS))
     return scoring.upsert(None, rows, keys=("uuid",), order=("model_id",))
 
 
 @query("accuracy")
 def accuracy_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training accuracy of the majority forest as avg(label = prediction)."""
-    idx, va, forest = baseline_forest(spark, sf_dir)
-    frame, *_ = models.featurize(inputs.flights(spark, sf_dir), indexers=idx)
-    pred = forest.transform(frame)
+    """Training accuracy of the day tree as avg(label = prediction)."""
+    m = day_tree(spark, sf_dir)
+    frame, *_ = models.featurize(inputs.flights(spark, sf_dir), indexers=m.indexers)
+    pred = m.forest.transform(frame)
     return pred.agg(F.avg((F.col(ft.LABEL_COL) == F.col(models.PREDICTION_COL)).cast("double")).alias("accuracy"),
                     F.count("*").alias("rows"))
 
@@ -457,7 +458,7 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("response_stream")
 def response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.streaming import responses as sresp
-    msgs = scoring.response_json(_baseline_scored(spark, sf_dir))
+    msgs = scoring.response_json(_tree_scored(spark, sf_dir))
     junk = ev.events(spark, sf_dir).filter(F.col("event_type").isin("signup", "error")).select(
         F.when(F.col("event_type") == "signup",
                F.concat(F.lit('{"note":"no uuid","n":'), F.col("event_id").cast("string"), F.lit("}")))
@@ -465,21 +466,23 @@ def response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sresp.run_response_stream(spark, msgs.unionByName(junk))
 
 
-# ----- forest training and scoring (rows-only checks) ------------------------------------
+# ----- forest training and scoring -----------------------------------------------------
 
 # Small forest settings for the registered queries; the reference settings are the
 # defaults of ``models.train``.
 SMALL_FOREST = {"num_trees": 5, "max_depth": 5, "max_bins": 1024}
+REGISTERED = "registered"
 
 
-def _trained(spark: SparkSession, sf_dir: str, run_name: str = "registered") -> models.TrainedModel:
-    return models.train(inputs.flights(spark, sf_dir), run_name=run_name, **SMALL_FOREST)
+def _trained(spark: SparkSession, sf_dir: str) -> models.TrainedModel:
+    return models.train(inputs.flights(spark, sf_dir), run_name=REGISTERED, version=REGISTERED, **SMALL_FOREST)
 
 
 @query("forest_train")
 def forest_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit the full chain (seeded), write its metric record, log the run with the
-    quality gate, and read it back through the run catalog."""
+    """Fit the full chain (bagged, seeded), write its metric record, log the run with the quality
+    gate, and read both back: the settings, whether the gate's tag fits the accuracy, and whether
+    the forest does at least as well as the commonest class."""
     import time
     start_ms = int(time.time() * 1000)
     m = _trained(spark, sf_dir)
@@ -487,75 +490,83 @@ def forest_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink.append_json(models.metric_record(spark, m), os.path.join(base, "metrics"))
     rec = src_files.read_metric_records(spark, os.path.join(base, "metrics"))
     sink.append_runs(registry.run_record(spark, m, start_ms, run_id=m.version[::-1]), os.path.join(base, "runs"))
-    cat = registry.run_catalog(spark.read.parquet(os.path.join(base, "runs"))).filter(F.col("run_id") == m.version)
+    cat = registry.run_catalog(spark.read.parquet(os.path.join(base, "runs")))
+    labels = ft.training_frame(inputs.flights(spark, sf_dir)).groupBy(ft.LABEL_COL).agg(F.count("*").alias("n"))
+    share = labels.agg((F.max("n") / F.sum("n")).alias("majority_share"), F.lit(m.version).alias("model_version"))
     return rec.join(cat.select(F.col("run_id").alias("model_version"), "verified", "status"), "model_version") \
-        .withColumn("total_nodes", F.lit(m.forest.totalNumNodes))
+        .join(share, "model_version").select(
+            "model_version", "num_trees", "max_depth", "run_name", "status", "majority_share",
+            (F.col("verified") == (F.col("accuracy") >= registry.MIN_ACCURACY)).alias("gate_agrees"),
+            (F.col("accuracy") >= F.col("majority_share")).alias("at_least_majority"))
 
 
 @query("forest_score")
 def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score every flight with a fitted forest: class, prediction, top probability."""
-    m = _trained(spark, sf_dir)
+    """Score every flight with the day tree: class, prediction, and whether the prediction is the
+    class of the greatest probability."""
+    m = day_tree(spark, sf_dir)
     frame, *_ = models.featurize(inputs.flights(spark, sf_dir), indexers=m.indexers)
     pred = models.score(m.forest, frame)
-    top = F.array_max(vector_to_array(F.col("probability")))
-    return pred.select("FlightNum", ft.LABEL_COL, models.PREDICTION_COL, top.alias("top_probability"))
+    prob = vector_to_array(F.col("probability"))
+    top = F.array_position(prob, F.array_max(prob)) - 1
+    return pred.select("FlightNum", ft.LABEL_COL, models.PREDICTION_COL,
+                       (top == F.col(models.PREDICTION_COL)).alias("top_is_prediction"))
 
 
-def _saved(spark: SparkSession, sf_dir: str):
-    m = _trained(spark, sf_dir)
+def _saved(spark: SparkSession, m: models.TrainedModel):
     base = work_dir(spark, "artifacts")
     root = os.path.join(base, "models")
     models.save(m, root)
-    return m, base, root
+    return base, root
 
 
 @query("artifact_roundtrip")
 def artifact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save every artifact, load them back, and score the flights with both copies."""
-    m, _, root = _saved(spark, sf_dir)
-    idx, va = models.load_preprocessing(root)
-    if [list(x) for x in idx.labelsArray] != [list(x) for x in m.indexers.labelsArray]:
-        raise AssertionError("reloaded label dictionaries differ")
-    loaded = models.load_forest(root, m.version)
-    frame = va.transform(ft.encode(ft.training_frame(inputs.flights(spark, sf_dir)), idx))
-    fitted = m.forest.transform(frame).select("FlightNum", ft.FEATURES_COL, F.col("Prediction").alias("p_fitted"))
-    both = loaded.transform(fitted).select("FlightNum", "p_fitted", F.col("Prediction").alias("p_loaded"))
-    return both
+    """Save every artifact of a bagged forest, load them back, and score each flight with both copies."""
+    m = _trained(spark, sf_dir)
+    _, root = _saved(spark, m)
+    loaded = models.load_serving(root, m.version)
+    frame = ft.training_frame(inputs.flights(spark, sf_dir))
+    fitted = m.forest.transform(m.assembler.transform(ft.encode(frame, m.indexers))) \
+        .select(*frame.columns, F.col("Prediction").alias("p_fitted"))
+    both = loaded.forest.transform(loaded.assembler.transform(ft.encode(fitted, loaded.indexers)))
+    return both.select("FlightNum", (F.col("p_fitted") == F.col("Prediction")).alias("same"))
 
 
 @query("artifact_listing")
 def artifact_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List saved artifacts (no file bodies read) and derive model ids from the keys."""
-    _, base, _ = _saved(spark, sf_dir)
+    """Saved artifacts from the listing of their files (no bodies read), with the model id of those
+    under the forests' prefix."""
+    base, _ = _saved(spark, day_tree(spark, sf_dir))
     keys = src_files.object_keys(src_files.list_objects(spark, base), base)
-    return keys.select("key", F.unix_millis(F.col("last_modified").cast("timestamp")).alias("last_modified_ms"),
-                       artifact_id_col("key").alias("model_id"))
+    return keys.select(F.split("key", "/")[1].alias("artifact"),
+                       artifact_id_col("key", registry.MODEL_KEY_PREFIX).alias("model_id")).distinct()
 
 
 @query("score_union")
 def score_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two models over the same requests (batch scope), results stacked."""
-    m = _trained(spark, sf_dir)
-    _, _, base_forest = baseline_forest(spark, sf_dir)
+    """Two models over the same requests (batch scope), results stacked: the day tree and a single leaf."""
+    m = day_tree(spark, sf_dir)
+    leaf = RandomForestClassifier(featuresCol=ft.FEATURES_COL, labelCol=ft.LABEL_COL,
+                                  predictionCol=models.PREDICTION_COL, numTrees=1, maxDepth=0, bootstrap=False,
+                                  featureSubsetStrategy="all", maxBins=models.MAX_BINS, seed=models.DEFAULT_SEED)
+    one = models.train(inputs.flights(spark, sf_dir), estimator=leaf, run_name=inputs.MAJORITY_MODEL,
+                       version=inputs.version_of(inputs.MAJORITY_MODEL), fit_bins=True)
     reqs = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
     # Stored once: each model's transform then reads the vectors instead of redoing the joins.
     feats = stored(models.serving_features(reqs, m.indexers, m.assembler), "score-union-input")
-    out = scoring.score_models(feats, {m.version: m.forest, inputs.baseline_version_text(): base_forest})
+    out = scoring.score_models(feats, {m.version: m.forest, one.version: one.forest}, scope="batch")
     return out.select("UUID", "model_id", models.PREDICTION_COL)
 
 
 def _stream_scored(spark: SparkSession, sf_dir: str, resume: bool = False) -> DataFrame:
     from tarmac.streaming import scorer
-    m, _, root = _saved(spark, sf_dir)
+    m = day_tree(spark, sf_dir)
+    _, root = _saved(spark, m)
     reqs = inputs.requests(spark, sf_dir, model_id=m.version)
     out, base = scorer.run_file_scoring(spark, reqs, root)
-    first = spark.read.text(out).count()
     if resume:
         out, _ = scorer.run_file_scoring(spark, reqs, root, base=base)
-        again = spark.read.text(out).count()
-        if again != first:
-            raise AssertionError(f"restart changed the output: {first} -> {again}")
     return scoring.response_rows(scoring.parse_responses(spark.read.text(out)))
 
 
@@ -573,11 +584,16 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("request_stamp")
 def request_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests stamped live: random UUID and the current time as ISO text."""
-    r = scoring.build_requests(inputs.forms(spark, sf_dir), None)
-    return r.select("UUID", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("Timestamp"),
-                    F.replace("UUID", F.lit("-"), F.lit("")).alias("version_id"))
+    """Requests stamped live (random UUID, current time as ISO text): how many there are, how many
+    different ids, and how many stamps have their form."""
+    r = scoring.build_requests(inputs.forms(spark, sf_dir), None).select(
+        "UUID", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+        F.replace("UUID", F.lit("-"), F.lit("")).alias("version_id"))
+    return r.agg(F.count("*").alias("requests"), F.countDistinct("UUID").alias("distinct_ids"),
+                 F.count_if(F.col("UUID").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("uuid_form"),
+                 F.count_if(F.col("version_id").rlike("^[0-9a-f]{32}$")).alias("version_form"),
+                 F.count_if(F.col("ts").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$")).alias("time_form"))
 
 
 QUERY_NAMES = sorted(QUERIES)
-__all__ = ["QUERIES", "QUERY_NAMES", "baseline_forest"]
+__all__ = ["QUERIES", "QUERY_NAMES", "day_tree"]

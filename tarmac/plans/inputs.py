@@ -12,16 +12,17 @@ from tarmac.sources import events as ev
 from tarmac.sources.flights import LINE_KEYS, flight_view
 from tarmac.sources.tables import stored
 
-# Id of the majority-class forest used where predictions are checked
-# against SQL, and the id requested for a model that does not exist.
-BASELINE_MODEL = "baseline-majority"
+# The tree and the one-leaf model whose predictions are checked against SQL, and the
+# id requested for a model that does not exist.
+DAY_TREE = "day-tree"
+MAJORITY_MODEL = "majority"
 MISSING_MODEL = "missing-model"
 TRIGGER_SECONDS = 2
 
 
-def baseline_version_text() -> str:
-    """Version id of the majority-class forest (md5 of its name, like a 32-hex model id)."""
-    return hashlib.md5(BASELINE_MODEL.encode()).hexdigest()
+def version_of(name: str) -> str:
+    """Version id of a named model (md5 of its name, like a 32-hex model id)."""
+    return hashlib.md5(name.encode()).hexdigest()
 
 
 def flights(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@
         [--num-trees 20] [--max-depth 10] [--run-name RandomForest] [--table flight_delays]
     python -m tarmac.plans.jobs serve --root <artifact folder> --checkpoint <folder>
         (--kafka host:port --topic request [--response-topic response] | --requests <folder>) [--out <folder>]
+        [--scope row|batch] [--failures <folder>]
     python -m tarmac.plans.jobs store --store <folder> --checkpoint <folder>
         (--kafka host:port --topic response | --responses <folder of JSON lines>)
 """
@@ -42,23 +43,26 @@ def train_job(spark: SparkSession, input_path: str, root: str, num_trees: int =
 
 
 def serve_job(spark: SparkSession, root: str, out: str | None, checkpoint: str, kafka: str | None = None,
-              topic: str = "request", requests_path: str | None = None, scope: str = "batch",
+              topic: str = "request", requests_path: str | None = None, scope: str = "row",
               available_now: bool = False, load_attempts: int = 10, load_wait_seconds: float = 5.0,
               response_topic: str | None = None, max_offsets: int | None = sreq.MAX_OFFSETS_PER_TRIGGER,
-              max_files: int = 1):
+              max_files: int = 1, failures: str | None = None, on_failure: str = "record"):
     """Start the scoring stream: requests from Kafka (or a folder of JSON lines), responses
-    per micro-batch to ``response_topic`` on the same brokers, or under ``out``.  A model
-    that fails ``load_attempts`` loads (``load_wait_seconds`` apart) is skipped for that
-    batch.  Returns the running query."""
+    per micro-batch to ``response_topic`` on the same brokers, or under ``out``.  A requested
+    model that is not stored, or that fails ``load_attempts`` loads (``load_wait_seconds`` apart),
+    leaves one row per batch under ``failures`` (default: beside the checkpoint), or fails the
+    batch with ``on_failure="fail"``.  Returns the running query."""
     if not (out or (kafka and response_topic)):
         raise ValueError("serve needs --out, or --kafka with --response-topic")
     raw = sreq.kafka_source(spark, kafka, topic, max_offsets=max_offsets) if kafka \
         else sreq.file_source(spark, requests_path, max_files=max_files)
-    idx, va = scorer.wait_for_preprocessing(root)
-    cache = scorer.ModelCache(lambda mid: models.load_forest(root, mid), attempts=load_attempts,
+    scorer.wait_for_models(spark, root)
+    cache = scorer.ModelCache(lambda mid: models.load_serving(root, mid),
+                              lambda: models.stored_versions(spark, root), attempts=load_attempts,
                               wait_seconds=load_wait_seconds)
+    failures = failures or checkpoint.rstrip("/") + "-failures"
     sink = scorer.kafka_publisher(kafka, response_topic) if (kafka and response_topic) else out
-    return scorer.start(sreq.parsed_requests(raw), scorer.batch_scorer(cache, idx, va, sink, scope), checkpoint,
+    return scorer.start(sreq.parsed_requests(raw), scorer.batch_scorer(cache, sink, scope, failures, on_failure), checkpoint,
                         available_now=available_now)
 
 
@@ -96,7 +100,9 @@ def main(argv=None) -> None:
     s.add_argument("--kafka")
     s.add_argument("--topic", default="request")
     s.add_argument("--requests")
-    s.add_argument("--scope", default="batch", choices=["batch", "row"])
+    s.add_argument("--scope", default="row", choices=["batch", "row"])
+    s.add_argument("--failures")
+    s.add_argument("--on-failure", default="record", choices=["record", "fail"])
     s.add_argument("--response-topic")
     s.add_argument("--max-offsets", type=int, default=sreq.MAX_OFFSETS_PER_TRIGGER)
     s.add_argument("--max-files", type=int, default=1)
@@ -114,7 +120,8 @@ def main(argv=None) -> None:
         print(f"MODEL_VERSION={m.version} accuracy={m.accuracy:.4f}")
     elif a.cmd == "serve":
         serve_job(spark, a.root, a.out, a.checkpoint, a.kafka, a.topic, a.requests, a.scope,
-                  response_topic=a.response_topic, max_offsets=a.max_offsets, max_files=a.max_files).awaitTermination()
+                  response_topic=a.response_topic, max_offsets=a.max_offsets, max_files=a.max_files, failures=a.failures,
+                  on_failure=a.on_failure).awaitTermination()
     else:
         response_store_job(spark, a.store, a.checkpoint, a.kafka, a.topic, a.responses, max_files=a.max_files).awaitTermination()
 

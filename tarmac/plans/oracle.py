@@ -11,12 +11,13 @@ from __future__ import annotations
 import hashlib
 
 # Same fixed values as the Spark side states them.
-BASELINE_ID = hashlib.md5(b"baseline-majority").hexdigest()
+TREE_ID = hashlib.md5(b"day-tree").hexdigest()
+MAJORITY_ID = hashlib.md5(b"majority").hexdigest()
 MISSING_ID = "missing-model"
 ART_PREFIX = "models/spark_random_forest_classifier.flight_delays."
 
 FLIGHTS = """flights AS (
-  SELECT CAST(datediff('day', o.o_orderdate, l.l_shipdate) AS DOUBLE) AS ArrDelay,
+  SELECT CASE WHEN l.l_quantity <> 50 THEN CAST(datediff('day', o.o_orderdate, l.l_shipdate) AS DOUBLE) END AS ArrDelay,
          o.o_orderdate AS CRSDepTime, l.l_shipdate AS CRSArrTime, l.l_returnflag AS Carrier,
          CAST(day(o.o_orderdate) AS INTEGER) AS DayOfMonth,
          CAST(isodow(o.o_orderdate) - 1 AS INTEGER) AS DayOfWeek,
@@ -55,7 +56,8 @@ def forms(model_id: str | None = None) -> str:
     else:
         a, b = f"'{model_id}'", f"'{MISSING_ID}'"
     return f"""forms AS (
-  SELECT e.event_id, e.ts, cn.n_name AS Origin, sn.n_name AS Dest,
+  SELECT e.event_id, e.ts, CASE WHEN e.k >= 3 THEN cn.n_name END AS Origin,
+    CASE WHEN e.k >= 97 THEN 'UNKNOWN' ELSE sn.n_name END AS Dest,
     CASE e.event_type WHEN 'purchase' THEN 'A' WHEN 'view' THEN 'N' WHEN 'click' THEN 'R'
                       WHEN 'signup' THEN '' END AS Carrier,
     e.value - CAST(25 AS DOUBLE) AS DepDelay, strftime(e.ts, '%Y-%m-%d') AS FlightDate,
@@ -96,6 +98,10 @@ def req_base(model_id: str | None = None) -> str:
 
 
 ARTS = f"""arts AS (SELECT CASE
+    WHEN e.event_type = 'click' AND e.event_id % 2 = 0
+      THEN 'models/arrival_bucketizer_1.0.bin/part-' || CAST(e.event_id AS VARCHAR)
+    WHEN e.event_type = 'error' AND e.event_id % 2 = 0
+      THEN 'backup/a.b.zzz.bin/part-' || CAST(e.event_id AS VARCHAR)
     WHEN e.event_type = 'purchase' THEN '{ART_PREFIX}' || md5('orphan-' || CAST(e.k AS VARCHAR))
          || '.bin/part-' || CAST(e.event_id AS VARCHAR)
     WHEN e.event_type = 'click' THEN 'models/' || {_m('e.user_id')} || '.bin'
@@ -103,7 +109,7 @@ ARTS = f"""arts AS (SELECT CASE
     ELSE '{ART_PREFIX}' || {_m('e.user_id')} || '.bin/part-' || CAST(e.event_id AS VARCHAR) END AS key,
   e.ts AS last_modified FROM ev e)"""
 
-ART_ID = """CASE WHEN len(string_split(key, '/')) >= 2
+ART_ID = f"""CASE WHEN starts_with(key, '{ART_PREFIX}') AND len(string_split(key, '/')) >= 2
    AND len(string_split(string_split(key, '/')[2], '.')) >= 3
    AND string_split(string_split(key, '/')[2], '.')[-1] = 'bin'
   THEN string_split(string_split(key, '/')[2], '.')[-2] END"""
@@ -133,10 +139,15 @@ CATALOG = """catalog AS (SELECT coalesce(model_version, run_id) AS run_id, run_i
 REG = """reg AS (SELECT md5('run-' || CAST(event_id AS VARCHAR)) AS run_id, 'flight_delays' AS name,
     CAST(event_id AS VARCHAR) AS version,
     CASE WHEN value >= 45 THEN 'Production' ELSE 'Staging' END AS stage
-  FROM ev WHERE event_type = 'purchase')"""
+  FROM ev WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT md5('run-' || CAST(event_id AS VARCHAR)), 'flight_delays', CAST(event_id + 1 AS VARCHAR), 'Archived'
+  FROM ev WHERE event_type = 'purchase' AND event_id % 5 = 0)"""
 
 CAT_REG = """cat_reg AS (SELECT c.*, coalesce(r.stage, 'None') AS stage, r.version, r.name AS registered_name
-  FROM catalog c LEFT JOIN reg r ON c.tracker_run_id = r.run_id)"""
+  FROM catalog c LEFT JOIN (
+    SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY CAST(version AS BIGINT) DESC) = 1) r
+  ON c.tracker_run_id = r.run_id)"""
 
 UNREG = """unreg AS (SELECT model_id AS run_id, substr(model_id, 1, 8) AS run_name, 'FINISHED' AS status,
     (epoch_us(last_modified) // 1000) AS start_time, 'None' AS stage
@@ -154,6 +165,10 @@ MODELS = "models AS (SELECT DISTINCT model_id FROM times)"
 MAJORITY = """maj AS (SELECT ArrDelayBucket AS p FROM tf GROUP BY ArrDelayBucket
   ORDER BY count(*) DESC, ArrDelayBucket ASC LIMIT 1)"""
 
+# The commonest class of each day of the month, the smaller of equal ones.
+TREE = """tree AS (SELECT DayOfMonth AS day, ArrDelayBucket AS p, count(*) AS hits FROM tf GROUP BY DayOfMonth, ArrDelayBucket
+  QUALIFY row_number() OVER (PARTITION BY DayOfMonth ORDER BY count(*) DESC, ArrDelayBucket ASC) = 1)"""
+
 
 def dicts() -> str:
     parts = []
@@ -211,10 +226,9 @@ RESPONSE_JSON = json_obj(
     _json_str("Route", "Route"), _json_num("DayOfYear", "DayOfYear"), _json_num("DayOfMonth", "DayOfMonth"),
     _json_num("DayOfWeek", "DayOfWeek"), _json_dbl("Prediction", "Prediction"), _json_ts("Timestamp", "Timestamp"))
 
-# Baseline-scored responses: requests pointed at the majority forest; every valid row gets
-# its prediction when any valid row asked for it (batch scope).
-SCORED = f"""scored AS (SELECT v.*, '{BASELINE_ID}' AS model_id, (SELECT p FROM maj) AS Prediction FROM valid v
-  WHERE EXISTS (SELECT 1 FROM requests w, unnest({ids_of('w.model_ids')}) AS t(mid) WHERE t.mid = '{BASELINE_ID}'))"""
+# Scored responses: requests pointed at the day tree; a valid row that asked for it gets its prediction.
+SCORED = f"""scored AS (SELECT v.*, '{TREE_ID}' AS model_id, t.p AS Prediction FROM valid v JOIN tree t ON v.DayOfMonth = t.day
+  WHERE list_contains({ids_of('v.model_ids')}, '{TREE_ID}'))"""
 
 STORED_FROM_SCORED = f"""SELECT UUID AS uuid, CAST(Prediction AS INTEGER) AS prediction, model_id, Origin AS origin,
     Dest AS dest, DepDelay AS dep_delay, Carrier AS carrier, strftime(FlightDate, '%Y-%m-%d') AS flight_date,
@@ -242,7 +256,8 @@ GROUP BY Route, ArrDelayBucket"""
     q["scan_json_schema"] = _with(FLIGHTS) + f"SELECT {_flight_cols()} FROM flights"
     q["flight_table"] = q["scan_json_schema"]
     q["distance_dim"] = _with(FLIGHTS, DIST) + \
-        "SELECT Origin, Dest, Distance, (SELECT count(*) FROM dist) AS loaded_rows FROM dist"
+        "SELECT Origin, Dest, Distance, (SELECT count(*) FROM flights) AS loaded_rows," \
+        " (SELECT count(*) FROM dist) AS routes FROM dist"
     q["preview"] = _with(FLIGHTS) + """SELECT FlightNum, Origin, Dest, Origin || '-' || Dest AS Route, ArrDelay,
   l_orderkey, l_linenumber, l_partkey, l_suppkey FROM flights
 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 6"""
@@ -256,7 +271,9 @@ ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 6"""
     q["request_json"] = _with(req_base()) + f"SELECT UUID, {REQUEST_JSON} AS value FROM requests"
     q["request_parse"] = _with(req_base()) + """SELECT UUID, Origin, Dest, Carrier, FlightNum, DepDelay, Distance,
   DayOfWeek, DayOfYear, DayOfMonth, (epoch_us(Timestamp) // 1000) AS ts_ms, strftime(FlightDate, '%Y-%m-%d') AS FlightDate,
-  model_ids, Origin || '-' || Dest AS Route FROM requests"""
+  model_ids, Origin || '-' || Dest AS Route FROM requests
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM ev WHERE event_type = 'error'"""
     q["valid_requests"] = _with(req_base(), VALID) + "SELECT UUID, Route, Carrier, FlightNum FROM valid"
     q["requested_models"] = _with(req_base()) + f"""SELECT DISTINCT model_id FROM requests,
   unnest({ids_of('model_ids')}) AS t(model_id) WHERE model_ids IS NOT NULL"""
@@ -296,10 +313,12 @@ ORDER BY code LIMIT 50"""
     q["run_registry"] = _with(EV, RUNS, CATALOG, REG, CAT_REG) + \
         "SELECT run_id, tracker_run_id, stage, version, registered_name FROM cat_reg"
     q["unregistered_models"] = _with(EV, RUNS, CATALOG, ARTS, TIMES, UNREG) + "SELECT * FROM unreg"
-    q["model_list"] = _with(EV, RUNS, CATALOG, REG, CAT_REG, ARTS, TIMES, UNREG) + """SELECT run_id, tracker_run_id,
-  run_name, status, start_time, accuracy, verified, stage, version, registered_name FROM cat_reg
-UNION ALL
-SELECT run_id, NULL, run_name, status, start_time, NULL, NULL, stage, NULL, NULL FROM unreg"""
+    q["model_list"] = _with(EV, RUNS, CATALOG, REG, CAT_REG, ARTS, TIMES, UNREG) + """SELECT * EXCLUDE (part),
+  row_number() OVER (ORDER BY part, start_time DESC, run_id, tracker_run_id) - 1 AS position FROM (
+  SELECT run_id, tracker_run_id, run_name, status, start_time, accuracy, verified, stage, version, registered_name,
+    0 AS part FROM cat_reg
+  UNION ALL
+  SELECT run_id, NULL, run_name, status, start_time, NULL, NULL, stage, NULL, NULL, 1 FROM unreg)"""
     q["model_gate"] = _with(EV, RUNS) + "SELECT run_id, accuracy, verified_text AS verified FROM runs"
     q["latest_model"] = _with(EV, ARTS, TIMES) + """SELECT model_id, epoch_us(last_modified) AS last_modified
 FROM times ORDER BY last_modified DESC, model_id DESC LIMIT 1"""
@@ -336,10 +355,25 @@ FROM runs WHERE coalesce(lifecycle_stage, 'active') <> 'deleted'"""
   unnest({ids_of('rb.model_ids')}) AS t(model_id)
   WHERE rb.model_ids IS NOT NULL AND t.model_id IN (SELECT model_id FROM models))""") + \
         "SELECT vb.UUID, w.model_id, vb.batch_id FROM vb JOIN wanted w ON vb.batch_id = w.batch_id"
-    scored = _with(req_base(BASELINE_ID), VALID, TF, MAJORITY, SCORED)
+    scored = _with(req_base(TREE_ID), VALID, TF, TREE, SCORED)
     q["response_json"] = scored + f"SELECT {RESPONSE_JSON} AS value FROM scored"
     q["response_rows"] = scored + STORED_FROM_SCORED
-    q["response_stream"] = q["response_rows"]
+    q["response_stream"] = q["stream_score"] = q["stream_resume"] = q["response_rows"]
+    q["score_union"] = _with(req_base(), VALID, TF, TREE, MAJORITY) + f"""
+SELECT UUID, '{TREE_ID}' AS model_id, p AS Prediction FROM valid JOIN tree ON DayOfMonth = day
+UNION ALL SELECT UUID, '{MAJORITY_ID}', (SELECT p FROM maj) FROM valid"""
+    q["forest_score"] = _with(FLIGHTS, TF, TREE) + """SELECT FlightNum, ArrDelayBucket, p AS Prediction,
+  true AS top_is_prediction FROM tf JOIN tree ON DayOfMonth = day"""
+    q["forest_train"] = _with(FLIGHTS, TF, MAJORITY) + """SELECT 'registered' AS model_version, 5 AS num_trees, 5 AS max_depth,
+  'registered' AS run_name, 'FINISHED' AS status, true AS gate_agrees, true AS at_least_majority,
+  CAST(count(*) FILTER (WHERE ArrDelayBucket = (SELECT p FROM maj)) AS DOUBLE) / count(*) AS majority_share FROM tf"""
+    q["artifact_roundtrip"] = _with(FLIGHTS, TF) + "SELECT FlightNum, true AS same FROM tf"
+    q["artifact_listing"] = f"""SELECT artifact, CASE WHEN artifact LIKE 'spark_random%' THEN '{TREE_ID}' END AS model_id
+FROM (VALUES ('arrival_bucketizer.{TREE_ID}.bin'), ('string_indexer_model.{TREE_ID}.bin'),
+  ('numeric_vector_assembler.{TREE_ID}.bin'), ('spark_random_forest_classifier.flight_delays.{TREE_ID}.bin'),
+  ('accuracy.{TREE_ID}.json')) AS t(artifact)"""
+    q["request_stamp"] = """SELECT count(*) AS requests, count(*) AS distinct_ids, count(*) AS uuid_form,
+  count(*) AS version_form, count(*) AS time_form FROM events"""
     q["response_upsert"] = _with(req_base(), VALID, ARTS, TIMES, MODELS, f"pairs AS ({pairs})") + """
 SELECT v.UUID AS uuid, 0 AS prediction, p.model_id, v.Origin AS origin, v.Dest AS dest, v.DepDelay AS dep_delay,
   v.Carrier AS carrier, strftime(v.FlightDate, '%Y-%m-%d') AS flight_date, v.FlightNum AS flight_num,
@@ -347,8 +381,8 @@ SELECT v.UUID AS uuid, 0 AS prediction, p.model_id, v.Origin AS origin, v.Dest A
   v.DayOfWeek AS day_of_week, '' AS timestamp
 FROM valid v JOIN pairs p ON v.UUID = p.UUID
 QUALIFY row_number() OVER (PARTITION BY v.UUID ORDER BY p.model_id DESC) = 1"""
-    q["accuracy"] = _with(FLIGHTS, TF, MAJORITY) + """SELECT avg(CAST(ArrDelayBucket = (SELECT p FROM maj) AS DOUBLE))
-  AS accuracy, count(*) AS rows FROM tf"""
+    q["accuracy"] = _with(FLIGHTS, TF, TREE) + """SELECT avg(CAST(ArrDelayBucket = p AS DOUBLE)) AS accuracy, count(*) AS rows
+FROM tf JOIN tree ON DayOfMonth = day"""
     q["request_stream"] = _with(req_base()) + """SELECT UUID, Origin, Dest, Origin || '-' || Dest AS Route, Carrier,
   FlightNum, DepDelay, Distance, (epoch_us(Timestamp) // 1000) AS ts_ms, model_ids FROM requests"""
     return q

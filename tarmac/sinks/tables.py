@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def v2_catalog(spark: SparkSession, name: str) -> str | None:
+    """The configured V2 catalog that a table name of two or more parts begins with, else None
+    (then the first part is a schema of the session catalog)."""
+    parts = name.split(".")
+    if len(parts) > 1 and parts[0] != "spark_catalog" and spark.conf.get(f"spark.sql.catalog.{parts[0]}", None):
+        return parts[0]
+    return None
+
+
 def create_or_replace(df: DataFrame, name: str, path: str | None = None) -> None:
     """Create or replace a table by name.
 
@@ -13,8 +24,7 @@ def create_or_replace(df: DataFrame, name: str, path: str | None = None) -> None
     the session catalog refuses that, so there the table is overwritten with
     ``saveAsTable`` at an explicit location.
     """
-    catalog = name.split(".")[0] if name.count(".") >= 2 else None
-    if catalog and catalog != "spark_catalog":
+    if v2_catalog(df.sparkSession, name):
         df.writeTo(name).createOrReplace()
         return
     w = df.write.mode("overwrite").format("parquet")
@@ -23,13 +33,18 @@ def create_or_replace(df: DataFrame, name: str, path: str | None = None) -> None
     w.saveAsTable(name)
 
 
-def reload_dimension(df: DataFrame, path: str) -> int:
-    """Truncate-and-reload a dimension as JSON lines; returns the loaded row count.
+def reload_distances(records: DataFrame, order: Sequence[str], path: str) -> tuple[int, int]:
+    """Truncate-and-reload the distance dimension as JSON lines, a later record (by ``order``) of a route
+    overwriting earlier ones; returns (records loaded, routes kept).
 
-    The count is taken from the written files, so it is what a reader will see.
+    Each written row carries the number of records its route had (a reader with the declared schema
+    leaves it out), so both counts come from the written files and a retried task cannot skew them.
     """
-    df.write.mode("overwrite").json(path)
-    return df.sparkSession.read.schema(df.schema).json(path).count()
+    ordering = F.struct(*order, "Distance")
+    records.groupBy("Origin", "Dest").agg(F.max_by("Distance", ordering).alias("Distance"),
+                                          F.count("*").alias("records")).write.mode("overwrite").json(path)
+    n = records.sparkSession.read.schema("records long").json(path).agg(F.sum("records"), F.count("*")).first()
+    return n[0] or 0, n[1]
 
 
 def append_json(df: DataFrame, path: str) -> None:

@@ -4,7 +4,8 @@ Each event stands for one user action.  The mapping below is fixed, so the
 same rows can be rebuilt in SQL for the oracle.
 
 Prediction form (one per event):
-  Origin = nation of customer ``user_id``; Dest = nation of supplier ``props.k``;
+  Origin = nation of customer ``user_id`` (missing for k below 3); Dest = nation of supplier
+  ``props.k`` (an airport that no flight knows for k of 97 and more);
   Carrier by event type; DepDelay = value - 25; FlightDate = day of ``ts``;
   FlightNum = user id; requested model ids by event type.
 
@@ -26,10 +27,14 @@ from tarmac.sources.tables import table
 CARRIER_BY_EVENT = {"purchase": "A", "view": "N", "click": "R", "signup": ""}   # error -> null
 DEP_DELAY_OFFSET = 25.0
 ACCURACY_OFFSET = 30.0
+NO_ORIGIN_K = 3             # forms with k below this carry no Origin
+UNKNOWN_DEST_K = 97         # forms with k at or above this go to an airport without flights
+UNKNOWN_DEST = "UNKNOWN"
 NAMED_RUN_K = 50            # runs with k below this carry a run name
 UNTAGGED_RUN_K = 90         # runs with k at or above this carry no model_version tag
 PRODUCTION_VALUE = 45.0     # registry stage threshold on value
 REGISTERED_MODEL = "flight_delays"
+TWICE_REGISTERED = 5        # every fifth registered run (by event id) has a second, later entry
 ARTIFACT_PREFIX = "models/spark_random_forest_classifier.flight_delays."
 
 
@@ -71,7 +76,9 @@ def prediction_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(et == "signup", F.lit("[]")))
     return ev.select(
         "event_id", "ts",
-        F.col("Origin"), F.col("Dest"), carrier.alias("Carrier"),
+        F.when(F.col("k") >= NO_ORIGIN_K, F.col("Origin")).alias("Origin"),
+        F.when(F.col("k") >= UNKNOWN_DEST_K, F.lit(UNKNOWN_DEST)).otherwise(F.col("Dest")).alias("Dest"),
+        carrier.alias("Carrier"),
         (F.col("value") - F.lit(DEP_DELAY_OFFSET)).alias("DepDelay"),
         F.date_format("ts", "yyyy-MM-dd").alias("FlightDate"),
         F.col("user_id").cast("string").alias("FlightNum"),
@@ -106,23 +113,33 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry entries (REGISTRY_SCHEMA): every purchase registers its run."""
+    """Registry entries (REGISTRY_SCHEMA): every purchase registers its run, some of them twice (the
+    later entry, of the next version number, is archived)."""
     ev = events(spark, sf_dir).filter(F.col("event_type") == "purchase")
-    return ev.select(
+    run = F.md5(F.concat(F.lit("run-"), F.col("event_id").cast("string"))).alias("run_id")
+    again = ev.filter(F.col("event_id") % TWICE_REGISTERED == 0).select(
+        run, F.lit(REGISTERED_MODEL).alias("name"), (F.col("event_id") + 1).cast("string").alias("version"),
+        F.lit("Archived").alias("stage"))
+    first = ev.select(
         F.md5(F.concat(F.lit("run-"), F.col("event_id").cast("string"))).alias("run_id"),
         F.lit(REGISTERED_MODEL).alias("name"),
         F.col("event_id").cast("string").alias("version"),
         F.when(F.col("value") >= PRODUCTION_VALUE, F.lit("Production")).otherwise(F.lit("Staging")).alias("stage"),
     )
+    return first.unionByName(again)
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Object listing (ARTIFACT_SCHEMA): one object per event, some keys malformed on purpose."""
+    """Object listing (ARTIFACT_SCHEMA): one object per event, some keys malformed on purpose and
+    some well-formed outside the forests' prefix (another artifact, a backup folder)."""
     ev = events(spark, sf_dir).withColumn("k", _k())
     et = F.col("event_type")
     m_user = model_of(F.col("user_id"))
     part = F.concat(F.lit(".bin/part-"), F.col("event_id").cast("string"))
-    key = (F.when(et == "purchase", F.concat(F.lit(ARTIFACT_PREFIX), orphan_model_of(F.col("k")), part))
+    even = F.col("event_id") % 2 == 0
+    key = (F.when((et == "click") & even, F.concat(F.lit("models/arrival_bucketizer_1.0"), part))
+            .when((et == "error") & even, F.concat(F.lit("backup/a.b.zzz"), part))
+            .when(et == "purchase", F.concat(F.lit(ARTIFACT_PREFIX), orphan_model_of(F.col("k")), part))
             .when(et == "click", F.concat(F.lit("models/"), m_user, F.lit(".bin")))
             .when(et == "error", F.concat(m_user, F.lit(".bin")))
             .otherwise(F.concat(F.lit(ARTIFACT_PREFIX), m_user, part)))

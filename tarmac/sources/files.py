@@ -43,6 +43,8 @@ def list_objects(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 def object_keys(listing: DataFrame, root: str) -> DataFrame:
     """Listing to (key, last_modified), key relative to ``root`` like an object-store key."""
-    root_uri = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + root_uri.lstrip("/").replace(".", r"\."), "")
+    spark = listing.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    qualified = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/") + "/"
+    rel = F.substring("path", len(qualified) + 1, 1 << 30)
     return listing.select(rel.alias("key"), F.col("modificationTime").alias("last_modified"))

@@ -4,7 +4,8 @@ Flight view (fixed mapping):
   one flight per line item; Origin = nation of the supplier, Dest = nation of the
   customer, Carrier = return flag, CRSDepTime / FlightDate = order date,
   CRSArrTime = ship date, ArrDelay = days from order to ship, DepDelay = quantity - 25,
-  Distance = extended price / 40, FlightNum = order key.
+  Distance = extended price / 40, FlightNum = order key.  Lines of the largest quantity
+  (50) have no ArrDelay, as cancelled flights have none.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from tarmac.sources.tables import dim, table
 # Fixed values of the flight-shaped view.
 DEP_DELAY_OFFSET = 25.0
 DISTANCE_DIVISOR = 40.0
+CANCELLED_QUANTITY = 50.0
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -55,7 +57,8 @@ def flight_view(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> Da
               .join(supplier_nations(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")))
     odate = F.to_date("o_orderdate")
     cols = [
-        F.datediff(F.to_date("l_shipdate"), odate).cast("double").alias("ArrDelay"),
+        F.when(F.col("l_quantity") != CANCELLED_QUANTITY, F.datediff(F.to_date("l_shipdate"), odate).cast("double"))
+         .alias("ArrDelay"),
         F.col("o_orderdate").cast("timestamp").alias("CRSDepTime"),
         F.col("l_shipdate").cast("timestamp").alias("CRSArrTime"),
         F.col("l_returnflag").alias("Carrier"),

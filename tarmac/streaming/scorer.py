@@ -1,9 +1,9 @@
 """Streaming scoring job: requests in, one response per (request, model) out.
 
 Plan per trigger (``foreachBatch``): persist the batch, find the requested
-model ids (a distinct over at most one trigger's rows), load missing models
-into a bounded driver-side cache, score the batch once per model, keep valid
-rows, and write the response messages for that batch id.  The write replaces
+model ids that are stored, load missing models into a bounded driver-side cache,
+build the vectors of the valid rows once, score them once per model, record the
+models that could not be had, and write the response messages for that batch id.  The write replaces
 the batch's own output folder, so a replayed batch after a failure rewrites
 the same files instead of duplicating them.
 """
@@ -11,10 +11,12 @@ the same files instead of duplicating them.
 from __future__ import annotations
 
 import os
+import time
 from collections import OrderedDict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.operators import models, scoring
 from tarmac.session import work_dir
@@ -22,23 +24,38 @@ from tarmac.streaming.requests import TRIGGER, file_source, parsed_requests, wri
 
 
 class ModelCache:
-    """Models by id, loaded on first use with retries; least recently used evicted past ``max_size``."""
+    """Stored models by id, loaded on first use; least recently used ones are evicted past ``max_size``
+    (a bound on driver memory: a batch that asks for more models loads the evicted ones again).
 
-    def __init__(self, loader: Callable[[str], object], max_size: int = 32, attempts: int = 10,
-                 wait_seconds: float = 5.0):
-        self.loader, self.max_size = loader, max_size
-        self.attempts, self.wait_seconds = attempts, wait_seconds
-        self._models: OrderedDict[str, object] = OrderedDict()
+    ``available()`` lists the stored ids, one listing per batch, so an id that is not stored costs no
+    loading attempt.  A stored model that cannot be read is tried ``attempts`` times, ``wait_seconds``
+    apart, and then left alone for ``miss_seconds``.
+    """
+
+    def __init__(self, loader: Callable[[str], models.ServingModel], available: Callable[[], list[str]],
+                 max_size: int = 32, attempts: int = 10, wait_seconds: float = 5.0, miss_seconds: float = 60.0):
+        self.loader, self.available, self.max_size = loader, available, max_size
+        self.attempts, self.wait_seconds, self.miss_seconds = attempts, wait_seconds, miss_seconds
+        self._models: OrderedDict[str, models.ServingModel] = OrderedDict()
+        self._misses: dict[str, tuple[float, str]] = {}
 
-    def get(self, model_id: str):
+    def get(self, model_id: str) -> models.ServingModel:
+        """The model, or ``LoadError``."""
         if model_id in self._models:
             self._models.move_to_end(model_id)
             return self._models[model_id]
-        m = models.load_with_retry(lambda: self.loader(model_id), self.attempts, self.wait_seconds)
-        if m is not None:
-            self._models[model_id] = m
-            while len(self._models) > self.max_size:
-                self._models.popitem(last=False)
+        at, error = self._misses.get(model_id, (None, ""))
+        if at is not None and time.monotonic() - at < self.miss_seconds:
+            raise models.LoadError(error)
+        try:
+            m = models.load_with_retry(lambda: self.loader(model_id), self.attempts, self.wait_seconds)
+        except models.LoadError as e:
+            self._misses[model_id] = (time.monotonic(), str(e))
+            raise
+        self._misses.pop(model_id, None)
+        self._models[model_id] = m
+        while len(self._models) > self.max_size:
+            self._models.popitem(last=False)
         return m
 
     def __contains__(self, model_id: str) -> bool:
@@ -62,37 +79,71 @@ def kafka_publisher(servers: str, topic: str):
     return publish
 
 
-def batch_scorer(cache: ModelCache, indexers, va, out, scope: str = "batch"):
-    """The foreachBatch function; ``out`` is a folder (file publisher) or a publisher function."""
+def batch_scorer(cache: ModelCache, out, scope: str = "row", failures: str | None = None,
+                 on_failure: str = "record"):
+    """The foreachBatch function; ``out`` is a folder (file publisher) or a publisher function.
+
+    A requested model that is not stored or does not load gives one row (model_id, error) in
+    ``failures/batch=<id>``, replaced on replay; with ``on_failure="fail"``, or without a folder for
+    them, it fails the batch.  Ids that are not stored never reach the driver; those collected are at
+    most the stored models.
+    """
     publish = out if callable(out) else file_publisher(out)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark = batch.sparkSession
+        held = [batch.persist()]
         try:
             # Ids come from every row of the batch; only valid rows are then scored.
-            ids = [r["model_id"] for r in scoring.requested_models(batch).collect()]
-            loaded = {m: cache.get(m) for m in sorted(ids)}
-            loaded = {m: f for m, f in loaded.items() if f is not None}
+            wanted = scoring.requested_models(batch).persist()
+            held.append(wanted)
+            known = F.col("model_id").isin(cache.available())
+            loaded, errors = {}, []
+            for r in wanted.filter(known).orderBy("model_id").collect():
+                try:
+                    loaded[r["model_id"]] = cache.get(r["model_id"])
+                except models.LoadError as e:
+                    errors.append((r["model_id"], str(e)))
+            failed = wanted.filter(~known).withColumn("error", F.lit("not stored")) \
+                .unionByName(spark.createDataFrame(errors, "model_id string, error string"))
+            if not failed.isEmpty():
+                if on_failure == "fail" or not failures:
+                    raise models.LoadError(f"batch {batch_id}: requested models without a loadable forest, such as "
+                                           f"{failed.first()['model_id']}")
+                failed.write.mode("overwrite").json(os.path.join(failures, f"batch={batch_id}"))
             if not loaded:
                 return
-            feats = models.serving_features(scoring.valid_requests(batch), indexers, va)
-            scored = scoring.score_models(feats, loaded, scope)
+            valid = scoring.valid_requests(batch)
+            # One vector frame per set of label dictionaries, computed once for all its models.
+            groups: dict[str, dict[str, models.ServingModel]] = {}
+            for mid, m in loaded.items():
+                groups.setdefault(m.dictionaries, {})[mid] = m
+            scored = None
+            for group in groups.values():
+                one = next(iter(group.values()))
+                feats = models.serving_features(valid, one.indexers, one.assembler).persist()
+                held.append(feats)
+                part = scoring.score_models(feats, {mid: m.forest for mid, m in group.items()}, scope)
+                scored = part if scored is None else scored.unionByName(part)
             publish(scoring.response_json(scored), batch_id)
         finally:
-            batch.unpersist()
+            for df in reversed(held):
+                df.unpersist()
 
     return fn
 
 
-def wait_for_preprocessing(model_root: str, attempts: int = 30, wait_seconds: float = 10.0):
-    """Load the label indexers and the assembler, retrying while they are not written yet.
+def wait_for_models(spark: SparkSession, model_root: str, attempts: int = 30, wait_seconds: float = 10.0) -> None:
+    """Wait until a fitted model is stored.
 
-    Bounded: after ``attempts`` failures it raises instead of waiting forever.
+    Bounded: after ``attempts`` looks it raises instead of waiting forever.
     """
-    got = models.load_with_retry(lambda: models.load_preprocessing(model_root), attempts, wait_seconds)
-    if got is None:
-        raise RuntimeError(f"preprocessing artifacts not found under {model_root}")
-    return got
+    for i in range(attempts):
+        if models.stored_versions(spark, model_root):
+            return
+        if i + 1 < attempts:
+            time.sleep(wait_seconds)
+    raise RuntimeError(f"no stored model under {model_root}")
 
 
 def start(requests: DataFrame, fn, checkpoint: str, trigger: str | None = TRIGGER, available_now: bool = False):
@@ -104,20 +155,21 @@ def start(requests: DataFrame, fn, checkpoint: str, trigger: str | None = TRIGGE
 
 
 def run_file_scoring(spark: SparkSession, requests: DataFrame, model_root: str, files: int = 4,
-                     scope: str = "batch", base: str | None = None, attempts: int = 1) -> tuple[str, str]:
+                     scope: str = "row", base: str | None = None, attempts: int = 1) -> tuple[str, str]:
     """Publish requests as files and run the scoring stream over them to completion.
 
-    Returns (response folder, base folder); calling again with the same ``base``
-    resumes from the checkpoint.
+    Returns (response folder, base folder); failure rows are in ``base``/failures, and calling
+    again with the same ``base`` resumes from the checkpoint.
     """
     fresh = base is None
     base = base or work_dir(spark, "score-stream")
     src, out, ckpt = (os.path.join(base, p) for p in ("in", "out", "ckpt"))
     if fresh:
         write_message_files(scoring.to_json_value(requests), src, files)
-    idx, va = wait_for_preprocessing(model_root, attempts=attempts, wait_seconds=0.5)
-    cache = ModelCache(lambda mid: models.load_forest(model_root, mid), attempts=attempts, wait_seconds=0.5)
+    wait_for_models(spark, model_root, attempts=attempts, wait_seconds=0.5)
+    cache = ModelCache(lambda mid: models.load_serving(model_root, mid),
+                       lambda: models.stored_versions(spark, model_root), attempts=attempts, wait_seconds=0.5)
     stream = parsed_requests(file_source(spark, src, max_files=1, glob="*.txt"))
-    q = start(stream, batch_scorer(cache, idx, va, out, scope), ckpt, available_now=True)
+    q = start(stream, batch_scorer(cache, out, scope, os.path.join(base, "failures")), ckpt, available_now=True)
     q.awaitTermination()
     return out, base

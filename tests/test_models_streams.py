@@ -141,7 +141,8 @@ def test_train_and_serve_jobs(spark):
     reqs = inputs.requests(spark, SMOKE, model_id=m.version)
     write_message_files(scoring.to_json_value(reqs), os.path.join(base, "in"), 2)
     q = jobs.serve_job(spark, os.path.join(base, "models"), os.path.join(base, "out"), os.path.join(base, "ckpt"),
-                       requests_path=os.path.join(base, "in"), available_now=True, load_attempts=1)
+                       requests_path=os.path.join(base, "in"), available_now=True, load_attempts=1,
+                       scope="batch")
     q.awaitTermination()
     assert spark.read.text(os.path.join(base, "out")).count() == scoring.valid_requests(
         scoring.with_route(reqs)).count()

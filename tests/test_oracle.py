@@ -1,14 +1,15 @@
-"""Every registered query against its DuckDB oracle on the smoke data, and the rows-only
-queries for non-empty, stable output."""
+"""Every registered query against its DuckDB oracle on the smoke data."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as ent
+from tarmac.plans.catalog import QUERIES
+from tarmac.plans.oracle import oracle
 from tools.oracle_check import TABLES, rows_of
 
 SMOKE = "/root/testdata/sf0.001"
-SQL = ent.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -19,8 +20,9 @@ def duck():
     return con
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    assert set(ent.queries()) == set(SQL) | ent.ROWS_ONLY
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(SQL)
+    assert set(SQL) <= set(ent.oracle_sql()) and set(QUERIES) <= set(ent.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -7,6 +7,7 @@ import io
 import pytest
 
 import __spark_entry__ as ent
+from tarmac.plans.catalog import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 # Queries that fit forests or run streams eagerly are covered by their own tests.
@@ -24,9 +25,9 @@ def plan_of(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(ent.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_pairwise_or_python_operators(spark, name):
-    plan = plan_of(ent.queries()[name](spark, SMOKE))
+    plan = plan_of(QUERIES[name](spark, SMOKE))
     for bad in FORBIDDEN:
         assert bad not in plan, (name, bad)
 
