@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.columns import artifact_id, display_id, kv_get, kv_last_wins, short_name, to_bool_text
+from tarmac.functions.columns import artifact_id, kv_get, kv_last_wins, short_name, to_bool_text
 from tarmac.operators.keyed import ordinal
 
 # Fixed values.
@@ -32,7 +32,7 @@ def run_catalog(runs: DataFrame) -> DataFrame:
     run_id is the model version tag when present (that is the id scoring uses),
     else the tracker's run id; run_name defaults to the first 8 characters of it.
     """
-    disp = display_id("tags", "run_id")
+    disp = F.coalesce(kv_get("tags", "model_version"), F.col("run_id"))
     out = live_runs(runs).select(
         disp.alias("model_id"),
         F.col("run_id").alias("tracker_run_id"),

@@ -52,13 +52,15 @@ def test_unregistered_latest_and_listing(spark):
     t = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
     p = "models/spark_random_forest_classifier.flight_delays."
     arts = spark.createDataFrame([(p + "m2.bin/part-0", t(1)), (p + "m9.bin/part-0", t(2)),
-                                  (p + "m9.bin/metadata", t(5)), ("models/x.bin", t(9))], ARTIFACT_SCHEMA)
+                                  (p + "m9.bin/metadata", t(5)), ("models/x.bin", t(9)),
+                                  ("models/arrival_bucketizer_1.0.bin/y", t(10)), ("backup/a.b.zzz.bin/y", t(11))],
+                                 ARTIFACT_SCHEMA)
     cat = registry.run_catalog(_runs(spark))
     un = registry.unregistered_models(arts, cat).collect()
     assert [r.run_id for r in un] == ["m9"] and un[0].run_name == "m9"
     assert registry.latest_model(arts).first().model_id == "m9"
     lst = registry.model_list(cat, registry.unregistered_models(arts, cat))
-    assert lst.count() == 3
+    assert [(r.position, r.run_id) for r in lst.collect()] == [(0, "r3"), (1, "m2"), (2, "m9")]
 
 
 def test_active_set_moves_to_end_and_purge(spark):
@@ -100,3 +102,43 @@ def test_purge_removes_newest_run_only(spark):
     none = spark.createDataFrame([], "model_id string, activated_at timestamp")
     left, _ = registry.purge(registry.run_catalog(runs), none, spark.createDataFrame([("m2",)], "model_id string"))
     assert {(r.run_id, r.tracker_run_id) for r in left.collect()} == {("m2", "r2"), ("r3", "r3")}
+
+
+def test_registry_versions_are_compared_as_numbers(spark):
+    reg = spark.createDataFrame([("r2", "flight_delays", "9", "Staging"), ("r2", "flight_delays", "10", "Production")],
+                                REGISTRY_SCHEMA)
+    got = {r.run_id: r.version for r in registry.with_registry(registry.run_catalog(_runs(spark)), reg).collect()}
+    assert got == {"m2": "10", "r3": None}
+
+
+def test_v2_catalog_is_found_by_its_setting(spark):
+    from tarmac.sinks import tables as sink
+    assert sink.v2_catalog(spark, "flight_delays") is None
+    assert sink.v2_catalog(spark, "lake.flight_delays") is None      # a schema of the session catalog
+    spark.conf.set("spark.sql.catalog.lake", "some.Catalog")
+    try:
+        assert sink.v2_catalog(spark, "lake.flight_delays") == "lake"
+        assert sink.v2_catalog(spark, "lake.db.flight_delays") == "lake"
+        assert sink.v2_catalog(spark, "spark_catalog.db.flight_delays") is None
+    finally:
+        spark.conf.unset("spark.sql.catalog.lake")
+
+
+def test_reload_counts_records_and_routes(spark, tmp_dir):
+    from tarmac.sinks import tables as sink
+    from tarmac.sources import files
+    rec = spark.createDataFrame([("A", "B", 10.0, 1), ("A", "B", 12.0, 2), ("A", "C", 5.0, 1)],
+                                "Origin string, Dest string, Distance double, seq int")
+    assert sink.reload_distances(rec, ["seq"], tmp_dir) == (3, 2)
+    assert sorted(tuple(r) for r in files.read_distances_json(spark, tmp_dir).collect()) == [("A", "B", 12.0), ("A", "C", 5.0)]
+    assert sink.reload_distances(rec.limit(0), ["seq"], tmp_dir) == (0, 0)
+
+
+def test_listing_keys_of_a_root_with_pattern_characters(spark, tmp_dir):
+    import os
+
+    from tarmac.sources import files
+    root = os.path.join(tmp_dir, "a+b.c")
+    os.makedirs(os.path.join(root, "models"))
+    open(os.path.join(root, "models", "x"), "w").write("1")
+    assert [r.key for r in files.object_keys(files.list_objects(spark, root), root).collect()] == ["models/x"]

@@ -148,6 +148,107 @@ def test_train_and_serve_jobs(spark):
         scoring.with_route(reqs)).count()
 
 
+def _requests(spark, ids):
+    cols = "UUID string, model_ids string, Origin string, Dest string, Carrier string, Route string, FlightNum string, " \
+           "DepDelay double, Distance double, DayOfMonth int, DayOfWeek int, DayOfYear int, FlightDate date, Timestamp timestamp"
+    return spark.createDataFrame(
+        [(f"u{i}", text, "NATION_1", "NATION_2", "A", "NATION_1-NATION_2", "7", 3.0, 100.0, 4, 2, 60, None, None)
+         for i, text in enumerate(ids)], cols)
+
+
+def test_unstored_and_broken_models_leave_failure_rows(spark, saved_model, tmp_dir):
+    m, root = saved_model
+    loads = []
+
+    def loader(version):
+        loads.append(version)
+        if version == "broken":
+            raise OSError("unreadable")
+        return models.load_serving(root, version)
+    cache = scorer.ModelCache(loader, lambda: [m.version, "broken"], attempts=2, wait_seconds=0.0)
+    out, failures = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "failures")
+    reqs = _requests(spark, [f"[{m.version},absent]", "[broken]", "[]"])
+    fn = scorer.batch_scorer(cache, out, failures=failures)
+    fn(reqs, 0)
+    fn(reqs, 1)
+    assert sorted(loads) == sorted(["broken", "broken", m.version])       # two tries, then the failure is remembered
+    got = spark.read.json(failures)
+    assert sorted((r.batch, r.model_id, r.error) for r in got.collect()) == [
+        (b, i, e) for b in (0, 1) for i, e in (("absent", "not stored"), ("broken", "unreadable"))]
+    sent = scoring.parse_responses(spark.read.text(out)).collect()
+    assert sorted((r.UUID, r.model_id) for r in sent) == [("u0", m.version)] * 2
+    with pytest.raises(models.LoadError):
+        scorer.batch_scorer(cache, out, failures=failures, on_failure="fail")(reqs, 2)
+    with pytest.raises(models.LoadError):
+        scorer.batch_scorer(cache, out)(reqs, 3)
+
+
+def test_three_models_of_one_dictionary_share_the_vectors(spark, saved_model):
+    m, root = saved_model
+    one = models.load_serving(root, m.version)
+    cache = scorer.ModelCache(lambda _: one, lambda: ["a", "b", "c"])
+    seen = {}
+
+    def publish(msgs, batch_id):
+        leaves = msgs._jdf.queryExecution().withCachedData().collectLeaves()
+        seen["leaves"] = [leaves.apply(i).cacheBuilder().hashCode() for i in range(leaves.size())]
+        seen["rows"] = sorted((r.UUID, r.model_id) for r in scoring.parse_responses(msgs).collect())
+    scorer.batch_scorer(cache, publish)(_requests(spark, ["[a,b,c]", "[b]"]), 0)
+    assert seen["rows"] == [("u0", "a"), ("u0", "b"), ("u0", "c"), ("u1", "b")]
+    assert len(seen["leaves"]) == 3 and len(set(seen["leaves"])) == 1    # every model reads the same stored vectors
+
+
+def test_second_fit_leaves_the_first_model_as_it_was(spark, tmp_dir):
+    fl = inputs.flights(spark, SMOKE)
+    a = models.train(fl, version="a", **SMALL)
+    models.save(a, tmp_dir)
+    models.save(models.train(fl.filter("Carrier = 'A' and DayOfMonth < 9"), version="b", **SMALL), tmp_dir)
+    assert models.stored_versions(spark, tmp_dir) == ["a", "b"]
+    back = models.load_serving(tmp_dir, "a")
+    assert back.indexers.labelsArray == a.indexers.labelsArray
+    assert back.dictionaries != models.load_serving(tmp_dir, "b").dictionaries
+
+
+def test_swapped_slots_change_the_tree_scores(spark):
+    from tarmac.plans import catalog
+    m = catalog.day_tree(spark, SMOKE)
+    frame, *_ = models.featurize(inputs.flights(spark, SMOKE), indexers=m.indexers)
+    swapped = m.assembler.copy()
+    cols = list(swapped.getInputCols())
+    cols[2], cols[3] = cols[3], cols[2]
+    again = swapped.setInputCols(cols).setOutputCol("other").transform(frame).drop("Features_vec") \
+        .withColumnRenamed("other", "Features_vec")
+    right = m.forest.transform(frame).groupBy("Prediction").count().collect()
+    wrong = m.forest.transform(again).groupBy("Prediction").count().collect()
+    assert len(right) > 1 and sorted(right) != sorted(wrong)
+
+
+def test_no_models_gives_an_empty_result(spark):
+    assert scoring.response_json(scoring.score_models(_requests(spark, ["[a]"]), {})).count() == 0
+
+
+CORES = """
+import sys
+from tarmac.session import build_session
+from tarmac.operators import models
+from tarmac.plans import inputs
+spark = build_session(master=f"local[{sys.argv[1]}]", driver_memory="2g", shuffle_partitions=int(sys.argv[1]) + 1)
+m = models.train(inputs.flights(spark, "%s"), num_trees=3, max_depth=4, max_bins=1024)
+print("TREES", m.accuracy, hash(m.forest.toDebugString.split("\\n", 1)[1]))
+""" % SMOKE
+
+
+def test_forest_is_the_same_on_two_and_four_cores():
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONHASHSEED": "0", "PYTHONPATH": repo}
+    got = [[x for x in subprocess.run([sys.executable, "-c", CORES, str(n)], env=env, cwd=repo, capture_output=True,
+                                      text=True, timeout=300).stdout.splitlines() if x.startswith("TREES")]
+           for n in (2, 4)]
+    assert got[0] and got[0] == got[1]
+
+
 def test_response_store_job_from_scored_files(spark, saved_model):
     from tarmac.plans import jobs
     m, root = saved_model
