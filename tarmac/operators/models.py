@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tarmac.operators.features import (FEATURES_COL, LABEL_COL, assembler, delay_bucketizer, encode,
                                        fit_indexers, with_route)
 from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES, VECTOR_SLOTS
+from tarmac.session import checkpoint_root, discard, work_dir
 
 # Reference training settings and artifact names.
 NUM_TREES = 20
@@ -118,7 +119,8 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     The labelled rows (route and class added, only the nine source columns and a hash
     of the whole flight record kept) are stored as parquet in the shared checkpoint folder,
     so the upstream joins run once, and a lost executor re-reads the files instead of
-    replaying them.  For the forest they are dealt by that hash over ``partitions``
+    replaying them; the copy is removed after the evaluation (the forest's own training
+    summary, which would read it again, is not available then).  For the forest they are dealt by that hash over ``partitions``
     (default: by the number of rows) and sorted within them: bagging and split candidates
     are drawn by partition and position, so the trees depend on the rows and the seed
     only, not on the cores, the file layout or the order in which a shuffle arrives.
@@ -137,9 +139,11 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     bucketizer = delay_bucketizer()
     base = bucketizer.transform(with_route(flights)).filter(F.col(LABEL_COL).isNotNull()) \
         .select(LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, F.xxhash64(*flights.columns).alias("__spread"))
+    spark = base.sparkSession
     if checkpoint_input:
-        from tarmac.sources.tables import stored
-        base = stored(base, "train-input")
+        copy = work_dir(spark, "train-input")
+        base.write.parquet(copy)
+        base = spark.read.parquet(copy)
     indexers = fit_indexers(base)
     va = assembler("error")
     dealt = base.repartition(partitions or training_partitions(base.count()), "__spread") \
@@ -153,12 +157,13 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
         fit_rows, eval_rows = (fit_rows.randomSplit([1.0 - holdout, holdout], seed=seed)[0],
                                frame.randomSplit([1.0 - holdout, holdout], seed=seed)[1])
     est = estimator or forest(num_trees, max_depth, max_bins, max_memory_mb, seed)
-    from tarmac.session import checkpoint_root
-    checkpoint_root(frame.sparkSession)   # node-id checkpoints go to the shared folder
+    checkpoint_root(spark)   # node-id checkpoints go to the shared folder
     if fit_bins:
         est = est.copy().setMaxBins(max(32, max(len(x) for x in indexers.labelsArray) + 1))
     model = est.fit(fit_rows)
     acc = accuracy(model.transform(eval_rows))
+    if checkpoint_input:
+        discard(spark, copy)
     return TrainedModel(version=version or uuid.uuid4().hex, bucketizer=bucketizer, indexers=indexers,
                         assembler=va, forest=model, accuracy=acc, num_trees=num_trees, max_depth=max_depth,
                         duration_seconds=int(time.time() - t0), run_name=run_name,

@@ -1,4 +1,8 @@
-"""Declared schemas.  Nothing is inferred: every reader passes one of these."""
+"""Declared schemas.  Nothing is inferred: every reader passes one of these.
+
+Fixed values throughout: field names, types and order, the vector slots and the required fields must
+equal those of the records that other programs write and read.
+"""
 
 from pyspark.sql import types as T
 

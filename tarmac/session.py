@@ -8,7 +8,9 @@ cluster.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -68,6 +70,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tarmac-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)   # ours alone, in this local run
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
@@ -76,3 +79,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one job's outputs."""
     return os.path.join(checkpoint_root(spark), "tarmac", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a work folder whose rows are no longer needed."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

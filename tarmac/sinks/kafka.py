@@ -1,7 +1,7 @@
 """Kafka publishing of JSON messages.
 
 The Kafka connector jar is not on this image's classpath, so these functions
-are exercised here only through their file-format twin (``publish_files``);
+are exercised here only through the file publisher of the scoring stream;
 on a cluster with the connector they write to the broker unchanged.
 """
 
@@ -14,8 +14,3 @@ def publish(df: DataFrame, servers: str, topic: str) -> None:
     """Batch write of a ``value`` column to a topic."""
     df.select("value").write.format("kafka") \
         .option("kafka.bootstrap.servers", servers).option("topic", topic).save()
-
-
-def publish_files(df: DataFrame, path: str) -> None:
-    """Same messages as text lines under ``path`` (one file per task), appended."""
-    df.select("value").write.mode("append").text(path)
