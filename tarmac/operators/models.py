@@ -149,7 +149,8 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     dealt = base.repartition(partitions or training_partitions(base.count()), "__spread") \
         .sortWithinPartitions("__spread", LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
     frame = va.transform(encode(dealt, indexers)).select(LABEL_COL, FEATURES_COL)
-    fit_rows = eval_rows = frame
+    fit_rows = frame
+    eval_rows = va.transform(encode(base, indexers))    # an average needs no dealing
     if fit_slots:
         held = {s: F.lit(0.0) for s in VECTOR_SLOTS if s not in fit_slots}
         fit_rows = va.transform(encode(dealt, indexers).withColumns(held)).select(LABEL_COL, FEATURES_COL)
