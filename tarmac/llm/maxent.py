@@ -12,8 +12,7 @@ of its class given the tokens before it, times that of the token within its clas
 
 Training is distributed: in each round every task runs Adagrad steps over its documents from the
 shared weights, and the tasks' weights are averaged, weighted by tokens.  Each of ROUNDS rounds
-reads its share of the training documents (all of them in every round, below SMALL tokens), so
-every training document is learnt from.
+reads all training documents, at every size of the table.
 
 Counts cover all training tokens and grow with the corpus.  The most frequent words (at most
 TABLE of them) reach the scoring tasks in one table; the counts of the others are joined by hash,
@@ -48,7 +47,6 @@ FEW = 8                     # rows that are added side by side
 STEP = 32_768               # tokens of a gradient step
 RATE = 0.25
 ROUNDS = 3
-SMALL = 8_000_000
 TABLE = 1_000_000
 ADD = 0.1
 COUNT_TOKENS = 4_000_000    # tokens a task counts at a time
@@ -307,9 +305,8 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     words, n = frequent["word"].to_numpy().astype(np.int64).view(U), frequent["n"].to_numpy()
     order = np.argsort(words)
     weights = Weights.zero(share / share.sum())
-    for r in range(ROUNDS):
-        part = F.pmod(F.xxhash64("text", F.lit(31)), F.lit(ROUNDS)) == r
-        weights = train_round(docs if total.n < SMALL else docs.where(part), classes, weights)
+    for _ in range(ROUNDS):
+        weights = train_round(docs, classes, weights)
     return Model(classes, weights, words[order], n[order], total.n, total.v), counts
 
 

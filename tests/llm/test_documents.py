@@ -359,6 +359,17 @@ def test_maxent(spark, docs, empty, monkeypatch):
     assert maxent.score(empty, F.lit(True), *maxent.fit(empty)).count() == 0
 
 
+def test_maxent_rounds_read_all_documents(spark, monkeypatch):
+    """Every round, also of a table of more than eight million tokens."""
+    read = []
+    monkeypatch.setattr(maxent, "train_round", lambda docs, classes, weights: read.append(docs.count()) or weights)
+    for n in (20, 20_100):
+        text = F.concat(F.col("id").cast("string"), F.repeat(F.lit(" word"), n))
+        model, _ = maxent.fit(spark.range(400).select(text.alias("text")))
+        assert model.n == 400 * (n + 2)
+    assert read == [400] * 2 * maxent.ROUNDS
+
+
 def test_class_softmax_sums_to_one():
     rng = np.random.default_rng(3)
     w = maxent.Weights.zero(np.full(maxent.CLASSES, 1 / maxent.CLASSES))
