@@ -4,8 +4,8 @@ A text's subwords are the 2-, 3- and 4-byte n-grams of its lower-cased UTF-8 byt
 digits and punctuation read as spaces, so n-grams carry word ends.  Each hashes to one of
 ``BUCKETS`` embeddings; the mean embedding goes through a linear softmax.  Embeddings and
 softmax are fitted by stochastic gradient descent in numpy over a bounded sample of labelled
-rows (``SAMPLE_PER_LANG`` rows of each language at most, chosen by a hash of the id, whole
-texts).  Part of the sample is kept back to fit a temperature, so that scores are calibrated
+rows (about ``SAMPLE_PER_LANG`` different rows of each language at most, chosen by a hash of id
+and text, whole texts).  Part of the sample is kept back to fit a temperature, so that scores are calibrated
 probabilities, and the rejection threshold: the score that ``REJECT_RATE`` of those texts fall
 short of, 0.5 at most.
 
@@ -143,14 +143,17 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], langs: list[str], seed
 
 
 def fit(docs: DataFrame, learn: Column, per_lang: int = SAMPLE_PER_LANG) -> LanguageModel | None:
-    """Train on the rows where ``learn`` holds and text and lang are given; None if there are none."""
-    rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()) \
+    """Train on the rows where ``learn`` holds and id, text and lang are given; None if there are none."""
+    given = F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
+    rows = docs.where(learn & given) \
         .select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}       # a row for each language
+    key = F.xxhash64("doc_id", "text", F.lit(17))
+    counts = {r[0]: r[1] for r in rows.select("lang", key.alias("key")).distinct()
+              .groupBy("lang").count().collect()}                               # a row for each language
     if not counts:
         return None
     langs = sorted(counts)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
+    draw = F.pmod(key, F.lit(1_000_000))
     limits = F.create_map(*[F.lit(x) for c in langs for x in (c, int(1_000_000 * min(1, per_lang / counts[c])))])
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary())])
 
@@ -165,7 +168,7 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = SAMPLE_PER_LANG) -> Lang
                     c.append(v)
             yield arrays(out, schema)
 
-    sample = rows.where(draw < limits[F.col("lang")]) \
+    sample = rows.where(draw < limits[F.col("lang")]).dropDuplicates() \
         .mapInArrow(bags, "doc_id long, lang string, at binary, n binary").collect()  # at most about per_lang a language
     index = {c: i for i, c in enumerate(langs)}
     sample.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.at)))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tarmac.llm import decontaminate, jaccard, language, maxent, packing, repeats, sentence_spans, toxicity
 from tarmac.llm.common import table
 
@@ -321,6 +322,28 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
 
 
+def test_language_sample(spark, docs, monkeypatch):
+    """Rows without id are not learnt from, and rows that share an id or are equal do not widen the sample."""
+    taken = []
+    monkeypatch.setattr(language, "train", lambda bags, langs: taken.append((len(bags), langs)))
+    language.fit(docs, F.lit(True))
+    assert taken.pop() == (len({r[:3] for r in ROWS if None not in r[:3]}), ["de", "en", "es", "fr"])
+    many = spark.range(3000)
+    for doc_id, text, n in [(F.lit(None), F.col("id"), None), (F.lit(7), F.col("id"), 300), (F.lit(7), F.lit("same"), 1),
+                            (F.col("id"), F.lit("same"), 300)]:
+        rows = many.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"), F.lit("en").alias("lang"))
+        language.fit(rows, F.lit(True), per_lang=300)
+        assert not taken if n is None else abs(taken.pop()[0] - n) < 0.25 * n
+
+
+def test_pipeline_odd_rows(spark, docs, tmp_path):
+    """The whole pipeline on the odd rows, a labelled one without id among them."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    table(spark, SMOKE, "benchmark").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    assert {1, 6} <= out <= {r[0] for r in ROWS} and not out & {2, 3, 4, 5}
+
+
 def test_toxicity(spark, docs, empty):
     sf = "/root/testdata/sf0.1"
     rows, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
