@@ -1,7 +1,10 @@
 """Substring dedup by sliding sentence spans.
 
-A text is a sequence of sentences, ended by . ! ? or a line end; in a stretch of more than
-LONG words without such an end, words chosen by their hash end one, so that copies are cut alike.
+A text is a sequence of sentences, ended by . ! ? or a sentence end of another script (ENDS), or a
+line end.  In a stretch of more than LONG words without such an end, the last word of smallest hash in each
+WINDOW words on end ends one, so copies are cut alike and no sentence there has more than WINDOW words.
+A repeated passage of 4 * WINDOW + WORDS - 3 words inside such stretches always holds a common span.
+Words are split on white space; in scripts without spaces (SPACELESS) every character begins a word.
 From every sentence on, and up to every sentence, the shortest run of consecutive sentences with
 at least SENTENCES sentences and WORDS words is a span, hashed by its lower-cased words.
 
@@ -16,6 +19,7 @@ repeated rows are copies; an empty table gives an empty result; other columns ar
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,30 +35,92 @@ from tarmac.llm.common import (
 SENTENCES = 2
 WORDS = 20
 LONG = 40
-CUT = 12                    # one word in so many ends a sentence in a long stretch
+WINDOW = 8                  # words, of which one ends a sentence in a long stretch
 
 STOP = np.zeros(256, bool)
 STOP[[33, 46, 63]] = True
+ENDS = "։؟۔܀܁܂।॥။።፧፨។៕᠃᠉།༎…‼‽⁇⁈⁉。﹒﹖﹗！．？｡"
+SPACES = "\u0085\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u205f\u3000"
+LINES = "\u0085\u2028\u2029"
+SPACELESS = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FA), (0x3105, 0x312F),
+             (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D),
+             (0x20000, 0x3FFFF))
+IS_END, IS_SPACE, IS_LINE, IS_WORD = 1, 2, 4, 8
+KIND = np.zeros(1 << 16, np.uint8)
+for _a, _z in SPACELESS[:-1]:
+    KIND[[c for c in range(_a, _z + 1) if unicodedata.category(chr(c))[0] in "LN"]] |= IS_WORD
+for _chars, _kind in ((ENDS, IS_END), (SPACES, IS_SPACE), (LINES, IS_LINE)):
+    KIND[list(map(ord, _chars))] |= _kind
 SPANS = pa.schema([("key", pa.int64()), ("local", pa.bool_()), ("doc_id", pa.int64()), ("u", pa.int64()),
                    ("first", pa.int32()), ("last", pa.int32())])
 
 
+def wide(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, bytes and kind of the characters beyond ASCII that are an end, a space or a word of their own."""
+    at = np.flatnonzero(buf >= 0xC2)
+    lead = buf[at]
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0).astype(np.int64)
+    code = lead.astype(np.int64) & (0xFF >> (size + 1))
+    for k in (1, 2, 3):
+        more = np.flatnonzero(size > k)
+        code[more] = code[more] << 6 | (buf[at[more] + k] & 0x3F)
+    kind = np.where(code < len(KIND), KIND[np.minimum(code, len(KIND) - 1)], 0)
+    kind[(code >= SPACELESS[-1][0]) & (code <= SPACELESS[-1][1])] = IS_WORD
+    on = np.flatnonzero(kind)
+    return at[on], size[on], kind[on]
+
+
+def units(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts and ends of the words, each text's first word, whether a word ends a sentence, and line ends by byte."""
+    line = buf == 10
+    at, size, kind = wide(buf)
+    if not len(at):
+        start, end, first = word_spans(buf, offs)
+        return start, end, first, STOP[buf[end - 1]] if len(end) else np.zeros(0, bool), line
+    clean = buf.copy()
+    gap = at[kind & IS_SPACE > 0]
+    for k in range(3):
+        clean[(gap + k)[size[kind & IS_SPACE > 0] > k]] = 32
+    line[at[kind & IS_LINE > 0]] = True
+    start, end, first = word_spans(clean, offs)
+    new = np.setdiff1d(at[kind & IS_WORD > 0], start)
+    start = np.sort(np.concatenate([start, new]))
+    end = np.sort(np.concatenate([end, new]))
+    closed = np.zeros(len(start), bool)
+    closed[np.searchsorted(start, at[kind & IS_END > 0], "right") - 1] = True
+    return start, end, np.searchsorted(start, offs), closed | STOP[buf[end - 1]], line
+
+
+def chosen(words: np.ndarray, stretch: np.ndarray) -> np.ndarray:
+    """Words that are the last smallest of WINDOW words on end of one stretch (``words`` lie in stretches, in order)."""
+    n = len(words) - WINDOW + 1
+    whole = np.flatnonzero(stretch[:n] == stretch[WINDOW - 1:]) if n > 0 else np.empty(0, np.int64)
+    best, least = whole.copy(), words[whole]
+    for k in range(1, WINDOW):
+        new = words[whole + k]
+        less = new <= least
+        best[less], least[less] = whole[less] + k, new[less]
+    return np.unique(best)
+
+
 def sentences(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     """Word starts, word hashes, each text's first word, and the first word of each sentence."""
-    start, end, first = word_spans(buf, offs)
+    start, end, first, closed, ends_line = units(buf, offs)
     n = len(start)
     if not n:
         return start, np.empty(0, U), first, np.empty(0, np.int64)
     words = span_hash(prefix_hash(LOWER[buf]), start, end)
-    line = np.concatenate([[0], np.cumsum(buf == 10)])
+    line = np.concatenate([[0], np.cumsum(ends_line)])
     new = np.zeros(n, bool)
     new[first[:-1][first[:-1] < n]] = True
-    new[1:] |= STOP[buf[end[:-1] - 1]] | (line[start[1:]] > line[end[:-1]])
+    new[1:] |= closed[:-1] | (line[start[1:]] > line[end[:-1]])
     heads = np.flatnonzero(new)
     size = np.diff(np.append(heads, n))
     if (size > LONG).any():
         inside = np.repeat(size > LONG, size)
-        new[1:] |= inside[1:] & ((words[:-1] % U(CUT)) == 0) & inside[:-1]
+        at = np.flatnonzero(inside)
+        cut = at[chosen(words[at], np.repeat(np.arange(len(size)), size)[at])] + 1
+        new[cut[cut < n]] = True
         heads = np.flatnonzero(new)
     return start, words, first, heads
 

@@ -256,6 +256,74 @@ def test_sentence_spans_brute(spark):
     assert got == {i: len(gone[i]) for i, _ in rows}
 
 
+def plain_sentences(text):
+    """(words, start of each sentence) of a text, without the operator's functions."""
+    own = "\u0e01-\u0e30\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff"
+    found = list(re.finditer(f"[{own}][^\\s{own}]*|[^\\s{own}]+", text))
+    heads = [k for k in range(len(found)) if k == 0 or re.search("[.!?]$|[。！？؟।]", found[k - 1].group())
+             or "\n" in text[found[k - 1].end():found[k].start()]]
+    keys = [int(sentence_spans.span_hash(sentence_spans.prefix_hash(b), np.array([0]), np.array([len(b)]))[0])
+            for b in (np.frombuffer(re.sub("[A-Z]+", lambda x: x.group().lower(), m.group()).encode(), np.uint8) for m in found)]
+    new = set(heads)
+    for a, z in zip(heads, [*heads[1:], len(found)], strict=True):
+        if z - a > sentence_spans.LONG:
+            for i in range(a, z - sentence_spans.WINDOW + 1):
+                new.add(min(range(i, i + sentence_spans.WINDOW), key=lambda k: (keys[k], -k)) + 1)
+    return [m.group().lower() for m in found], sorted(new - {len(found)})
+
+
+def plain_removed(rows):
+    """Sentences and removed sentences of each row, in the order of the ids."""
+    seen, out = {}, {}
+    for i, text in rows:
+        w, heads = plain_sentences(text)
+        ends, found = [*heads[1:], len(w)], set()
+        for a in range(len(heads)):
+            z = next((z for z in range(a + 2, len(heads) + 1) if ends[z - 1] - heads[a] >= 20), None)
+            found |= {(a, z)} if z else set()
+            z = next((z for z in range(a - 1, -1, -1) if ends[a] - heads[z] >= 20), None)
+            found |= {(z, a + 1)} if z is not None else set()
+        gone = set()
+        for a, z in sorted(found):
+            key = tuple(w[heads[a]:ends[z - 1]])
+            if seen.setdefault(key, (i, a, z)) != (i, a, z):
+                gone.update(range(a, z))
+        out[i] = (len(heads), len(gone))
+    return out
+
+
+def test_sentence_spans_plain(spark):
+    """Against plain Python, over texts without ends, in other scripts and of repeated words."""
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"v{x}" for x in rng.integers(0, 10**6, n)]                  # noqa: E731
+    char = lambda n: "".join(map(chr, rng.integers(0x4E00, 0x9000, n)))            # noqa: E731
+    rows, pairs = [], []
+    for k in range(40):                                  # 51 shared words, nowhere an end
+        shared = word(51)
+        rows += [(2 * k, " ".join(word(30 + k) + shared + word(25))), (2 * k + 1, " ".join(word(60 - k) + shared + word(30)))]
+        pairs.append(2 * k + 1)
+    han = [char(15) + "。" + char(14) + "！" for _ in range(2)]
+    rows += [(100, char(30) + "。" + han[0] + char(9)), (101, char(12) + "？" + han[0] + char(22)), (102, char(90)), (103, "A b. c")]
+    rows += [(104, rows[82][1]), (105, "السؤال كلمة " * 8 + "آخر؟ " + "جواب طويل " * 8 + "هنا؟ " + "x"), (107, "ab cd " * 200)]
+    rows += [(106, "start؟ " + rows[85][1])]
+    rows.sort()
+    got = {r.doc_id: (r.n_sentences, r.n_removed) for r in
+           sentence_spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_removed(rows)
+    assert all(got[i][1] > 0 for i in [*pairs, 101, 104, 106, 107]) and got[104][0] == got[104][1]
+
+
+def test_sentence_spans_unpunctuated_copies(spark):
+    """Equal texts of sf0.1 without any sentence end: the second copy goes."""
+    pairs = [(3447, 7812), (2397, 5789), (4658, 7775)]
+    rows = table(spark, "/root/testdata/sf0.1", "documents").where(F.col("doc_id").isin([x for p in pairs for x in p]))
+    got = {r.doc_id: r for r in sentence_spans.deduplicated(rows).collect()}
+    text = {r.doc_id: r.text for r in rows.collect()}
+    for a, b in pairs:
+        assert text[a] == text[b]
+        assert got[b].n_removed == got[b].n_sentences and got[a].n_removed < got[a].n_sentences
+
+
 # ---- decontamination -----------------------------------------------------------------------
 
 def edits(a: bytes, b: bytes) -> int:
