@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tarmac.llm.decontaminate import op2_decontamination
 from tarmac.llm.filter_audit import OP13_SQL, op13_filter_audit
+from tarmac.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from tarmac.llm.html import op5_html_extraction
 from tarmac.llm.jaccard import op8_ngram_jaccard
 from tarmac.llm.language import op9_language_id
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_hard_negatives": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
