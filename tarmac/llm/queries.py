@@ -12,6 +12,7 @@ from tarmac.llm.maxent import op6_maxent_scoring
 from tarmac.llm.neighbours import op7_hilbert_neighbours
 from tarmac.llm.packing import op1_best_fit_packing
 from tarmac.llm.repeats import op10_suffix_dedup
+from tarmac.llm.secret_scan import op11_secret_scan
 from tarmac.llm.sentence_spans import op4_sentence_spans
 from tarmac.llm.toxicity import op3_toxicity
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_secret_scan": op11_secret_scan,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
