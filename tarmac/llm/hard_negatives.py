@@ -253,7 +253,7 @@ def mine(vectors: DataFrame, is_anchor: Column, positives: int = POSITIVES, nega
 
     usable(vectors).mapInArrow(summed, ddl).write.parquet(f"{path}/rows")
     rows = spark.read.schema(ddl).parquet(f"{path}/rows")
-    size = rows.agg(F.max(F.size("v")).alias("d"), F.max(F.array_max(F.transform("v", F.abs))).alias("x"), F.min(F.array_min("v")).alias("y")).first()
+    size = rows.agg(F.max(F.size("v")).alias("d"), F.max(F.array_max("v")).alias("x"), F.min(F.array_min("v")).alias("y")).first()
     exact = max(size.x or 0, -(size.y or 0)) ** 2 * (size.d or 0) < SAFE
     per_chunk = max(1, chunk_values // max(1, size.d or 1))
     ordinal(rows.where(is_anchor), [F.col("vec_id")]).write.parquet(f"{path}/anchors")
