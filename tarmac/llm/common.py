@@ -50,6 +50,18 @@ def held_out(doc_id: Column, n: int, remainder: int) -> Column:
     return F.coalesce(fold(doc_id, n) == remainder, F.lit(True))
 
 
+def draw_limit(wanted: int, total: int) -> int:
+    """Rows whose 64-bit hash is at or below this are about ``wanted`` of ``total``, at any size, and all if there are no more."""
+    return (min(max(1, wanted), total) << 64) // max(1, total) - (1 << 63) - 1 if total else (1 << 63) - 1
+
+
+def one_row_each(rows: DataFrame, key: str, several: Column) -> DataFrame:
+    """``rows`` with one row of each ``key`` among those where ``several`` holds: the least as JSON, so any run keeps the same."""
+    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
+    folded = rows.where(several).groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("__row"))
+    return rows.where(~several).unionByName(folded.select(*(F.col("__row")[c].alias(c) for c in rows.columns)))
+
+
 def utf8(arr) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of an Arrow string column; null counts as empty."""
     if isinstance(arr, pa.ChunkedArray):

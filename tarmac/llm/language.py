@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import LOWER, arrays, held_out, table, text_slices, utf8
+from tarmac.llm.common import LOWER, arrays, draw_limit, held_out, table, text_slices, utf8
 
 BUCKET_BITS = 16
 DIM = 16
@@ -153,8 +153,7 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = SAMPLE_PER_LANG) -> Lang
     if not counts:
         return None
     langs = sorted(counts)
-    draw = F.pmod(key, F.lit(1_000_000))
-    limits = F.create_map(*[F.lit(x) for c in langs for x in (c, int(1_000_000 * min(1, per_lang / counts[c])))])
+    limits = F.create_map(*[x for c in langs for x in (F.lit(c), F.lit(draw_limit(per_lang, counts[c])).cast("long"))])
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary())])
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +167,7 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = SAMPLE_PER_LANG) -> Lang
                     c.append(v)
             yield arrays(out, schema)
 
-    sample = rows.where(draw < limits[F.col("lang")]).dropDuplicates() \
+    sample = rows.where(key <= limits[F.col("lang")]).dropDuplicates() \
         .mapInArrow(bags, "doc_id long, lang string, at binary, n binary").collect()  # at most about per_lang a language
     index = {c: i for i, c in enumerate(langs)}
     sample.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.at)))

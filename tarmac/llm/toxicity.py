@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import LOWER, arrays, held_out, prefix_hash, span_hash, table, text_slices, utf8, word_spans
+from tarmac.llm.common import LOWER, arrays, draw_limit, held_out, prefix_hash, span_hash, table, text_slices, utf8, word_spans
 
 BITS = 18
 SENTENCE_WORDS = 40
@@ -153,13 +153,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     marks = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(learn)
     counts = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}                 # two rows
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1_000_000))
-    share = F.lit(0)
+    limit = F.lit(None).cast("long")
     for y, n in counts.items():
-        share = F.when(F.col("toxic") == y, int(1_000_000 * min(1, sample / n))).otherwise(share)
-    chosen = marks.where(draw < share)                                                      # at most about 2 x sample rows
+        limit = F.when(F.col("toxic") == y, F.lit(draw_limit(sample, n)).cast("long")).otherwise(limit)
+    chosen = marks.where(F.xxhash64("doc_id", F.lit(29)) <= limit)                          # about 2 x sample rows at most
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
+        .join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull()) \
+        .groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))  # one text an id
     schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("feats", pa.binary()), ("heads", pa.binary())])
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
