@@ -13,6 +13,7 @@ removed.  A node can only be in the main part under a node before or in it, and
 removed node returns; the assignment with the largest sum of node scores is taken bottom-up.
 
 Edge cases: null or empty html gives empty text; unclosed tags close as browsers close them;
+an unclosed svg, select, template or noscript tag hides nothing;
 without pages to learn from, rebuilt pages from the given pages' text are used alone; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -30,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import boosting
-from tarmac.llm.common import arrays, table
+from tarmac.llm.common import arrays, draw_limit, table
 
 SAMPLE_PAGES = 400
 VARIANTS = 3
 BATCH_PAGES = 256
 
 # Element classes of HTML, and the attribute words that pages commonly use.
-RAW = frozenset("script style textarea noscript template title iframe svg math select xmp noembed".split())
+RAW = frozenset("script style textarea noscript template title iframe svg select xmp noembed".split())
+LOOSE = frozenset("noscript template svg select".split())    # of them those that hold markup: without an end tag they hold nothing
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -85,8 +87,9 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """The page's tree.  Raw text elements (scripts, styles, ...) and comments leave nothing."""
+    """The page's tree.  Raw elements (scripts, styles, templates, ...) and comments leave nothing; MathML is text."""
     page = Page()
+    endless: set[str] = set()                          # names without another end tag
     stack: list[tuple[str, int]] = [("#", 0)]          # open elements with the node their text belongs to
     at, links = 0, 0
     while at < len(source):
@@ -117,10 +120,12 @@ def parse(source: str) -> Page:
                 page.events.append((stack[-1][1], None))
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
+            close = None if name in endless else re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             page.controls[stack[-1][1]] += name in ("textarea", "select")
-            if not m.group(3).rstrip().endswith("/") or name not in ("svg", "math"):
-                at = close.end() if close else len(source)
+            if close is None:
+                endless.add(name)
+            if not m.group(3).rstrip().endswith("/") or name != "svg":
+                at = close.end() if close else at if name in LOOSE else len(source)
             continue
         if name in ENDS_P:
             for k in range(len(stack) - 1, 0, -1):
@@ -319,9 +324,9 @@ def train(sources: list[str], seed: int = 11) -> boosting.Trees:
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> boosting.Trees:
     """Train on at most about ``sample`` pages, drawn by a hash of their html."""
     rows = pages.select(F.col("html").cast("string").alias("html")).where(F.length("html") > 0)
-    n = rows.count()
-    draw = F.pmod(F.xxhash64("html", F.lit(3)), F.lit(10_000_000))
-    found = rows.where(draw < int(10_000_000 * min(1.0, sample / max(n, 1)))).distinct().collect()
+    draw = F.xxhash64("html", F.lit(3))
+    n = rows.select(draw.alias("draw")).distinct().count()
+    found = rows.where(draw <= F.lit(draw_limit(sample, n)).cast("long")).distinct().collect()
     return train(sorted(r[0] for r in found))
 
 
