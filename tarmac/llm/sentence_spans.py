@@ -14,7 +14,8 @@ that is not even the first of its slice of rows is removed at once, so a span th
 documents share sends one row a slice to the place where occurrences meet.
 
 Edge cases: null or empty texts and texts with too few sentences or words have no span and stay;
-repeated rows are copies; an empty table gives an empty result; other columns are ignored.
+of rows repeating an id and text one is the first copy and the others lose every sentence that a span covers; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -171,27 +172,37 @@ def span_rows(keyed: DataFrame) -> DataFrame:
                 local = np.ones(len(h), bool)
                 local[at] = False
                 key = np.where(local, mix(u[row].view(U) + s.astype(U) * U(0x9E3779B97F4A7C15)), h).view(np.int64)
-                held = [key, local, docs[row], u[row], (s - edge[t]).astype(np.int32), (e - edge[t]).astype(np.int32)]
+                s, e = s - edge[t], e - edge[t]
+                head = at[np.searchsorted(h[at], h)]
+                again = local & (u[row] == u[row[head]]) & (s == s[head])       # a repeated row, no copy of the span
+                held = [key, local, docs[row], u[row], np.where(again, 0, s).astype(np.int32), np.where(again, 0, e).astype(np.int32)]
                 yield arrays(held, SPANS)
 
     return keyed.mapInArrow(scan, "key long, local boolean, doc_id long, u long, first int, last int")
 
 
 def removed(rows: DataFrame) -> DataFrame:
-    """(u, first, last) of every occurrence but the first of its span."""
+    """(u, first, last) of every occurrence but the first of its span; (u, 0, 0) tells that several rows have this u."""
     out_schema = pa.schema([("u", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        head = None                                     # key, u and sentence of the first occurrence of the span so far
         for batch in batches:
             key, local = batch.column("key").to_numpy(), batch.column("local").to_numpy(zero_copy_only=False)
+            u, first, end = (batch.column(c).to_numpy() for c in ("u", "first", "last"))
             real = np.flatnonzero(~local)
-            gone = local.copy()
+            gone, again = local.copy(), np.zeros(len(key), bool)
             if len(real):
                 k = key[real]
-                gone[real] = np.append(last is not None and k[0] == last, k[1:] == k[:-1])
-                last = k[-1]
-            yield arrays([batch.column(c).filter(pa.array(gone)) for c in out_schema.names], out_schema)
+                new = np.append(head is None or k[0] != head[0], k[1:] != k[:-1])
+                at = np.maximum.accumulate(np.where(new, np.arange(len(real)), -1))
+                from_u = np.where(at < 0, head[1] if head else 0, u[real][at])
+                from_first = np.where(at < 0, head[2] if head else 0, first[real][at])
+                gone[real] = ~new
+                again[real] = ~new & (u[real] == from_u) & (first[real] == from_first)
+                head = k[-1], from_u[-1], from_first[-1]
+            cols = u[gone], np.where(again, 0, first)[gone], np.where(again, 0, end)[gone]
+            yield arrays(list(cols), out_schema)
 
     return rows.repartition("key").sortWithinPartitions("local", "key", "doc_id", "u", "first") \
         .mapInArrow(drop, "u long, first int, last int")
@@ -212,18 +223,22 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(on if inside else ~on))
         return run
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string()),
+                        ("copies", pa.int64())])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gone, n, left, texts = batch.column("gone").to_pylist(), [], [], []
+            later = batch.column("later").to_pylist()
             data, all_offs = utf8(batch.column("text"))
             for i in range(batch.num_rows):
                 buf = data[all_offs[i]:all_offs[i + 1]]
-                _, heads, _, at = cut_up(buf, np.array([0, len(buf)]))
+                words, heads, edge, at = cut_up(buf, np.array([0, len(buf)]))
                 keep = np.ones(len(heads), bool)
                 for g in gone[i] or ():
                     keep[g["first"]:g["last"]] = False
+                for a, z in zip(*spans(words, heads, edge)[1:], strict=True) if later[i] else ():
+                    keep[a:z] = False
                 n.append(len(heads))
                 left.append(int((~keep).sum()))
                 if keep.all():
@@ -232,13 +247,24 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                     ends = np.append(at[1:], len(buf))
                     texts.append((buf[:at[0]].tobytes() + b"".join(
                         buf[a:z].tobytes() for a, z in zip(at[keep], ends[keep], strict=True))).decode())
-            yield arrays([batch.column("doc_id"), n, left, texts], schema)
-
-    sql = "doc_id long, n_sentences long, n_removed long, text string"
-    untouched = keyed.mapInArrow(part(False), keyed.schema).withColumn("gone", F.lit(None).cast("array<struct<first:int,last:int>>"))
-    touched = keyed.mapInArrow(part(True), keyed.schema).join(lists, "u", "left")
-    return untouched.select("doc_id", "text", "gone").mapInArrow(rewrite, sql) \
-        .unionByName(touched.select("doc_id", "text", "gone").mapInArrow(rewrite, sql))
+            yield arrays([batch.column("doc_id"), n, left, texts, batch.column("copies")], schema)
+
+    sql = "doc_id long, n_sentences long, n_removed long, text string, copies long"
+    cols = "doc_id", "text", "gone", "later", "copies"
+    untouched = keyed.mapInArrow(part(False), keyed.schema).select(
+        "doc_id", "text", F.lit(None).cast("array<struct<first:int,last:int>>").alias("gone"), F.lit(False).alias("later"),
+        F.lit(1).cast("long").alias("copies"))
+    # Rows repeating an id and text are folded before they meet their list: the first copy, and one form for all later ones.
+    touched = keyed.mapInArrow(part(True), keyed.schema).groupBy("u") \
+        .agg(F.max(F.struct("doc_id", "text")).alias("r"), F.count("*").alias("n")).join(lists, "u", "left") \
+        .select("r.doc_id", "r.text", "gone", "n", F.explode(F.when(F.col("n") > 1, F.array(F.lit(False), F.lit(True)))
+                                                          .otherwise(F.array(F.lit(False)))).alias("later")) \
+        .withColumn("copies", F.when(F.col("later"), F.col("n") - 1).otherwise(1))
+    done = touched.select(*cols).mapInArrow(rewrite, sql)
+    many = done.where("copies > 1").withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    result = "doc_id", "n_sentences", "n_removed", "text"
+    return untouched.select(*cols).mapInArrow(rewrite, sql).select(*result) \
+        .unionByName(done.where("copies = 1").select(*result)).unionByName(many.select(*result))
 
 
 def op4_sentence_spans(spark, sf_dir: str) -> DataFrame:
