@@ -21,8 +21,9 @@ sets bound the overlap from above, since differing bits are differing elements;
 intersected as sorted arrays.
 
 Edge cases: null text and text without words has the empty set, linked with nothing; fewer than k
-words are one shingle; rows sharing a doc_id are one document; null ids are linked with nothing;
-an empty table gives an empty result; other columns are ignored.
+words are one shingle; each row stands for its own text, so rows sharing a doc_id may be in different groups; rows without an
+id link like others and get the smallest id that they reach (null if none); an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (
-    U, arrays, blobs, in_sieve, mix, shingle_hashes, sieve_of, stored, table, text_slices, word_hashes,
+    U, arrays, blobs, in_sieve, mix, one_row_each, shingle_hashes, sieve_of, stored, table, text_slices, word_hashes,
 )
 from tarmac.llm.components import components
 
@@ -50,7 +51,7 @@ COMMON_MAX = 300_000        # most common shingles that the order knows (16 byte
 SPREAD = 4                  # bits of a signature for each element, at least
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-SETS = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("common", pa.bool_())])
+SETS = pa.schema([("doc_id", pa.int64()), ("u", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("common", pa.bool_())])
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -76,7 +77,7 @@ def ceil_share(n, percent: int):
 
 
 def sets_and_counts(docs: DataFrame, k: int) -> DataFrame:
-    """Stored rows (doc_id, class, size) of every document and, with ``common``, (null, shingle, documents) counts."""
+    """Stored rows (doc_id, u, class, size) of every document and, with ``common``, (null, null, shingle, documents) counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
@@ -84,7 +85,7 @@ def sets_and_counts(docs: DataFrame, k: int) -> DataFrame:
         def counts() -> pa.RecordBatch:
             v, n = np.unique(np.concatenate(held or [np.empty(0, U)]), return_counts=True)
             v, n = v[n > 1], n[n > 1]
-            return arrays([[None] * len(v), signed(v), n, [True] * len(v)], SETS)
+            return arrays([[None] * len(v), [None] * len(v), signed(v), n, [True] * len(v)], SETS)
 
         for batch in batches:
             ids, cls, n = batch.column("doc_id"), np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
@@ -95,10 +96,10 @@ def sets_and_counts(docs: DataFrame, k: int) -> DataFrame:
                 if size >= COUNT_CHUNK:
                     yield counts()
                     held, size = [], 0
-            yield arrays([ids, cls, n, [False] * len(n)], SETS)
+            yield arrays([ids, batch.column("u"), cls, n, [False] * len(n)], SETS)
         yield counts()
 
-    return stored(docs.mapInArrow(run, "doc_id long, cls long, n long, common boolean"), "sets")
+    return stored(docs.mapInArrow(run, "doc_id long, u long, cls long, n long, common boolean"), "sets")
 
 
 def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -421,27 +422,42 @@ def joined_by(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
 
 
-def groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest doc_id that links of similarity ``percent`` reach."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def named_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, u (hash of id and text), n_shingles and group of every row of ``docs``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("u"))
     sets = sets_and_counts(docs, k)
-    rows = sets.where("not common")
     linked = class_groups(docs, sets, k, percent)
-    named = rows.join(linked, F.col("cls") == F.col("node"), "left") \
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "cls").alias("group"))
+    return sets.where("not common").join(linked, F.col("cls") == F.col("node"), "left") \
+        .select("doc_id", "u", F.col("n").alias("n_shingles"), F.coalesce("component", "cls").alias("group"))
+
+
+def row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest doc_id that links of similarity ``percent`` reach."""
+    named = named_rows(docs, k, percent).drop("u")
     lowest = named.where("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    grouped = named.where("n_shingles > 0 and doc_id is not null").join(lowest, "group") \
-        .select("doc_id", "n_shingles", "component_id")
-    alone = named.where("n_shingles = 0 or doc_id is null") \
-        .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    grouped = named.where("n_shingles > 0").join(lowest, "group").select("doc_id", "n_shingles", "component_id")
+    alone = named.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone)
 
 
 def deduplicated(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document (the smallest doc_id) of each group; rows without an id stay."""
-    keep = groups(docs, k, percent).groupBy("doc_id").agg(F.min("component_id").alias("c")).where("c = doc_id").select("doc_id")
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """``docs`` with one row of each group: the smallest doc_id (rows without one last), then the smallest hash of id and text,
+    then the least row.  Rows without a word stay."""
+    named = named_rows(docs, k, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "u")
+    chosen = stored(named.where("n_shingles > 0").groupBy("group")
+                    .agg(F.min(order).alias("best"), F.count("*").alias("rows")).select(F.col("best.u").alias("__u"), "rows"), "chosen")
+    several = stored(named.groupBy("u").count().where("count > 1").select(F.col("u").alias("__u")), "several")
+    winners = chosen.join(several.withColumn("__several", F.lit(True)), "__u", "left") \
+        .select("__u", F.coalesce("__several", F.lit(False)).alias("__several"))
+    words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = docs.where(words).withColumn("__u", row_key()).join(winners, "__u")
+    return one_row_each(kept, "__u", F.col("__several")).unionByName(
+        docs.where(~words), allowMissingColumns=True).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
