@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import U, arrays, mix, prefix_hash, sieve_of, sifted, span_hash, stored, table, text_slices, utf8
+from tarmac.llm.common import U, arrays, mix, one_row_each, prefix_hash, sieve_of, sifted, span_hash, stored, table, text_slices, utf8
 
 SIZE = 200
 GRAM = 96
@@ -393,15 +393,22 @@ def cut_text(text: str, parts: list[tuple[int, int]]) -> str:
 
 
 def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``docs`` with later copies cut from the texts; rows that lose all their text go, n_chars (if there) follows."""
+    """``docs`` with later copies cut from the texts; rows that lose all their text go, n_chars (if there) follows.
+
+    Of rows repeating an id and a text of at least ``size`` bytes one stays, the least as JSON; shorter texts all stay.
+    """
     rows, cut = removed_spans(docs, size, keep_first=True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("__u", F.xxhash64(F.col("doc_id").cast("long"), text)).dropDuplicates(["__u"])
-    gone = stored(rows.where("whole").select(F.col("u").alias("__u"), F.lit(True).alias("__whole"),
-                                             F.lit(None).cast("array<struct<start:long,end:long>>").alias("__spans"))
-                  .unionByName(cut.select(F.col("u").alias("__u"), F.lit(False).alias("__whole"), F.col("spans").alias("__spans")))
-                  .groupBy("__u").agg(F.max("__whole").alias("__whole"), F.first("__spans", True).alias("__spans")), "gone")
+    keyed = docs.withColumn("__u", F.xxhash64(F.col("doc_id").cast("long"), text))
+    mark = lambda df, whole, several, spans: df.select(                                                  # noqa: E731
+        F.col("u").alias("__u"), F.lit(whole).alias("__whole"), F.lit(several).alias("__several"),
+        spans.cast("array<struct<start:long,end:long>>").alias("__spans"))
+    several = rows.where(F.col("n_bytes") >= size).groupBy("u").count().where("count > 1")
+    gone = stored(mark(rows.where("whole"), True, False, F.lit(None)).unionByName(mark(several, False, True, F.lit(None)))
+                  .unionByName(mark(cut, False, False, F.col("spans"))).groupBy("__u")
+                  .agg(F.max("__whole").alias("__whole"), F.max("__several").alias("__several"), F.first("__spans", True).alias("__spans")), "gone")
     joined = keyed.join(gone, "__u", "left")
+    joined = one_row_each(joined.where(~F.coalesce("__whole", F.lit(False))), "__u", F.coalesce("__several", F.lit(False)))
     schema = joined.schema
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,12 +421,11 @@ def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
                                          pa.array(texts, batch.schema.field("text").type))
             yield batch
 
-    out = joined.mapInArrow(rewrite, schema).where(
-        ~F.coalesce("__whole", F.lit(False)) & (F.col("__spans").isNull() | (F.trim("text") != "")))
+    out = joined.mapInArrow(rewrite, schema).where(F.col("__spans").isNull() | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:

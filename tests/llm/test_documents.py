@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarmac.llm import decontaminate, jaccard, language, maxent, packing, repeats, sentence_spans, toxicity
+from tarmac.llm import common, decontaminate, jaccard, language, maxent, packing, repeats, sentence_spans, toxicity
 from tarmac.llm.common import table
 
 SMOKE = "/root/testdata/sf0.001"
@@ -110,22 +110,25 @@ def test_encoders_agree():
 
 # ---- near duplicates -----------------------------------------------------------------------
 
-def brute_groups(rows, k=5, percent=80):
-    sets = collections.defaultdict(list)
-    for i, text in rows:
+def brute_components(rows, k=5, percent=80):
+    """(words' set, group) of every row, linked by text."""
+    sets = []
+    for _, text in rows:
         w = words(text)
-        sets[i].append({tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if w else set())
-    ids = [i for i in sets if i is not None]
-    group = {i: i for i in ids}
-    while True:
-        old = dict(group)
-        for a in ids:
-            for b in ids:
-                if group[a] != group[b] and any(x and y and 100 * len(x & y) >= percent * len(x | y)
-                                                for x in sets[a] for y in sets[b]):
-                    group[a] = group[b] = min(group[a], group[b])
-        if old == group:
-            return {(i, len(s), group.get(i)) for i in sets for s in sets[i]}
+        sets.append({tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if w else set())
+    group = list(range(len(rows)))
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            if group[a] != group[b] and x and y and 100 * len(x & y) >= percent * len(x | y):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    return list(zip(sets, group, strict=True))
+
+
+def brute_groups(rows, k=5, percent=80):
+    found = brute_components(rows, k, percent)
+    least = {g: min((i for (i, _), (_, h) in zip(rows, found, strict=True) if h == g and i is not None), default=None) for _, g in found}
+    return {(i, len(s), least[g]) for (i, _), (s, g) in zip(rows, found, strict=True)}
 
 
 def near_copies(spark, n=90):
@@ -162,10 +165,61 @@ def test_groups_smoke_and_empty(spark, empty):
 def test_near_duplicate_stage(docs):
     out = jaccard.deduplicated(docs)
     assert out.columns == docs.columns
-    want = {i for i, _, g in brute_groups([(r[0], r[1]) for r in ROWS]) if g in (i, None)}
+    want = [r[0] for r in first_rows([(r[0], r[1]) for r in ROWS])]
     assert sorted(r.doc_id or 0 for r in out.collect()) == sorted(i or 0 for i in want) and 9 not in want
 
 
+def first_rows(rows):
+    """The rows of the near-duplicate stage: the smallest id of each group (none last), equal rows once; all rows without a word."""
+    best = {}
+    for row, (s, g) in zip(rows, brute_components(rows), strict=True):
+        if s and (g not in best or (row[0] is None, row[0] or 0) < (best[g][0] is None, best[g][0] or 0)):
+            best[g] = row
+    return [*best.values(), *(r for r in rows if not words(r[1]))]
+
+
+SPAN = " ".join(f"Sentence number {k} of a passage that stands in several texts." for k in range(12))
+OTHER = " ".join(f"Quite another line, the {k}th of its kind, and nothing else." for k in range(9))
+#: Repeated rows, ids shared by different texts, missing ids, rows that differ in another column only, and short texts.
+REPEATED = [(1, SPAN, "a"), (1, SPAN, "a"), (1, SPAN, "b"), (2, "Before it. " + SPAN, "a"), (3, OTHER, "a"), (3, "clean and short", "a"),
+            (3, "clean and short", "b"), (3, SPAN + " After it.", "a"), (None, OTHER, "a"), (None, OTHER, "c"), (None, "tiny", "a"), (None, "tiny", "a"),
+            (4, "tiny", "a"), (5, "", "a"), (5, None, "a"), (5, "", "a"), (6, "x y z", "a"), (7, "Only here stands a text that no other row repeats. " * 3, "a")]
+
+
+@pytest.fixture(scope="module")
+def repeated_rows(spark):
+    return spark.createDataFrame([(i, t, c, None if t is None else len(t)) for i, t, c in REPEATED],
+                                 "doc_id long, text string, source string, n_chars long").repartition(5)
+
+
+def test_near_duplicate_stage_loses_no_text(repeated_rows):
+    got = jaccard.deduplicated(repeated_rows).collect()
+    want = first_rows([(i, t) for i, t, _ in REPEATED])
+    assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter(want)
+    assert {tuple(sorted(words(r.text))) for r in got} >= {tuple(sorted(words(t))) for i, t, _ in REPEATED if i in (1, 6, 7)}
+    assert next(r.source for r in got if r.doc_id == 1) == "a"                     # of equal rows the least
+
+
+def test_repeat_stage_loses_no_short_text(repeated_rows):
+    got = repeats.deduplicated(repeated_rows)
+    assert got.columns == repeated_rows.columns
+    rows = collections.Counter((r.doc_id, r.text, r.source) for r in got.collect())
+    short = collections.Counter((i, t, c) for i, t, c in REPEATED if len((t or "").encode()) < 200 and t != REPEATED[-1][1])
+    assert {k: v for k, v in rows.items() if k in short} == short
+    assert rows[1, SPAN, "a"] == 1 and rows[None, OTHER, "a"] == 1                 # rows without an id come first, so id 3 holds a copy
+    assert sum(SPAN in (t or "") for _, t, _ in rows.elements()) == 1              # one whole passage stays
+    assert sum(OTHER in (t or "") for _, t, _ in rows.elements()) == 1
+
+
+def test_sentence_spans_keep_one_of_repeated_rows(repeated_rows):
+    got = sentence_spans.deduplicated(repeated_rows).collect()
+    assert len(got) == len(REPEATED)
+    left = collections.Counter((r.doc_id, r.text) for r in got)
+    assert left[1, SPAN] == 1 and left[1, ""] == 2 and left[None, OTHER] == 1 and left[None, ""] == 1
+    assert sum(SPAN in r.text for r in got) == 1 and sum(OTHER in r.text for r in got) == 1
+    assert left[3, "clean and short"] == 2 and left[None, "tiny"] == 2 and left[5, ""] == 3
+
+
 # ---- repeated strings ----------------------------------------------------------------------
 
 def brute_repeats(rows, size):
@@ -201,8 +255,9 @@ def test_repeats_smoke_and_empty(spark, empty):
 @pytest.mark.parametrize("size", [200, 30])
 def test_first_copy_stays(docs, size):
     """Later copies go, by brute force; rows that lose all their text go with them."""
-    want, seen = {}, set()
-    for i, text in sorted({(r[0], r[1]) for r in ROWS if r[0] is not None}, key=lambda r: r[0]):
+    want, seen = collections.Counter(), set()
+    rows = [(r[0], r[1]) for r in ROWS]
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         raw = (text or "").encode()
         gone = np.zeros(len(raw), bool)
         for k in range(len(raw) - size + 1):
@@ -212,9 +267,9 @@ def test_first_copy_stays(docs, size):
         edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]]))).tolist()
         kept = repeats.cut_text(text or "", list(zip(edge[::2], edge[1::2], strict=True)))
         if not edge or kept.strip():
-            want[i] = kept
-    out = repeats.deduplicated(docs.where("doc_id is not null"), size).collect()
-    assert {r.doc_id: r.text or "" for r in out} == want and len(out) == len(want)
+            want[i, kept] += 1
+    out = repeats.deduplicated(docs, size).collect()
+    assert collections.Counter((r.doc_id, r.text or "") for r in out) == want
     assert all(r.n_chars == len(r.text) for r in out if r.text)
 
 
@@ -404,6 +459,36 @@ def test_language_sample(spark, docs, monkeypatch):
         assert not taken if n is None else abs(taken.pop()[0] - n) < 0.25 * n
 
 
+@pytest.mark.parametrize("total", [0, 1, 399, 400, 401, 5 * 10**9, 2**62])
+def test_draw_limit(total):
+    """About as many as wanted at any size, never none; all where there are no more."""
+    limit = common.draw_limit(400, total)
+    drawn = (limit + 2**63 + 1) * total / 2**64
+    assert -2**63 <= limit < 2**63 and (limit == 2**63 - 1 if total <= 400 else abs(drawn - 400) < 1)
+
+
+def test_samples_of_huge_tables_are_not_empty(spark, monkeypatch):
+    """With limits as of five billion rows of each class there is still something to learn from."""
+    drawn = common.draw_limit
+    for module in (language, toxicity):
+        monkeypatch.setattr(module, "draw_limit", lambda wanted, total: drawn(100 * 10**7 * wanted // total, 5 * 10**9))
+    rows = [(i, f"text {i} {'plain words of it' if i % 2 else 'andere woerter davon'}", "en" if i % 2 else "de") for i in range(1, 1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit(docs, F.lit(True)).langs == ["de", "en"]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 1500)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.weights.any()
+
+
+def test_toxicity_sample_holds_one_text_an_id(spark, monkeypatch):
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("plain text "), F.col("id")).alias("text")) \
+        .unionByName(spark.createDataFrame([(8, "foul words here")], "doc_id long, text string"))
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda found: seen.extend(found))
+    toxicity.fit(docs, spark.createDataFrame([(7, 0), (8, 1)], "doc_id long, toxic int"), F.lit(True))
+    assert sorted(y for y, *_ in seen) == [0, 1]
+
+
 def test_pipeline_odd_rows(spark, docs, tmp_path):
     """The whole pipeline on the odd rows, a labelled one without id among them."""
     docs.write.parquet(str(tmp_path / "documents.parquet"))

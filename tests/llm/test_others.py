@@ -33,6 +33,18 @@ def test_main_text(model, source, text):
     assert html.extract([source], model) == [text]
 
 
+@pytest.mark.parametrize("tag", ["svg", "select", "template", "noscript", "math"])
+def test_unclosed_elements_hide_nothing(model, tag):
+    page = CASES[0][0].replace("<p>Five", f"<{tag}><p>Five")
+    assert html.extract([page], model) == [CASES[0][1]]
+    if tag == "math":
+        formula = CASES[0][0].replace("three,", "<math><mi>x</mi><mo>=</mo><mn>3</mn></math> three,")
+        assert html.extract([formula], model) == [CASES[0][1].replace("three,", "x=3 three,")]
+    else:
+        closed = CASES[0][0].replace("<p>Five", f"<{tag}><i>hidden</i></{tag}><p>Five")
+        assert html.extract([closed], model) == [CASES[0][1]]
+
+
 def test_pages(spark, model):
     rows = [(1, "u", None, 1), (2, None, "", 2), (3, "v", "<", 3), (4, "w", "<p <b>> &#x41;&bogus; <!-- open", 4), (None, "x", CASES[0][0], 5),
             (5, "y", "<div>" * 3000 + "deep", 6), (6, "z", "<article><p>" + "long text, " * 40000, 7)]
