@@ -17,6 +17,7 @@ from pyspark.ml.feature import Bucketizer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.commits import commit, committed, forget, new_save_id, records
 from tarmac.operators.features import (FEATURES_COL, LABEL_COL, assembler, delay_bucketizer, encode,
                                        fit_indexers, with_route)
 from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES, VECTOR_SLOTS
@@ -189,38 +190,66 @@ def metric_record(spark: SparkSession, m: TrainedModel) -> DataFrame:
 
 # ----- artifacts -----------------------------------------------------------
 
-def artifact_paths(root: str, version: str) -> dict[str, str]:
+def artifact_paths(root: str, version: str, save_id: str) -> dict[str, str]:
+    """Folders of one save of a version."""
     return {
-        "bucketizer": os.path.join(root, f"{BUCKETIZER_PREFIX}{version}.bin"),
-        "indexers": os.path.join(root, f"{INDEXERS_PREFIX}{version}.bin"),
-        "assembler": os.path.join(root, f"{ASSEMBLER_PREFIX}{version}.bin"),
-        "forest": os.path.join(root, f"{MODEL_DIR_PREFIX}{version}.bin"),
-        "metrics": os.path.join(root, f"{METRICS_PREFIX}{version}.json"),
+        "bucketizer": os.path.join(root, f"{BUCKETIZER_PREFIX}{version}.bin", save_id),
+        "indexers": os.path.join(root, f"{INDEXERS_PREFIX}{version}.bin", save_id),
+        "assembler": os.path.join(root, f"{ASSEMBLER_PREFIX}{version}.bin", save_id),
+        "forest": os.path.join(root, f"{MODEL_DIR_PREFIX}{version}.bin", save_id),
+        "metrics": os.path.join(root, f"{METRICS_PREFIX}{version}.json", save_id),
     }
 
 
 def save(m: TrainedModel, root: str) -> dict[str, str]:
-    """Write every fitted artifact (overwrite) plus the metric record.
+    """Write every fitted artifact plus the metric record, and commit them as the version's current ones.
 
-    The label dictionaries belong to the forest fitted on them, so every artifact is stored by
-    version: a later fit leaves earlier models as they were.  The forest is written after the
-    artifacts it needs, since its folder is what lists a version.
+    The label dictionaries belong to the forest fitted on them, so every artifact is stored by version.  Each save
+    writes folders of its own, and an empty file under ``COMMITS``, made last, is what lists it: a save that stops half-way lists
+    nothing, and saving a version again leaves the earlier save in place for those who still read it.
     """
-    p = artifact_paths(root, m.version)
-    m.bucketizer.write().overwrite().save(p["bucketizer"])
-    m.indexers.write().overwrite().save(p["indexers"])
-    m.assembler.write().overwrite().save(p["assembler"])
-    m.forest.write().overwrite().save(p["forest"])
-    metric_record(SparkSession.getActiveSession(), m).write.mode("overwrite").json(p["metrics"])
+    spark = SparkSession.getActiveSession()
+    save_id = new_save_id()
+    p = artifact_paths(root, m.version, save_id)
+    m.bucketizer.write().save(p["bucketizer"])
+    m.indexers.write().save(p["indexers"])
+    m.assembler.write().save(p["assembler"])
+    m.forest.write().save(p["forest"])
+    metric_record(spark, m).write.json(p["metrics"])
+    commit(spark, root, m.version, save_id)
     return p
 
 
+def current_paths(root: str, version: str) -> dict[str, str]:
+    """Folders of the latest committed save of a version."""
+    save_id = committed(SparkSession.getActiveSession(), root).get(version)
+    if save_id is None:
+        raise FileNotFoundError(f"version {version} is not stored under {root}")
+    return artifact_paths(root, version, save_id)
+
+
+def discard_superseded(spark: SparkSession, root: str) -> list[str]:
+    """Remove all but the latest committed save of each version, their commit records first; returns the removed save ids.
+
+    For times when nobody reads an older save; folders of saves without a commit record are left alone, as they may
+    still be being written.
+    """
+    current, gone = committed(spark, root), []
+    for version, save_id in records(spark, root):
+        if current[version] != save_id:
+            forget(spark, root, version, save_id)
+            for path in artifact_paths(root, version, save_id).values():
+                discard(spark, path)
+            gone.append(save_id)
+    return gone
+
+
 def load_forest(root: str, version: str) -> RandomForestClassificationModel:
-    return RandomForestClassificationModel.load(artifact_paths(root, version)["forest"])
+    return RandomForestClassificationModel.load(current_paths(root, version)["forest"])
 
 
 def load_preprocessing(root: str, version: str):
-    p = artifact_paths(root, version)
+    p = current_paths(root, version)
     idx = StringIndexerModel.load(p["indexers"]).setHandleInvalid("keep")
     va = VectorAssembler.load(p["assembler"])
     return idx, va
@@ -242,12 +271,8 @@ def load_serving(root: str, version: str) -> ServingModel:
 
 
 def stored_versions(spark: SparkSession, root: str) -> list[str]:
-    """Versions with a stored forest: one listing of ``root``, empty if there is no such folder."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
-    return sorted(n[len(MODEL_DIR_PREFIX):-len(".bin")] for n in names
-                  if n.startswith(MODEL_DIR_PREFIX) and n.endswith(".bin"))
+    """Versions with a committed save."""
+    return sorted(committed(spark, root))
 
 
 class LoadError(RuntimeError):
@@ -269,4 +294,4 @@ def load_with_retry(loader, attempts: int = 10, wait_seconds: float = 5.0):
 
 __all__ = ["TrainedModel", "forest", "featurize", "accuracy", "evaluator_accuracy", "train",
            "serving_features", "score", "metric_record", "save", "load_forest", "load_preprocessing",
-           "load_serving", "stored_versions", "load_with_retry", "artifact_paths"]
+           "load_serving", "stored_versions", "committed", "current_paths", "discard_superseded", "load_with_retry", "artifact_paths"]

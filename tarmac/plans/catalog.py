@@ -8,6 +8,7 @@ numbers and dates as ISO text so both engines agree on representation.
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 import os
 from collections.abc import Callable
@@ -21,7 +22,8 @@ from tarmac.functions.columns import (artifact_id as artifact_id_col, clean_run_
                                       ms_to_seconds, parse_model_ids)
 from tarmac.operators import airports as ap
 from tarmac.operators import features as ft
-from tarmac.operators import keyed, models, registry, scoring
+from tarmac.operators import forest_table, keyed, models, registry, scoring
+from tarmac.operators.keyed import ordinal
 from tarmac.plans import inputs
 from tarmac.schemas import METRIC_SCHEMA, REQUEST_SCHEMA, RESPONSE_FIELDS
 from tarmac.session import work_dir
@@ -251,6 +253,24 @@ def enrich_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "Origin", "Dest", "Distance")
 
 
+@query("enrich_distance_stream")
+def enrich_distance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms as a stream, joined to a distance dimension that is reloaded between two triggers: forms of even number meet
+    the first lines' distances, the others those of all lines."""
+    from tarmac.streaming import enrich
+    base = work_dir(spark, "enrich-stream")
+    src, dims, out, ckpt = (os.path.join(base, p) for p in ("in", "dims", "out", "ckpt"))
+    forms = inputs.forms(spark, sf_dir).select("event_id", "Origin", "Dest")
+    lines = stored(inputs.flights(spark, sf_dir, with_keys=True).select("Origin", "Dest", "Distance", *LINE_KEYS), "lines")
+    even = F.col("event_id") % 2 == 0
+    for part, known in ((even, lines.where("l_linenumber = 1")), (~even, lines)):
+        enrich.publish_distances(known, LINE_KEYS, dims)
+        forms.where(part).write.mode("append").json(src)
+        stream = spark.readStream.schema(forms.schema).json(src)
+        enrich.start_enrichment(stream, lambda s: enrich.current_distances(s, dims), out, ckpt, availableNow=True).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "Origin", "Dest", "Distance")
+
+
 @query("last_wins")
 def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last line per order (greatest line keys), as a keyed overwrite would leave it."""
@@ -343,6 +363,40 @@ def active_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(act, "model_id").select("model_id", _epoch_us("activated_at"))
 
 
+@query("active_set_stream")
+def active_set_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active set kept as streaming state over the activation log; half of the log comes after a restart, and not in order."""
+    from tarmac.streaming import registry as sreg
+    log = ev.activations(spark, sf_dir).select("model_id", "action", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"))
+    base = work_dir(spark, "active-stream")
+    src, out, ckpt = (os.path.join(base, p) for p in ("log", "out", "ckpt"))
+    late = F.pmod(F.xxhash64("model_id", "ts"), F.lit(2)) == 0
+    for part in (late, ~late):
+        log.where(part).repartition(3).write.mode("append").json(src)
+        sreg.start_active_set(spark, src, out, ckpt, availableNow=True).awaitTermination()
+    return sreg.active_set(spark, out)
+
+
+@query("artifact_stream")
+def artifact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New objects of the model folder as a stream: a second version is saved between two runs, and the second run lists its
+    objects only.  Per model: the run that listed it, and whether the kept state equals a whole listing."""
+    from tarmac.streaming import batchlog
+    from tarmac.streaming import registry as sreg
+    m = day_tree(spark, sf_dir)
+    base, root = _saved(spark, m)
+    out, ckpt = work_dir(spark, "artifact-stream"), work_dir(spark, "artifact-stream-ckpt")
+    again = dataclasses.replace(m, version=inputs.version_of(inputs.MAJORITY_MODEL))
+    for run in (0, 1):
+        if run:
+            models.save(again, root)
+        sreg.start_listing(spark, base, out, ckpt, availableNow=True).awaitTermination()
+    whole = sreg.model_objects(src_files.list_objects(spark, base), base)
+    listed = batchlog.read_batches(spark, out, sreg.MODEL_OBJECTS).groupBy("model_id").agg(F.count("*").alias("times"), F.max("batch").alias("batch"))
+    kept = sreg.listed_objects(spark, out).join(whole, ["model_id", "last_modified", "objects"], "left_semi").select("model_id", F.lit(True).alias("equal"))
+    return listed.join(kept, "model_id", "left").select("model_id", "times", "batch", F.coalesce("equal", F.lit(False)).alias("equal"))
+
+
 @query("purge_models")
 def purge_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models named in error events are deleted: dropped from the catalog and the active set."""
@@ -388,9 +442,12 @@ def score_scope_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("score_scope_batch")
 def score_scope_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch scope with micro-batches cut by a 2-second processing trigger on request time."""
-    r = scoring.with_route(inputs.requests(spark, sf_dir, distance=False)).withColumn("batch_id", inputs.trigger_batch())
-    return scoring.pair_batch(r, inputs.model_table(spark, sf_dir), "batch_id").select("UUID", "model_id", "batch_id")
+    """Batch scope over the micro-batches that a stream of request files really had, by its ledger."""
+    from tarmac.streaming import requests as sreq
+    r = stored(inputs.requests(spark, sf_dir, distance=False), "ledger-requests")
+    ledger = sreq.run_ledger(spark, r, inputs.request_file())
+    batches = scoring.with_route(r).join(ledger, "UUID")
+    return scoring.pair_batch(batches, inputs.model_table(spark, sf_dir), "batch_id").select("UUID", "model_id")
 
 
 def day_tree(spark: SparkSession, sf_dir: str) -> models.TrainedModel:
@@ -408,9 +465,9 @@ def day_tree(spark: SparkSession, sf_dir: str) -> models.TrainedModel:
 
 def _tree_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = day_tree(spark, sf_dir)
-    reqs = scoring.with_route(inputs.requests(spark, sf_dir, model_id=m.version))
-    feats = models.serving_features(scoring.valid_requests(reqs), m.indexers, m.assembler)
-    return scoring.score_models(feats, {m.version: m.forest})
+    _, root = _saved(spark, m)
+    reqs = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir, model_id=m.version)))
+    return forest_table.serve(scoring.requested_ids(reqs), root, [m.version])
 
 
 @query("response_json")
@@ -463,7 +520,19 @@ def response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "signup",
                F.concat(F.lit('{"note":"no uuid","n":'), F.col("event_id").cast("string"), F.lit("}")))
          .otherwise(F.concat(F.lit("not json "), F.col("event_id").cast("string"))).alias("value"))
-    return sresp.run_response_stream(spark, msgs.unionByName(junk))
+    return sresp.run_response_stream(spark, msgs.unionByName(junk))[0]
+
+
+@query("response_replay")
+def response_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every response delivered twice, the second time to a restarted stream: how often the store's log holds each."""
+    from tarmac.schemas import STORED_RESPONSE_SCHEMA
+    from tarmac.streaming import batchlog
+    from tarmac.streaming import responses as sresp
+    msgs = stored(scoring.response_json(_tree_scored(spark, sf_dir)), "responses")
+    _, store = sresp.run_response_stream(spark, msgs, files=2, deliveries=2)
+    log = batchlog.read_batches(spark, os.path.join(store, "log"), STORED_RESPONSE_SCHEMA)
+    return log.groupBy("uuid", "model_id").agg(F.count("*").alias("logged"))
 
 
 # ----- forest training and scoring -----------------------------------------------------
@@ -552,11 +621,47 @@ def score_union(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   featureSubsetStrategy="all", maxBins=models.MAX_BINS, seed=models.DEFAULT_SEED)
     one = models.train(inputs.flights(spark, sf_dir), estimator=leaf, run_name=inputs.MAJORITY_MODEL,
                        version=inputs.version_of(inputs.MAJORITY_MODEL), fit_bins=True)
+    _, root = _saved(spark, m)
+    models.save(one, root)
     reqs = scoring.valid_requests(scoring.with_route(inputs.requests(spark, sf_dir)))
-    # Stored once: each model's transform then reads the vectors instead of redoing the joins.
-    feats = stored(models.serving_features(reqs, m.indexers, m.assembler), "score-union-input")
-    out = scoring.score_models(feats, {m.version: m.forest, one.version: one.forest}, scope="batch")
-    return out.select("UUID", "model_id", models.PREDICTION_COL)
+    both = reqs.withColumn("model_id", F.explode(F.array(F.lit(m.version), F.lit(one.version))))
+    return forest_table.serve(both, root, [m.version, one.version]).select("UUID", "model_id", models.PREDICTION_COL)
+
+
+@query("forest_table_score")
+def forest_table_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every flight scored by the stored node tables of two forests in one plan, beside their own ``transform``: the day
+    tree's prediction, and for both whether class, raw prediction and probability are equal to the last bit."""
+    tree, bagged = day_tree(spark, sf_dir), _trained(spark, sf_dir)
+    _, root = _saved(spark, tree)
+    models.save(bagged, root)
+    rows = ordinal(ft.training_frame(inputs.flights(spark, sf_dir, with_keys=True)), [F.col(c) for c in (*LINE_KEYS, "Distance", "DepDelay")], "n")
+    asked = rows.withColumn("model_id", F.explode(F.array(F.lit(tree.version), F.lit(bagged.version))))
+    table = forest_table.serve(asked, root, [tree.version, bagged.version]) \
+        .select("n", "model_id", "FlightNum", "rawPrediction", "probability", F.col(models.PREDICTION_COL).alias("p"))
+    fitted = [models.score(m.forest, models.serving_features(rows, m.indexers, m.assembler)).select(
+        "n", F.lit(m.version).alias("model_id"), vector_to_array("rawPrediction").alias("raw"),
+        vector_to_array("probability").alias("prob"), F.col(models.PREDICTION_COL).alias("q")) for m in (tree, bagged)]
+    same = (F.col("p") == F.col("q")) & (F.col("rawPrediction") == F.col("raw")) & (F.col("probability") == F.col("prob"))
+    return table.join(fitted[0].unionByName(fitted[1]), ["n", "model_id"]).select(
+        "FlightNum", "model_id", F.when(F.col("model_id") == tree.version, F.col("p")).alias(models.PREDICTION_COL), same.alias("same"))
+
+
+@query("forest_nodes")
+def forest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the node table says of two stored forests: trees, whether they keep to their depth, and, of the unbagged
+    day tree, the classes of the rows at its root."""
+    tree, bagged = day_tree(spark, sf_dir), _trained(spark, sf_dir)
+    _, root = _saved(spark, tree)
+    models.save(bagged, root)
+    both = [tree.version, bagged.version]
+    nodes = forest_table.nodes(spark, root, both)
+    sizes = nodes.groupBy("model_id", "tree").agg(F.count("*").alias("n"), F.sum(F.when(F.col("slot").isNull(), 1).otherwise(0)).alias("leaves"))
+    trees = sizes.join(forest_table.depths(spark, root, both), "model_id").groupBy("model_id").agg(
+        F.count("*").alias("trees"), F.bool_and((F.col("n") < F.pow(F.lit(2.0), F.col("depth") + 1)) & (F.col("n") == 2 * F.col("leaves") - 1)).alias("sound"))
+    top = nodes.where(F.col("node") == 0).select("model_id", F.posexplode("counts").alias("class", "rows")) \
+        .where((F.col("model_id") == tree.version) & (F.col("rows") > 0))
+    return trees.join(top, "model_id", "left").select("model_id", "trees", "sound", "class", "rows")
 
 
 def _stream_scored(spark: SparkSession, sf_dir: str, resume: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import keyed, scoring
@@ -17,7 +17,8 @@ from tarmac.sources.tables import stored
 DAY_TREE = "day-tree"
 MAJORITY_MODEL = "majority"
 MISSING_MODEL = "missing-model"
-TRIGGER_SECONDS = 2
+# Request files of the ledger stream, by request number.
+REQUEST_FILES = 8
 
 
 def version_of(name: str) -> str:
@@ -66,6 +67,6 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(artifact_times(ev.artifacts(spark, sf_dir)).select("model_id"))
 
 
-def trigger_batch(ts: str = "Timestamp") -> Column:
-    """Micro-batch a request falls in under a fixed processing-time trigger."""
-    return (F.unix_millis(F.col(ts)) / F.lit(TRIGGER_SECONDS * 1000)).cast("long")
+def request_file(uuid: str = "UUID"):
+    """File, and so micro-batch, that a request is published in."""
+    return F.pmod(F.col(uuid).cast("long"), F.lit(REQUEST_FILES))

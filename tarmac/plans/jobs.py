@@ -57,9 +57,7 @@ def serve_job(spark: SparkSession, root: str, out: str | None, checkpoint: str,
     raw = sreq.kafka_source(spark, kafka, topic, max_offsets=max_offsets) if kafka \
         else sreq.file_source(spark, requests_path, max_files=max_files)
     scorer.wait_for_models(spark, root)
-    cache = scorer.ModelCache(lambda mid: models.load_serving(root, mid),
-                              lambda: models.stored_versions(spark, root), attempts=load_attempts,
-                              wait_seconds=load_wait_seconds)
+    cache = scorer.ModelCache.of(spark, root, attempts=load_attempts, wait_seconds=load_wait_seconds)
     failures = failures or checkpoint.rstrip("/") + "-failures"
     sink = scorer.kafka_publisher(kafka, response_topic) if (kafka and response_topic) else out
     return scorer.start(sreq.parsed_requests(raw), scorer.batch_scorer(cache, sink, scope, failures, on_failure), checkpoint,
@@ -68,17 +66,15 @@ def serve_job(spark: SparkSession, root: str, out: str | None, checkpoint: str,
 
 def response_store_job(spark: SparkSession, store: str, checkpoint: str, kafka: str | None = None,
                        topic: str = "response", responses_path: str | None = None,
-                       mode: str = "merge_on_read", available_now: bool = False, max_files: int = 1):
+                       available_now: bool = False, max_files: int = 1, window: str | None = None):
     """Consume response messages (Kafka topic, or a folder of JSON lines), keep those that
-    are JSON objects with a UUID, and store them by uuid (last write wins)."""
+    are JSON objects with a UUID, drop repeated deliveries within ``window`` (default: an hour; "" keeps them), and store them
+    by uuid (last write wins)."""
     from tarmac.streaming import responses as sresp
     raw = sreq.kafka_source(spark, kafka, topic, max_offsets=None) if kafka \
         else sreq.file_source(spark, responses_path, max_files=max_files)
-    fn = sresp.log_batch(store) if mode == "merge_on_read" else sresp.upsert_batch(store)
-    w = sresp.stored_rows(raw).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
-        .outputMode("update")
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=sreq.TRIGGER)
-    return w.start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": sreq.TRIGGER}
+    return sresp.start_store(raw, store, checkpoint, sresp.REPEAT_WINDOW if window is None else window or None, **trigger)
 
 
 def main(argv=None) -> None:

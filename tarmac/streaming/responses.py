@@ -1,4 +1,4 @@
-"""Response stream: parse messages, map to stored rows, upsert by key into a bucketed store."""
+"""Response stream: parse messages, map to stored rows, drop repeated deliveries, keep the last write of each key."""
 
 from __future__ import annotations
 
@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from tarmac.operators import scoring
 from tarmac.schemas import STORED_RESPONSE_SCHEMA
 from tarmac.session import work_dir
-from tarmac.sources.tables import stored
+from tarmac.streaming import batchlog
 from tarmac.streaming.requests import file_source, write_message_files
 
-STORE_BUCKETS = 64
+REPEAT_WINDOW = "1 hour"
 
 
 def stored_rows(raw: DataFrame) -> DataFrame:
@@ -22,118 +22,38 @@ def stored_rows(raw: DataFrame) -> DataFrame:
     return scoring.response_rows(scoring.parse_responses(raw))
 
 
-def upsert_batch(store: str, keys: Sequence[str] = ("uuid",), order: Sequence[str] = ("__batch", "model_id"),
-                 buckets: int = STORE_BUCKETS):
-    """foreachBatch function: keyed last-wins upsert into a parquet store partitioned by key bucket
-    (copy-on-write).  Each batch rewrites whole buckets, so size ``buckets`` so that a
-    bucket stays small (store size / bucket count); for large stores prefer ``log_batch``.
+def delivered_once(rows: DataFrame, window: str = REPEAT_WINDOW) -> DataFrame:
+    """A stream's rows without those that came before within ``window``: the same request answered by the same model.
 
-    Only the buckets the batch touches are read, merged and overwritten (dynamic
-    partition overwrite).  The merge is stored in the checkpoint folder before
-    the overwrite so the write never reads the files it replaces; a retried batch
-    recomputes the same result, so replays are idempotent.
-    """
-    keys = list(keys)
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("__batch", F.lit(batch_id).cast("long")) \
-            .withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-        touched = [r["__bucket"] for r in rows.select("__bucket").distinct().collect()]
-        if not touched:
-            return
-        if _has_entries(spark, store, "__bucket="):
-            old = spark.read.parquet(store).filter(F.col("__bucket").isin(touched))
-            merged = scoring.upsert(old, rows, keys, order)
-        else:
-            merged = scoring.upsert(None, rows, keys, order)
-        merged = stored(merged, "upsert-merge")
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("__bucket").parquet(store))
-
-    return fn
-
-
-def _has_entries(spark: SparkSession, path: str, prefix: str) -> bool:
-    """Whether the folder exists and holds entries with this prefix.  Any other failure is an error of the
-    batch: a store that cannot be read must not be taken for an empty one."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(at)) and any(x.getPath().getName().startswith(prefix) for x in fs.listStatus(at))
-
-
-def log_batch(store: str):
-    """foreachBatch function for merge-on-read: the batch's rows go to their own log folder.
-
-    Each trigger writes only its own rows (``log/batch=<id>``, replaced on replay,
-    so a retried batch is idempotent); the cost of a write is the batch, not the
-    store.  Readers resolve the last write per key (``read_store``), and
-    ``compact`` folds the log into a snapshot from time to time.
+    The watermark runs on arrival, so no answer is late and none is lost, however old its own time stamp; the state holds the
+    keys of one window.  Repeats beyond it are left to the keyed store, where they replace their own row.
     """
+    return rows.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", window) \
+        .dropDuplicatesWithinWatermark(["uuid", "model_id"]).drop("__arrived")
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(store, "log", f"batch={batch_id}"))
 
-    return fn
+def start_store(raw: DataFrame, store: str, checkpoint: str, window: str | None = REPEAT_WINDOW, **trigger):
+    """Start the stream of response messages into the store; without ``window`` repeated deliveries are logged too."""
+    rows = stored_rows(raw)
+    rows = delivered_once(rows, window) if window else rows
+    return rows.writeStream.foreachBatch(batchlog.write_batches(os.path.join(store, "log"))) \
+        .option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start()
 
 
-def _snapshots(spark: SparkSession, store: str) -> list[int]:
-    """Batch ids covered by finished snapshots, from the store's manifest (one row per snapshot)."""
-    if not _has_entries(spark, os.path.join(store, "manifest"), "part-"):
-        return []
-    rows = spark.read.schema("upto long").json(os.path.join(store, "manifest")).collect()
-    return sorted(r.upto for r in rows if r.upto is not None)
+def read_store(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",), order: Sequence[str] = ("model_id",)) -> DataFrame:
+    """Stored rows, one for each key: the last batch's, and within a batch the greatest by ``order``."""
+    return batchlog.latest(spark, os.path.join(store, "log"), STORED_RESPONSE_SCHEMA, keys, order)
 
 
-def read_store(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",),
-               order: Sequence[str] = ("batch", "model_id")) -> DataFrame:
-    """Stored rows, one per key: the last write over the latest snapshot and newer log batches.
+def run_response_stream(spark: SparkSession, msgs: DataFrame, files: int = 4, keys: Sequence[str] = ("uuid",),
+                        deliveries: int = 1, window: str | None = REPEAT_WINDOW) -> tuple[DataFrame, str]:
+    """Consume response messages (files, one per trigger), delivered ``deliveries`` times over, and store them by key.
 
-    A bucketed copy-on-write store (``upsert_batch``) is read as it is.
+    Every delivery is a run of its own that starts from the checkpoint.  Returns (resolved store, store folder).
     """
-    fields = STORED_RESPONSE_SCHEMA.fieldNames()
-    if _has_entries(spark, os.path.join(store, "log"), "batch=") or _snapshots(spark, store):
-        snaps = _snapshots(spark, store)
-        parts = []
-        upto = -1
-        if snaps:
-            upto = snaps[-1]
-            parts.append(spark.read.parquet(os.path.join(store, "snapshot", f"upto={upto}"))
-                         .withColumn("batch", F.lit(upto).cast("long")))
-        if _has_entries(spark, os.path.join(store, "log"), "batch="):
-            log = spark.read.parquet(os.path.join(store, "log")).filter(F.col("batch") > upto)
-            parts.append(log.select(*fields, F.col("batch").cast("long").alias("batch")))
-        allrows = parts[0]
-        for p in parts[1:]:
-            allrows = allrows.unionByName(p)
-        return scoring.upsert(None, allrows, keys, order).select(*fields)
-    return spark.read.parquet(store).select(*fields)
-
-
-def compact(spark: SparkSession, store: str, keys: Sequence[str] = ("uuid",)) -> int:
-    """Fold the log into a new snapshot (last write per key); returns the covered batch id."""
-    log = spark.read.parquet(os.path.join(store, "log"))
-    upto = log.agg(F.max("batch")).first()[0]
-    snap = read_store(spark, store, keys)
-    snap.write.mode("overwrite").parquet(os.path.join(store, "snapshot", f"upto={upto}"))
-    # The manifest row is written only after the snapshot is complete.
-    spark.createDataFrame([(int(upto),)], "upto long").write.mode("append").json(os.path.join(store, "manifest"))
-    return int(upto)
-
-
-def run_response_stream(spark: SparkSession, msgs: DataFrame, files: int = 4,
-                        keys: Sequence[str] = ("uuid",), mode: str = "merge_on_read") -> DataFrame:
-    """Consume response messages (files, one per trigger), store them by key, return the
-    resolved store.  ``mode`` is ``merge_on_read`` (append per batch, resolve on read) or
-    ``copy_on_write`` (rewrite the touched key buckets per batch)."""
-    from tarmac.session import checkpoint_root
-    checkpoint_root(spark)
     base = work_dir(spark, "response-stream")
     src, store, ckpt = (os.path.join(base, p) for p in ("in", "store", "ckpt"))
-    write_message_files(msgs, src, files)
-    fn = log_batch(store) if mode == "merge_on_read" else upsert_batch(store, keys)
-    q = (stored_rows(file_source(spark, src, max_files=1, glob="*.txt"))
-         .writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
-         .outputMode("update").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return read_store(spark, store, keys)
+    for _ in range(deliveries):
+        write_message_files(msgs, src, files, mode="append")
+        start_store(file_source(spark, src, max_files=1, glob="*.txt"), store, ckpt, window, availableNow=True).awaitTermination()
+    return read_store(spark, store, keys), store

@@ -1,9 +1,9 @@
 """Streaming scoring job: requests in, one response per (request, model) out.
 
 Plan per trigger (``foreachBatch``): persist the batch, find the requested
-model ids that are stored, load missing models into a bounded driver-side cache,
-build the vectors of the valid rows once, score them once per model, record the
-models that could not be had, and write the response messages for that batch id.  The write replaces
+model ids that are stored (one aggregation), stage missing models as tables (once for each stored version), record the
+models that could not be had, score every valid row by the models that it asks for in one plan, and
+write the response messages for that batch id.  The write replaces
 the batch's own output folder, so a replayed batch after a failure rewrites
 the same files instead of duplicating them.
 """
@@ -18,48 +18,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators import models, scoring
-from tarmac.session import work_dir
+from tarmac.commits import committed
+from tarmac.operators import forest_table, models, scoring
+from tarmac.session import discard, work_dir
 from tarmac.streaming.requests import TRIGGER, file_source, parsed_requests, write_message_files
 
 
 class ModelCache:
-    """Stored models by id, loaded on first use; least recently used ones are evicted past ``max_size``
-    (a bound on driver memory: a batch that asks for more models loads the evicted ones again).
+    """Stored models by id, staged on first use; least recently used ones are dropped past ``max_size``
+    (a batch that asks for more models than that stages the dropped ones again).
 
-    ``available()`` lists the stored ids, one listing per batch, so an id that is not stored costs no
-    loading attempt.  A stored model that cannot be read is tried ``attempts`` times, ``wait_seconds``
-    apart, and then left alone for ``miss_seconds``.
+    ``available()`` gives the stored ids with their current save, one listing per batch, so an id that is not stored costs no
+    loading attempt and a version saved again is staged again.  A stored model that cannot be read is tried ``attempts`` times,
+    ``wait_seconds`` apart, and then left alone for ``miss_seconds``.
     """
 
-    def __init__(self, loader: Callable[[str], models.ServingModel], available: Callable[[], list[str]],
-                 max_size: int = 32, attempts: int = 10, wait_seconds: float = 5.0, miss_seconds: float = 60.0):
+    def __init__(self, loader: Callable[[str], str], available: Callable[[], dict[str, str]],
+                 max_size: int = 1_000, attempts: int = 10, wait_seconds: float = 5.0, miss_seconds: float = 60.0):
         self.loader, self.available, self.max_size = loader, available, max_size
         self.attempts, self.wait_seconds, self.miss_seconds = attempts, wait_seconds, miss_seconds
-        self._models: OrderedDict[str, models.ServingModel] = OrderedDict()
-        self._misses: dict[str, tuple[float, str]] = {}
-
-    def get(self, model_id: str) -> models.ServingModel:
-        """The model, or ``LoadError``."""
-        if model_id in self._models:
-            self._models.move_to_end(model_id)
-            return self._models[model_id]
-        at, error = self._misses.get(model_id, (None, ""))
+        self._models: OrderedDict[tuple[str, str], str] = OrderedDict()
+        self._misses: dict[tuple[str, str], tuple[float, str]] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, root: str, **settings) -> ModelCache:
+        """Cache of the versions stored under ``root``."""
+        return cls(lambda version: forest_table.stage(spark, root, version), lambda: committed(spark, root), **settings)
+
+    def get(self, model_id: str, save_id: str) -> str:
+        """Folder of the staged model, or ``LoadError``."""
+        key = model_id, save_id
+        if key in self._models:
+            self._models.move_to_end(key)
+            return self._models[key]
+        at, error = self._misses.get(key, (None, ""))
         if at is not None and time.monotonic() - at < self.miss_seconds:
             raise models.LoadError(error)
         try:
-            m = models.load_with_retry(lambda: self.loader(model_id), self.attempts, self.wait_seconds)
+            path = models.load_with_retry(lambda: self.loader(model_id), self.attempts, self.wait_seconds)
         except models.LoadError as e:
-            self._misses[model_id] = (time.monotonic(), str(e))
+            self._misses[key] = (time.monotonic(), str(e))
             raise
-        self._misses.pop(model_id, None)
-        self._models[model_id] = m
-        while len(self._models) > self.max_size:
-            self._models.popitem(last=False)
-        return m
+        self._misses.pop(key, None)
+        self._models[key] = path
+        return path
 
-    def __contains__(self, model_id: str) -> bool:
-        return model_id in self._models
+    def trim(self, spark: SparkSession) -> None:
+        """Drop what is beyond ``max_size``, with its files; for the end of a batch, when nothing reads them."""
+        while len(self._models) > self.max_size:
+            discard(spark, self._models.popitem(last=False)[1])
 
 
 def file_publisher(out_dir: str):
@@ -83,6 +90,10 @@ def batch_scorer(cache: ModelCache, out, scope: str = "row", failures: str | Non
                  on_failure: str = "record"):
     """The foreachBatch function; ``out`` is a folder (file publisher) or a publisher function.
 
+    ``row`` scope scores a row with the models that it asks for; ``batch`` scope scores every row with every model that any row
+    of its batch asks for, so n rows naming n models give n x n responses (kept because the original works so; opt in
+    knowing that growth).
+
     A requested model that is not stored or does not load gives one row (model_id, error) in
     ``failures/batch=<id>``, replaced on replay; with ``on_failure="fail"``, or without a folder for
     them, it fails the batch.  Ids that are not stored never reach the driver; those collected are at
@@ -92,43 +103,36 @@ def batch_scorer(cache: ModelCache, out, scope: str = "row", failures: str | Non
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = [batch.persist()]
+        batch = batch.persist()
         try:
             # Ids come from every row of the batch; only valid rows are then scored.
-            wanted = scoring.requested_models(batch).persist()
-            held.append(wanted)
-            known = F.col("model_id").isin(cache.available())
+            stored = cache.available()
+            known = F.col("model_id").isin([*stored])
+            wanted = scoring.requested_models(batch)
+            asked = wanted.agg(F.sort_array(F.collect_set(F.when(known, F.col("model_id")))).alias("known"),
+                               F.count_if(~known).alias("unknown")).first()
             loaded, errors = {}, []
-            for r in wanted.filter(known).orderBy("model_id").collect():
+            for model_id in asked["known"]:
                 try:
-                    loaded[r["model_id"]] = cache.get(r["model_id"])
+                    loaded[model_id] = cache.get(model_id, stored[model_id])
                 except models.LoadError as e:
-                    errors.append((r["model_id"], str(e)))
-            failed = wanted.filter(~known).withColumn("error", F.lit("not stored")) \
-                .unionByName(spark.createDataFrame(errors, "model_id string, error string"))
-            if not failed.isEmpty():
+                    errors.append((model_id, str(e)))
+            if errors or asked["unknown"]:
+                failed = wanted.filter(~known).withColumn("error", F.lit("not stored")) \
+                    .unionByName(spark.createDataFrame(errors, "model_id string, error string"))
                 if on_failure == "fail" or not failures:
                     raise models.LoadError(f"batch {batch_id}: requested models without a loadable forest, such as "
                                            f"{failed.first()['model_id']}")
                 failed.write.mode("overwrite").json(os.path.join(failures, f"batch={batch_id}"))
-            if not loaded:
-                return
-            valid = scoring.valid_requests(batch)
-            # One vector frame per set of label dictionaries, computed once for all its models.
-            groups: dict[str, dict[str, models.ServingModel]] = {}
-            for mid, m in loaded.items():
-                groups.setdefault(m.dictionaries, {})[mid] = m
-            scored = None
-            for group in groups.values():
-                one = next(iter(group.values()))
-                feats = models.serving_features(valid, one.indexers, one.assembler).persist()
-                held.append(feats)
-                part = scoring.score_models(feats, {mid: m.forest for mid, m in group.items()}, scope)
-                scored = part if scored is None else scored.unionByName(part)
-            publish(scoring.response_json(scored), batch_id)
+            if loaded:
+                valid = scoring.valid_requests(batch)
+                rows = scoring.requested_ids(valid) if scope == "row" else valid.withColumn(
+                    "model_id", F.explode(F.array(*(F.lit(m) for m in loaded))))
+                trees, labels = forest_table.staged(spark, [*loaded.values()])
+                publish(scoring.response_json(forest_table.score(forest_table.features(rows, labels), trees)), batch_id)
+                cache.trim(spark)
         finally:
-            for df in reversed(held):
-                df.unpersist()
+            batch.unpersist()
 
     return fn
 
@@ -167,8 +171,7 @@ def run_file_scoring(spark: SparkSession, requests: DataFrame, model_root: str,
     if fresh:
         write_message_files(scoring.to_json_value(requests), src, files)
     wait_for_models(spark, model_root, attempts=attempts, wait_seconds=0.5)
-    cache = ModelCache(lambda mid: models.load_serving(model_root, mid),
-                       lambda: models.stored_versions(spark, model_root), attempts=attempts, wait_seconds=0.5)
+    cache = ModelCache.of(spark, model_root, attempts=attempts, wait_seconds=0.5)
     stream = parsed_requests(file_source(spark, src, max_files=1, glob="*.txt"))
     q = start(stream, batch_scorer(cache, out, scope, os.path.join(base, "failures")), ckpt, available_now=True)
     q.awaitTermination()

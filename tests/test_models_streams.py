@@ -1,12 +1,14 @@
+import dataclasses
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.operators import models, scoring
+from tarmac.operators import forest_table, models, scoring
 from tarmac.plans import inputs
 from tarmac.session import work_dir
-from tarmac.streaming import responses, scorer
+from tarmac.streaming import batchlog, responses, scorer
+from tarmac.streaming.requests import file_source
 
 SMOKE = "/root/testdata/sf0.001"
 SMALL = {"num_trees": 3, "max_depth": 3, "max_bins": 1024}
@@ -57,7 +59,8 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, saved_model):
     n = streamed.count()
     # batch version of the same work
     valid = scoring.valid_requests(scoring.with_route(reqs))
-    batch = scoring.score_models(models.serving_features(valid, m.indexers, m.assembler), {m.version: m.forest})
+    asked = scoring.requested_ids(valid).filter(F.col("model_id") == m.version)
+    batch = m.forest.transform(models.serving_features(asked, m.indexers, m.assembler))
     expect = scoring.response_rows(scoring.parse_responses(scoring.response_json(batch)))
     assert n == expect.count() > 0
     s = {(r.uuid, r.prediction) for r in streamed.collect()}
@@ -71,26 +74,42 @@ def test_response_stream_upsert_keeps_one_row_per_uuid(spark):
     msgs = spark.createDataFrame(
         [('{"UUID":"u1","model_id":"m1","Prediction":1.0}',), ('{"UUID":"u1","model_id":"m2","Prediction":2.0}',),
          ('{"UUID":"u2","model_id":"m1"}',), ("garbage",)], "value string")
-    for mode in ("merge_on_read", "copy_on_write"):
-        store = responses.run_response_stream(spark, msgs, files=1, mode=mode)
-        got = {r.uuid: r.prediction for r in store.collect()}
-        assert got == {"u1": 2, "u2": 0}, mode
+    store, _ = responses.run_response_stream(spark, msgs, files=1)
+    assert {r.uuid: r.prediction for r in store.collect()} == {"u1": 2, "u2": 0}
+    both = responses.run_response_stream(spark, msgs, files=1, keys=("uuid", "model_id"))[0]
+    assert sorted((r.uuid, r.model_id) for r in both.collect()) == [("u1", "m1"), ("u1", "m2"), ("u2", "m1")]
 
 
-def test_merge_on_read_compaction(spark, tmp_dir):
-    import os
+def test_response_log_replays_and_keeps_the_last_write(spark, tmp_dir):
     store = os.path.join(tmp_dir, "store")
     rows = lambda items: responses.stored_rows(spark.createDataFrame([(m,) for m in items], "value string"))
-    fn = responses.log_batch(store)
+    fn = batchlog.write_batches(os.path.join(store, "log"))
     fn(rows(['{"UUID":"a","model_id":"m1","Prediction":1.0}', '{"UUID":"b","model_id":"m1"}']), 0)
     fn(rows(['{"UUID":"a","model_id":"m0","Prediction":3.0}']), 1)
     assert {r.uuid: r.prediction for r in responses.read_store(spark, store).collect()} == {"a": 3, "b": 0}
-    assert responses.compact(spark, store) == 1
-    assert responses._snapshots(spark, store) == [1]
-    fn(rows(['{"UUID":"b","model_id":"m9","Prediction":2.0}']), 2)
-    fn(rows(['{"UUID":"b","model_id":"m9","Prediction":2.0}']), 2)          # replayed batch
+    fn(rows(['{"UUID":"b","model_id":"m9","Prediction":2.0}']), 10)
+    fn(rows(['{"UUID":"b","model_id":"m9","Prediction":2.0}']), 10)         # replayed batch; 10 is after 9 as a number
     got = responses.read_store(spark, store).collect()
     assert {r.uuid: r.prediction for r in got} == {"a": 3, "b": 2} and len(got) == 2
+    with pytest.raises(Exception):
+        responses.read_store(spark, os.path.join(tmp_dir, "nothing"))       # not taken for an empty store
+
+
+def test_repeated_deliveries_add_no_row_and_state_is_bounded(spark):
+    """Files delivered again, within a run and after a restart, add nothing; without the window each delivery is logged."""
+    msgs = spark.createDataFrame([(f'{{"UUID":"u{i}","model_id":"m{i % 2}","Prediction":1.0}}',) for i in range(20)], "value string")
+    count = lambda path: spark.read.parquet(os.path.join(path, "log")).count()                             # noqa: E731
+    store, path = responses.run_response_stream(spark, msgs, files=3, deliveries=3)
+    assert count(path) == 20 == store.count()
+    store, path = responses.run_response_stream(spark, msgs, files=3, deliveries=3, window=None)
+    assert count(path) == 60 and store.count() == 20
+    base = work_dir(spark, "test-window")
+    src = os.path.join(base, "in")
+    for _ in range(4):                                      # a window of no time: the state of earlier runs is dropped
+        msgs.write.mode("append").text(src)
+        q = responses.start_store(file_source(spark, src), os.path.join(base, "store"), os.path.join(base, "ckpt"), "0 seconds", availableNow=True)
+        q.awaitTermination()
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators) <= 40
 
 
 def test_row_scope_stream_scores_only_requested(spark, saved_model):
@@ -164,8 +183,8 @@ def test_unstored_and_broken_models_leave_failure_rows(spark, saved_model, tmp_d
         loads.append(version)
         if version == "broken":
             raise OSError("unreadable")
-        return models.load_serving(root, version)
-    cache = scorer.ModelCache(loader, lambda: [m.version, "broken"], attempts=2, wait_seconds=0.0)
+        return forest_table.stage(spark, root, version)
+    cache = scorer.ModelCache(loader, lambda: {m.version: "1", "broken": "1"}, attempts=2, wait_seconds=0.0)
     out, failures = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "failures")
     reqs = _requests(spark, [f"[{m.version},absent]", "[broken]", "[]"])
     fn = scorer.batch_scorer(cache, out, failures=failures)
@@ -183,19 +202,113 @@ def test_unstored_and_broken_models_leave_failure_rows(spark, saved_model, tmp_d
         scorer.batch_scorer(cache, out)(reqs, 3)
 
 
-def test_three_models_of_one_dictionary_share_the_vectors(spark, saved_model):
-    m, root = saved_model
-    one = models.load_serving(root, m.version)
-    cache = scorer.ModelCache(lambda _: one, lambda: ["a", "b", "c"])
+def test_unreadable_artifact_fails_alone(spark, saved_model, tmp_dir):
+    """A version whose node file is damaged gives a failure row; the others of its batch are scored."""
+    m, _ = saved_model
+    models.save(m, tmp_dir)
+    models.save(dataclasses.replace(m, version="bad"), tmp_dir)
+    data = os.path.join(models.current_paths(tmp_dir, "bad")["forest"], "data")
+    for name in os.listdir(data):
+        if name.endswith(".parquet"):
+            with open(os.path.join(data, name), "wb") as f:
+                f.write(b"not parquet at all")
+    cache = scorer.ModelCache.of(spark, tmp_dir, attempts=1, wait_seconds=0.0)
+    out, failures = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "failures")
+    scorer.batch_scorer(cache, out, failures=failures)(_requests(spark, [f"[{m.version},bad]", "[bad]"]), 0)
+    assert [r.model_id for r in spark.read.json(failures).collect()] == ["bad"]
+    assert [(r.UUID, r.model_id) for r in scoring.parse_responses(spark.read.text(out)).collect()] == [("u0", m.version)]
+
+
+def plan_size(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().treeString().count("\n")
+
+
+def test_plan_is_the_same_for_two_and_twenty_models(spark, saved_model, tmp_dir):
+    m, _ = saved_model
+    ids = [f"m {i:02d}+{i}" for i in range(20)]
+    for i in ids:
+        models.save(dataclasses.replace(m, version=i), tmp_dir)
     seen = {}
 
     def publish(msgs, batch_id):
-        leaves = msgs._jdf.queryExecution().withCachedData().collectLeaves()
-        seen["leaves"] = [leaves.apply(i).cacheBuilder().hashCode() for i in range(leaves.size())]
-        seen["rows"] = sorted((r.UUID, r.model_id) for r in scoring.parse_responses(msgs).collect())
-    scorer.batch_scorer(cache, publish)(_requests(spark, ["[a,b,c]", "[b]"]), 0)
-    assert seen["rows"] == [("u0", "a"), ("u0", "b"), ("u0", "c"), ("u1", "b")]
-    assert len(seen["leaves"]) == 3 and len(set(seen["leaves"])) == 1    # every model reads the same stored vectors
+        seen[batch_id] = plan_size(msgs), sorted((r.UUID, r.model_id) for r in scoring.parse_responses(msgs).collect())
+    cache = scorer.ModelCache.of(spark, tmp_dir)
+    fn = scorer.batch_scorer(cache, publish)
+    fn(_requests(spark, [f"[{ids[0]},{ids[1]}]", f"[{ids[1]}]"]), 0)
+    fn(_requests(spark, ["[" + ",".join(ids) + "]", f"[{ids[7]}]"]), 1)
+    assert seen[0] == (seen[1][0], [("u0", ids[0]), ("u0", ids[1]), ("u1", ids[1])])
+    assert seen[1][1] == sorted([("u0", i) for i in ids] + [("u1", ids[7])])
+    scorer.batch_scorer(cache, publish, scope="batch")(_requests(spark, [f"[{ids[3]},{ids[4]}]", f"[{ids[5]}]", "[]"]), 2)
+    assert seen[2][1] == sorted((u, i) for u in ("u0", "u1", "u2") for i in ids[3:6])
+    cache.max_size = 2
+    cache.trim(spark)
+    assert len(cache._models) == 2
+    fn(_requests(spark, [f"[{ids[0]}]"]), 3)                     # dropped, staged again
+    assert seen[3][1] == [("u0", ids[0])]
+
+
+def test_node_table_scores_as_transform(spark, saved_model, tmp_dir):
+    """Bagged, with splits by category, labels and categories never seen, missing numbers: equal to the last bit."""
+    from pyspark.ml.functions import vector_to_array
+    fl = inputs.flights(spark, SMOKE)
+    deep = models.train(fl, num_trees=4, max_depth=9, max_bins=1024, version="deep")
+    leaf = models.train(fl.filter("Carrier = 'A'"), num_trees=2, max_depth=0, max_bins=1024, version="leaf")
+    for m in (deep, leaf):
+        models.save(m, tmp_dir)
+    odd = spark.createDataFrame([(f"o{i}", o, d, c, f"{o}-{d}" if o and d else None, "7", dep, dist, 4, dom, 60, None, None) for i, (o, d, c, dep, dist, dom) in enumerate([
+        ("NATION_1", "NATION_2", "A", None, None, 3), ("NOWHERE", "NATION_2", "Z", 5.0, float("nan"), None), (None, None, None, -3.0, 1e9, 31),
+        ("NATION_3", "NATION_4", "", 0.0, -0.0, 1)])], "UUID string, Origin string, Dest string, Carrier string, Route string, FlightNum string, DepDelay double, "
+        "Distance double, DayOfWeek int, DayOfMonth int, DayOfYear int, FlightDate date, Timestamp timestamp")
+    reqs = scoring.with_route(inputs.requests(spark, SMOKE)).select(*odd.columns).unionByName(odd)
+    table = forest_table.serve(reqs.withColumn("model_id", F.explode(F.array(F.lit("deep"), F.lit("leaf"), F.lit("absent")))), tmp_dir, ["deep", "leaf", "absent"])
+    got = {(r.UUID, r.model_id): (r.rawPrediction, r.probability, r.Prediction) for r in table.collect()}
+    want = {}
+    for m in (deep, leaf):
+        out = m.forest.transform(models.serving_features(reqs, m.indexers, m.assembler))
+        want |= {(r.UUID, m.version): (r.raw, r.prob, r.Prediction) for r in out.select(
+            "UUID", vector_to_array("rawPrediction").alias("raw"), vector_to_array("probability").alias("prob"), "Prediction").collect()}
+    assert got == want and len(got) == 2 * reqs.count()
+    assert forest_table.nodes(spark, tmp_dir, ["deep"]).where("categories is not null").count() > 0
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("part", ["bucketizer", "indexers", "assembler", "forest", "metrics"])
+def test_stopped_save_lists_nothing_and_leaves_the_earlier_one(spark, saved_model, tmp_dir, monkeypatch, part):
+    m, _ = saved_model
+    real = models.artifact_paths
+
+    def broken(root, version, save_id):
+        return {**real(root, version, save_id), part: "nowhere://" + part}      # writing this artifact fails
+    monkeypatch.setattr(models, "artifact_paths", broken)
+    with pytest.raises(Exception):
+        models.save(m, tmp_dir)
+    monkeypatch.undo()
+    assert models.stored_versions(spark, tmp_dir) == []
+    models.save(m, tmp_dir)
+    first = models.current_paths(tmp_dir, m.version)
+    monkeypatch.setattr(models, "artifact_paths", broken)
+    with pytest.raises(Exception):
+        models.save(m, tmp_dir)
+    monkeypatch.undo()
+    assert models.current_paths(tmp_dir, m.version) == first and models.load_serving(tmp_dir, m.version).forest.getNumTrees == 3
+
+
+def test_saving_again_leaves_no_gap(spark, saved_model, tmp_dir):
+    m, _ = saved_model
+    models.save(m, tmp_dir)
+    first = models.current_paths(tmp_dir, m.version)
+    cache = scorer.ModelCache.of(spark, tmp_dir)
+    staged = cache.get(m.version, cache.available()[m.version])
+    models.save(m, tmp_dir)
+    second = models.current_paths(tmp_dir, m.version)
+    assert first != second and all(os.path.exists(p) for p in (*first.values(), *second.values()))
+    assert cache.get(m.version, cache.available()[m.version]) != staged            # the new save is staged anew
+    assert len(models.discard_superseded(spark, tmp_dir)) == 1 and models.stored_versions(spark, tmp_dir) == [m.version]
+    assert not any(os.path.exists(p) for p in first.values()) and models.load_serving(tmp_dir, m.version)
+    assert models.discard_superseded(spark, tmp_dir) == [] and models.stored_versions(spark, tmp_dir + "/none") == []
 
 
 def test_second_fit_leaves_the_first_model_as_it_was(spark, tmp_dir):
@@ -223,10 +336,6 @@ def test_swapped_slots_change_the_tree_scores(spark):
     assert len(right) > 1 and sorted(right) != sorted(wrong)
 
 
-def test_no_models_gives_an_empty_result(spark):
-    assert scoring.response_json(scoring.score_models(_requests(spark, ["[a]"]), {})).count() == 0
-
-
 CORES = """
 import sys
 from tarmac.session import build_session

@@ -78,24 +78,3 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
-
-
-def test_unreadable_store_fails_the_batch(spark, tmp_dir):
-    import os
-
-    import pytest
-
-    from tarmac.schemas import STORED_RESPONSE_SCHEMA
-    from tarmac.streaming import responses
-    store = os.path.join(tmp_dir, "store")
-    rows = spark.createDataFrame([], STORED_RESPONSE_SCHEMA)
-    first = rows.schema.fieldNames()
-    one = spark.createDataFrame([tuple("a" if f.dataType.simpleString() == "string" else None for f in rows.schema)], rows.schema)
-    assert "uuid" in first
-    responses.upsert_batch(store, buckets=1)(one, 0)
-    part = next(os.path.join(d, f) for d, _, fs in os.walk(store) for f in fs if f.endswith(".parquet"))
-    with open(part, "wb") as f:
-        f.write(b"not parquet at all")
-    with pytest.raises(Exception):
-        responses.upsert_batch(store, buckets=1)(one, 1)
-    assert os.path.exists(part)                     # nothing was overwritten
