@@ -462,3 +462,19 @@ def deduplicated(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFra
 
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+e AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM e GROUP BY doc_id),
+same AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM e a JOIN e b USING (shingle)
+         WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM same JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(g.least, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) g ON g.a = d.doc_id
+"""

@@ -259,3 +259,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = RE
 
 def op7_hilbert_neighbours(spark, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# Up to BLOCK vectors lie in one block, where the search compares all: there the result is that of SQL.
+OP7_SQL = """
+WITH c AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+ok AS (SELECT vec_id FROM c GROUP BY vec_id
+       HAVING bool_and(x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x)) AND bool_or(x <> 0)),
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings JOIN ok USING (vec_id)),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""

@@ -6,10 +6,10 @@ from tarmac.llm.decontaminate import op2_decontamination
 from tarmac.llm.filter_audit import OP13_SQL, op13_filter_audit
 from tarmac.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from tarmac.llm.html import op5_html_extraction
-from tarmac.llm.jaccard import op8_ngram_jaccard
+from tarmac.llm.jaccard import OP8_SQL, op8_ngram_jaccard
 from tarmac.llm.language import op9_language_id
 from tarmac.llm.maxent import op6_maxent_scoring
-from tarmac.llm.neighbours import op7_hilbert_neighbours
+from tarmac.llm.neighbours import OP7_SQL, op7_hilbert_neighbours
 from tarmac.llm.packing import op1_best_fit_packing
 from tarmac.llm.repeats import op10_suffix_dedup
 from tarmac.llm.secret_scan import op11_secret_scan
@@ -33,6 +33,8 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_hilbert_neighbours": OP7_SQL,
+    "op8_ngram_jaccard": OP8_SQL,
     "op12_hard_negatives": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }
