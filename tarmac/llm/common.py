@@ -55,13 +55,6 @@ def draw_limit(wanted: int, total: int) -> int:
     return (min(max(1, wanted), total) << 64) // max(1, total) - (1 << 63) - 1 if total else (1 << 63) - 1
 
 
-def one_row_each(rows: DataFrame, key: str, several: Column) -> DataFrame:
-    """``rows`` with one row of each ``key`` among those where ``several`` holds: the least as JSON, so any run keeps the same."""
-    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
-    folded = rows.where(several).groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("__row"))
-    return rows.where(~several).unionByName(folded.select(*(F.col("__row")[c].alias(c) for c in rows.columns)))
-
-
 def utf8(arr) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of an Arrow string column; null counts as empty."""
     if isinstance(arr, pa.ChunkedArray):
@@ -134,6 +127,30 @@ def sifted(df: DataFrame, sieve: np.ndarray, name: str) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+def one_row_each(rows: DataFrame, key: str) -> DataFrame:
+    """One row of each ``key``, the least as JSON, so any run keeps the same; folded by task before rows meet."""
+    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
+    folded = rows.groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("__row"))
+    return folded.select(*(F.col("__row")[c].alias(c) for c in rows.columns))
+
+
+def routed(rows: DataFrame, key: str, decided: DataFrame, several: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``rows`` in three parts by their long ``key``: those in neither table, in ``decided`` only, and in ``several``.
+
+    Only the last two need to be shuffled to meet their table.  Some rows of neither table are among them (``sieve_of``).
+    """
+    sieves = rows.sparkSession.sparkContext.broadcast((sieve_of(decided, key), sieve_of(several, key)))
+
+    def part(which: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                in_decided, in_several = (in_sieve(s, batch.column(key).to_numpy()) for s in sieves.value)
+                yield batch.filter(pa.array(np.where(in_several, 2, in_decided.astype(int)) == which))
+        return run
+
+    return tuple(rows.mapInArrow(part(k), rows.schema) for k in range(3))
+
+
 # ---- hashing -------------------------------------------------------------------------------
 
 LOWER = np.arange(256, dtype=np.uint8)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (
-    U, arrays, blobs, in_sieve, mix, one_row_each, shingle_hashes, sieve_of, stored, table, text_slices, word_hashes,
+    U, arrays, blobs, in_sieve, mix, one_row_each, routed, shingle_hashes, sieve_of, stored, table, text_slices, word_hashes,
 )
 from tarmac.llm.components import components
 
@@ -449,15 +449,16 @@ def deduplicated(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFra
     then the least row.  Rows without a word stay."""
     named = named_rows(docs, k, percent)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "u")
-    chosen = stored(named.where("n_shingles > 0").groupBy("group")
-                    .agg(F.min(order).alias("best"), F.count("*").alias("rows")).select(F.col("best.u").alias("__u"), "rows"), "chosen")
-    several = stored(named.groupBy("u").count().where("count > 1").select(F.col("u").alias("__u")), "several")
-    winners = chosen.join(several.withColumn("__several", F.lit(True)), "__u", "left") \
-        .select("__u", F.coalesce("__several", F.lit(False)).alias("__several"))
+    named = stored(named.where("n_shingles > 0"), "named")
+    best = named.groupBy("group").agg(F.min(order).alias("best")).select(F.col("best.u").alias("u"))
+    rows = named.groupBy("u").count().join(best.withColumn("best", F.lit(True)), "u", "left")
+    rows = stored(rows.select(F.col("u").alias("__u"), F.col("best").isNull().alias("gone"), (F.col("count") > 1).alias("several")), "rows")
+    gone = rows.where("gone").select("__u")
     words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = docs.where(words).withColumn("__u", row_key()).join(winners, "__u")
-    return one_row_each(kept, "__u", F.col("__several")).unionByName(
-        docs.where(~words), allowMissingColumns=True).select(*(F.col(f"`{c}`") for c in docs.columns))
+    clear, maybe, several = routed(docs.where(words).withColumn("__u", row_key()), "__u", gone, rows.where("several and not gone").select("__u"))
+    kept = clear.unionByName(maybe.join(gone, "__u", "left_anti")).unionByName(
+        one_row_each(several, "__u").join(gone, "__u", "left_anti").select(*clear.columns))
+    return kept.drop("__u").unionByName(docs.where(~words)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
