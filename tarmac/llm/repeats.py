@@ -2,8 +2,8 @@
 
 A window is the ``size`` bytes from one start; windows never cross texts.  Of each window the
 longest previous factor reaches ``size`` if an equal window starts earlier, and it is enough to
-order the suffixes to that depth: suffixes equal to it lie side by side in suffix order, sorted by
-position, and the previous smaller position of a suffix among them is its neighbour.
+order the suffixes to that depth: the previous and the next smaller position in suffix order hold a
+suffix's longest earlier matches.
 
 The suffix order is cut into shards that never separate equal windows.  Every window has a
 minimizer, the smallest hash among its ``GRAM``-byte substrings (the leftmost on ties); equal windows have
@@ -11,13 +11,12 @@ equal minimizers at equal places.  Consecutive windows with one minimizer form a
 
 1. Runs whose minimizer occurs once in the corpus are dropped; only their (hash, text, place) was shuffled.
 2. The strings of the other runs are read; equal ones become one with a count and a first place.
-3. In each shard, the windows of its strings are put in suffix order and marked: whether another
-   equal window exists, and whether an earlier one does.  A minimizer with more than HOT different
+3. In each shard, the suffixes of its strings are ranked by their bytes, and the windows marked: whether another
+   equal window exists, and, by previous and next smaller positions, whether an earlier one does.  A minimizer with more than HOT different
    strings has its windows ordered by shuffling their fingerprints instead, pre-aggregated by task.
 4. Marks go back to every occurrence and become the removed byte spans of each text.
 
-The order inside a shard is by window fingerprints (64 bits each), not by bytes: equal windows
-are side by side either way, and nothing else of the order is used.  Equal whole texts are found
+Equal whole texts are found
 by two 64-bit hashes first; only the first of them takes part in the rest.
 
 ``keep_first`` removes later copies and leaves the first (order: doc_id, null ids first, then a
@@ -38,12 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import U, arrays, mix, one_row_each, prefix_hash, sieve_of, sifted, span_hash, stored, table, text_slices, utf8
+from tarmac.llm.common import U, arrays, mix, one_row_each, prefix_hash, routed, sieve_of, sifted, span_hash, stored, table, text_slices, utf8
 
 SIZE = 200
 GRAM = 96
 HOT = 4_096                 # different strings of one minimizer that a task orders by itself
-FLUSH_BYTES = 2 << 20       # string bytes held at a time
+FLUSH_BYTES = 1 << 20       # string bytes held at a time
 PIECE = 8 << 20             # longer texts are cut into pieces that overlap by a window
 POS_BITS = 24
 
@@ -176,6 +175,44 @@ def strings(keyed: DataFrame, places: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(read, STRINGS_SQL)
 
 
+def suffix_ranks(buf: np.ndarray, size: int) -> np.ndarray:
+    """Rank of every suffix by its first ``size`` bytes (prefix doubling from five); suffixes equal to that depth share a rank."""
+    have = min(5, size)
+    wide = np.concatenate([buf, np.zeros(8, np.uint8)])
+    rank = ranked(np.ndarray((len(buf),), ">u8", wide, strides=(1,)).astype(U) >> U(64 - 8 * have), 8 * have)
+    bits = len(buf).bit_length()
+    while have < size:
+        step = min(have, size - have)
+        key = rank << U(bits)
+        key[:-step] |= rank[step:]
+        rank = ranked(key, 2 * bits)
+        have += step
+    return rank.astype(np.int64)
+
+
+def ranked(key: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each key of so many bits among the different keys."""
+    room = len(key).bit_length()
+    if bits + room <= 64:                           # keys sorted together with their places, which is faster
+        both = np.sort(key << U(room) | np.arange(len(key), dtype=U))
+        order, key = (both & U((1 << room) - 1)).astype(np.int64), both >> U(room)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    out = np.empty(len(key), U)
+    out[order] = np.cumsum(np.append(False, key[1:] != key[:-1])[:len(key)])
+    return out
+
+
+def smaller_before(x: np.ndarray) -> np.ndarray:
+    """Index of the nearest smaller value before each (-1: none), by pointer jumping: all between a value and its candidate are larger."""
+    found = np.arange(len(x)) - 1
+    open_ = np.arange(len(x))
+    while len(open_ := open_[(found[open_] >= 0) & (x[found[open_]] > x[open_])]):
+        found[open_] = found[found[open_]]
+    return found
+
+
 def mark(doc, u, pos, n, copies, strings_: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Marks of all windows of the given strings, string by string in their order of first place.
 
@@ -186,14 +223,19 @@ def mark(doc, u, pos, n, copies, strings_: list[bytes], size: int) -> tuple[np.n
     n, copies = n[order].astype(np.int64), copies[order]
     base = np.cumsum(n + size - 1) - (n + size - 1)
     window = np.repeat(base - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    print_ = span_hash(prefix_hash(buf), window, window + size)
-    suffix = np.argsort(print_, kind="stable")                     # suffix order to depth ``size``; ties by position
-    same = np.append(False, print_[suffix[1:]] == print_[suffix[:-1]])
+    rank = suffix_ranks(buf, size)[window]
+    suffix = np.argsort(rank, kind="stable")                       # suffix order; ties by position
+    # A window's longest previous factor is the longer of its matches with the previous and the next smaller
+    # position in suffix order; it reaches ``size`` if one of the two has the same rank.
+    at, depth = suffix, rank[suffix]
+    reaches = np.zeros(len(window), bool)
+    for found in (smaller_before(at), len(at) - 1 - smaller_before(at[::-1])[::-1]):
+        there = (found >= 0) & (found < len(at))
+        reaches |= there & (depth[np.where(there, found, 0)] == depth)
     earlier = np.zeros(len(window), bool)
-    earlier[suffix] = same                                         # a previous smaller position is equal to this depth
-    later = np.zeros(len(window), bool)
-    later[suffix] = np.append(same[1:], False)
-    return order, earlier | later | np.repeat(copies > 1, n), earlier
+    earlier[suffix] = reaches
+    other = np.bincount(rank)[rank] > 1
+    return order, other | np.repeat(copies > 1, n), earlier
 
 
 MARKS = pa.schema([("f1", pa.int64()), ("f2", pa.int64()), ("first_u", pa.int64()), ("first_pos", pa.int64()),
@@ -407,8 +449,10 @@ def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
     gone = stored(mark(rows.where("whole"), True, False, F.lit(None)).unionByName(mark(several, False, True, F.lit(None)))
                   .unionByName(mark(cut, False, False, F.col("spans"))).groupBy("__u")
                   .agg(F.max("__whole").alias("__whole"), F.max("__several").alias("__several"), F.first("__spans", True).alias("__spans")), "gone")
-    joined = keyed.join(gone, "__u", "left")
-    joined = one_row_each(joined.where(~F.coalesce("__whole", F.lit(False))), "__u", F.coalesce("__several", F.lit(False)))
+    long = F.octet_length(text) >= size
+    clear, cut_up, several = routed(keyed, "__u", gone, gone.where("__several"))
+    several = one_row_each(several.where(long), "__u").select(*keyed.columns).unionByName(several.where(~long))
+    joined = cut_up.unionByName(several).join(gone, "__u", "left").where(~F.coalesce("__whole", F.lit(False)))
     schema = joined.schema
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,7 +465,8 @@ def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
                                          pa.array(texts, batch.schema.field("text").type))
             yield batch
 
-    out = joined.mapInArrow(rewrite, schema).where(F.col("__spans").isNull() | (F.trim("text") != ""))
+    out = joined.mapInArrow(rewrite, schema).where(F.col("__spans").isNull() | (F.trim("text") != "")) \
+        .unionByName(clear, allowMissingColumns=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
