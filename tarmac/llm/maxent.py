@@ -10,9 +10,14 @@ of its class given the tokens before it, times that of the token within its clas
   before (skip), both together, and the last three classes.
 * Within a class, tokens have their smoothed relative frequency.
 
-Training is distributed: in each round every task runs Adagrad steps over its documents from the
-shared weights, and the tasks' weights are averaged, weighted by tokens.  Each of ROUNDS rounds
-reads all training documents, at every size of the table.
+Training is distributed.  One pass packs each training token's class and feature buckets into eight bytes; later passes read
+those.  Weights start from the counts of classes by bucket (smoothed log ratios to the class shares), and in each of ROUNDS
+rounds every task adds up the expected counts of its tokens under the shared weights; observed minus expected counts are
+the gradient, and one step scaled by the expected counts follows.  Sums run over all training documents, so up to rounding the weights
+depend neither on how the table is split nor on the number of tasks.
+
+The buckets grow with the corpus, one for TOKENS_PER_BUCKET tokens from 2**MIN_BITS up to 2**MAX_BITS, a bound on memory
+(50 MB of weights).  A task adds up TASK_TOKENS tokens a bucket before it sends its sums, so what is sent stays below half a byte a token.
 
 Counts cover all training tokens and grow with the corpus.  The most frequent words (at most
 TABLE of them) reach the scoring tasks in one table; the counts of the others are joined by hash,
@@ -30,23 +35,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import (
-    LOWER, SLICE_BYTES, U, arrays, held_out, mix, prefix_hash, span_hash, stored, table, text_slices, word_spans,
+    LOWER, SLICE_BYTES, U, arrays, blobs, held_out, mix, prefix_hash, row_slices, span_hash, stored, table, text_slices, word_spans,
 )
+from tarmac.session import discard, work_dir
 
 ENDINGS = 512
 TOP = 24
 CLUSTERS = 21
 COPY, COPY2, END_CLASS = 0, 1, 2
 CLASSES = 3 + TOP + CLUSTERS
-BUCKETS = 1 << 14
+MIN_BITS, MAX_BITS = 14, 18  # of the feature buckets
+TOKENS_PER_BUCKET = 6_144
+TASK_TOKENS = 512           # of a task for each bucket, at least
+ROW_TOKENS = 2_048          # packed tokens of a stored row, at least one text
+ROW_BLOCK = 1_024           # buckets whose sums are sent together
+SPREAD = 64                 # tasks that add up one block first
 FEW = 8                     # rows that are added side by side
-STEP = 32_768               # tokens of a gradient step
-RATE = 0.25
-ROUNDS = 3
+STEP = 32_768               # tokens that are scored at a time
+SMOOTH, START = 50.0, 0.6   # of the weights from counts: prior tokens of a bucket, share of the log ratio
+RATE, SHRINK, MOST = 0.3, 5.0, 1.0   # of a round's step: rate, pull to zero, largest change
+ROUNDS = 2
 TABLE = 1_000_000
 ADD = 0.1
 COUNT_TOKENS = 4_000_000    # tokens a task counts at a time
@@ -94,16 +107,44 @@ class Classes:
         return out
 
     def events(self, word: np.ndarray, ending: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(class, own class, tokens x features buckets) of a run of texts."""
+        """(class, own class, tokens x features hashes) of a run of texts; the bits that count are the highest."""
         p1, p2 = before(word, first, 1, BEGIN), before(word, first, 2, BEGIN)
         own = self.of(word, ending)
         cls = np.where(word == p1, COPY, np.where(word == p2, COPY2, own))
         cls[word == END] = END_CLASS
-        c1, c2, c3 = (before(cls, first, k, CLASSES) for k in (1, 2, 3))
-        history = ((c1 * (CLASSES + 1) + c2) * (CLASSES + 1) + c3).astype(U)
-        raw = (p1 + U(1), p2 * U(3) + U(2), p1 * U(5) + mix(p2), history * U(7) + U(4))
-        feats = np.stack([(mix(x) >> U(64 - 14)).astype(np.uint16) for x in raw], 1)
-        return cls, own, feats
+        raw = (mix(p1 + U(1)), mix(p2 * U(3) + U(2)), mix(p1 * U(5) + mix(p2)), history(cls, first))
+        return cls, own, np.stack(raw, 1)
+
+
+def history(cls: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of the last three classes in the same text."""
+    c1, c2, c3 = (before(cls, first, k, CLASSES) for k in (1, 2, 3))
+    return mix(((c1 * (CLASSES + 1) + c2) * (CLASSES + 1) + c3).astype(U) * U(7) + U(4))
+
+
+def buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> U(64 - bits)).astype(np.uint16 if bits <= 16 else np.int32)
+
+
+def bucket_bits(tokens_: int) -> int:
+    return min(MAX_BITS, max(MIN_BITS, (tokens_ // TOKENS_PER_BUCKET).bit_length() - 1))
+
+
+def pack(cls: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Class (6 bits) and the highest MAX_BITS bits of the three word features of each token; the history follows from the classes."""
+    out = cls.astype(U)
+    for k in range(3):
+        out |= hashes[:, k] >> U(64 - MAX_BITS) << U(6 + k * MAX_BITS)
+    return out
+
+
+def unpack(packed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(class, buckets) of packed whole texts."""
+    cls = (packed & U(63)).astype(np.int64)
+    first = np.concatenate([[0], np.flatnonzero(cls == END_CLASS) + 1])
+    fields = [packed >> U(6 + k * MAX_BITS) & U((1 << MAX_BITS) - 1) for k in range(3)]
+    return cls, np.stack([*((x >> U(MAX_BITS - bits)).astype(np.uint16 if bits <= 16 else np.int32) for x in fields),
+                          buckets(history(cls, first), bits)], 1)
 
 
 def row_sums(bucket: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,54 +153,55 @@ def row_sums(bucket: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     at = bucket[order]
     heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     size = np.diff(np.append(heads, len(at)))
-    out = z[order[heads]]
-    for j in range(1, FEW):
-        more = np.flatnonzero(size > j)
-        out[more] += z[order[heads[more] + j]]
-    for i in np.flatnonzero(size > FEW):
-        out[i] = z[order[heads[i]:heads[i] + size[i]]].sum(axis=0)
+    by_size = np.argsort(-size, kind="stable")                  # so those with j rows or more come first
+    start, size = heads[by_size], size[by_size]
+    over = np.searchsorted(-size, -np.arange(1, FEW + 1))       # how many have more than j rows
+    some = np.take(z, order[start], axis=0, mode="clip")
+    for j, m in enumerate(over[:-1].tolist(), 1):
+        some[:m] += np.take(z, order[start[:m] + j], axis=0, mode="clip")
+    for i in range(int(over[-1])):
+        some[i] = np.take(z, order[start[i]:start[i] + size[i]], axis=0, mode="clip").sum(axis=0)
+    out = np.empty_like(some)
+    out[by_size] = some
     return at[heads].astype(np.int64), out
 
 
 @dataclass
 class Weights:
-    w: np.ndarray               # BUCKETS x CLASSES
+    w: np.ndarray               # buckets x CLASSES
     bias: np.ndarray
-    grown: np.ndarray           # squared gradients, by bucket
+    bits: int
 
     @staticmethod
-    def zero(share: np.ndarray) -> Weights:
-        return Weights(np.zeros((BUCKETS, CLASSES), np.float32), np.log(share).astype(np.float32),
-                       np.full(BUCKETS, 1.0, np.float32))
-
-    def logits(self, feats: np.ndarray) -> np.ndarray:
-        z = self.w[feats[:, 0]]
+    def of_counts(seen: np.ndarray, bits: int) -> Weights:
+        """Weights from the counts (bucket, class) alone."""
+        share = (seen.sum(axis=0) + 1) / (seen.sum() + CLASSES)
+        ratio = (seen + SMOOTH * share) / (seen.sum(axis=1, keepdims=True) + SMOOTH) / share
+        return Weights((START * np.log(ratio)).astype(np.float32), np.log(share).astype(np.float32), bits)
+
+    def stepped(self, seen: np.ndarray, expected: np.ndarray) -> Weights:
+        """After one step along the gradient, scaled by the expected counts."""
+        change = RATE * (seen - expected - SHRINK * self.w) / (expected + SHRINK)
+        return Weights(self.w + np.clip(change, -MOST, MOST).astype(np.float32), self.bias, self.bits)
+
+    def probabilities(self, feats: np.ndarray) -> np.ndarray:
+        z = np.take(self.w, feats[:, 0], axis=0, mode="clip")
         for k in range(1, feats.shape[1]):
-            z += self.w[feats[:, k]]
+            z += np.take(self.w, feats[:, k], axis=0, mode="clip")
         z += self.bias
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
         return z
 
     def log_prob(self, cls: np.ndarray, feats: np.ndarray) -> np.ndarray:
         """Natural-log class probabilities."""
         out = np.empty(len(cls))
         for a in range(0, len(cls), STEP):
-            z = self.logits(feats[a:a + STEP])
-            z -= z.max(axis=1, keepdims=True)
-            out[a:a + STEP] = z[np.arange(len(z)), cls[a:a + STEP]] - np.log(np.exp(z).sum(axis=1))
+            p = self.probabilities(feats[a:a + STEP])
+            out[a:a + STEP] = np.log(np.maximum(p[np.arange(len(p)), cls[a:a + STEP]], 1e-30))
         return out
 
-    def step(self, cls: np.ndarray, feats: np.ndarray) -> None:
-        """One Adagrad step on these tokens."""
-        z = self.logits(feats)
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(len(z)), cls] -= 1
-        for k in range(feats.shape[1]):
-            rows, g = row_sums(feats[:, k], z)
-            self.grown[rows] += (g * g).sum(axis=1) / 4
-            self.w[rows] -= RATE * g / np.sqrt(self.grown[rows])[:, None]
-
 
 COUNTS = pa.schema([("word", pa.int64()), ("ending", pa.int32()), ("beside", pa.int32()), ("n", pa.int64())])
 
@@ -223,49 +265,96 @@ def with_class(counts: DataFrame, classes: Classes) -> Column:
     return out
 
 
-def train_round(docs: DataFrame, classes: Classes, weights: Weights) -> Weights:
-    """The tasks' weights after their steps over ``docs``, averaged by tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast((classes, weights))    # BUCKETS x CLASSES floats
-    rows_a_block = 1024
-    width = CLASSES + 1
+def packed_events(docs: DataFrame, classes: Classes) -> DataFrame:
+    """(events) packed tokens of whole texts, ROW_TOKENS or one text a row, as readers hold thousands of rows at a time."""
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cl, given = shared.value
-        mine = Weights(given.w.copy(), given.bias, given.grown.copy())
-        seen = 0
         for batch in batches:
             for _, _, buf, offs in text_slices(batch.column("text"), 4 * SLICE_BYTES):
-                cls, _, feats = cl.events(*tokens(buf, offs))
+                word, ending, first = tokens(buf, offs)
+                cls, _, hashes = shared.value.events(word, ending, first)
+                packed = pack(cls, hashes)
+                yield pa.RecordBatch.from_arrays([blobs([packed[first[a]:first[b]].tobytes() for a, b in row_slices(first, ROW_TOKENS)])],
+                                                 names=["events"])
+
+    return docs.mapInArrow(run, "events binary")
+
+
+def summed(events: DataFrame, bits: int, weights: Weights | None = None) -> np.ndarray:
+    """Counts (bucket, class) over all events: those observed, or those that ``weights`` expect."""
+    shared = events.sparkSession.sparkContext.broadcast(weights)             # buckets x CLASSES floats
+    size = 1 << bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        total = np.zeros((size, CLASSES), np.float32 if w else np.float64)
+        for batch in batches:
+            for packed in joined(batch.column("events")):
+                cls, feats = unpack(packed, bits)
                 for a in range(0, len(cls), STEP):
-                    mine.step(cls[a:a + STEP], feats[a:a + STEP])
-                seen += len(cls)
-        if seen:
-            both = np.concatenate([mine.w, mine.grown[:, None]], 1)
-            blocks = both.reshape(-1, rows_a_block, width)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks), dtype=np.int32)),
-                                              pa.array([seen] * len(blocks), pa.int64()),
-                                              pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "n", "w"])
-
-    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        count: dict[int, int] = {}
+                    part = feats[a:a + STEP]
+                    p = w.probabilities(part) if w else None
+                    for k in range(part.shape[1]):
+                        if w:
+                            rows, sums = row_sums(part[:, k], p)
+                            total[rows] += sums
+                        else:
+                            cell, n = np.unique(part[:, k].astype(np.int64) * CLASSES + cls[a:a + STEP], return_counts=True)
+                            total.ravel()[cell] += n
+        own = TaskContext.get().partitionId() % SPREAD
+        for block in range(0, size, ROW_BLOCK):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([own], pa.int32()), blobs(
+                [total[block:block + ROW_BLOCK].astype(np.float32).tobytes()])], names=["block", "part", "n"])
+
+    def joined(column) -> Iterator[np.ndarray]:
+        held, n = [], 0
+        for blob in column:
+            held.append(np.frombuffer(blob.as_buffer(), U))
+            n += len(held[-1])
+            if n >= 4 * STEP:
+                yield np.concatenate(held)
+                held, n = [], 0
+        if held:
+            yield np.concatenate(held)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come block by block, so one block is held at a time.
+        block, total = None, None
         for batch in batches:
-            for block, n, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                part = np.frombuffer(w.as_buffer(), np.float32).astype(np.float64) * n
-                total[block] = total.get(block, 0) + part
-                count[block] = count.get(block, 0) + n
-        keys = sorted(total)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(
-            [(total[b] / count[b]).astype(np.float32).tobytes() for b in keys], pa.binary())], names=["block", "w"])
-
-    sent = docs.mapInArrow(run, "block int, n long, w binary")
-    back = sent.repartition("block").mapInArrow(average, "block int, w binary").collect()    # the weights once
-    if not back:
-        return weights
-    out = np.concatenate([weights.w, weights.grown[:, None]], 1)
-    for r in back:
-        out[r.block * rows_a_block:(r.block + 1) * rows_a_block] = np.frombuffer(r.w, np.float32).reshape(-1, width)
-    return Weights(out[:, :CLASSES].copy(), weights.bias, out[:, CLASSES].copy())
+            for b, part, n in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), batch.column("n"), strict=True):
+                if (b, part) != block:
+                    if block is not None:
+                        yield row(block, total)
+                    block, total = (b, part), np.zeros(ROW_BLOCK * CLASSES)
+                total += np.frombuffer(n.as_buffer(), np.float32)
+        if block is not None:
+            yield row(block, total)
+
+    def row(block: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([block[0]], pa.int32()), pa.array([block[1]], pa.int32()),
+                                           blobs([total.astype(np.float32).tobytes()])], names=["block", "part", "n"])
+
+    ddl = "block int, part int, n binary"
+    some = events.mapInArrow(run, ddl).repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(add, ddl)
+    out = np.zeros((size, CLASSES))
+    for r in some.withColumn("part", F.lit(0)).repartition("block").sortWithinPartitions("block").mapInArrow(add, ddl).collect():  # the table once
+        out[r.block:r.block + ROW_BLOCK] = np.frombuffer(r.n, np.float32).reshape(-1, CLASSES)
+    return out
+
+
+def train(docs: DataFrame, classes: Classes, n: int) -> Weights:
+    """Weights from the counts of all ``docs`` and ROUNDS steps over them."""
+    spark, bits = docs.sparkSession, bucket_bits(n)
+    path = work_dir(spark, "llm-events")
+    packed_events(docs, classes).write.parquet(path)
+    events = spark.read.schema("events binary").parquet(path).coalesce(-(-max(n, 1) // (TASK_TOKENS << bits)))
+    seen = summed(events, bits)
+    weights = Weights.of_counts(seen, bits)
+    for _ in range(ROUNDS):
+        weights = weights.stepped(seen, summed(events, bits, weights))
+    discard(spark, path)
+    return weights
 
 
 @dataclass
@@ -293,10 +382,9 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     order = np.argsort(top)
     classes = Classes(top[order], (np.arange(len(top)) + 3)[order], clusters(pairs))
     sizes = counts.groupBy(with_class(counts, classes).alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    log_size, share = np.full(CLASSES, np.log10(ADD)), np.full(CLASSES, 1.0)
+    log_size = np.full(CLASSES, np.log10(ADD))
     for r in sizes:
         log_size[r.c] = np.log10(r.n + ADD * (r.v + 1))
-        share[r.c] += r.n
     classes.log_size = log_size
     by_count = counts.groupBy("n").count().orderBy(F.desc("n")).limit(TABLE).toArrow()
     kept = np.cumsum(by_count["count"].to_numpy()) <= TABLE
@@ -304,9 +392,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     frequent = counts.where(F.col("n") >= least).select("word", "n").toArrow()                 # TABLE rows at most
     words, n = frequent["word"].to_numpy().astype(np.int64).view(U), frequent["n"].to_numpy()
     order = np.argsort(words)
-    weights = Weights.zero(share / share.sum())
-    for _ in range(ROUNDS):
-        weights = train_round(docs, classes, weights)
+    weights = train(docs, classes, total.n)
     return Model(classes, weights, words[order], n[order], total.n, total.v), counts
 
 
@@ -327,7 +413,8 @@ def score_rows(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for a, b, buf, offs in text_slices(batch.column("text"), 4 * SLICE_BYTES):
                 word, ending, first = tokens(buf, offs)
-                cls, own, feats = m.classes.events(word, ending, first)
+                cls, own, hashes = m.classes.events(word, ending, first)
+                feats = buckets(hashes, m.weights.bits)
                 if len(m.words):
                     at = np.minimum(np.searchsorted(m.words, word), len(m.words) - 1)
                     hit = m.words[at] == word
@@ -342,15 +429,15 @@ def score_rows(docs: DataFrame, model: Model) -> DataFrame:
                 rare = np.flatnonzero(~hit)
                 text = np.searchsorted(first, rare, "right") - 1
                 cut = np.searchsorted(text, np.arange(len(heads) + 1))
-                blobs = []
+                lists = []
                 for i in range(len(heads)):
                     mine = rare[cut[i]:cut[i + 1]]
                     w, back = np.unique(word[mine], return_inverse=True)
                     n = np.bincount(back, minlength=len(w))
                     k = np.bincount(back, inside[mine], len(w)).astype(np.int64)
-                    blobs.append(np.stack([w.view(np.int64), n, k], 1).tobytes())
+                    lists.append(np.stack([w.view(np.int64), n, k], 1).tobytes())
                 yield arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "held_out", "row")), np.diff(first), *sums,
-                              blobs], schema)
+                              lists], schema)
 
     return docs.mapInArrow(run, DOC)
 
@@ -365,9 +452,9 @@ def score(docs: DataFrame, held: Column, model: Model, counts: DataFrame) -> Dat
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 3) for x in batch.column("rare")]
-            flat = np.concatenate(blobs) if blobs else np.empty((0, 3), np.int64)
-            yield arrays([np.repeat(batch.column("row").to_numpy(), list(map(len, blobs))), flat[:, 0], flat[:, 1], flat[:, 2]],
+            lists = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 3) for x in batch.column("rare")]
+            flat = np.concatenate(lists) if lists else np.empty((0, 3), np.int64)
+            yield arrays([np.repeat(batch.column("row").to_numpy(), list(map(len, lists))), flat[:, 0], flat[:, 1], flat[:, 2]],
                          schema)
 
     asked = sums.select("row", "rare").dropDuplicates(["row"]).where(F.length("rare") > 0) \

@@ -246,6 +246,22 @@ def test_repeats(docs, monkeypatch, size, hot):
     assert got == brute_repeats([(r[0], r[1]) for r in ROWS], size)
 
 
+@pytest.mark.parametrize("size", [3, 8, 9, 30, 200])
+def test_suffix_ranks_and_smaller_positions(size):
+    rng = np.random.default_rng(size)
+    buf = np.concatenate([rng.integers(97, 99, 400), np.tile(rng.integers(0, 255, 90), 5)]).astype(np.uint8)
+    raw = buf.tobytes() + b"\0" * size
+    keys = [raw[i:i + size] for i in range(len(buf))]
+    place = {k: i for i, k in enumerate(sorted(set(keys)))}
+    whole = len(buf) - size + 1                      # suffixes with all their bytes
+    got = repeats.suffix_ranks(buf, size)
+    assert (np.argsort(got[:whole], kind="stable") == np.argsort([place[k] for k in keys[:whole]], kind="stable")).all()
+    assert len(set(got[:whole].tolist())) == len(set(keys[:whole]))
+    x = rng.permutation(500)
+    want = [max((j for j in range(i) if x[j] < x[i]), default=-1) for i in range(500)]
+    assert repeats.smaller_before(x).tolist() == want and repeats.smaller_before(np.arange(9)[::-1]).tolist() == [-1] * 9
+
+
 def test_repeats_smoke_and_empty(spark, empty):
     got = collections.Counter(tuple(r) for r in repeats.digest(smoke(spark), 200, keep_first=False).collect())
     assert got == brute_repeats([(r.doc_id, r.text) for r in smoke(spark).collect()], 200)
@@ -535,22 +551,84 @@ def test_maxent(spark, docs, empty, monkeypatch):
     assert maxent.score(empty, F.lit(True), *maxent.fit(empty)).count() == 0
 
 
-def test_maxent_rounds_read_all_documents(spark, monkeypatch):
-    """Every round, also of a table of more than eight million tokens."""
-    read = []
-    monkeypatch.setattr(maxent, "train_round", lambda docs, classes, weights: read.append(docs.count()) or weights)
-    for n in (20, 20_100):
+def plain_scores(texts, model, counts):
+    """log10 probability of each text, token by token, from the model's classes, weights and counts."""
+    n = {int(np.int64(r.word)): r.n for r in counts.collect()}
+    out = []
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        word, ending, _ = maxent.tokens(data, np.array([0, len(data)]))
+        total, past = 0.0, []
+        for i, (w, e) in enumerate(zip(word, ending, strict=True)):
+            p1, p2 = (word[i - k] if i >= k else maxent.BEGIN for k in (1, 2))
+            own = int(model.classes.of(word[i:i + 1], ending[i:i + 1])[0])
+            cls = 2 if w == maxent.END else 0 if w == p1 else 1 if w == p2 else own
+            c1, c2, c3 = ([*reversed(past), 48, 48, 48])[:3]
+            m = 2**64
+            raw = [int(p1) + 1, int(p2) * 3 + 2, int(p1) * 5 + int(maxent.mix(np.array([p2]))[0]), ((c1 * 49 + c2) * 49 + c3) * 7 + 4]
+            at = [int(maxent.mix(np.array([x % m], np.uint64))[0]) >> (64 - model.weights.bits) for x in raw]
+            z = sum(model.weights.w[b].astype(float) for b in at) + model.weights.bias
+            total += (z[cls] - np.log(np.exp(z - z.max()).sum()) - z.max()) / np.log(10)
+            if cls >= 3 + maxent.TOP:
+                total += np.log10(n.get(int(w.view(np.int64)), 0) + 0.1) - model.classes.log_size[own]
+            past.append(cls)
+        out.append(total)
+    return out
+
+
+def test_maxent_scores_token_by_token(spark):
+    rows = smoke(spark).select("doc_id", "text").where("length(text) < 3000")
+    away = maxent.held_out(F.col("doc_id"), 10, 0)
+    model, counts = maxent.fit(rows.where(~away))
+    got = {r.doc_id: r.score for r in maxent.score(rows, away, model, counts).collect()}
+    some = rows.orderBy("doc_id").limit(25).collect()
+    assert [got[r.doc_id] for r in some] == pytest.approx(plain_scores([r.text or "" for r in some], model, counts), rel=1e-5)
+
+
+def test_maxent_is_the_same_for_any_split(spark):
+    """Scores from tables of 1, 8 and 64 partitions agree and lie above the base on held-out rows."""
+    away = maxent.held_out(F.col("doc_id"), 10, 0)
+    scores = []
+    for n in (1, 8, 64):
+        rows = smoke(spark).select("doc_id", "text").repartition(n)
+        out = maxent.score(rows, away, *maxent.fit(rows.where(~away))).collect()
+        scores.append({r.doc_id: r.score for r in out})
+        held = [r for r in out if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    for other in scores[1:]:
+        assert [other[i] for i in sorted(scores[0])] == pytest.approx([scores[0][i] for i in sorted(scores[0])], rel=1e-4)
+
+
+def test_maxent_rounds_read_all_events(spark, monkeypatch):
+    """The counts and every round, at any size; the counts add up to all tokens and features."""
+    read, real = [], maxent.summed
+    monkeypatch.setattr(maxent, "summed", lambda events, bits, w=None: read.append(real(events, bits, w)) or read[-1])
+    monkeypatch.setattr(maxent, "TASK_TOKENS", 1)
+    for n, per_bucket, bits in ((20, 6144, 14), (5000, 6144, 14), (5000, 12, 17)):
+        monkeypatch.setattr(maxent, "TOKENS_PER_BUCKET", per_bucket)
         text = F.concat(F.col("id").cast("string"), F.repeat(F.lit(" word"), n))
         model, _ = maxent.fit(spark.range(400).select(text.alias("text")))
-        assert model.n == 400 * (n + 2)
-    assert read == [400] * 2 * maxent.ROUNDS
+        assert model.n == 400 * (n + 2) and model.weights.bits == bits
+        assert len(read) == 1 + maxent.ROUNDS and [x.sum() for x in read] == pytest.approx([4 * model.n] * len(read), rel=1e-3)
+        read.clear()
+
+
+def test_packed_events_round_trip():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 40, n)) for n in (0, 1, 2, 30, 500)]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.cumsum([0] + [len(t) for t in texts])
+    classes = maxent.Classes(np.empty(0, np.uint64), np.empty(0, np.int64), rng.integers(0, maxent.CLUSTERS, maxent.ENDINGS))
+    cls, _, hashes = classes.events(*maxent.tokens(buf, offs))
+    for bits in (14, 16, 18):
+        got, feats = maxent.unpack(maxent.pack(cls, hashes), bits)
+        assert (got == cls).all() and (feats == maxent.buckets(hashes, bits)).all()
 
 
 def test_class_softmax_sums_to_one():
     rng = np.random.default_rng(3)
-    w = maxent.Weights.zero(np.full(maxent.CLASSES, 1 / maxent.CLASSES))
-    w.w[:] = rng.normal(size=w.w.shape)
-    feats = rng.integers(0, maxent.BUCKETS, (1, 4)).astype(np.uint16)
+    w = maxent.Weights.of_counts(rng.integers(0, 99, (1 << 14, maxent.CLASSES)).astype(float), 14)
+    feats = rng.integers(0, 1 << 14, (1, 4)).astype(np.uint16)
     total = sum(np.exp(w.log_prob(np.array([c]), feats))[0] for c in range(maxent.CLASSES))
     assert total == pytest.approx(1, rel=1e-4)
 
