@@ -42,7 +42,7 @@ from tarmac.llm.common import U, arrays, mix, one_row_each, prefix_hash, routed,
 SIZE = 200
 GRAM = 96
 HOT = 4_096                 # different strings of one minimizer that a task orders by itself
-FLUSH_BYTES = 1 << 20       # string bytes held at a time
+FLUSH_BYTES = 1 << 19       # string bytes held at a time; ranking them takes some 80 times as much
 PIECE = 8 << 20             # longer texts are cut into pieces that overlap by a window
 POS_BITS = 24
 
