@@ -42,6 +42,8 @@ CHECKPOINT_INTERVAL = 10
 # Our choice: rows of a training partition.  Small inputs still get up to SPREAD partitions; large
 # ones get partitions of ROWS_PER_PARTITION rows (fixed-width rows, about 0.5 GB).
 SPREAD, SPREAD_ROWS, ROWS_PER_PARTITION = 64, 8_192, 4_000_000
+# Columns of a training input: the hash that deals its rows, and the number of equal rows.
+SPREAD_COL, ROWS_COL = "__spread", "__rows"
 
 
 @dataclass
@@ -105,6 +107,11 @@ def training_partitions(rows: int) -> int:
     return max(1, min(math.ceil(rows / SPREAD_ROWS), SPREAD), math.ceil(rows / ROWS_PER_PARTITION))
 
 
+def draws(est: RandomForestClassifier) -> bool:
+    """Whether a fit draws rows by chance, or slots at its nodes."""
+    return est.getBootstrap() or est.getSubsamplingRate() < 1.0 or est.getFeatureSubsetStrategy() != "all"
+
+
 def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
           max_bins: int = MAX_BINS, max_memory_mb: int = MAX_MEMORY_MB, seed: int = DEFAULT_SEED,
           run_name: str = "RandomForest", version: str | None = None,
@@ -121,13 +128,16 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     of the whole flight record kept) are stored as parquet in the shared checkpoint folder,
     so the upstream joins run once, and a lost executor re-reads the files instead of
     replaying them; the copy is removed after the evaluation (the forest's own training
-    summary, which would read it again, is not available then).  For the forest they are dealt by that hash over ``partitions``
+    summary, which would read it again, is not available then).  For the forest they are encoded, dealt by that hash over ``partitions``
     (default: by the number of rows) and sorted within them: bagging and split candidates
     are drawn by partition and position, so the trees depend on the rows and the seed
     only, not on the cores, the file layout or the order in which a shuffle arrives.
 
     ``fit_slots``: the vector slots the forest may split on (the others are constant in
-    the fit); scoring always takes the whole vector.
+    the fit); scoring always takes the whole vector.  A tree of depth 0 splits on none.  A forest that draws neither rows
+    nor slots is then fitted on each different (class, slots) once, weighted by its number of rows: the class counts, and so
+    the trees, are the same, and every pass over the rows but the count itself is gone (the nodes' unweighted ``rawCount``
+    alone counts the different ones).
 
     ``holdout`` (0 < h < 1) is our option: a seeded split of the stored rows keeps
     that share out of the forest fit and measures accuracy on it instead.  The
@@ -137,9 +147,14 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     if holdout and not 0.0 < holdout < 1.0:
         raise ValueError(f"holdout must be in (0, 1): {holdout}")
     t0 = time.time()
+    est = estimator or forest(num_trees, max_depth, max_bins, max_memory_mb, seed)
+    if est.getMaxDepth() == 0 and fit_slots is None:
+        fit_slots = ()
+    merged = fit_slots is not None and not holdout and not draws(est)
     bucketizer = delay_bucketizer()
+    spread = [] if merged else [F.xxhash64(*flights.columns).alias(SPREAD_COL)]
     base = bucketizer.transform(with_route(flights)).filter(F.col(LABEL_COL).isNotNull()) \
-        .select(LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, F.xxhash64(*flights.columns).alias("__spread"))
+        .select(LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, *spread)
     spark = base.sparkSession
     if checkpoint_input:
         copy = work_dir(spark, "train-input")
@@ -147,22 +162,33 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
         base = spark.read.parquet(copy)
     indexers = fit_indexers(base)
     va = assembler("error")
-    dealt = base.repartition(partitions or training_partitions(base.count()), "__spread") \
-        .sortWithinPartitions("__spread", LABEL_COL, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
-    frame = va.transform(encode(dealt, indexers)).select(LABEL_COL, FEATURES_COL)
-    fit_rows = frame
-    eval_rows = va.transform(encode(base, indexers))    # an average needs no dealing
-    if fit_slots:
+    encoded = encode(base, indexers, drop_source=True)
+    eval_rows = va.transform(encoded)                   # an average needs no dealing
+    if fit_slots is not None:
         held = {s: F.lit(0.0) for s in VECTOR_SLOTS if s not in fit_slots}
-        fit_rows = va.transform(encode(dealt, indexers).withColumns(held)).select(LABEL_COL, FEATURES_COL)
-    if holdout:
-        fit_rows, eval_rows = (fit_rows.randomSplit([1.0 - holdout, holdout], seed=seed)[0],
-                               frame.randomSplit([1.0 - holdout, holdout], seed=seed)[1])
-    est = estimator or forest(num_trees, max_depth, max_bins, max_memory_mb, seed)
+    if merged:
+        counts = encoded.groupBy(LABEL_COL, *(s for s in VECTOR_SLOTS if s in fit_slots)) \
+            .agg(F.count("*").cast("double").alias(ROWS_COL)).persist()
+        fit_rows = va.transform(counts.withColumns(held)).select(LABEL_COL, FEATURES_COL, ROWS_COL)
+        est = est.copy().setWeightCol(ROWS_COL)
+    else:
+        # The number of classes goes with the label, so that the fit needs no pass of its own to find it.
+        seen = base.agg(F.count("*").alias("rows"), F.max(LABEL_COL).alias("top")).first()
+        classes = {"ml_attr": {"type": "nominal", "name": LABEL_COL, "num_vals": int(seen["top"] or 0) + 1}}
+        dealt = encoded.withColumn(LABEL_COL, F.col(LABEL_COL).alias(LABEL_COL, metadata=classes)) \
+            .repartition(partitions or training_partitions(seen["rows"]), SPREAD_COL) \
+            .sortWithinPartitions(SPREAD_COL, LABEL_COL, *VECTOR_SLOTS)
+        frame = va.transform(dealt).select(LABEL_COL, FEATURES_COL)
+        fit_rows = frame if fit_slots is None else va.transform(dealt.withColumns(held)).select(LABEL_COL, FEATURES_COL)
+        if holdout:
+            fit_rows, eval_rows = (fit_rows.randomSplit([1.0 - holdout, holdout], seed=seed)[0],
+                                   frame.randomSplit([1.0 - holdout, holdout], seed=seed)[1])
     checkpoint_root(spark)   # node-id checkpoints go to the shared folder
     if fit_bins:
         est = est.copy().setMaxBins(max(32, max(len(x) for x in indexers.labelsArray) + 1))
     model = est.fit(fit_rows)
+    if merged:
+        counts.unpersist()
     acc = accuracy(model.transform(eval_rows))
     if checkpoint_input:
         discard(spark, copy)

@@ -370,3 +370,34 @@ def test_response_store_job_from_scored_files(spark, saved_model):
     stored = responses.read_store(spark, os.path.join(base, "store"))
     assert stored.count() == spark.read.text(out).count()
     assert stored.filter(F.col("model_id") != m.version).count() == 0
+
+
+def test_a_tree_that_draws_nothing_is_fitted_on_different_rows_once(spark, tmp_dir, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+    from tarmac.operators import features as ft
+    fl = spark.range(600).selectExpr(
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE CAST((id * 37) % 90 - 30 AS DOUBLE) END AS ArrDelay", "CAST(id % 5 AS DOUBLE) AS DepDelay",
+        "CAST(id AS DOUBLE) AS Distance", "CAST(1 + id % 28 AS INT) AS DayOfMonth", "CAST(id % 7 AS INT) AS DayOfWeek",
+        "CAST(1 + id % 300 AS INT) AS DayOfYear", "CASE WHEN id % 3 = 0 THEN 'A' ELSE 'B' END AS Carrier",
+        "concat('o', id % 4) AS Origin", "concat('d', id % 6) AS Dest")
+
+    def fits(version):
+        got = []
+        for depth, slots in ((30, ("DayOfMonth",)), (30, ("DayOfMonth", "Carrier_index")), (0, None)):
+            rf = RandomForestClassifier(featuresCol="Features_vec", labelCol="ArrDelayBucket", predictionCol="Prediction", numTrees=1,
+                                        maxDepth=depth, bootstrap=False, featureSubsetStrategy="all", seed=1)
+            m = models.train(fl, estimator=rf, version=f"{version}-{depth}-{len(slots or ())}", fit_bins=True, fit_slots=slots)
+            saved = models.save(m, tmp_dir)["forest"]
+            raw = spark.read.parquet(os.path.join(saved, "data")).selectExpr("nodeData.*").where("id = 0").first()["rawCount"]
+            nodes = forest_table.nodes(spark, tmp_dir, [m.version]).drop("model_id").orderBy("tree", "node").collect()
+            got.append((nodes, m.accuracy, raw))
+        return got
+
+    once = fits("once")
+    monkeypatch.setattr(models, "draws", lambda est: True, raising=False)
+    every = fits("every")
+    assert [x[:2] for x in once] == [x[:2] for x in every]
+    assert len(once[0][0]) > 5 and len(once[1][0]) > len(once[0][0]) and len(once[2][0]) == 1
+    labelled = ft.training_frame(fl)
+    assert [x[2] for x in every] == [labelled.count()] * 3
+    assert [x[2] for x in once] == [labelled.select("ArrDelayBucket", *c).distinct().count() for c in (["DayOfMonth"], ["DayOfMonth", "Carrier"], [])]
