@@ -71,3 +71,15 @@ def test_response_json_drops_nulls(spark):
     msg = json.loads(scoring.response_json(df).first().value)
     assert msg == {"UUID": "u1", "model_id": "m1", "Origin": "A", "Dest": "B", "Carrier": "AA",
                    "FlightNum": "7", "Route": "A-B", "Prediction": 1.0}
+
+
+def test_batch_scope_is_paired_by_many_tasks(spark):
+    rows = spark.range(600).selectExpr(
+        "CAST(id AS STRING) AS UUID", "'a' AS Origin", "'b' AS Dest", "'c' AS Carrier", "'a-b' AS Route",
+        "IF(id = 0, NULL, 'n') AS FlightNum", "concat('[', 'm', id % 50, ']') AS model_ids", "id % 2 AS batch")
+    stored = spark.range(40).selectExpr("concat('m', id) AS model_id")
+    out = scoring.pair_batch(rows, stored, "batch").withColumn("task", F.spark_partition_id())
+    pairs = [(int(r["UUID"]), r["model_id"]) for r in out.collect()]
+    assert sorted(pairs) == sorted((u, f"m{m}") for u in range(1, 600) for m in range(u % 2, 40, 2))
+    assert out.columns == [*rows.columns, "model_id", "task"]
+    assert out.select("task").distinct().count() > 4
