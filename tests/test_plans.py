@@ -78,3 +78,8 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_table_scores_meet_the_fitted_ones_without_a_join_of_all_rows(spark):
+    plan = plan_of(QUERIES["forest_table_score"](spark, SMOKE))
+    assert "Union" not in plan and "SortMergeJoin" not in plan
