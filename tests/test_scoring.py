@@ -83,3 +83,16 @@ def test_batch_scope_is_paired_by_many_tasks(spark):
     assert sorted(pairs) == sorted((u, f"m{m}") for u in range(1, 600) for m in range(u % 2, 40, 2))
     assert out.columns == [*rows.columns, "model_id", "task"]
     assert out.select("task").distinct().count() > 4
+
+
+def test_batch_scope_joins_lists_of_models(spark):
+    rows = spark.range(5_000).selectExpr(
+        "CAST(id AS STRING) AS UUID", "'a' AS Origin", "'b' AS Dest", "'c' AS Carrier", "'a-b' AS Route",
+        "IF(id >= 3, NULL, 'n') AS FlightNum", "concat('[', 'm', id, ']') AS model_ids", "0L AS batch")
+    stored = spark.range(4_990).selectExpr("concat('m', id) AS model_id")
+    out = scoring.pair_batch(rows, stored, "batch")
+    got = out.groupBy("UUID").agg(F.count("*").alias("n"), F.countDistinct("model_id").alias("d")).collect()
+    assert {(r.UUID, r.n, r.d) for r in got} == {(str(u), 4_990, 4_990) for u in range(3)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(__models") < plan.index("Join Inner")     # what is joined are lists
+    assert scoring.MODEL_LISTS < 4_096
