@@ -42,7 +42,8 @@ from tarmac.llm.common import U, arrays, mix, one_row_each, prefix_hash, routed,
 SIZE = 200
 GRAM = 96
 HOT = 4_096                 # different strings of one minimizer that a task orders by itself
-FLUSH_BYTES = 1 << 19       # string bytes held at a time; ranking them takes some 80 times as much
+FLUSH_BYTES = 1 << 19       # string bytes held at a time while they are read
+RANK_BYTES = 1 << 17        # and while they are ranked (with the strings of one minimizer whole), which takes some 30 times as much
 PIECE = 8 << 20             # longer texts are cut into pieces that overlap by a window
 POS_BITS = 24
 
@@ -183,24 +184,31 @@ def suffix_ranks(buf: np.ndarray, size: int) -> np.ndarray:
     bits = len(buf).bit_length()
     while have < size:
         step = min(have, size - have)
-        key = rank << U(bits)
+        key = rank.astype(U)
+        key <<= U(bits)
         key[:-step] |= rank[step:]
+        del rank
         rank = ranked(key, 2 * bits)
         have += step
     return rank.astype(np.int64)
 
 
 def ranked(key: np.ndarray, bits: int) -> np.ndarray:
-    """Place of each key of so many bits among the different keys."""
+    """Place of each key of so many bits among the different keys, which are overwritten."""
     room = len(key).bit_length()
     if bits + room <= 64:                           # keys sorted together with their places, which is faster
-        both = np.sort(key << U(room) | np.arange(len(key), dtype=U))
-        order, key = (both & U((1 << room) - 1)).astype(np.int64), both >> U(room)
+        key <<= U(room)
+        key |= np.arange(len(key), dtype=np.uint32)
+        key.sort()
+        order = np.empty(len(key), np.uint32)
+        np.bitwise_and(key, U((1 << room) - 1), out=order, casting="unsafe")
+        key >>= U(room)
     else:
         order = np.argsort(key)
         key = key[order]
-    out = np.empty(len(key), U)
-    out[order] = np.cumsum(np.append(False, key[1:] != key[:-1])[:len(key)])
+    new = np.append(False, key[1:] != key[:-1])[:len(key)]
+    out = np.empty(len(key), np.uint32)
+    out[order] = np.cumsum(new, dtype=np.uint32)
     return out
 
 
@@ -256,7 +264,7 @@ def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
                 if (doc, u, pos) < (cols["doc_id"][-1], cols["u"][-1], cols["pos"][-1]):
                     cols["doc_id"][-1], cols["u"][-1], cols["pos"][-1] = doc, u, pos
                 continue
-            if size > FLUSH_BYTES and cols["h"][-1] != h:
+            if size > RANK_BYTES and cols["h"][-1] != h:
                 yield cols
                 cols, size = {x: [] for x in STRINGS.names}, 0
             for c, v in zip(STRINGS.names, (h, f1, f2, doc, *row[4:]), strict=True):
