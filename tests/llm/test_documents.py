@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -262,6 +263,30 @@ def test_suffix_ranks_and_smaller_positions(size):
     assert repeats.smaller_before(x).tolist() == want and repeats.smaller_before(np.arange(9)[::-1]).tolist() == [-1] * 9
 
 
+def test_ranking_takes_little_memory_and_few_strings_at_a_time():
+    rng = np.random.default_rng(5)
+    words = [rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8).tobytes() for _ in range(400)]
+    text = b" ".join(words[i] for i in rng.integers(0, 400, 100_000))
+    strings = [text[a:a + 300] for a in rng.integers(0, len(text) - 300, 1_000)]
+    at, one = np.arange(len(strings)), np.ones(len(strings), np.int64)
+    tracemalloc.start()
+    try:
+        order, other, earlier = repeats.mark(at, at, at, one * 101, one, strings, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 45 * 300 * len(strings)
+    windows = [strings[i][k:k + 200] for i in order for k in range(101)]
+    counts, seen = collections.Counter(windows), set()
+    assert other.tolist() == [counts[w] > 1 for w in windows]
+    assert earlier.tolist() == [w in seen or seen.add(w) is not None for w in windows]
+    rows = [[i, i, i, i, i, 0, 101, 1, s] for i, s in enumerate(strings)]
+    batch = common.arrays([list(c) for c in zip(*rows, strict=True)], repeats.STRINGS)
+    parts = list(repeats.merged(iter([batch])))
+    assert [h for p in parts for h in p["h"]] == list(range(len(strings)))
+    assert max(sum(map(len, p["string"])) for p in parts) < 150_000
+
+
 def test_repeats_smoke_and_empty(spark, empty):
     got = collections.Counter(tuple(r) for r in repeats.digest(smoke(spark), 200, keep_first=False).collect())
     assert got == brute_repeats([(r.doc_id, r.text) for r in smoke(spark).collect()], 200)
