@@ -166,14 +166,25 @@ def votes_of(x: Column) -> Column:
                        lambda a, r: F.zip_with(a, F.get("votes", leaf(r)), lambda s, v: s + v))
 
 
-def score(vectors: DataFrame, forests: DataFrame) -> DataFrame:
+def blocked(rows: DataFrame, number: str, block: str) -> DataFrame:
+    """``rows`` dealt by ``block``, the number of the block that a row of that ``number`` is in, some 16 blocks a partition.
+
+    What is joined to them by broadcast and unfolded from them stays where it is, so ``score`` by that block shuffles nothing:
+    the rows move once and as they are, not with vectors and once for every model.  ``rows`` are counted, so they should be stored ones.
+    """
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() >> BLOCK_BITS + 4))
+    return rows.withColumn(block, F.shiftright(number, BLOCK_BITS)).repartition(n, block)
+
+
+def score(vectors: DataFrame, forests: DataFrame, block: str | None = None) -> DataFrame:
     """``vectors`` (any columns, model_id, x) with rawPrediction, probability and Prediction of the packed ``forests``.
 
     Rows meet their model in blocks, so a model's arrays are read once a block instead of once a row; a block is at most
-    2 ** BLOCK_BITS rows.  Rows whose model is not among ``forests`` are left out.
+    2 ** BLOCK_BITS rows, or the rows of one value of the column ``block``.  Rows whose model is not among ``forests`` are left out.
     """
-    keep = [c for c in vectors.columns if c not in ("model_id", "x")]
-    blocks = vectors.withColumn("__block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)) \
+    keep = [c for c in vectors.columns if c not in ("model_id", "x", block)]
+    at = F.col(block) if block else F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    blocks = vectors.withColumn("__block", at) \
         .groupBy("model_id", "__block").agg(F.collect_list(F.struct(F.struct(*keep).alias("row"), "x")).alias("__rows"))
     total = F.aggregate("raw", F.lit(0.0), lambda a, v: a + v)
     return blocks.join(forests, "model_id") \
@@ -184,8 +195,13 @@ def score(vectors: DataFrame, forests: DataFrame) -> DataFrame:
                 (F.array_position("raw", F.array_max("raw")) - 1).cast("double").alias(models.PREDICTION_COL))
 
 
-def serve(asked: DataFrame, root: str, versions: Sequence[str]) -> DataFrame:
-    """Requests with their model_id (rows of other versions are left out) scored by the stored ``versions``."""
+def serve(asked: DataFrame, root: str, versions: Sequence[str], block: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """Requests with their model_id (rows of other versions are left out) scored by the stored ``versions``.
+
+    ``block``: the column that tells a row's block (``blocked``); ``keep``: the columns of ``asked`` that are wanted beside the scores.
+    """
     spark = asked.sparkSession
     vectors = features(asked, dictionaries(spark, root, versions))
-    return score(vectors, packed(nodes(spark, root, versions), depths(spark, root, versions)))
+    if keep is not None:
+        vectors = vectors.select(*keep, *([block] if block else []), "model_id", "x")
+    return score(vectors, packed(nodes(spark, root, versions), depths(spark, root, versions)), block)

@@ -22,6 +22,7 @@ from tarmac.operators.features import (FEATURES_COL, LABEL_COL, assembler, delay
                                        fit_indexers, with_route)
 from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES, VECTOR_SLOTS
 from tarmac.session import checkpoint_root, discard, work_dir
+from tarmac.sources.tables import stored_at
 
 # Reference training settings and artifact names.
 NUM_TREES = 20
@@ -112,6 +113,17 @@ def draws(est: RandomForestClassifier) -> bool:
     return est.getBootstrap() or est.getSubsamplingRate() < 1.0 or est.getFeatureSubsetStrategy() != "all"
 
 
+def dealt_once(rows: DataFrame):
+    """``rows`` as a frame over their RDD, and that RDD (of the JVM).
+
+    A fit plans its input three times (its log, its passes, its summary), and each plan would shuffle the rows again; plans
+    over one RDD share its shuffle.  Every pass reads the same rows in the same partitions and order.
+    """
+    spark = rows.sparkSession
+    dealing = rows._jdf.toDF().toJavaRDD()
+    return DataFrame(spark._jsparkSession.createDataFrame(dealing, rows._jdf.schema()), spark), dealing.rdd()
+
+
 def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
           max_bins: int = MAX_BINS, max_memory_mb: int = MAX_MEMORY_MB, seed: int = DEFAULT_SEED,
           run_name: str = "RandomForest", version: str | None = None,
@@ -158,8 +170,7 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     spark = base.sparkSession
     if checkpoint_input:
         copy = work_dir(spark, "train-input")
-        base.write.parquet(copy)
-        base = spark.read.parquet(copy)
+        base = stored_at(base, copy)
     indexers = fit_indexers(base)
     va = assembler("error")
     encoded = encode(base, indexers, drop_source=True)
@@ -177,7 +188,8 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
         classes = {"ml_attr": {"type": "nominal", "name": LABEL_COL, "num_vals": int(seen["top"] or 0) + 1}}
         dealt = encoded.withColumn(LABEL_COL, F.col(LABEL_COL).alias(LABEL_COL, metadata=classes)) \
             .repartition(partitions or training_partitions(seen["rows"]), SPREAD_COL) \
-            .sortWithinPartitions(SPREAD_COL, LABEL_COL, *VECTOR_SLOTS)
+            .sortWithinPartitions(SPREAD_COL, LABEL_COL, *VECTOR_SLOTS).select(LABEL_COL, *VECTOR_SLOTS)
+        dealt, dealing = dealt_once(dealt)
         frame = va.transform(dealt).select(LABEL_COL, FEATURES_COL)
         fit_rows = frame if fit_slots is None else va.transform(dealt.withColumns(held)).select(LABEL_COL, FEATURES_COL)
         if holdout:
@@ -190,6 +202,8 @@ def train(flights: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_D
     if merged:
         counts.unpersist()
     acc = accuracy(model.transform(eval_rows))
+    if not merged:
+        dealing.cleanShuffleDependencies(False)
     if checkpoint_input:
         discard(spark, copy)
     return TrainedModel(version=version or uuid.uuid4().hex, bucketizer=bucketizer, indexers=indexers,

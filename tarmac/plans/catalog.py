@@ -26,12 +26,12 @@ from tarmac.operators import forest_table, keyed, models, registry, scoring
 from tarmac.operators.keyed import ordinal
 from tarmac.plans import inputs
 from tarmac.schemas import CATEGORICAL_FEATURES, METRIC_SCHEMA, NUMERIC_FEATURES, REQUEST_SCHEMA, RESPONSE_FIELDS
-from tarmac.session import work_dir
+from tarmac.session import discard, work_dir
 from tarmac.sinks import tables as sink
 from tarmac.sources import events as ev
 from tarmac.sources import files as src_files
 from tarmac.sources.flights import LINE_KEYS, read_flights_json, write_flights_json
-from tarmac.sources.tables import stored
+from tarmac.sources.tables import stored, stored_at
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -636,16 +636,21 @@ def forest_table_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, root = _saved(spark, tree)
     models.save(bagged, root)
     need = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
-    flights = ft.training_frame(inputs.flights(spark, sf_dir, with_keys=True)).select("FlightNum", *need, *LINE_KEYS)
-    rows = ordinal(flights, [F.col(c) for c in (*LINE_KEYS, "Distance", "DepDelay")], "n").select("n", "FlightNum", *need)
-    # Each row takes the fitted results along and meets the table's in place, so the two are not shuffled to be joined.
-    beside = rows
+    # Stored before they are numbered, and without the route, which their ends give: joins and numbering are not on disk together.
+    path = work_dir(spark, "scored-flights")
+    flights = stored_at(ft.training_frame(inputs.flights(spark, sf_dir, with_keys=True)).select(
+        "FlightNum", *(c for c in need if c != "Route"), *LINE_KEYS), path)
+    rows = ordinal(flights, [F.col(c) for c in (*LINE_KEYS, "Distance", "DepDelay")], "n")
+    discard(spark, path)
+    rows = forest_table.blocked(rows.drop(*LINE_KEYS), "n", "block").drop("n")
+    # Each row takes the fitted results along and meets the table's in its block, so neither is shuffled to be joined.
+    beside = ft.with_route(rows)
     for i, m in enumerate((tree, bagged)):
         beside = models.score(m.forest, models.serving_features(beside, m.indexers, m.assembler)).select(
             *beside.columns, F.struct(F.lit(m.version).alias("model_id"), vector_to_array("rawPrediction").alias("fitted_raw"),
                                       vector_to_array("probability").alias("fitted_prob"), F.col(models.PREDICTION_COL).alias("fitted")).alias(f"fitted_{i}"))
-    asked = beside.select("n", "FlightNum", *need, F.inline(F.array("fitted_0", "fitted_1")))
-    table = forest_table.serve(asked, root, [tree.version, bagged.version])
+    asked = beside.select("block", "FlightNum", *need, F.inline(F.array("fitted_0", "fitted_1")))
+    table = forest_table.serve(asked, root, [tree.version, bagged.version], "block", ["FlightNum", "fitted_raw", "fitted_prob", "fitted"])
     same = (F.col(models.PREDICTION_COL) == F.col("fitted")) & (F.col("rawPrediction") == F.col("fitted_raw")) \
         & (F.col("probability") == F.col("fitted_prob"))
     return table.select("FlightNum", "model_id",

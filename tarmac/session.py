@@ -9,6 +9,7 @@ cluster.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -81,6 +82,27 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "tarmac", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+# Spark's own setting: an execution removes the shuffle files that it wrote when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Writes started inside leave no shuffle files behind (else they stay until the driver's garbage collection finds them).
+
+    For frames that are written once and read from their files after that.
+    """
+    was = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, was)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a work folder whose rows are no longer needed."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

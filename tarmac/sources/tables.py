@@ -28,9 +28,16 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     Cuts the lineage like a reliable checkpoint, but computes the plan once (an
     un-persisted RDD checkpoint runs it twice: once to count, once to write) and
     stores columns, so later readers prune and push filters.  A lost executor
-    re-reads the files instead of replaying the upstream joins.
+    re-reads the files instead of replaying the upstream joins.  The shuffle files of the
+    write go when it ends.
     """
     from tarmac.session import work_dir
-    path = work_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    return stored_at(df, work_dir(df.sparkSession, name))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """``stored`` in a given folder, for callers that discard it."""
+    from tarmac.session import shuffles_removed
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

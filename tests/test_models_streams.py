@@ -271,6 +271,32 @@ def test_node_table_scores_as_transform(spark, saved_model, tmp_dir):
     assert forest_table.nodes(spark, tmp_dir, ["deep"]).where("categories is not null").count() > 0
 
 
+def test_blocks_given_by_column_score_as_others(spark, saved_model):
+    m, root = saved_model
+    reqs = scoring.with_route(inputs.requests(spark, SMOKE, model_id=m.version)).withColumn("model_id", F.lit(m.version))
+    numbered = reqs.withColumn("n", F.col("UUID").cast("long")).localCheckpoint()
+    blocks = forest_table.blocked(numbered, "n", "block")
+    got = forest_table.serve(blocks, root, [m.version], "block", ["UUID"])
+    assert got.columns == ["UUID", "model_id", "rawPrediction", "probability", "Prediction"]
+    want = forest_table.serve(reqs, root, [m.version]).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == reqs.count()
+    assert blocks.where(F.col("block") != F.shiftright("n", forest_table.BLOCK_BITS)).isEmpty()
+
+
+def test_dealt_rows_are_shuffled_once_for_all_plans_of_a_fit(spark, monkeypatch):
+    plans, real = [], models.dealt_once
+
+    def seen(rows):
+        out, dealing = real(rows)
+        plans.append((rows._jdf.queryExecution().optimizedPlan().toString(), out._jdf.queryExecution().executedPlan().toString()))
+        assert [tuple(r) for r in rows.collect()] == [tuple(r) for r in out.collect()] and out.schema == rows.schema
+        return out, dealing
+    monkeypatch.setattr(models, "dealt_once", seen)
+    models.train(inputs.flights(spark, SMOKE), num_trees=1, max_depth=1, max_bins=1024)
+    (dealt, fitted), = plans
+    assert "RepartitionByExpression" in dealt and "Exchange" not in fitted
+
+
 class Stopped(Exception):
     pass
 

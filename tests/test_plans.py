@@ -83,3 +83,26 @@ def test_cluster_without_shared_folder_is_refused():
 def test_table_scores_meet_the_fitted_ones_without_a_join_of_all_rows(spark):
     plan = plan_of(QUERIES["forest_table_score"](spark, SMOKE))
     assert "Union" not in plan and "SortMergeJoin" not in plan
+    # Rows are dealt to blocks as they are; scoring by block moves neither vectors nor fitted results.
+    assert plan.count("hashpartitioning(block#") == 1 and "__block#" not in "".join(
+        ln for ln in plan.splitlines() if "hashpartitioning" in ln)
+
+
+def shuffle_files(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (blocks.apply(i).getName() for i in range(blocks.length())) if n.startswith("shuffle_")}
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    import time
+
+    from tarmac.session import SHUFFLE_CLEANUP
+    from tarmac.sources.tables import stored
+    before, was = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    out = stored(spark.range(1_000).repartition(5, "id"), "test-shuffle")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == was
+    end = time.time() + 20                                                # files are removed in the background
+    while time.time() < end and any(f.endswith(".data") for f in shuffle_files(spark) - before):
+        time.sleep(0.2)
+    assert not any(f.endswith(".data") for f in shuffle_files(spark) - before)
+    assert out.count() == 1_000
