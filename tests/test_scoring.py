@@ -1,8 +1,10 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from tarmac.operators import scoring
+from tarmac.streaming import requests as sreq
 
 VALID = {"Origin": "A", "FlightNum": "7", "DayOfWeek": 6, "DayOfYear": 360, "DayOfMonth": 25, "Dest": "B",
          "DepDelay": 5.0, "Timestamp": "2016-12-25T10:00:00.123Z", "FlightDate": "2016-12-25", "Carrier": "AA",
@@ -96,3 +98,36 @@ def test_batch_scope_joins_lists_of_models(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode(__models") < plan.index("Join Inner")     # what is joined are lists
     assert scoring.MODEL_LISTS < 4_096
+
+
+def test_batches_are_dealt_over_their_share_of_the_partitions(spark):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(800).selectExpr("CAST(id AS STRING) AS UUID", "IF(id < 600, 0, IF(id < 799, 1, 2)) AS b", "id AS x")
+    places = {r["__b"]: r["__places"] for r in scoring.parts(rows.unionByName(rows.limit(3).selectExpr("UUID", "CAST(NULL AS INT) AS b", "x")), "b", n).collect()}
+    assert {b: len(p) for b, p in places.items()} == {0: n * 3 // 4, 1: n * 199 // 800, 2: 1}
+    every = [x for p in places.values() for x in p]
+    assert len(set(every)) == len(every) <= n
+    at = spark.createDataFrame([(x,) for x in every], "p long").repartition(n, "p").select(F.spark_partition_id().alias("t")).distinct().count()
+    assert at == len(every)                                                 # no two parts in one task
+    many = [x for r in scoring.parts(rows, "x", n).collect() for x in r["__places"]]
+    assert len(many) == len(set(many)) == 800                               # more batches than partitions
+
+
+def test_batch_scope_copies_models_for_the_parts_of_their_batch_only(spark):
+    rows = spark.range(400).selectExpr(
+        "CAST(id AS STRING) AS UUID", "'a' AS Origin", "'b' AS Dest", "'c' AS Carrier", "'a-b' AS Route",
+        "'n' AS FlightNum", "concat('[', 'm', id, ']') AS model_ids", "id % 20 AS batch")
+    out = scoring.pair_batch(rows, spark.range(400).selectExpr("concat('m', id) AS model_id"), "batch")
+    pairs = sorted((int(r["UUID"]), int(r["model_id"][1:])) for r in out.collect())
+    assert pairs == sorted((u, m) for u in range(400) for m in range(u % 20, 400, 20))
+    assert out.select("UUID").distinct().count() == 400
+    dealt = scoring.parts(rows, "batch", int(spark.conf.get("spark.sql.shuffle.partitions"))).collect()
+    assert sum(len(r["__places"]) for r in dealt) == 20                     # 20 batches in 8 partitions: one copy each, not 8
+
+
+def test_published_request_files_go_when_they_are_read(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(sreq, "work_dir", lambda spark, name: os.path.join(tmp_dir, name))
+    rows = spark.range(40).selectExpr("CAST(id AS STRING) AS UUID", "'[m1]' AS model_ids")
+    ledger = sreq.run_ledger(spark, rows, F.pmod(F.col("UUID").cast("long"), F.lit(2))).collect()
+    assert len({(r.batch_id, r.UUID) for r in ledger}) == 40 and len({r.batch_id for r in ledger}) == 2
+    assert sorted(os.listdir(os.path.join(tmp_dir, "request-ledger"))) == ["ckpt", "ledger"]
